@@ -260,7 +260,7 @@ class FanoutJoin:
         copies = marked.select(
             *map(quoted, columns),
             *split,
-            F.pmod(F.xxhash64(*hashed), parts[at]).alias("__part"),
+            F.when(parts[at] > 1, F.pmod(F.xxhash64(*hashed), parts[at])).otherwise(0).alias("__part"),
             parts[at].alias("__parts"),
             below.alias("__below"),
             F.explode(F.sequence(F.lit(0).cast("long"), others - 1)).alias("__other"),
