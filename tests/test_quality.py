@@ -1,0 +1,115 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from martloom.operators.fanout import FanoutJoin
+from martloom.operators.quality import (
+    Expectations,
+    ExpectationsFailed,
+    duplicate_groups,
+    enforce,
+    not_null_report,
+    report,
+    row_count_report,
+)
+from tests.frames import plan_text, rows
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    return spark.createDataFrame(
+        [(None, 1, "x"), (None, 2, "y"), (1, 2, None)], "k int, `a.b` int, count string"
+    )
+
+
+def test_two_nulls_are_a_duplicate(data):
+    assert rows(duplicate_groups(data, "k")) == {(None, 2): 1}
+
+
+def test_odd_column_names(data):
+    assert rows(duplicate_groups(data, "a.b")) == {(2, 2): 1}
+    assert rows(duplicate_groups(data, "count")) == {}
+    assert set(rows(not_null_report(data, ["a.b", "count"]))) == {
+        ("a.b", 0, True),
+        ("count", 1, False),
+    }
+
+
+@pytest.mark.parametrize(
+    "low, high, expected",
+    [
+        (3, 3, (3, True, True)),
+        (4, None, (3, False, None)),
+        (None, 2, (3, None, False)),
+        (None, None, (3, None, None)),
+    ],
+)
+def test_bounds_are_inclusive(data, low, high, expected):
+    assert tuple(row_count_report(data, low, high).first()) == expected
+
+
+RULES = Expectations(
+    not_null=("k", "gone", "a.b"), unique=("k", "lost", "count"), min_rows=1, max_rows=2
+)
+
+
+def test_report_covers_every_rule(data):
+    assert set(rows(report(data, RULES))) == {
+        ("not_null", "k", 2, False),
+        ("not_null", "gone", None, False),
+        ("not_null", "a.b", 0, True),
+        ("unique", "k", 1, False),
+        ("unique", "lost", None, False),
+        ("unique", "count", 0, True),
+        ("row_count_min", "*", 0, True),
+        ("row_count_max", "*", 1, False),
+    }
+
+
+def test_failures_are_raised_together(data):
+    with pytest.raises(ExpectationsFailed) as failure:
+        enforce(data, RULES)
+    text = str(failure.value)
+    assert text.startswith("5 expectation(s) failed")
+    for part in ("not_null(k): 2", "not_null(gone): no such", "unique(k): 1", "row_count_max"):
+        assert part in text
+
+
+def test_at_most_twenty_failures_are_shown(data):
+    with pytest.raises(ExpectationsFailed) as failure:
+        enforce(data, Expectations(not_null=tuple(f"c{n}" for n in range(30))))
+    assert str(failure.value).count("no such column") == 20
+
+
+def test_rules_that_hold(data):
+    enforce(data, Expectations(not_null=("a.b",), unique=("count",), min_rows=3, max_rows=3))
+
+
+def test_no_rules_run_no_job(spark, data):
+    broken = data.withColumn("boom", F.raise_error(F.lit("evaluated")))
+    enforce(broken, Expectations())
+    assert report(broken, Expectations()).count() == 0
+
+
+def test_not_null_and_bounds_are_one_pass(data):
+    checks = report(data, Expectations(not_null=("k", "a.b", "count"), min_rows=1, max_rows=9))
+    assert plan_text(checks).count("Exchange") == 1
+
+
+def test_rules_on_a_fan_out_that_is_never_built(spark):
+    """A third of both sides shares one key: 10^10 joined rows, counted in a moment."""
+    core = spark.range(300_000).selectExpr("if(id % 3 = 0, 0, id) AS k", "id AS order_id")
+    side = spark.range(300_000).selectExpr("if(id % 3 = 0, 0, -id) AS k", "id AS event_id")
+    wide = FanoutJoin(core, "k", (side,))
+    n = 100_000 * 100_000 + 200_000
+    rules = Expectations(("order_id", "event_id"), ("order_id", "event_id"), min_rows=1, max_rows=n)
+    assert set(rows(report(wide, rules))) == {
+        ("not_null", "order_id", 0, True),
+        ("not_null", "event_id", 200_000, False),
+        ("unique", "order_id", 100_000, False),
+        ("unique", "event_id", 100_001, False),
+        ("row_count_min", "*", 0, True),
+        ("row_count_max", "*", 0, True),
+    }
+    assert row_count_report(wide, n, n - 1).first() == (n, True, False)

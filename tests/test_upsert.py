@@ -1,0 +1,198 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.errors import UnsupportedOperationException
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from martloom.operators.upsert import (
+    MergeConflict,
+    action_counts,
+    conflicts,
+    conform,
+    merge_frame,
+    require_no_conflicts,
+)
+from martloom.sinks.tables import DatePartition, MartTable, merge_rows, sql_view
+from tests.frames import plan_text, rows, same_rows, settings
+
+KV = "k int, v string"
+TARGET = [(1, "a"), (2, "b"), (2, "b2"), (None, "tn"), (5, "e")]
+SOURCE = [(2, "B"), (5, None), (7, "G"), (7, "G2"), (None, "sn")]
+RESULT = [
+    (1, "a"), (2, "B"), (2, "B"), (5, None), (7, "G"), (7, "G2"), (None, "sn"), (None, "tn"),
+]
+
+
+@pytest.fixture(scope="module")
+def target(spark):
+    return spark.createDataFrame(TARGET, KV)
+
+
+@pytest.fixture(scope="module")
+def source(spark):
+    return spark.createDataFrame(SOURCE, KV)
+
+
+def test_merge(target, source):
+    assert sorted(merge_frame(target, source, "k").collect(), key=str) == sorted(RESULT, key=str)
+    assert rows(action_counts(target, source, "k")) == {
+        ("updated", 3): 1,
+        ("inserted", 3): 1,
+        ("untouched", 2): 1,
+    }
+    require_no_conflicts(target, source, "k")
+
+
+def test_conflict(spark, target, source):
+    clash = source.union(spark.createDataFrame([(2, "BB")], KV))
+    assert rows(conflicts(target, clash, "k")) == {(2, 2): 1}
+    with pytest.raises(MergeConflict, match=r"2 \(2 rows\)"):
+        require_no_conflicts(target, clash, "k")
+
+
+def test_source_is_matched_by_name(spark, target):
+    swapped = spark.createDataFrame([("B", 2)], "v string, k smallint")
+    merged = merge_frame(target, swapped, "k")
+    assert merged.schema == target.schema
+    assert rows(merged)[(2, "B")] == 2
+
+
+@pytest.mark.parametrize(
+    "schema, message", [("k int", "no column v"), ("k int, v string, w int", "no column w")]
+)
+def test_source_columns_must_be_the_targets(spark, target, schema, message):
+    with pytest.raises(ValueError, match=message):
+        conform(spark.createDataFrame([], schema), target.schema)
+
+
+def test_merge_of_a_frame_with_itself(target):
+    same = target.where("k = 1 OR k IS NULL")
+    assert rows(merge_frame(target, same, "k")) == rows(target) + rows(same.where("k IS NULL"))
+
+
+def full_outer(target, source, key):
+    """The upsert as its definition has it, to compare with."""
+    t = target.select(F.struct("*").alias("t"))
+    s = source.select(F.struct("*").alias("s"))
+    names = target.columns
+    return t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full").select(
+        *[F.when(F.col("s").isNotNull(), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in names]
+    )
+
+
+@pytest.mark.parametrize("hot", [4, None, 99])
+def test_merge_with_a_hot_target_key(spark, hot):
+    rng = random.Random(str(hot))
+    held = [(hot if n % 3 else rng.randrange(60), rng.choice([None, "t"])) for n in range(300)]
+    given = [(k, rng.choice([None, f"s{k}"])) for k in range(30, 90)] + [(None, "sn"), (4, "four")]
+    target, source = spark.createDataFrame(held, KV), spark.createDataFrame(given, KV)
+    for limit in ("10MB", "-1"):
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold=limit):
+            same_rows(merge_frame(target, source, "k"), full_outer(target, source, "k"))
+
+
+def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
+    held = f"{tmp_path}/held"
+    spark.range(1000).selectExpr("id AS k", "uuid() AS v").write.parquet(held)
+    spark.range(5).selectExpr("id AS k", "'new' AS v").write.parquet(f"{tmp_path}/batch")
+    batch = spark.read.parquet(f"{tmp_path}/batch")
+    plan = plan_text(merge_frame(spark.read.parquet(held), batch, "k"))
+    kept = plan.split("Union")[1].split("LeftAnti")[0]
+    assert "BroadcastHashJoin" in kept and "hashpartitioning" not in kept
+
+
+# -- tables -------------------------------------------------------------------------------
+
+SCHEMA = T.StructType(
+    [
+        T.StructField("k", T.LongType()),
+        T.StructField("v", T.StringType()),
+        T.StructField("at", T.TimestampNTZType()),
+    ]
+)
+
+
+@pytest.fixture
+def mart(spark, tmp_path):
+    yield MartTable(spark, "mart_under_test", f"{tmp_path}/mart", DatePartition("at", "day"))
+    spark.sql("DROP VIEW IF EXISTS mart_under_test")
+
+
+def day(spark, *data):
+    text = spark.createDataFrame(list(data), "k bigint, v string, at string")
+    return text.withColumn("at", F.col("at").cast("timestamp_ntz"))
+
+
+def test_ensure_creates_once(spark, mart):
+    assert not mart.exists()
+    assert mart.ensure(SCHEMA)
+    assert mart.exists() and mart.read().schema == SCHEMA and mart.read().count() == 0
+    assert not mart.ensure(SCHEMA)
+
+
+def test_ensure_reports_a_table_that_did_not_appear(spark, tmp_path, monkeypatch):
+    mart = MartTable(spark, "mart_that_fails", f"{tmp_path}/mart")
+    monkeypatch.setattr(MartTable, "_publish", lambda self, df: None)
+    with pytest.raises(ValueError, match="mart_that_fails is missing"):
+        mart.ensure(SCHEMA)
+
+
+def test_exists_takes_three_part_names(spark, mart):
+    mart.ensure(SCHEMA)
+    assert MartTable(spark, "spark_catalog.default.mart_under_test", "").exists()
+    assert not MartTable(spark, "spark_catalog.default.no_such_mart", "").exists()
+
+
+def test_row_moves_to_the_partition_of_its_new_date(spark, mart):
+    mart.ensure(SCHEMA)
+    mart.merge(day(spark, (1, "a", "2024-01-01 10:00:00"), (2, "b", "2024-01-02 23:59:59")), "k")
+    mart.merge(day(spark, (1, "A", "2024-03-05 00:00:00")), "k")
+    assert {(r.k, r.v, str(r.day)) for r in spark.table(mart.name).collect()} == {
+        (1, "A", "2024-03-05"),
+        (2, "b", "2024-01-02"),
+    }
+    by_day = spark.table(mart.name).where("day = DATE'2024-03-05'")
+    assert by_day.count() == 1
+    assert "PartitionFilters: [isnotnull(day" in plan_text(by_day)
+
+
+def test_conflict_leaves_the_table_as_it_was(spark, mart):
+    mart.ensure(SCHEMA)
+    first = day(spark, (1, "a", "2024-01-01 10:00:00"))
+    mart.merge(first, "k")
+    with pytest.raises(MergeConflict):
+        mart.merge(first.union(first), "k")
+    same_rows(mart.read(), first)
+
+
+def test_merge_of_nothing_into_nothing(spark, mart):
+    mart.ensure(SCHEMA)
+    mart.merge(spark.createDataFrame([], SCHEMA), "k")
+    assert mart.read().schema == SCHEMA and mart.read().count() == 0
+
+
+def test_unpartitioned_mart(spark, tmp_path):
+    mart = MartTable(spark, "flat_mart", f"{tmp_path}/flat")
+    mart.ensure(SCHEMA)
+    rows_in = day(spark, (1, "a", "2024-01-01 10:00:00"))
+    mart.merge(rows_in, "k")
+    same_rows(mart.read(), rows_in)
+    spark.sql("DROP VIEW flat_mart")
+
+
+def test_row_level_merge_is_left_to_the_catalog(spark, source):
+    """Parquet tables have no row-level operations; the statement itself resolves."""
+    source.limit(0).write.mode("overwrite").saveAsTable("plain_parquet")
+    with pytest.raises(UnsupportedOperationException, match="MERGE INTO TABLE"):
+        merge_rows(source, "spark_catalog.default.plain_parquet", "k")
+    spark.sql("DROP TABLE plain_parquet")
+
+
+def test_sql_view_is_unique_and_dropped(spark, source):
+    with sql_view(source) as one, sql_view(source) as two:
+        assert one != two
+        assert spark.sql(f"SELECT count(*) FROM {one} JOIN {two} USING (v)").first()[0] == 4
+    assert not spark.catalog.tableExists(one)
