@@ -63,6 +63,17 @@ class FanoutJoin:
         names = [self.key] + [c for c in self.core.columns if c != self.key]
         return names + [c for side in self.sides for c in side.columns if c != self.key]
 
+    def pruned(self, columns: Sequence[str]) -> FanoutJoin:
+        """The same join over only the key and ``columns`` of each table."""
+        for column in columns:
+            self._owner(column)
+        wanted = {self.key, *columns}
+        core, *sides = [
+            table.select(*[quoted(c) for c in table.columns if c in wanted])
+            for table in (self.core, *self.sides)
+        ]
+        return FanoutJoin(core, self.key, tuple(sides), self.how)
+
     # -- counts ---------------------------------------------------------------------------
 
     def per_key(self, null_columns: Sequence[str] = ()) -> DataFrame:
@@ -173,7 +184,8 @@ class FanoutJoin:
     def frame(self, max_rows: int | None = None, cell_rows: int = CELL_ROWS) -> DataFrame:
         """The joined frame; refuses to build one of more than ``max_rows`` rows.
 
-        Runs one job over the key columns to learn how the rows spread over the keys.
+        Runs one job over the key columns to learn how the rows spread over the keys. Heavy keys
+        are dealt by all columns of their rows, so take the ``pruned`` join of those you need.
         """
         # As doubles: a total past the range of a long must still reach the refusal below.
         counts = self.per_key().select(self._product_as_double().alias("joined"))
@@ -239,9 +251,11 @@ class FanoutJoin:
     def _deal(self, at: int, heavy: DataFrame) -> DataFrame:
         """Give each row of table ``at`` the numbers of the cells it takes part in.
 
-        The part comes from a hash of the row itself, so a recomputed task deals alike. Cells of
-        a key are numbered in mixed radix over the parts of all tables; a row is copied to every
-        cell that agrees with it on its own part. Light keys have the single cell 0.
+        The part comes from a hash of the row and of the partition it is read in, not from a
+        counter or a random number: a recomputed task deals alike even if its rows arrive in
+        another order, and copies of a row in different partitions go to different parts. Cells
+        of a key are numbered in mixed radix over the parts of all tables; a row is copied to
+        every cell that agrees with it on its own part. Light keys have the single cell 0.
         """
         table = (self.core, *self.sides)[at]
         tables = range(len(self.sides) + 1)
@@ -260,7 +274,7 @@ class FanoutJoin:
         copies = marked.select(
             *map(quoted, columns),
             *split,
-            F.when(parts[at] > 1, F.pmod(F.xxhash64(*hashed), parts[at])).otherwise(0).alias("__part"),
+            F.when(parts[at] > 1, F.pmod(F.xxhash64(F.spark_partition_id(), *hashed), parts[at])).otherwise(0).alias("__part"),
             parts[at].alias("__parts"),
             below.alias("__below"),
             F.explode(F.sequence(F.lit(0).cast("long"), others - 1)).alias("__other"),

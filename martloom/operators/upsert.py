@@ -55,13 +55,15 @@ def merge_frame(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
 
 
 def matched_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The distinct keys found on both sides, as ``__known``; reads only the key columns."""
+    """The distinct keys found on both sides, as ``__known``; reads only the key columns.
+
+    The target's keys are made distinct before they are shuffled, so a hot one leaves each task
+    once. If the source is small enough to broadcast, Spark moves the semi join below that and
+    no target key is shuffled at all.
+    """
     asked = source.select(quoted(key).alias("__asked"))
-    return (
-        target.select(quoted(key).alias("__known"))
-        .join(asked, F.col("__known") == F.col("__asked"), "left_semi")
-        .distinct()
-    )
+    held = target.select(quoted(key).alias("__known")).distinct()
+    return held.join(asked, F.col("__known") == F.col("__asked"), "left_semi")
 
 
 def conflicts(target: DataFrame, source: DataFrame | FanoutJoin, key: str) -> DataFrame:

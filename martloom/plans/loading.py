@@ -8,14 +8,14 @@ from pyspark.sql import types as T
 from martloom.operators.fanout import FanoutJoin
 from martloom.operators.projection import select_columns
 from martloom.operators.quality import Expectations, enforce
-from martloom.operators.upsert import require_no_conflicts
+from martloom.operators.upsert import conform, require_no_conflicts
 from martloom.sinks.scratch import staged
-from martloom.sinks.tables import MartTable
+from martloom.sinks.tables import MartTable, RowLevelMart
 
 
 def load_mart(
     data: DataFrame | FanoutJoin,
-    mart: MartTable,
+    mart: MartTable | RowLevelMart,
     schema: T.StructType,
     key: str,
     rules: Expectations,
@@ -24,19 +24,24 @@ def load_mart(
     """Project ``data`` to ``schema``, check it, and upsert it into ``mart`` by ``key``.
 
     The target is neither created nor changed before all rules hold. A fan-out is checked from
-    its counts, also for merge conflicts, before any of its rows exist. The joins run once: their
-    result is staged, and the checks and the upsert read the columns they need from there.
+    its counts, also for merge conflicts, before any of its rows exist. The joins run once: a
+    first load is written in place, checked there and then made visible; a later batch is staged,
+    and the checks and the upsert read the columns they need from there.
     """
+    label = f"mart {mart.name}"
     if isinstance(data, FanoutJoin):
         absent = [name for name in schema.names if name not in data.columns]
         if absent:
-            raise ValueError(f"mart {mart.name}: no column {', '.join(absent)}")
+            raise ValueError(f"{label}: no column {', '.join(absent)}")
         enforce(data, rules)
         if mart.exists():
             require_no_conflicts(mart.read(), data, key)
-        data = data.frame(max_rows=max_rows)
+        data = data.pruned(schema.names).frame(max_rows=max_rows)
         rules = Expectations()
-    batch = staged(select_columns(data, schema.names, f"mart {mart.name}"), "mart-batch")
+    rows = conform(select_columns(data, schema.names, label), schema)
+    if not mart.exists():
+        mart.create(rows, check=lambda written: enforce(written, rules))
+        return
+    batch = staged(rows, "mart-batch")
     enforce(batch, rules)
-    mart.ensure(schema)
     mart.merge(batch, key)

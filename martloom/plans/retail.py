@@ -110,7 +110,7 @@ def _wide(spark: SparkSession, folder: str, how: str = "left", star: bool = Fals
 
 def wide_mart_left(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["order_id", "cust_id", "event_id", "event_type", "turn", "role"]
-    return select_columns(_wide(spark, folder).frame(), columns)
+    return select_columns(_wide(spark, folder).pruned(columns).frame(), columns)
 
 
 def wide_mart_star(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,14 +118,14 @@ def wide_mart_star(spark: SparkSession, folder: str) -> DataFrame:
         "order_id", "cust_id", "customer_name", "nation_id", "nation_name", "event_id",
         "event_type", "turn", "role",
     ]
-    return select_columns(_wide(spark, folder, star=True).frame(), columns)
+    return select_columns(_wide(spark, folder, star=True).pruned(columns).frame(), columns)
 
 
 def inner_join_five_way(spark: SparkSession, folder: str) -> DataFrame:
-    joined = _wide(spark, folder, how="inner", star=True).frame()
-    return select_columns(
-        joined, ["order_id", "cust_id", "nation_name", "event_id", "turn"]
-    ).toDF("o_orderkey", "c_custkey", "n_name", "event_id", "turn")
+    columns = ["order_id", "cust_id", "nation_name", "event_id", "turn"]
+    joined = _wide(spark, folder, how="inner", star=True).pruned(columns).frame()
+    names = ["o_orderkey", "c_custkey", "n_name", "event_id", "turn"]
+    return select_columns(joined, columns).toDF(*names)
 
 
 def fanout_report(spark: SparkSession, folder: str) -> DataFrame:

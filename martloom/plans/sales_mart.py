@@ -17,7 +17,7 @@ from martloom.operators.fanout import FanoutJoin
 from martloom.operators.quality import Expectations
 from martloom.operators.star import Dimension, star_join
 from martloom.plans.loading import load_mart
-from martloom.sinks.tables import DatePartition, MartTable
+from martloom.sinks.tables import DatePartition, MartTable, RowLevelMart
 from martloom.sources.tables import Reader, TableSource, load_sources
 
 # Source tables with their column renames.
@@ -138,7 +138,7 @@ def _franchises(tables: Mapping[str, DataFrame]) -> Dimension:
 
 def load_sales_mart(
     read: Reader,
-    mart: MartTable,
+    mart: MartTable | RowLevelMart,
     grain: str = "core",
     rules: Expectations = EXPECTATIONS,
     sources: Mapping[str, TableSource] = SOURCES,

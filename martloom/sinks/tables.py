@@ -5,12 +5,13 @@ upsert writes a new snapshot folder and then moves the view with one catalog cal
 either the old or the new state, and a failed run leaves the old one. Overwriting only the
 partitions of a batch would be wrong, since a row whose date changed would stay in its old one.
 
-Where the catalog has row-level operations, ``merge_rows`` leaves the upsert to it.
+A catalog with row-level operations rewrites only the files that hold matches. Prefer one, through
+``RowLevelMart``, when batches are small beside the mart.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from uuid import uuid4
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 
 from martloom.functions.names import quoted, quoted_name
 from martloom.operators.upsert import conform, merge_frame, require_no_conflicts
+from martloom.sinks.scratch import staged
 
 
 @dataclass(frozen=True)
@@ -70,10 +72,17 @@ class MartTable:
         """Create the table empty if it is missing; True if this call created it."""
         if self.exists():
             return False
-        self._publish(self.spark.createDataFrame([], schema))
+        self.create(self.spark.createDataFrame([], schema))
+        return True
+
+    def create(self, rows: DataFrame, check: Callable[[DataFrame], None] | None = None) -> None:
+        """Write the first snapshot, run ``check`` on it, and show it as the table."""
+        folder = self._write(rows)
+        if check is not None:
+            check(self.spark.read.parquet(folder).select(*map(quoted, rows.columns)))
+        self._show(folder, rows.columns)
         if not self.exists():
             raise ValueError(f"table {self.name} is missing after its creation")
-        return True
 
     def read(self) -> DataFrame:
         """The mart's columns, without the derived partition column."""
@@ -88,17 +97,21 @@ class MartTable:
         target = self.read()
         source = conform(source, target.schema)
         require_no_conflicts(target, source, key)
-        self._publish(merge_frame(target, source, key))
+        self._show(self._write(merge_frame(target, source, key)), target.columns)
 
-    def _publish(self, df: DataFrame) -> None:
+    def _write(self, rows: DataFrame) -> str:
         folder = f"{self.root.rstrip('/')}/snapshot-{uuid4().hex}"
-        write_partitioned(df, folder, self.partition)
-        if self.partition and not self._readable(folder):
-            # No rows, hence no partition folder and no file that could tell the schema.
-            folder = f"{folder}-empty"
-            nothing = df.select(*map(quoted, df.columns), self.partition.column()).limit(0)
-            nothing.write.parquet(folder)
-        names = df.columns + ([self.partition.name] if self.partition else [])
+        write_partitioned(rows, folder, self.partition)
+        if self.partition is None or self._readable(folder):
+            return folder
+        # No rows, hence no partition folder and no file that could tell the schema.
+        dated = rows.select(*map(quoted, rows.columns), self.partition.column())
+        nothing = self.spark.createDataFrame([], dated.schema)
+        nothing.write.parquet(f"{folder}-empty")
+        return f"{folder}-empty"
+
+    def _show(self, folder: str, columns: list[str]) -> None:
+        names = columns + ([self.partition.name] if self.partition else [])
         listed = ", ".join(map(quoted_name, names))
         view = ".".join(map(quoted_name, self.name.split(".")))
         self.spark.sql(
@@ -115,19 +128,59 @@ class MartTable:
         return True
 
 
-def merge_rows(source: DataFrame, table: str, key: str) -> None:
-    """MERGE on a catalog with row-level operations: update all columns, or insert."""
-    target = table.split(".")[-1]
-    matches = F.col(f"{quoted_name(target)}.{quoted_name(key)}") == F.col(f"batch.{quoted_name(key)}")
-    (
-        source.alias("batch")
-        .mergeInto(table, matches)
-        .whenMatched()
-        .updateAll()
-        .whenNotMatched()
-        .insertAll()
-        .merge()
-    )
+@dataclass(frozen=True)
+class RowLevelMart:
+    """A table whose provider (say ``delta`` or ``iceberg``) runs MERGE itself.
+
+    ``partitioning`` holds column names, or transforms like ``partitioning.days("ts")`` where the
+    provider has them. The provider also refuses several source rows for one target row.
+    """
+
+    spark: SparkSession
+    name: str
+    provider: str
+    partitioning: tuple[Column | str, ...] = ()
+
+    def exists(self) -> bool:
+        return bool(self.spark.catalog.tableExists(self.name))
+
+    def ensure(self, schema: T.StructType) -> bool:
+        if self.exists():
+            return False
+        self.create(self.spark.createDataFrame([], schema))
+        return True
+
+    def create(self, rows: DataFrame, check: Callable[[DataFrame], None] | None = None) -> None:
+        if check is not None:
+            rows = staged(rows, "mart-first")
+            check(rows)
+        writer = rows.writeTo(self.name).using(self.provider)
+        if self.partitioning:
+            first, *more = [quoted(p) if isinstance(p, str) else p for p in self.partitioning]
+            writer = writer.partitionedBy(first, *more)
+        writer.create()
+        if not self.exists():
+            raise ValueError(f"table {self.name} is missing after its creation")
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def merge(self, source: DataFrame, key: str) -> None:
+        """Update all columns of matched rows, insert the other source rows."""
+        table = self.name.split(".")[-1]
+        matches = F.col(f"{quoted_name(table)}.{quoted_name(key)}") == F.col(
+            f"batch.{quoted_name(key)}"
+        )
+        (
+            conform(source, self.read().schema)
+            .alias("batch")
+            .mergeInto(self.name, matches)
+            .whenMatched()
+            .updateAll()
+            .whenNotMatched()
+            .insertAll()
+            .merge()
+        )
 
 
 @contextmanager

@@ -203,6 +203,37 @@ def test_heavy_key_is_spread_evenly(spark):
     assert len(sizes) == 8 and max(sizes) < 0.35 * sum(sizes)
 
 
+def test_copies_of_one_row_are_spread(spark):
+    """The rows of the hot key are all the same, so only where they are read tells them apart."""
+    core = spark.range(0, 8000, 1, 80).selectExpr("if(id % 2 = 0, 0, id) AS k")
+    join = FanoutJoin(core, "k", (spark.range(4).selectExpr("0 AS k", "id AS side_id"),))
+    (heavy,) = join.heavy_keys(100).collect()
+    assert heavy == (0, 400, 1)
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    ):
+        hot = join.frame(cell_rows=100).where("k = 0").groupBy(F.spark_partition_id())
+        sizes = [n for _, n in hot.count().collect()]
+    assert sum(sizes) == 16_000 and len(sizes) == 8 and max(sizes) < 0.35 * sum(sizes)
+
+
+def test_pruned_join_reads_only_what_it_needs(spark, tmp_path):
+    for name in ("core", "side"):
+        spark.range(100).selectExpr(
+            "id % 3 AS k", f"id AS {name}_id", f"'long' AS {name}_text"
+        ).write.parquet(f"{tmp_path}/{name}")
+    core, side = (spark.read.parquet(f"{tmp_path}/{name}") for name in ("core", "side"))
+    join = FanoutJoin(core, "k", (side,)).pruned(["core_id", "side_id"])
+    assert join.columns == ["k", "core_id", "side_id"]
+    for cell_rows in (10, 10_000_000):
+        plan = plan_text(join.frame(cell_rows=cell_rows))
+        assert "text" not in plan and "ReadSchema: struct<k:bigint,side_id:bigint>" in plan
+    with pytest.raises(ValueError, match="no column other"):
+        join.pruned(["other"])
+
+
 def shuffles(df):
     return plan_text(df).count("Exchange hashpartitioning")
 

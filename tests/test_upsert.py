@@ -15,7 +15,7 @@ from martloom.operators.upsert import (
     merge_frame,
     require_no_conflicts,
 )
-from martloom.sinks.tables import DatePartition, MartTable, merge_rows, sql_view
+from martloom.sinks.tables import DatePartition, MartTable, RowLevelMart, sql_view
 from tests.frames import plan_text, rows, same_rows, settings
 
 KV = "k int, v string"
@@ -100,8 +100,21 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     spark.range(5).selectExpr("id AS k", "'new' AS v").write.parquet(f"{tmp_path}/batch")
     batch = spark.read.parquet(f"{tmp_path}/batch")
     plan = plan_text(merge_frame(spark.read.parquet(held), batch, "k"))
-    kept = plan.split("Union")[1].split("LeftAnti")[0]
+    kept, added = plan.split("Union")[1].split("LeftAnti")
     assert "BroadcastHashJoin" in kept and "hashpartitioning" not in kept
+    # Below the distinct keys sits the semi join, so only keys of the batch are shuffled.
+    distinct = added.split("hashpartitioning(__known")
+    assert len(distinct) == 2 and "BroadcastHashJoin" in distinct[1] and "LeftSemi" in distinct[1]
+
+
+def test_conflict_check_counts_the_source_once(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 400 AS k").write.parquet(f"{tmp_path}/batch")
+    held = spark.range(50).selectExpr("id AS k")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        found = conflicts(held, spark.read.parquet(f"{tmp_path}/batch"), "k")
+        assert len(found.collect()) == 50
+        final = plan_text(found).split("Initial Plan")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
 # -- tables -------------------------------------------------------------------------------
@@ -135,7 +148,7 @@ def test_ensure_creates_once(spark, mart):
 
 def test_ensure_reports_a_table_that_did_not_appear(spark, tmp_path, monkeypatch):
     mart = MartTable(spark, "mart_that_fails", f"{tmp_path}/mart")
-    monkeypatch.setattr(MartTable, "_publish", lambda self, df: None)
+    monkeypatch.setattr(MartTable, "_show", lambda self, folder, columns: None)
     with pytest.raises(ValueError, match="mart_that_fails is missing"):
         mart.ensure(SCHEMA)
 
@@ -183,12 +196,33 @@ def test_unpartitioned_mart(spark, tmp_path):
     spark.sql("DROP VIEW flat_mart")
 
 
-def test_row_level_merge_is_left_to_the_catalog(spark, source):
-    """Parquet tables have no row-level operations; the statement itself resolves."""
-    source.limit(0).write.mode("overwrite").saveAsTable("plain_parquet")
+def test_row_level_mart(spark):
+    """The parquet provider can be created and read, but has no row-level operations."""
+    mart = RowLevelMart(spark, "spark_catalog.default.row_mart", "parquet", ("day",))
+    schema = T.StructType([*SCHEMA, T.StructField("day", T.DateType())])
+    assert mart.ensure(schema) and not mart.ensure(schema)
+    assert mart.read().schema == schema
+    assert "day" in [r.col_name for r in spark.sql(f"DESCRIBE {mart.name}").collect()][-1]
+    batch = day(spark, (1, "a", "2024-01-01 10:00:00"))
     with pytest.raises(UnsupportedOperationException, match="MERGE INTO TABLE"):
-        merge_rows(source, "spark_catalog.default.plain_parquet", "k")
-    spark.sql("DROP TABLE plain_parquet")
+        mart.merge(batch.withColumn("day", F.to_date("at")), "k")
+    with pytest.raises(ValueError, match="no column day"):
+        mart.merge(batch, "k")
+    spark.sql(f"DROP TABLE {mart.name}")
+
+
+def test_row_level_mart_is_checked_before_it_exists(spark):
+    mart = RowLevelMart(spark, "row_mart_checked", "parquet")
+
+    def refuse(rows):
+        raise RuntimeError(f"saw {rows.count()} rows")
+
+    with pytest.raises(RuntimeError, match="saw 3 rows"):
+        mart.create(spark.range(3).toDF("k"), refuse)
+    assert not mart.exists()
+    mart.create(spark.range(3).toDF("k"), lambda rows: None)
+    assert mart.read().count() == 3
+    spark.sql("DROP TABLE row_mart_checked")
 
 
 def test_sql_view_is_unique_and_dropped(spark, source):
