@@ -10,7 +10,8 @@ far larger than its inputs. Two things follow.
   serves the whole chain. That chain is one stage, which adaptive skew splitting leaves alone, so
   heavy keys are cut here: each table's rows of such a key are dealt into parts, and every
   combination of parts (a *cell*) becomes a shuffle key of its own. Which keys are heavy comes from
-  the per-key counts, counted before the join runs.
+  the per-key counts, counted before the join runs. A side that is small, by its measured size and
+  by its rows per key, is broadcast instead and moves no other row.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.functions.names import quoted, quoted_name, require_columns, require_disjoint
+from martloom.functions.names import quoted, require_columns, require_disjoint
+from martloom.functions.sizes import fits_broadcast
 
 # A key that yields more joined rows than this is cut into cells of about this many rows.
 CELL_ROWS = 1_000_000
@@ -34,6 +36,11 @@ CELL_ROWS = 1_000_000
 HEAVY_KEYS = 10_000
 
 
+# Sides that together give up to this many rows per core row may be broadcast. Beyond it, the rows
+# produced outweigh a shuffle of the core, and cells spread them better than the core's files do.
+BROADCAST_FANOUT = 100
+
+
 class FanoutTooLarge(RuntimeError):
     """The joined frame would hold more rows than the caller allows."""
 
@@ -188,17 +195,41 @@ class FanoutJoin:
         are dealt by all columns of their rows, so take the ``pruned`` join of those you need.
         """
         # As doubles: a total past the range of a long must still reach the refusal below.
-        counts = self.per_key().select(self._product_as_double().alias("joined"))
-        total, heaviest = counts.agg(F.sum("joined"), F.max("joined")).first()
+        largest = [F.max(f"rows_{at + 1}") for at in range(len(self.sides))]
+        counts = self.per_key().withColumn("joined", self._product_as_double())
+        total, heaviest, *groups = counts.agg(F.sum("joined"), F.max("joined"), *largest).first()
         if max_rows is not None and (total or 0) > max_rows:
             raise FanoutTooLarge(f"fan-out on {self.key}: {total:.0f} rows, allowed are {max_rows}")
-        if (heaviest or 0) > cell_rows:
-            return self._join_in_cells(self.heavy_keys(cell_rows))
-        joined = self.core
-        for side in self.sides:
-            joined = joined.join(side, self.key, self.how)
+        if (heaviest or 0) <= cell_rows:
+            joined = self._join_whole()
+        else:
+            small = self._small_sides([group or 0 for group in groups])
+            large = tuple(side for at, side in enumerate(self.sides) if at not in small)
+            joined = FanoutJoin(self.core, self.key, large, self.how)._join_spread(cell_rows)
+            for at in small:
+                joined = joined.join(F.broadcast(self.sides[at]), self.key, self.how)
         return joined.select(*map(quoted, self.columns))
 
+    def _join_whole(self) -> DataFrame:
+        return reduce(lambda left, side: left.join(side, self.key, self.how), self.sides, self.core)
+
+    def _small_sides(self, groups: Sequence[int]) -> list[int]:
+        """Positions in ``sides`` of those to broadcast, given the most rows each has of a key."""
+        small, fanout = [], 1
+        for at in sorted(range(len(self.sides)), key=lambda at: groups[at]):
+            fanout *= max(groups[at], 1)
+            if fanout > BROADCAST_FANOUT:
+                break
+            if fits_broadcast(self.sides[at]):
+                small.append(at)
+        return small
+
+    def _join_spread(self, cell_rows: int) -> DataFrame:
+        if not self.sides:
+            return self.core
+        heavy = self.heavy_keys(cell_rows)
+        return self._join_whole() if heavy.isEmpty() else self._join_in_cells(heavy)
+
     def _product_as_double(self) -> Column:
         return reduce(
             mul, [self._multiplier(at).cast("double") for at in range(len(self.sides) + 1)]
@@ -241,7 +272,8 @@ class FanoutJoin:
             right = right.withColumnsRenamed({self.key: f"{key}_{at}", cell: f"{cell}_{at}"})
             right = right.drop(*[f"__split_{n}" for n in range(len(dealt))])
             on = (quoted(self.key) == F.col(f"{key}_{at}")) & (F.col(cell) == F.col(f"{cell}_{at}"))
-            joined = joined.join(right, on, self.how)
+            # Spark estimates a dealt side without its copies, and might broadcast it by that.
+            joined = joined.join(right.hint("merge"), on, self.how)
             if self.how == "left":
                 # A key whose side rows were dealt has matches; a cell that happened to get none
                 # of them must not pass for an unmatched row.

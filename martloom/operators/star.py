@@ -4,11 +4,13 @@ A dimension that hangs off another one (``outriggers``) is joined to that dimens
 For equi-joins ``(fact + d) + o`` equals ``fact + (d + o)``, and the second form moves the
 small dimension rows instead of shuffling the fact once more.
 
-No broadcast is forced: Spark broadcasts a dimension when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold``, else it sorts and merges. A hot or NULL fact key is
-then split by adaptive execution, which may always split the preserved (fact) side here,
-because each step joins on another key and so starts with a shuffle of its own. Dimensions
-that share the key of a fan-out belong into ``FanoutJoin``.
+Plain dimensions are left to Spark, which broadcasts those whose files are under
+``spark.sql.autoBroadcastJoinThreshold`` and sorts and merges the others. Of a dimension with
+outriggers it cannot estimate the size, so that is measured, and broadcast if it fits.
+
+In a sort-merge join a hot or NULL fact key is split by adaptive execution. It may always split
+the preserved (fact) side here, because each step joins on another key and so starts with a
+shuffle of its own. Dimensions that share the key of a fan-out belong into ``FanoutJoin``.
 """
 
 from __future__ import annotations
@@ -17,8 +19,10 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from martloom.functions.names import require_columns, require_disjoint
+from martloom.functions.sizes import fits_broadcast
 
 
 @dataclass(frozen=True)
@@ -28,7 +32,17 @@ class Dimension:
     outriggers: tuple[Dimension, ...] = field(default=())
 
     def flattened(self, how: str = "left") -> DataFrame:
-        return star_join(self.frame, self.outriggers, how)
+        """The dimension with its outriggers; marked for broadcast if all of it is small.
+
+        With outriggers this runs jobs to measure sizes, the join itself only if its inputs fit.
+        """
+        if not self.outriggers:
+            return self.frame
+        joined = star_join(self.frame, self.outriggers, how)
+        return F.broadcast(joined) if self._fits() and fits_broadcast(joined) else joined
+
+    def _fits(self) -> bool:
+        return fits_broadcast(self.frame) and all(o._fits() for o in self.outriggers)
 
 
 def star_join(fact: DataFrame, dimensions: Iterable[Dimension], how: str = "left") -> DataFrame:

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from martloom.functions.sizes import fits_broadcast
 from martloom.operators.fanout import FanoutJoin, FanoutTooLarge
 from martloom.operators.star import Dimension, star_join
 from tests.frames import plan_text, rows, same_rows, settings
@@ -164,8 +165,10 @@ def plain(join):
 def test_cells_give_the_plain_join(spark, seed, how):
     join = hot_join(spark, seed, how)
     assert join.heavy_keys(30).count() > 0
+    expected = plain(join)
     for cell_rows in (1, 30, 500):
-        same_rows(join.frame(cell_rows=cell_rows), plain(join))
+        same_rows(join.frame(cell_rows=cell_rows), expected)
+        same_rows(join._join_in_cells(join.heavy_keys(cell_rows)).select(*join.columns), expected)
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
@@ -247,6 +250,60 @@ def test_one_shuffle_per_table(spark):
         assert plan_text(cells).count("hashpartitioning(k") == 1  # the joined rows stay in place
 
 
+def test_small_sides_move_no_core_row(spark, tmp_path):
+    spark.range(20_000).selectExpr("if(id % 3 = 0, 0, id) AS k", "id AS core_id").write.parquet(
+        f"{tmp_path}/core"
+    )
+    core = spark.read.parquet(f"{tmp_path}/core")
+    one, few, many = [
+        spark.range(n).selectExpr(f"id div {copies} AS k", f"id AS {name}")
+        for name, n, copies in (("one", 500, 1), ("few", 60, 6), ("many", 9000, 300))
+    ]
+    join = FanoutJoin(core, "k", (one, few))
+    plan = plan_text(join.frame(cell_rows=1000))
+    assert plan.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in plan
+    same_rows(join.frame(cell_rows=1000), plain(join))
+    join = FanoutJoin(core, "k", (one, many, few))
+    spread = join.frame(cell_rows=50_000)
+    plan = plan_text(spread)
+    assert plan.count("SortMergeJoin") == 1 and shuffles(spread) == 2
+    assert spread.count() == plain(join).count()
+    assert spread.agg(F.sum(F.xxhash64(*join.columns).cast("decimal(38,0)"))).first() == (
+        plain(join).agg(F.sum(F.xxhash64(*join.columns).cast("decimal(38,0)"))).first()
+    )
+
+
+def test_dealt_sides_are_never_broadcast(spark):
+    join = hot_join(spark, 1, "left")
+    cells = join._join_in_cells(join.heavy_keys(30))
+    plan = plan_text(cells)
+    assert plan.count("SortMergeJoin") == 2
+    assert plan.count("BroadcastHashJoin") == 3  # the list of heavy keys, once per table
+
+
+def test_measured_size_decides(spark):
+    small = spark.range(100).selectExpr(
+        "id", "repeat('x', 100) AS text", "array(id) AS list", "map('a', id) AS kv",
+        "named_struct('a', id) AS pair", "X'00' AS raw", "current_date() AS day",
+    )
+    assert fits_broadcast(small)
+    assert fits_broadcast(small, limit=100 * (7 * 16 + 100 + 5 + 8 + 8 + 1))
+    assert not fits_broadcast(small, limit=100 * (7 * 16 + 100))
+    assert not fits_broadcast(small, limit=100)
+    assert fits_broadcast(small.limit(0), limit=0)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        assert not fits_broadcast(small)
+
+
+def test_small_snowflake_is_broadcast(spark, shop, tmp_path):
+    tables = {}
+    for name, frame in shop.items():
+        frame.write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    plan = plan_text(star_of(tables))
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
 def test_dimension_joins_split_a_hot_key(spark):
     """Adaptive execution cuts a hot or NULL fact key in each step of a star."""
     fact = spark.range(60_000).selectExpr(
