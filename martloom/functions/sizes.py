@@ -23,14 +23,20 @@ FIELD_BYTES = 16
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether all rows of ``df`` take at most ``limit`` bytes in memory.
 
-    Counts rows first, which reads no column, so that a large frame is turned down cheaply. False
-    where the session has broadcast joins switched off.
+    Counts rows first, which reads no column, so that a large frame is turned down cheaply.
     """
+    return may_fit(df, limit) and measured_bytes(df) <= limit
+
+
+def may_fit(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """False if the number of rows alone is too large, or broadcast joins are switched off."""
     if df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
         return False
-    if df.count() * FIELD_BYTES * len(df.columns) > limit:
-        return False
-    return (df.agg(F.sum(_row_bytes(df.schema))).first()[0] or 0) <= limit
+    return df.count() * FIELD_BYTES * len(df.columns) <= limit
+
+
+def measured_bytes(df: DataFrame) -> int:
+    return df.agg(F.sum(_row_bytes(df.schema))).first()[0] or 0
 
 
 def _row_bytes(schema: T.StructType) -> Column:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martloom.functions.names import require_columns, require_disjoint
-from martloom.functions.sizes import fits_broadcast
+from martloom.functions.sizes import BROADCAST_BYTES, may_fit, measured_bytes
 
 
 @dataclass(frozen=True)
@@ -34,15 +34,17 @@ class Dimension:
     def flattened(self, how: str = "left") -> DataFrame:
         """The dimension with its outriggers; marked for broadcast if all of it is small.
 
-        With outriggers this runs jobs to measure sizes, the join itself only if its inputs fit.
+        With outriggers this runs jobs: one count per table and, if all are small, one over the
+        joined rows.
         """
         if not self.outriggers:
             return self.frame
         joined = star_join(self.frame, self.outriggers, how)
-        return F.broadcast(joined) if self._fits() and fits_broadcast(joined) else joined
+        small = self._may_fit() and measured_bytes(joined) <= BROADCAST_BYTES
+        return F.broadcast(joined) if small else joined
 
-    def _fits(self) -> bool:
-        return fits_broadcast(self.frame) and all(o._fits() for o in self.outriggers)
+    def _may_fit(self) -> bool:
+        return may_fit(self.frame) and all(o._may_fit() for o in self.outriggers)
 
 
 def star_join(fact: DataFrame, dimensions: Iterable[Dimension], how: str = "left") -> DataFrame:

@@ -72,12 +72,20 @@ def conflicts(target: DataFrame, source: DataFrame | FanoutJoin, key: str) -> Da
     The source is counted and filtered first: what reaches the join is only what is repeated.
     A source key repeated without any match is not a conflict, all its rows are added.
     """
-    repeated = duplicate_groups(source, key)
+    repeated = _repeated(source, key)
     known = matched_keys(target, repeated, key)
     return repeated.join(known, quoted(key) == F.col("__known"), "left_semi")
 
 
+def _repeated(source: DataFrame | FanoutJoin, key: str) -> DataFrame:
+    return duplicate_groups(source, key).where(quoted(key).isNotNull())
+
+
 def require_no_conflicts(target: DataFrame, source: DataFrame | FanoutJoin, key: str) -> None:
+    """Raise ``MergeConflict``. A source without repeated keys is let through unseen by the target,
+    whose keys are then not read at all."""
+    if _repeated(source, key).isEmpty():
+        return
     shown = conflicts(target, source, key).limit(CONFLICTS_SHOWN).collect()
     if shown:
         keys = ", ".join(f"{row[0]} ({row[1]} rows)" for row in shown)

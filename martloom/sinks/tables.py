@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions.names import quoted, quoted_name
+from martloom.functions.sizes import fits_broadcast
 from martloom.operators.upsert import conform, merge_frame, require_no_conflicts
 from martloom.sinks.scratch import staged
 
@@ -92,11 +93,14 @@ class MartTable:
     def merge(self, source: DataFrame, key: str) -> None:
         """Upsert by ``key`` and switch to the result; a conflict raises and changes nothing.
 
-        ``source`` is read by several jobs: pass one that is cheap to read, see ``staged``.
+        ``source`` is read by several jobs: pass one that is cheap to read, see ``staged``. If it
+        proves small it is broadcast, so that the mart's rows meet it where they are read.
         """
         target = self.read()
         source = conform(source, target.schema)
         require_no_conflicts(target, source, key)
+        if fits_broadcast(source):
+            source = F.broadcast(source)
         self._show(self._write(merge_frame(target, source, key)), target.columns)
 
     def _write(self, rows: DataFrame) -> str:

@@ -107,6 +107,19 @@ def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     assert len(distinct) == 2 and "BroadcastHashJoin" in distinct[1] and "LeftSemi" in distinct[1]
 
 
+def test_broadcast_mark_survives_the_merge(spark, target, source):
+    """``target`` and ``source`` have no known size, so only the mark can make it a broadcast."""
+    assert "BroadcastHashJoin" not in plan_text(merge_frame(target, source, "k"))
+    kept, added = plan_text(merge_frame(target, F.broadcast(source), "k")).split("LeftAnti")
+    assert "LeftOuter, BuildRight" in kept and "LeftSemi, BuildRight" in added
+
+
+def test_source_without_repeated_keys_leaves_the_target_unread(spark):
+    unreadable = spark.range(1).select(F.raise_error(F.lit("read")).cast("int").alias("k"))
+    source = spark.createDataFrame([(1, "a"), (None, "b"), (None, "c")], KV)
+    require_no_conflicts(unreadable, source, "k")
+
+
 def test_conflict_check_counts_the_source_once(spark, tmp_path):
     spark.range(1000).selectExpr("id % 400 AS k").write.parquet(f"{tmp_path}/batch")
     held = spark.range(50).selectExpr("id AS k")
