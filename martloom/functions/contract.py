@@ -7,6 +7,7 @@ number 7 and the string "7", 1.0 (an integer by JSON Schema) and 1.5.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
@@ -26,6 +27,9 @@ SPARK_TYPES = {
     "null": r"^VOID$",
 }
 
+# JSON Schema keywords that restrict nothing.
+REMARKS = ("$schema", "$id", "$comment", "title", "description", "examples", "default")
+
 
 @dataclass(frozen=True)
 class Contract:
@@ -42,6 +46,26 @@ class Contract:
                 raise ValueError(f"property {name}: quotes and backslashes are not supported")
 
 
+    @classmethod
+    def from_json_schema(cls, text: str) -> Contract:
+        """Read a JSON Schema of an object whose properties have plain types.
+
+        A keyword that would restrict values in another way is refused, not passed over.
+        """
+        schema = json.loads(text)
+        if schema.get("type") != "object" or schema.get("additionalProperties", True) is not True:
+            raise ValueError("the schema must describe an object that is open to other properties")
+        known = {"type", "properties", "required", "additionalProperties", *REMARKS}
+        properties = schema.get("properties", {})
+        unknown = set(schema) - known
+        for details in properties.values():
+            unknown |= set(details) - {"type", *REMARKS}
+        if unknown:
+            raise ValueError(f"unsupported in a contract: {', '.join(sorted(unknown))}")
+        types = {name: details["type"] for name, details in properties.items()}
+        return cls(types, tuple(schema.get("required", ())))
+
+
 def value_subject(topic: str) -> str:
     """The name under which a topic's value contract is kept."""
     return f"{topic}-value"

@@ -2,11 +2,12 @@
 
 Parquet tables cannot be changed in place, and Spark refuses to overwrite what it reads. So each
 upsert writes a new snapshot folder and then moves the view with one catalog call: readers see
-either the old or the new state, and a failed run leaves the old one. Overwriting only the
-partitions of a batch would be wrong, since a row whose date changed would stay in its old one.
+either the old or the new state, and a failed run leaves the old one. Only partitions that the
+batch touches are joined and shuffled. Those are the partitions it writes to and those its keys
+are found in: a row whose date changed must also leave its old one. The others are copied.
 
-A catalog with row-level operations rewrites only the files that hold matches. Prefer one, through
-``RowLevelMart``, when batches are small beside the mart.
+A catalog with row-level operations need not even copy. Prefer one, through ``RowLevelMart``, when
+batches are small beside the mart.
 """
 
 from __future__ import annotations
@@ -78,7 +79,7 @@ class MartTable:
 
     def create(self, rows: DataFrame, check: Callable[[DataFrame], None] | None = None) -> None:
         """Write the first snapshot, run ``check`` on it, and show it as the table."""
-        folder = self._write(rows)
+        folder = self._readable(self._write(rows), rows)
         if check is not None:
             check(self.spark.read.parquet(folder).select(*map(quoted, rows.columns)))
         self._show(folder, rows.columns)
@@ -101,35 +102,69 @@ class MartTable:
         require_no_conflicts(target, source, key)
         if fits_broadcast(source):
             source = F.broadcast(source)
-        self._show(self._write(merge_frame(target, source, key)), target.columns)
+        if self.partition is None:
+            folder = self._write(merge_frame(target, source, key))
+        else:
+            folder = self._merge_partitions(source, key, self.partition)
+        self._show(self._readable(folder, target), target.columns)
+
+    def _merge_partitions(self, source: DataFrame, key: str, partition: DatePartition) -> str:
+        dated = self.spark.table(self.name)
+        touched = self._touched(dated, source, key, partition)
+        reached = dated.where(touched).drop(partition.name)
+        folder = self._write(merge_frame(reached, source, key))
+        # The tasks of this scan read whole partitions, so each writes to few of them.
+        calm = dated.where(~touched)
+        calm.write.mode("append").partitionBy(partition.name).parquet(folder)
+        return folder
+
+    def _touched(
+        self, dated: DataFrame, source: DataFrame, key: str, partition: DatePartition
+    ) -> Column:
+        """Condition on the partition column: the batch writes there or has a key there.
+
+        The driver sees distinct partition values, of which there are as many as folders.
+        """
+        asked = source.select(quoted(key).alias("__asked"))
+        found = (
+            dated.select(quoted(key).alias("__known"), quoted(partition.name).alias("at"))
+            .join(asked, F.col("__known") == F.col("__asked"), "left_semi")
+            .select("at")
+        )
+        given = source.select(partition.column().alias("at"))
+        dates = [row[0] for row in found.unionAll(given).distinct().collect()]
+        at = quoted(partition.name)
+        listed = F.coalesce(at.isin([date for date in dates if date is not None]), F.lit(False))
+        return listed | at.isNull() if None in dates else listed
 
     def _write(self, rows: DataFrame) -> str:
         folder = f"{self.root.rstrip('/')}/snapshot-{uuid4().hex}"
         write_partitioned(rows, folder, self.partition)
-        if self.partition is None or self._readable(folder):
-            return folder
-        # No rows, hence no partition folder and no file that could tell the schema.
-        dated = rows.select(*map(quoted, rows.columns), self.partition.column())
-        nothing = self.spark.createDataFrame([], dated.schema)
-        nothing.write.parquet(f"{folder}-empty")
-        return f"{folder}-empty"
+        return folder
 
     def _show(self, folder: str, columns: list[str]) -> None:
-        names = columns + ([self.partition.name] if self.partition else [])
-        listed = ", ".join(map(quoted_name, names))
+        listed = ", ".join(map(quoted_name, columns))
+        if self.partition:
+            # Spark guesses the type from the folder names; where all dates are NULL it cannot.
+            name = quoted_name(self.partition.name)
+            listed += f", CAST({name} AS DATE) AS {name}"
         view = ".".join(map(quoted_name, self.name.split(".")))
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {view} AS SELECT {listed} FROM parquet.{quoted_name(folder)}"
         )
 
-    def _readable(self, folder: str) -> bool:
+    def _readable(self, folder: str, rows: DataFrame) -> str:
+        """``folder``, or an empty unpartitioned one if it holds no rows: without any partition
+        folder there is no file that could tell the schema."""
         try:
             self.spark.read.parquet(folder)
         except AnalysisException as error:
-            if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-                return False
-            raise
-        return True
+            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+            dated = rows.withColumn(self.partition.name, self.partition.column())
+            self.spark.createDataFrame([], dated.schema).write.parquet(f"{folder}-empty")
+            return f"{folder}-empty"
+        return folder
 
 
 @dataclass(frozen=True)

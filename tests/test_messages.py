@@ -95,6 +95,27 @@ def test_contract_is_checked_when_made():
         Contract({"a'b": "string"})
 
 
+def test_contract_from_json_schema():
+    schema = {
+        "$schema": "https://json-schema.org/draft/2020-12/schema",
+        "title": "Message",
+        "type": "object",
+        "properties": {"id": {"type": "integer"}, "msg": {"type": "string", "title": "text"}},
+        "required": ["id", "msg"],
+        "additionalProperties": True,
+    }
+    assert Contract.from_json_schema(json.dumps(schema)) == CONTRACT
+    for change, message in (
+        ({"additionalProperties": False}, "open to other"),
+        ({"type": "array"}, "describe an object"),
+        ({"minProperties": 1}, "minProperties"),
+        ({"properties": {"id": {"type": "integer", "minimum": 0}}}, "minimum"),
+        ({"properties": {"id": {"type": "int"}}}, "unknown JSON type"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            Contract.from_json_schema(json.dumps({**schema, **change}))
+
+
 def test_backtest_counts_only_new_faults(texts):
     candidate = Contract({**CONTRACT.properties, "x": "array"}, required=("id", "msg", "x"))
     assert backtest(texts, CONTRACT, candidate).first() == (len(VERDICTS), 4)

@@ -185,6 +185,33 @@ def test_row_moves_to_the_partition_of_its_new_date(spark, mart):
     assert "PartitionFilters: [isnotnull(day" in plan_text(by_day)
 
 
+def test_only_touched_partitions_are_joined(spark, mart):
+    days = [(n, "old", f"2024-01-{1 + n // 10:02d} 12:00:00") for n in range(100)]
+    mart.create(day(spark, *days, (500, "no date", None)))
+    # Key 5 moves from day 1 to day 9, key 777 is new on a new day, key 33 loses its date.
+    batch = day(
+        spark,
+        (5, "new", "2024-01-09 01:00:00"), (777, "new", "2025-05-05 00:00:00"), (33, "new", None),
+    )
+    dated = spark.table(mart.name)
+    touched = dated.where(mart._touched(dated, batch, "k", mart.partition))
+    found = {str(row.day) for row in touched.select("day").distinct().collect()}
+    assert found == {"2024-01-01", "2024-01-09", "2024-01-04", "None"}
+    expected = merge_frame(day(spark, *days, (500, "no date", None)), batch, "k")
+    mart.merge(batch, "k")
+    same_rows(mart.read(), expected)
+    mart.merge(batch, "k")
+    same_rows(mart.read(), expected)
+
+
+def test_last_row_of_a_partition_moves_away(spark, mart):
+    mart.create(day(spark, (1, "a", "2024-01-01 10:00:00")))
+    for date in ("2024-02-02", "2024-01-01", None, "2024-03-03"):
+        text = date and f"{date} 00:00:00"
+        mart.merge(day(spark, (1, "a", text)), "k")
+        assert [str(row.day) for row in spark.table(mart.name).collect()] == [str(date)]
+
+
 def test_conflict_leaves_the_table_as_it_was(spark, mart):
     mart.ensure(SCHEMA)
     first = day(spark, (1, "a", "2024-01-01 10:00:00"))
