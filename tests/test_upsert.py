@@ -15,7 +15,13 @@ from martloom.operators.upsert import (
     merge_frame,
     require_no_conflicts,
 )
-from martloom.sinks.tables import DatePartition, MartTable, RowLevelMart, sql_view
+from martloom.sinks.tables import (
+    DatePartition,
+    MartTable,
+    RowLevelMart,
+    sql_view,
+    write_partitioned,
+)
 from tests.frames import plan_text, rows, same_rows, settings
 
 KV = "k int, v string"
@@ -94,6 +100,42 @@ def test_merge_with_a_hot_target_key(spark, hot):
             same_rows(merge_frame(target, source, "k"), full_outer(target, source, "k"))
 
 
+SMALL_TASKS = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "64KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "64KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "1.5",
+}
+
+
+@pytest.mark.parametrize("hot", ["NULL", "7L"])
+def test_hot_target_key_is_split(spark, hot):
+    held = spark.range(60_000).selectExpr(
+        f"if(id % 3 = 0, {hot}, id) AS k", "sha2(string(id), 256) AS v"
+    )
+    batch = spark.range(30_000, 90_000).selectExpr("id AS k", "string(id) AS v")
+    with settings(spark, **SMALL_TASKS):
+        merged = merge_frame(held, batch, "k")
+        assert len(merged.collect()) == 60_000 + 60_000 - 20_000
+        kept = plan_text(merged).split("Initial Plan")[0].split("LeftAnti")[0]
+    assert "SortMergeJoin(skew=true)" in kept
+
+
+def test_hot_date_is_written_by_several_tasks(spark, tmp_path):
+    """A third of the rows is of one day, the others are spread over twenty."""
+    rows_in = spark.range(0, 60_000, 1, 8).selectExpr(
+        "id", "uuid() AS v", "timestamp_seconds(if(id % 3 = 0, 40, id % 20) * 86400) AS at"
+    )
+    smaller = {**SMALL_TASKS, "spark__sql__adaptive__advisoryPartitionSizeInBytes": "200KB"}
+    with settings(spark, **smaller):
+        write_partitioned(rows_in, f"{tmp_path}/out", DatePartition("at", "day"))
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "out").glob("day=*")}
+    hot = files.pop("day=1970-02-10")
+    # A day that hashes to the hot one's shuffle partition is split along with it.
+    assert hot >= 4 and len(files) == 20 and sorted(files.values())[10] <= 2
+
+
 def test_small_batch_does_not_shuffle_the_target(spark, tmp_path):
     held = f"{tmp_path}/held"
     spark.range(1000).selectExpr("id AS k", "uuid() AS v").write.parquet(held)
