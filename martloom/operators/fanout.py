@@ -23,18 +23,10 @@ from operator import mul
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from martloom.functions.names import quoted, require_columns, require_disjoint
 from martloom.functions.sizes import fits_broadcast
-
-# A key that yields more joined rows than this is cut into cells of about this many rows.
-CELL_ROWS = 1_000_000
-
-# At most this many keys are cut, the heaviest first, so the list of them stays small enough to
-# broadcast whatever the data. A key left out yields under 1/HEAVY_KEYS of the joined rows.
-HEAVY_KEYS = 10_000
-
+from martloom.operators.spread import CELL_ROWS, heaviest, join_keyed, part_of
 
 # Sides that together give up to this many rows per core row may be broadcast. Beyond it, the rows
 # produced outweigh a shuffle of the core, and cells spread them better than the core's files do.
@@ -142,10 +134,10 @@ class FanoutJoin:
             totals.append(F.coalesce(count, F.lit(0)).alias(f"nulls_{j}"))
         return self.per_key(columns).agg(*totals)
 
-    def group_counts(self, column: str) -> DataFrame:
+    def group_counts(self, column: str, cell_rows: int = CELL_ROWS) -> DataFrame:
         """``(column, n)``: what ``groupBy(column).count()`` gives on the joined frame."""
-        counted = self._weighted(column).groupBy("value").agg(F.sum("weight").alias("n"))
-        return counted.toDF(column, "n")
+        weighted = self._weighted(column, cell_rows)
+        return weighted.groupBy("value").agg(F.sum("weight").alias("n")).toDF(column, "n")
 
     def count_present(self, column: str) -> DataFrame:
         """One row, ``row_count``: joined rows in which ``column`` is not NULL."""
@@ -159,25 +151,28 @@ class FanoutJoin:
                 return at
         raise ValueError(f"fan-out on {self.key}: no column {column}")
 
-    def _weighted(self, column: str) -> DataFrame:
+    def _weighted(self, column: str, cell_rows: int) -> DataFrame:
         """``(value, weight)``: each input value with the number of joined rows it is in.
 
-        The per-key counts are unique on the key. Where they meet the full rows of a table, those
-        rows are the side that adaptive execution may split: the preserved one of a left join, or
-        either one of an inner join.
+        The rows of one table meet the per-key counts, which hold each key once.
         """
         counts = self.per_key()
         if column == self.key:
             return counts.select(F.col("key").alias("value"), self._product().alias("weight"))
         own = self._owner(column)
-        weights = counts.select("key", self._product(without=own).alias("weight"))
+        weights = counts.select(
+            F.col("key").alias("counted"), self._product(without=own).alias("weight")
+        )
         table = (self.core, *self.sides)[own]
         values = table.select(quoted(self.key).alias("key"), quoted(column).alias("value"))
         if own == 0 and self.how == "left":
             # Only a NULL key finds no counts, and it meets no side row either.
-            weight = F.coalesce("weight", F.lit(1)).alias("weight")
-            return values.join(weights, "key", "left").select("value", weight)
-        matched = values.join(weights, "key").select("value", "weight")
+            weighted = join_keyed(values, "key", weights, "counted", "left", cell_rows)
+            return weighted.select("value", F.coalesce("weight", F.lit(1)).alias("weight"))
+        values = values.where(F.col("key").isNotNull())
+        matched = join_keyed(values, "key", weights, "counted", "inner", cell_rows).select(
+            "value", "weight"
+        )
         if self.how == "inner":
             return matched
         kind = table.schema[column].dataType
@@ -251,17 +246,9 @@ class FanoutJoin:
             F.ceil(F.greatest(self._multiplier(at) / edge, F.lit(1.0))).alias(f"parts_{at}")
             for at in tables
         ]
-        heavy = (
-            self.per_key()
-            .select(F.col("key").alias("heavy_key"), self._product_as_double().alias("joined"), *parts)
-            .where(F.col("joined") > cell_rows)
-            .orderBy(F.desc("joined"), "heavy_key")
-            .limit(HEAVY_KEYS)
-            .drop("joined")
-        )
-        # At most HEAVY_KEYS rows of one key and a few counts: held here so that every use of the
-        # list sees the same one.
-        return self.core.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
+        counts = self.per_key().withColumnRenamed("key", "heavy_key")
+        listed = heaviest(counts, self._product_as_double(), cell_rows)
+        return listed.select("heavy_key", *parts)
 
     def _join_in_cells(self, heavy: DataFrame) -> DataFrame:
         names = self.columns
@@ -283,11 +270,8 @@ class FanoutJoin:
     def _deal(self, at: int, heavy: DataFrame) -> DataFrame:
         """Give each row of table ``at`` the numbers of the cells it takes part in.
 
-        The part comes from a hash of the row and of the partition it is read in, not from a
-        counter or a random number: a recomputed task deals alike even if its rows arrive in
-        another order, and copies of a row in different partitions go to different parts. Cells
-        of a key are numbered in mixed radix over the parts of all tables; a row is copied to
-        every cell that agrees with it on its own part. Light keys have the single cell 0.
+        Cells of a key are numbered in mixed radix over the parts of all tables; a row is copied
+        to every cell that agrees with it on its own part. Light keys have the single cell 0.
         """
         table = (self.core, *self.sides)[at]
         tables = range(len(self.sides) + 1)
@@ -301,12 +285,11 @@ class FanoutJoin:
         one = F.lit(1).cast("long")
         below = reduce(mul, parts[:at], one)
         others = reduce(mul, parts[at + 1 :], below)
-        hashed = [quoted(f.name) for f in table.schema if _hashable(f.dataType)]
         split = [(parts[n] > 1).alias(f"__split_{n}") for n in tables]
         copies = marked.select(
             *map(quoted, columns),
             *split,
-            F.when(parts[at] > 1, F.pmod(F.xxhash64(F.spark_partition_id(), *hashed), parts[at])).otherwise(0).alias("__part"),
+            part_of(table, parts[at]).alias("__part"),
             parts[at].alias("__parts"),
             below.alias("__below"),
             F.explode(F.sequence(F.lit(0).cast("long"), others - 1)).alias("__other"),
@@ -317,13 +300,3 @@ class FanoutJoin:
         return copies.select(
             *map(quoted, columns), *[f"__split_{n}" for n in tables], number.alias("__cell")
         )
-
-
-def _hashable(kind: T.DataType) -> bool:
-    if isinstance(kind, (T.MapType, T.VariantType)):
-        return False
-    if isinstance(kind, T.ArrayType):
-        return _hashable(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return all(_hashable(f.dataType) for f in kind.fields)
-    return True

@@ -5,7 +5,8 @@ other target rows stay. A NULL key matches nothing.
 
 Written as two joins whose preserved side is the large one. A full outer join would express the
 same in one step, but it can neither broadcast a small batch nor have a hot key split at run
-time, so it shuffles the whole target on every run.
+time, so it shuffles the whole target on every run. Here a hot target key is split by adaptive
+execution, and a hot source key, which can only be one that is added, is dealt into parts.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 from martloom.functions.names import quoted, require_columns
 from martloom.operators.fanout import FanoutJoin
 from martloom.operators.quality import duplicate_groups
+from martloom.operators.spread import CELL_ROWS, heavy_keys, join_keyed
 
 CONFLICTS_SHOWN = 20
 
@@ -34,14 +36,29 @@ def conform(source: DataFrame, target: T.StructType) -> DataFrame:
     return source.to(T.StructType([T.StructField(f.name, f.dataType) for f in target]))
 
 
-def merge_frame(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The target as it is after the upsert; see ``conflicts`` for the check to run before."""
+def merge_frame(
+    target: DataFrame, source: DataFrame, key: str, cell_rows: int = CELL_ROWS
+) -> DataFrame:
+    """The target as it is after the upsert; see ``conflicts`` for the check to run before.
+
+    Runs one job that counts the source per key. Keys with more than ``cell_rows`` source rows
+    must be new ones; this is checked, and their rows then keep out of the join with the target.
+    """
     names = target.columns
     require_columns(target, [key], "merge target")
     incoming = conform(source, target.schema)
     packed = incoming.select(
         quoted(key).alias("__key"), F.struct(*map(quoted, names)).alias("__new")
     )
+    heavy = heavy_keys(incoming, key, cell_rows)
+    if not heavy.isEmpty():
+        repeated = heavy.withColumnRenamed("heavy_key", key)
+        clash = matched_keys(target, repeated, key).limit(CONFLICTS_SHOWN).collect()
+        if clash:
+            keys = ", ".join(str(row[0]) for row in clash)
+            raise MergeConflict(f"many source rows for one target key, among them: {keys}")
+        is_heavy = F.col("__key") == F.col("heavy_key")
+        packed = packed.join(F.broadcast(heavy), is_heavy, "left_anti")
     hit = F.col("__new").isNotNull()
     kept = target.join(packed, quoted(key) == F.col("__key"), "left").select(
         *[
@@ -50,20 +67,24 @@ def merge_frame(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
         ]
     )
     known = matched_keys(target, incoming, key)
-    added = incoming.join(known, quoted(key) == F.col("__known"), "left_anti")
-    return kept.unionAll(added)
+    added = join_keyed(incoming, key, known, "__known", "left_anti", cell_rows, heavy)
+    return kept.unionAll(added.select(*map(quoted, names)))
 
 
 def matched_keys(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
-    """The distinct keys found on both sides, as ``__known``; reads only the key columns.
+    """The distinct keys found on both sides, as ``__known``; reads only the key columns."""
+    return matched_distinct(target.select(quoted(key).alias("__known")), source, key)
+
+
+def matched_distinct(held: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The distinct rows of ``held`` whose ``__known`` is a key of the source.
 
-    The target's keys are made distinct before they are shuffled, so a hot one leaves each task
-    once. If the source is small enough to broadcast, Spark moves the semi join below that and
-    no target key is shuffled at all.
+    Both sides are made distinct before they are shuffled, so a hot key leaves each task once. If
+    the source is small enough to broadcast, Spark moves the semi join below the first of these
+    steps, and only matches are shuffled.
     """
-    asked = source.select(quoted(key).alias("__asked"))
-    held = target.select(quoted(key).alias("__known")).distinct()
-    return held.join(asked, F.col("__known") == F.col("__asked"), "left_semi")
+    asked = source.select(quoted(key).alias("__asked")).distinct()
+    return held.distinct().join(asked, F.col("__known") == F.col("__asked"), "left_semi")
 
 
 def conflicts(target: DataFrame, source: DataFrame | FanoutJoin, key: str) -> DataFrame:

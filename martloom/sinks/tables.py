@@ -24,7 +24,12 @@ from pyspark.sql import types as T
 
 from martloom.functions.names import quoted, quoted_name
 from martloom.functions.sizes import fits_broadcast
-from martloom.operators.upsert import conform, merge_frame, require_no_conflicts
+from martloom.operators.upsert import (
+    conform,
+    matched_distinct,
+    merge_frame,
+    require_no_conflicts,
+)
 from martloom.sinks.scratch import staged
 
 
@@ -125,12 +130,8 @@ class MartTable:
 
         The driver sees distinct partition values, of which there are as many as folders.
         """
-        asked = source.select(quoted(key).alias("__asked"))
-        found = (
-            dated.select(quoted(key).alias("__known"), quoted(partition.name).alias("at"))
-            .join(asked, F.col("__known") == F.col("__asked"), "left_semi")
-            .select("at")
-        )
+        held = dated.select(quoted(key).alias("__known"), quoted(partition.name).alias("at"))
+        found = matched_distinct(held, source, key).select("at")
         given = source.select(partition.column().alias("at"))
         dates = [row[0] for row in found.unionAll(given).distinct().collect()]
         at = quoted(partition.name)

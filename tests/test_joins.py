@@ -180,6 +180,11 @@ def test_counts_equal_those_of_the_rows(spark, seed, how):
     nulls = [F.count_if(F.col(c).isNull()).alias(f"nulls_{j}") for j, c in enumerate(columns)]
     same_rows(join.null_counts(columns), wide.agg(F.count(F.lit(1)).alias("rows"), *nulls))
     for column in columns:
+        if column in ("k", "a", "id", "c"):
+            same_rows(
+                join.group_counts(column, cell_rows=5),
+                wide.groupBy(column).agg(F.count("*").alias("n")),
+            )
         same_rows(join.group_counts(column), wide.groupBy(column).agg(F.count("*").alias("n")))
     per_row = wide.groupBy("k", "a", "id").agg(F.count("*").alias("n"))
     summary = join.summary().first()

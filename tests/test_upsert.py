@@ -100,6 +100,22 @@ def test_merge_with_a_hot_target_key(spark, hot):
             same_rows(merge_frame(target, source, "k"), full_outer(target, source, "k"))
 
 
+@pytest.mark.parametrize("hot", [70, None])
+def test_merge_with_a_hot_source_key(spark, hot):
+    """Only a key that the target lacks can be repeated."""
+    held = [(k, "t") for k in range(60)] + [(5, "again"), (None, "tn")]
+    given = [(hot, f"s{n % 7}") for n in range(200)] + [(k, f"s{k}") for k in range(50, 65)]
+    target = spark.createDataFrame(held, KV)
+    source = spark.createDataFrame(given, KV).repartition(7)
+    expected = full_outer(target, source, "k")
+    for limit in ("10MB", "-1"):
+        with settings(spark, spark__sql__autoBroadcastJoinThreshold=limit):
+            same_rows(merge_frame(target, source, "k", cell_rows=20), expected)
+    clash = source.union(spark.createDataFrame([(5, "c")] * 21, KV))
+    with pytest.raises(MergeConflict, match="among them: 5"):
+        merge_frame(target, clash, "k", cell_rows=20)
+
+
 SMALL_TASKS = {
     "spark__sql__autoBroadcastJoinThreshold": "-1",
     "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
