@@ -94,7 +94,8 @@ def oracle_sql() -> dict[str, str]:
         "fanout_report": """
             WITH c AS (SELECT user_id AS k, count(*) AS n FROM events GROUP BY user_id),
                  r AS (SELECT conv_id AS k, count(*) AS n FROM conversations GROUP BY conv_id),
-                 f AS (SELECT greatest(1, coalesce(c.n, 0)) * greatest(1, coalesce(r.n, 0)) AS fanout
+                 f AS (SELECT greatest(1, coalesce(c.n, 0)) * greatest(1, coalesce(r.n, 0))
+                              AS fanout
                        FROM orders LEFT JOIN c ON o_custkey = c.k LEFT JOIN r ON o_custkey = r.k)
             SELECT count(*) AS fact_rows, CAST(sum(fanout) AS BIGINT) AS wide_rows,
                    max(fanout) AS max_fanout FROM f""",
@@ -150,7 +151,8 @@ def oracle_sql() -> dict[str, str]:
                    '{"id":' || event_id || ',"msg":"' || event_type || '"}' AS value
             FROM events""",
         "contract_check": """
-            SELECT d.doc_id, CASE WHEN quality IS NULL THEN 'missing:quality' ELSE 'ok' END AS verdict
+            SELECT d.doc_id,
+                   CASE WHEN quality IS NULL THEN 'missing:quality' ELSE 'ok' END AS verdict
             FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
         "contract_backtest": """
             SELECT count(*) AS n_messages, count(*) FILTER (WHERE quality IS NULL) AS n_newly_broken

@@ -28,7 +28,8 @@ def require_columns(df: DataFrame, names: Iterable[str], label: str) -> None:
     present = set(df.columns)
     absent = [name for name in names if name not in present]
     if absent:
-        raise ValueError(f"{label}: no column {', '.join(absent)}; have {', '.join(sorted(present))}")
+        have = ", ".join(sorted(present))
+        raise ValueError(f"{label}: no column {', '.join(absent)}; have {have}")
 
 
 def require_disjoint(left: DataFrame, right: DataFrame, key: str, label: str) -> None:
@@ -37,4 +38,5 @@ def require_disjoint(left: DataFrame, right: DataFrame, key: str, label: str) ->
     shared = {fold(n) for n in left.columns} & {fold(n) for n in right.columns}
     shared.discard(fold(key))
     if shared:
-        raise ValueError(f"{label}: both sides hold {', '.join(sorted(shared))}; rename one of them")
+        names = ", ".join(sorted(shared))
+        raise ValueError(f"{label}: both sides hold {names}; rename one of them")

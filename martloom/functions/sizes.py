@@ -51,4 +51,6 @@ def _row_bytes(schema: T.StructType) -> Column:
 def _as_text(field: T.StructField) -> Column:
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
         return F.to_json(quoted(field.name))
-    return quoted(field.name).cast("binary" if isinstance(field.dataType, T.BinaryType) else "string")
+    if isinstance(field.dataType, T.BinaryType):
+        return quoted(field.name)
+    return quoted(field.name).cast("string")

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import cached_property, reduce
+from functools import reduce
 from operator import mul
 
 from pyspark.sql import Column, DataFrame
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.names import quoted, require_columns, require_disjoint
 from martloom.functions.sizes import fits_broadcast
-from martloom.operators.spread import CELL_ROWS, heaviest, join_keyed, part_of
+from martloom.operators.spread import CELL_ROWS, heaviest, heavy_keys, join_keyed, part_of
 
 # Sides that together give up to this many rows per core row may be broadcast. Beyond it, the rows
 # produced outweigh a shuffle of the core, and cells spread them better than the core's files do.
@@ -89,9 +89,10 @@ class FanoutJoin:
                 for j, column in enumerate(null_columns)
                 if owners[j] == at
             ]
-            rows = table if at == 0 and self.how == "left" else table.where(quoted(self.key).isNotNull())
+            if at > 0 or self.how == "inner":
+                table = table.where(quoted(self.key).isNotNull())
             counted.append(
-                rows.groupBy(quoted(self.key).alias("key")).agg(
+                table.groupBy(quoted(self.key).alias("key")).agg(
                     F.count(F.lit(1)).alias(f"rows_{at}"), *nulls
                 )
             )
@@ -167,12 +168,13 @@ class FanoutJoin:
         values = table.select(quoted(self.key).alias("key"), quoted(column).alias("value"))
         if own == 0 and self.how == "left":
             # Only a NULL key finds no counts, and it meets no side row either.
-            weighted = join_keyed(values, "key", weights, "counted", "left", cell_rows)
+            heavy = heavy_keys(values, "key", cell_rows)
+            weighted = join_keyed(values, "key", weights, "counted", "left", heavy)
             return weighted.select("value", F.coalesce("weight", F.lit(1)).alias("weight"))
         values = values.where(F.col("key").isNotNull())
-        matched = join_keyed(values, "key", weights, "counted", "inner", cell_rows).select(
-            "value", "weight"
-        )
+        heavy = heavy_keys(values, "key", cell_rows)
+        matched = join_keyed(values, "key", weights, "counted", "inner", heavy)
+        matched = matched.select("value", "weight")
         if self.how == "inner":
             return matched
         kind = table.schema[column].dataType
@@ -223,14 +225,14 @@ class FanoutJoin:
         if not self.sides:
             return self.core
         heavy = self.heavy_keys(cell_rows)
-        return self._join_whole() if heavy.isEmpty() else self._join_in_cells(heavy)
+        return self._join_whole() if heavy is None else self._join_in_cells(heavy)
 
     def _product_as_double(self) -> Column:
         return reduce(
             mul, [self._multiplier(at).cast("double") for at in range(len(self.sides) + 1)]
         )
 
-    def heavy_keys(self, cell_rows: int = CELL_ROWS) -> DataFrame:
+    def heavy_keys(self, cell_rows: int = CELL_ROWS) -> DataFrame | None:
         """``heavy_key`` and ``parts_0``, ``parts_1``..: in how many parts to deal each table.
 
         With ``m`` tables that hold several rows of a key, a cell takes ``cell_rows ** (1/m)``
@@ -248,7 +250,7 @@ class FanoutJoin:
         ]
         counts = self.per_key().withColumnRenamed("key", "heavy_key")
         listed = heaviest(counts, self._product_as_double(), cell_rows)
-        return listed.select("heavy_key", *parts)
+        return None if listed is None else listed.select("heavy_key", *parts)
 
     def _join_in_cells(self, heavy: DataFrame) -> DataFrame:
         names = self.columns

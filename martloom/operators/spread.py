@@ -21,10 +21,11 @@ CELL_ROWS = 1_000_000
 HEAVY_KEYS = 10_000
 
 
-def heaviest(counted: DataFrame, weight: Column, cell_rows: int) -> DataFrame:
+def heaviest(counted: DataFrame, weight: Column, cell_rows: int) -> DataFrame | None:
     """The rows of ``counted``, one per ``heavy_key``, whose weight is over ``cell_rows``.
 
-    Held on the driver, within the bound above, so that every use sees the same list.
+    None if there are none. Held on the driver, within the bound above, so that every use sees
+    the same list.
     """
     heavy = (
         counted.withColumn("__weight", weight)
@@ -33,7 +34,8 @@ def heaviest(counted: DataFrame, weight: Column, cell_rows: int) -> DataFrame:
         .limit(HEAVY_KEYS)
         .drop("__weight")
     )
-    return counted.sparkSession.createDataFrame(heavy.collect(), heavy.schema)
+    listed = heavy.collect()
+    return counted.sparkSession.createDataFrame(listed, heavy.schema) if listed else None
 
 
 def part_of(df: DataFrame, parts: Column) -> Column:
@@ -48,13 +50,15 @@ def part_of(df: DataFrame, parts: Column) -> Column:
     return F.when(parts > 1, part).otherwise(F.lit(0).cast("long"))
 
 
-def heavy_keys(rows: DataFrame, key: str, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``(heavy_key, rows)`` of the keys, NULL included, with more than ``cell_rows`` rows.
+def heavy_keys(rows: DataFrame, key: str, cell_rows: int = CELL_ROWS) -> DataFrame | None:
+    """``(heavy_key, parts)`` of the keys, NULL included, with more than ``cell_rows`` rows.
 
-    Runs one job over the key column.
+    Runs one job over the key column. None if no key is heavy.
     """
     counts = rows.groupBy(quoted(key).alias("heavy_key")).agg(F.count(F.lit(1)).alias("rows"))
-    return heaviest(counts, F.col("rows"), cell_rows)
+    listed = heaviest(counts, F.col("rows"), cell_rows)
+    parts = F.ceil(F.col("rows") / cell_rows).alias("parts")
+    return None if listed is None else listed.select("heavy_key", parts)
 
 
 def join_keyed(
@@ -63,27 +67,23 @@ def join_keyed(
     keyed: DataFrame,
     keyed_by: str,
     how: str,
-    cell_rows: int = CELL_ROWS,
-    listed: DataFrame | None = None,
+    heavy: DataFrame | None,
 ) -> DataFrame:
     """Join ``rows`` with ``keyed``, which holds each key once, on ``key = keyed_by``.
 
     ``how``: inner, left, left_semi or left_anti. A heavy key's rows (those of a NULL key
     included) are dealt into parts, and its one row in ``keyed`` is copied to each of them.
-    ``listed`` is the result of ``heavy_keys``, if the caller has it already.
+    ``heavy`` is what ``heavy_keys`` gives for ``rows``.
     """
-    if listed is None:
-        listed = heavy_keys(rows, key, cell_rows)
     same = quoted(key) == quoted(keyed_by)
-    if listed.isEmpty():
+    if heavy is None:
         return rows.join(keyed, same, how)
-    parts = F.ceil(F.col("rows") / cell_rows).alias("__parts")
-    heavy = F.broadcast(listed.select("heavy_key", parts))
+    heavy = F.broadcast(heavy.toDF("__heavy", "__parts"))
     whole = F.coalesce(F.col("__parts"), F.lit(1).cast("long"))
-    dealt = rows.join(heavy, quoted(key).eqNullSafe(F.col("heavy_key")), "left").select(
+    dealt = rows.join(heavy, quoted(key).eqNullSafe(F.col("__heavy")), "left").select(
         *map(quoted, rows.columns), part_of(rows, whole).alias("__part")
     )
-    copied = keyed.join(heavy, quoted(keyed_by) == F.col("heavy_key"), "left").select(
+    copied = keyed.join(heavy, quoted(keyed_by) == F.col("__heavy"), "left").select(
         *map(quoted, keyed.columns),
         F.explode(F.sequence(F.lit(0).cast("long"), whole - 1)).alias("__copy"),
     )

@@ -51,8 +51,8 @@ def merge_frame(
         quoted(key).alias("__key"), F.struct(*map(quoted, names)).alias("__new")
     )
     heavy = heavy_keys(incoming, key, cell_rows)
-    if not heavy.isEmpty():
-        repeated = heavy.withColumnRenamed("heavy_key", key)
+    if heavy is not None:
+        repeated = heavy.select(quoted("heavy_key").alias(key))
         clash = matched_keys(target, repeated, key).limit(CONFLICTS_SHOWN).collect()
         if clash:
             keys = ", ".join(str(row[0]) for row in clash)
@@ -67,7 +67,7 @@ def merge_frame(
         ]
     )
     known = matched_keys(target, incoming, key)
-    added = join_keyed(incoming, key, known, "__known", "left_anti", cell_rows, heavy)
+    added = join_keyed(incoming, key, known, "__known", "left_anti", heavy)
     return kept.unionAll(added.select(*map(quoted, names)))
 
 

@@ -60,7 +60,8 @@ def write_partitioned(df: DataFrame, folder: str, partition: DatePartition | Non
         df.write.parquet(folder)
         return
     dated = df.select(*map(quoted, df.columns), partition.column())
-    dated.hint("rebalance", quoted(partition.name)).write.partitionBy(partition.name).parquet(folder)
+    balanced = dated.hint("rebalance", quoted(partition.name))
+    balanced.write.partitionBy(partition.name).parquet(folder)
 
 
 @dataclass(frozen=True)

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from martloom.operators.spread import heaviest, join_keyed, part_of
+from martloom.operators.spread import heaviest, heavy_keys, join_keyed, part_of
 from tests.frames import plan_text, same_rows, settings
 
 
@@ -20,7 +20,8 @@ def hot_rows(spark):
 def test_join_keyed(spark, hot_rows, how, cell_rows):
     keyed = spark.range(0, 3000, 4).selectExpr("id + 3 AS kk", "id AS w")
     expected = hot_rows.join(keyed, F.col("k") == F.col("kk"), how)
-    same_rows(join_keyed(hot_rows, "k", keyed, "kk", how, cell_rows), expected)
+    heavy = heavy_keys(hot_rows, "k", cell_rows)
+    same_rows(join_keyed(hot_rows, "k", keyed, "kk", how, heavy), expected)
 
 
 @pytest.mark.parametrize("key", [7, None])
@@ -31,14 +32,17 @@ def test_heavy_key_reaches_every_task(spark, hot_rows, key):
         spark__sql__autoBroadcastJoinThreshold="-1",
         spark__sql__adaptive__coalescePartitions__enabled="false",
     ):
-        joined = join_keyed(hot_rows, "k", keyed, "kk", "left", cell_rows=20)
+        heavy = heavy_keys(hot_rows, "k", cell_rows=20)
+        joined = join_keyed(hot_rows, "k", keyed, "kk", "left", heavy)
         counted = joined.groupBy("k", F.spark_partition_id()).count().collect()
     sizes = [n for k, _, n in counted if k == key]
     assert sum(sizes) == 1000 and len(sizes) == 8 and max(sizes) < 300
 
 
 def test_light_keys_are_joined_plainly(spark, hot_rows):
-    plan = plan_text(join_keyed(hot_rows, "k", spark.range(9).toDF("kk"), "kk", "inner"))
+    heavy = heavy_keys(hot_rows, "k")
+    assert heavy is None
+    plan = plan_text(join_keyed(hot_rows, "k", spark.range(9).toDF("kk"), "kk", "inner", heavy))
     assert "explode" not in plan and "xxhash64" not in plan
 
 
@@ -50,7 +54,9 @@ def test_list_of_heavy_keys_is_bounded(spark, monkeypatch):
     keyed = spark.range(0, 100, 2).selectExpr("id AS kk")
     rows = spark.range(1000).selectExpr("id % 100 AS k", "id AS v")
     expected = rows.join(keyed, F.col("k") == F.col("kk"), "left")
-    same_rows(join_keyed(rows, "k", keyed, "kk", "left", cell_rows=1), expected)
+    heavy = heavy_keys(rows, "k", cell_rows=1)
+    assert heavy.count() == 3
+    same_rows(join_keyed(rows, "k", keyed, "kk", "left", heavy), expected)
 
 
 def test_parts_do_not_depend_on_row_order(spark):

@@ -84,9 +84,9 @@ def full_outer(target, source, key):
     t = target.select(F.struct("*").alias("t"))
     s = source.select(F.struct("*").alias("s"))
     names = target.columns
-    return t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full").select(
-        *[F.when(F.col("s").isNotNull(), F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in names]
-    )
+    given = F.col("s").isNotNull()
+    columns = [F.when(given, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in names]
+    return t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full").select(*columns)
 
 
 @pytest.mark.parametrize("hot", [4, None, 99])
