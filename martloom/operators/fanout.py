@@ -23,10 +23,18 @@ from operator import mul
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martloom.functions.names import quoted, require_columns, require_disjoint
 from martloom.functions.sizes import fits_broadcast
-from martloom.operators.spread import CELL_ROWS, heaviest, heavy_keys, join_keyed, part_of
+from martloom.operators.spread import (
+    CELL_ROWS,
+    heaviest,
+    heavy_keys,
+    join_keyed,
+    part_of,
+    parts_of,
+)
 
 # Sides that together give up to this many rows per core row may be broadcast. Beyond it, the rows
 # produced outweigh a shuffle of the core, and cells spread them better than the core's files do.
@@ -194,10 +202,10 @@ class FanoutJoin:
         # As doubles: a total past the range of a long must still reach the refusal below.
         largest = [F.max(f"rows_{at + 1}") for at in range(len(self.sides))]
         counts = self.per_key().withColumn("joined", self._product_as_double())
-        total, heaviest, *groups = counts.agg(F.sum("joined"), F.max("joined"), *largest).first()
+        total, top, *groups = counts.agg(F.sum("joined"), F.max("joined"), *largest).first()
         if max_rows is not None and (total or 0) > max_rows:
             raise FanoutTooLarge(f"fan-out on {self.key}: {total:.0f} rows, allowed are {max_rows}")
-        if (heaviest or 0) <= cell_rows:
+        if (top or 0) <= cell_rows:
             joined = self._join_whole()
         else:
             small = self._small_sides([group or 0 for group in groups])
@@ -233,24 +241,22 @@ class FanoutJoin:
         )
 
     def heavy_keys(self, cell_rows: int = CELL_ROWS) -> DataFrame | None:
-        """``heavy_key`` and ``parts_0``, ``parts_1``..: in how many parts to deal each table.
-
-        With ``m`` tables that hold several rows of a key, a cell takes ``cell_rows ** (1/m)``
-        rows of each, so cells yield about ``cell_rows`` rows and the copies shuffled stay a
-        small share of the rows produced.
-        """
+        """``heavy_key`` and ``parts_0``, ``parts_1``..: in how many parts to deal each table."""
         tables = range(len(self.sides) + 1)
-        many = reduce(
-            lambda a, b: a + b, [F.when(self._multiplier(at) > 1, 1).otherwise(0) for at in tables]
+        counts = self.per_key().select(
+            F.col("key").alias("heavy_key"),
+            *[self._multiplier(at).alias(f"rows_{at}") for at in tables],
         )
-        edge = F.pow(F.lit(float(cell_rows)), 1 / F.greatest(many, F.lit(1)))
-        parts = [
-            F.ceil(F.greatest(self._multiplier(at) / edge, F.lit(1.0))).alias(f"parts_{at}")
-            for at in tables
-        ]
-        counts = self.per_key().withColumnRenamed("key", "heavy_key")
         listed = heaviest(counts, self._product_as_double(), cell_rows)
-        return None if listed is None else listed.select("heavy_key", *parts)
+        if not listed:
+            return None
+        dealt = [
+            (row.heavy_key, *parts_of([row[f"rows_{at}"] for at in tables], cell_rows))
+            for row in listed
+        ]
+        parts = [T.StructField(f"parts_{at}", T.LongType()) for at in tables]
+        schema = T.StructType([counts.schema["heavy_key"], *parts])
+        return self.core.sparkSession.createDataFrame(dealt, schema)
 
     def _join_in_cells(self, heavy: DataFrame) -> DataFrame:
         names = self.columns

@@ -7,7 +7,10 @@ join on it), or where several joins share a shuffle, heavy keys are dealt here i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+from math import ceil, prod
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,21 +24,40 @@ CELL_ROWS = 1_000_000
 HEAVY_KEYS = 10_000
 
 
-def heaviest(counted: DataFrame, weight: Column, cell_rows: int) -> DataFrame | None:
+# At most this many cells per key: more than the tasks of a stage would not spread it further, and
+# a row is copied to no more of them than this.
+MAX_CELLS = 65_536
+
+
+def heaviest(counted: DataFrame, weight: Column, cell_rows: int) -> list[Row]:
     """The rows of ``counted``, one per ``heavy_key``, whose weight is over ``cell_rows``.
 
-    None if there are none. Held on the driver, within the bound above, so that every use sees
-    the same list.
+    Brought to the driver, within the bound above, so that every use sees the same list.
     """
-    heavy = (
-        counted.withColumn("__weight", weight)
-        .where(F.col("__weight") > cell_rows)
-        .orderBy(F.desc("__weight"), "heavy_key")
+    return (
+        counted.withColumn("weight", weight)
+        .where(F.col("weight") > cell_rows)
+        .orderBy(F.desc("weight"), "heavy_key")
         .limit(HEAVY_KEYS)
-        .drop("__weight")
+        .collect()
     )
-    listed = heavy.collect()
-    return counted.sparkSession.createDataFrame(listed, heavy.schema) if listed else None
+
+
+def parts_of(counts: Sequence[int], cell_rows: int) -> list[int]:
+    """In how many parts to deal each table's rows of a key, of which it holds ``counts``.
+
+    A cell takes one part of each table and joins it to about ``cell_rows`` rows. Tables share
+    that evenly, as factors; one that has less to give goes whole and leaves the rest to larger
+    ones. So the copies that are shuffled stay few beside the rows that are produced.
+    """
+    room = max(float(cell_rows), prod(map(float, counts)) / MAX_CELLS)
+    taken = {}
+    ascending = sorted(range(len(counts)), key=lambda at: counts[at])
+    for done, at in enumerate(ascending):
+        share = max(room ** (1 / (len(counts) - done)), 1.0)
+        taken[at] = min(share, counts[at])
+        room /= taken[at]
+    return [ceil(counts[at] / taken[at]) for at in range(len(counts))]
 
 
 def part_of(df: DataFrame, parts: Column) -> Column:
@@ -57,8 +79,11 @@ def heavy_keys(rows: DataFrame, key: str, cell_rows: int = CELL_ROWS) -> DataFra
     """
     counts = rows.groupBy(quoted(key).alias("heavy_key")).agg(F.count(F.lit(1)).alias("rows"))
     listed = heaviest(counts, F.col("rows"), cell_rows)
-    parts = F.ceil(F.col("rows") / cell_rows).alias("parts")
-    return None if listed is None else listed.select("heavy_key", parts)
+    if not listed:
+        return None
+    parts = [(row.heavy_key, parts_of([row.rows], cell_rows)[0]) for row in listed]
+    schema = T.StructType([counts.schema["heavy_key"], T.StructField("parts", T.LongType())])
+    return rows.sparkSession.createDataFrame(parts, schema)
 
 
 def join_keyed(

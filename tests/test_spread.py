@@ -1,9 +1,18 @@
 from __future__ import annotations
 
+from math import prod
+
 import pytest
 from pyspark.sql import functions as F
 
-from martloom.operators.spread import heaviest, heavy_keys, join_keyed, part_of
+from martloom.operators.spread import (
+    MAX_CELLS,
+    heaviest,
+    heavy_keys,
+    join_keyed,
+    part_of,
+    parts_of,
+)
 from tests.frames import plan_text, same_rows, settings
 
 
@@ -50,7 +59,7 @@ def test_list_of_heavy_keys_is_bounded(spark, monkeypatch):
     monkeypatch.setattr("martloom.operators.spread.HEAVY_KEYS", 3)
     counted = spark.range(100).selectExpr("id AS heavy_key", "id * 10 AS n")
     listed = heaviest(counted, F.col("n"), 500)
-    assert [row.heavy_key for row in listed.collect()] == [99, 98, 97]
+    assert [row.heavy_key for row in listed] == [99, 98, 97]
     keyed = spark.range(0, 100, 2).selectExpr("id AS kk")
     rows = spark.range(1000).selectExpr("id % 100 AS k", "id AS v")
     expected = rows.join(keyed, F.col("k") == F.col("kk"), "left")
@@ -59,6 +68,25 @@ def test_list_of_heavy_keys_is_bounded(spark, monkeypatch):
     same_rows(join_keyed(rows, "k", keyed, "kk", "left", heavy), expected)
 
 
+@pytest.mark.parametrize(
+    "counts, parts",
+    [
+        ([3_000_000], [3]),
+        ([10, 1000, 200], [1, 2, 1]),
+        ([3000, 1, 3000], [3, 1, 3]),
+        ([10**6, 2, 1], [2, 1, 1]),
+        ([10**12, 1, 1], [65_536, 1, 1]),
+        ([1, 10**9, 10**9], [1, 256, 256]),
+    ],
+)
+def test_parts_of(counts, parts):
+    found = parts_of(counts, 1_000_000)
+    assert found == parts
+    assert prod(found) <= 2 * MAX_CELLS
+    cell = prod(n / p for n, p in zip(counts, found))
+    assert cell <= max(1_000_000, 1.01 * prod(counts) / MAX_CELLS)
+
+
 def test_parts_do_not_depend_on_row_order(spark):
     df = spark.createDataFrame(
         [(1, {"a": 1}, [{"b": 2}], "x"), (2, {}, [], "y")],
