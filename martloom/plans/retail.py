@@ -218,7 +218,9 @@ def mart_load(spark: SparkSession, folder: str) -> DataFrame:
     rules = Expectations(not_null=("order_id",), min_rows=1)
     load_mart(_order_status(spark, folder), mart, schema, "order_id", rules)
     load_mart(_status_changes(spark, folder), mart, schema, "order_id", rules)
-    return mart.read()
+    loaded = mart.read()
+    spark.sql(f"DROP VIEW {mart.name}")  # its name is of this run only; the files stay readable
+    return loaded
 
 
 # -- messages -----------------------------------------------------------------------------
