@@ -19,6 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
+from math import ceil
 from operator import mul
 
 from pyspark.sql import Column, DataFrame
@@ -41,6 +42,13 @@ from martloom.operators.spread import (
 BROADCAST_FANOUT = 100
 
 
+# A core is spread over more tasks if each of its rows gives at least this many on average, so that
+# moving it costs little beside what it yields. A task that reads a core has about SPLIT_ROWS rows.
+SPREAD_FANOUT = 10
+SPREAD_TASKS = 10_000
+SPLIT_ROWS = 1_000_000
+
+
 class FanoutTooLarge(RuntimeError):
     """The joined frame would hold more rows than the caller allows."""
 
@@ -202,17 +210,23 @@ class FanoutJoin:
         # As doubles: a total past the range of a long must still reach the refusal below.
         largest = [F.max(f"rows_{at + 1}") for at in range(len(self.sides))]
         counts = self.per_key().withColumn("joined", self._product_as_double())
-        total, top, *groups = counts.agg(F.sum("joined"), F.max("joined"), *largest).first()
-        if max_rows is not None and (total or 0) > max_rows:
+        row = counts.agg(F.sum("rows_0"), F.sum("joined"), F.max("joined"), *largest).first()
+        core_rows, total, top, *groups = [value or 0 for value in row]
+        if max_rows is not None and total > max_rows:
             raise FanoutTooLarge(f"fan-out on {self.key}: {total:.0f} rows, allowed are {max_rows}")
-        if (top or 0) <= cell_rows:
-            joined = self._join_whole()
+        small = self._small_sides(groups) if top > cell_rows else []
+        large = tuple(side for at, side in enumerate(self.sides) if at not in small)
+        heavy = None
+        if top > cell_rows and large:
+            rest = FanoutJoin(self.core, self.key, large, self.how)
+            heavy = rest.heavy_keys(cell_rows)
+        if heavy is not None:
+            joined = rest._join_in_cells(heavy)
         else:
-            small = self._small_sides([group or 0 for group in groups])
-            large = tuple(side for at, side in enumerate(self.sides) if at not in small)
-            joined = FanoutJoin(self.core, self.key, large, self.how)._join_spread(cell_rows)
-            for at in small:
-                joined = joined.join(F.broadcast(self.sides[at]), self.key, self.how)
+            core = _spread(self.core, core_rows, total, cell_rows)
+            joined = FanoutJoin(core, self.key, large, self.how)._join_whole()
+        for at in small:
+            joined = joined.join(F.broadcast(self.sides[at]), self.key, self.how)
         return joined.select(*map(quoted, self.columns))
 
     def _join_whole(self) -> DataFrame:
@@ -229,12 +243,6 @@ class FanoutJoin:
                 small.append(at)
         return small
 
-    def _join_spread(self, cell_rows: int) -> DataFrame:
-        if not self.sides:
-            return self.core
-        heavy = self.heavy_keys(cell_rows)
-        return self._join_whole() if heavy is None else self._join_in_cells(heavy)
-
     def _product_as_double(self) -> Column:
         return reduce(
             mul, [self._multiplier(at).cast("double") for at in range(len(self.sides) + 1)]
@@ -308,3 +316,14 @@ class FanoutJoin:
         return copies.select(
             *map(quoted, columns), *[f"__split_{n}" for n in tables], number.alias("__cell")
         )
+
+
+def _spread(core: DataFrame, core_rows: int, joined_rows: float, cell_rows: int) -> DataFrame:
+    """``core`` over as many tasks as its joined rows call for, if it is read in far fewer.
+
+    Broadcast sides leave a core where it is read, and a small one is read in few tasks, however
+    many rows each of its rows gives.
+    """
+    tasks = min(ceil(joined_rows / cell_rows), SPREAD_TASKS)
+    worthwhile = joined_rows >= SPREAD_FANOUT * core_rows
+    return core.repartition(tasks) if worthwhile and tasks > 1 + core_rows / SPLIT_ROWS else core

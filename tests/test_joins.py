@@ -267,7 +267,7 @@ def test_small_sides_move_no_core_row(spark, tmp_path):
         for name, n, copies in (("one", 500, 1), ("few", 60, 6), ("many", 9000, 300))
     ]
     join = FanoutJoin(core, "k", (one, few))
-    plan = plan_text(join.frame(cell_rows=1000))
+    plan = plan_text(join.frame(cell_rows=1000))  # its fan-out is about one
     assert plan.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in plan
     same_rows(join.frame(cell_rows=1000), plain(join))
     join = FanoutJoin(core, "k", (one, many, few))
@@ -280,6 +280,19 @@ def test_small_sides_move_no_core_row(spark, tmp_path):
     )
 
 
+def test_small_core_with_many_joined_rows_is_spread(spark, tmp_path):
+    spark.range(1000).coalesce(1).selectExpr("id AS k", "id AS core_id").write.parquet(
+        f"{tmp_path}/core"
+    )
+    core = spark.read.parquet(f"{tmp_path}/core")
+    for copies, expected in ((200, 8), (5, 1)):
+        side = spark.range(1000 * copies).selectExpr("id % 1000 AS k", "id AS side_id")
+        joined = FanoutJoin(core, "k", (side.hint("broadcast"),)).frame(cell_rows=25_000)
+        tasks = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert len(tasks) == expected and sum(n for _, n in tasks) == 1000 * copies
+        assert max(n for _, n in tasks) <= 1.5 * 1000 * copies / expected
+
+
 def test_dealt_sides_are_never_broadcast(spark):
     join = hot_join(spark, 1, "left")
     cells = join._join_in_cells(join.heavy_keys(30))
