@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from martloom.plans import retail
 
+try:
+    from martloom.llm import registry as llm
+except ImportError:  # the library without its subpackage of training-data operators
+    llm = None
+
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
 # Oracle pieces shared by several queries.
@@ -32,7 +37,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    found = {
         "scan_row_count": retail.scan_row_count,
         "rename_project": retail.rename_project,
         "core_star_left": retail.core_star_left,
@@ -57,10 +62,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "contract_backtest": retail.contract_backtest,
         "delivery_report": retail.delivery_report,
     }
+    return found | llm.queries() if llm else found
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    found = {
         "scan_row_count": "SELECT count(*) AS row_count FROM orders",
         "rename_project": """
             SELECT c_custkey AS customer_id, c_name AS customer_name,
@@ -161,3 +167,4 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) AS n_sent, count(*) FILTER (WHERE event_id IS NULL) AS n_null_keys
             FROM events""",
     }
+    return found | llm.oracle_sql() if llm else found
