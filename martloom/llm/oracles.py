@@ -124,7 +124,7 @@ OP10 = f"""
     f AS (
         SELECT *, row_number() OVER same AS place, first_value(page_id) OVER same AS first
         FROM p WINDOW same AS (PARTITION BY payload ORDER BY page_id NULLS LAST))
-    SELECT page_id, CAST(octet_length(CAST(payload AS BLOB)) AS BIGINT) AS payload_bytes,
+    SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes,
            array_to_string([substr('{BASE32}', 1 + CAST(
                16 * CAST(substr(bits, 5 * i + 1, 1) AS INT)
                + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT)

@@ -31,31 +31,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from martloom.llm.common import texts_of
+from martloom.llm.common import text_blocks, texts_of
 from martloom.sinks.scratch import staged
 
 SHARD_TOKENS = 1 << 20
 END_ID = 2
 MAGIC = b"MWM1"
 RANK_BITS = 512
-CACHED_CHUNKS = 200_000
+CACHED_CHUNKS = 400_000
 
 # A space that is followed by no white space always begins a new unit of a byte-level vocabulary
 # with the usual pattern, so a text may be cut before it and the parts encoded on their own.
-CUT = re.compile(r"(?= \S)")
+CUT = re.compile(r" (?=\S)")
+OTHER_SPACE = re.compile(r" (?!\S)")
+JOINED_CHARS = 1 << 16
 
 
 class ChunkEncoder:
-    """Encodes with the ``tokenizers`` library, each distinct chunk of text once.
+    """Encodes with the ``tokenizers`` library, each distinct chunk between cuts once.
 
-    Only for vocabularies with byte-level units and without a normaliser; others, and texts that
-    hold a special token (its neighbours are cut by another rule), go to the library whole.
+    New chunks of a block are encoded on end; as every id stands for a known number of bytes, the
+    ids of each chunk are told by its length. Only for byte-level vocabularies without a
+    normaliser; others, and texts that hold a special token (next to which the pattern cuts
+    otherwise), go to the library whole.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        added = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = [str(token) for token in map(lambda t: t.content, added)]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         unit = repr(self.tokenizer.pre_tokenizer)
         self.in_chunks = (
             self.tokenizer.normalizer is None
@@ -63,23 +66,57 @@ class ChunkEncoder:
             and unit.startswith("ByteLevel(add_prefix_space=False")
             and "use_regex=True" in unit
         )
+        # Byte-level tokens are written with one character for each byte.
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+        for token, at in vocabulary.items():
+            self.lengths[at] = len(token)
         self.known: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, "<u4").tobytes() for one in found]
 
-    def __call__(self, text: str) -> np.ndarray:
-        if not self.in_chunks or any(token in text for token in self.special):
-            return np.frombuffer(self.whole([text])[0], "<u4")
-        chunks = CUT.split(text) if text else []
-        new = [chunk for chunk in set(chunks) if chunk not in self.known]
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        cut = [self._cut(text) for text in texts]
+        new = {chunk for chunks in cut if chunks for chunk in chunks[1:]} - self.known.keys()
         if len(self.known) + len(new) > CACHED_CHUNKS:
             self.known.clear()
-            new = list(set(chunks))
-        if new:
-            self.known.update(zip(new, self.whole(new), strict=True))
-        return np.frombuffer(b"".join(map(self.known.__getitem__, chunks)), "<u4")
+            new = {chunk for chunks in cut if chunks for chunk in chunks[1:]}
+        self._learn(list(new))
+        first = self.whole([chunks[0] if chunks else text for text, chunks in zip(texts, cut)])
+        found = []
+        for lead, chunks in zip(first, cut, strict=True):
+            rest = b"".join(map(self.known.__getitem__, chunks[1:])) if chunks else b""
+            found.append(np.frombuffer(lead + rest, "<u4"))
+        return found
+
+    def _cut(self, text: str) -> list[str] | None:
+        """The text's chunks, all but the first without the space they begin with."""
+        if not self.in_chunks or any(token in text for token in self.special):
+            return None
+        return CUT.split(text) if OTHER_SPACE.search(text) else text.split(" ")
+
+    def _learn(self, chunks: list[str]) -> None:
+        at = 0
+        while at < len(chunks):
+            size, first = 0, at
+            while at < len(chunks) and size < JOINED_CHARS:
+                size += len(chunks[at]) + 1
+                at += 1
+            joined = [f" {chunk}" for chunk in chunks[first:at]]
+            ids = np.frombuffer(self.whole(["".join(joined)])[0], "<u4")
+            ends = np.cumsum([len(chunk.encode()) for chunk in joined])
+            places = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
+            raw, begin = ids.tobytes(), 0
+            for chunk, end in zip(chunks[first:at], (places * 4).tolist(), strict=True):
+                self.known[chunk] = raw[begin:end]
+                begin = end
+
+
+def zeros_first(ones: np.ndarray) -> np.ndarray:
+    """Places of the zeros, then of the ones, each in order."""
+    return np.concatenate([np.flatnonzero(~ones), np.flatnonzero(ones)])
 
 
 class WaveletShard:
@@ -114,16 +151,16 @@ class WaveletShard:
         row = ids.astype(np.uint16 if planes <= 16 else np.uint32)
         zeros, packed, ranks = [], [], []
         for plane in range(planes - 1, -1, -1):
-            ones = (row >> plane & 1).astype(bool)
+            ones = (row & row.dtype.type(1 << plane)) != 0
             bits = np.packbits(ones)
-            first, second = row[~ones], row[ones]
-            zeros.append(len(first))
+            order = zeros_first(ones)
+            zeros.append(n - int(np.count_nonzero(ones)))
             packed.append(bits.tobytes())
             held = np.zeros(n // RANK_BITS * (RANK_BITS // 8), np.uint8)
             held[:] = bits[: len(held)]
             per_block = np.bitwise_count(held).reshape(-1, RANK_BITS // 8).sum(1, dtype=np.int64)
             ranks.append(np.concatenate([[0], np.cumsum(per_block)]).astype("<i8").tobytes())
-            row = np.concatenate([first, second])
+            row = row.take(order)
         raw = [
             struct.pack("<3q", n, len(doc_ids), planes),
             np.array(zeros, "<i8").tobytes(),
@@ -205,11 +242,9 @@ class WaveletShard:
         row = np.zeros(self.length, np.uint16 if len(self.zeros) <= 16 else np.uint32)
         for plane in range(len(self.zeros) - 1, -1, -1):
             ones = np.unpackbits(self.planes[plane], count=self.length).astype(bool)
+            row[self.zeros[plane] :] |= row.dtype.type(1 << (len(self.zeros) - 1 - plane))
             above = np.empty_like(row)
-            above[~ones] = row[: self.zeros[plane]]
-            above[ones] = row[self.zeros[plane] :] | row.dtype.type(
-                1 << (len(self.zeros) - 1 - plane)
-            )
+            above[zeros_first(ones)] = row
             row = above
         return row
 
@@ -227,9 +262,9 @@ def shards(docs: DataFrame, vocabulary: str, shard_tokens: int = SHARD_TOKENS) -
             row = {"part": part, "number": next(number), "n_tokens": held, "blob": blob}
             return pa.RecordBatch.from_pylist([row], schema)
 
-        for batch in batches:
-            for name, text in zip(batch.column("doc_id").to_pylist(), texts_of(batch), strict=True):
-                found = encode(text)
+        for block, _, _ in text_blocks(batches, "text"):
+            encoded = encode(texts_of(block))
+            for name, found in zip(block.column("doc_id").to_pylist(), encoded, strict=True):
                 ids += [found, end]
                 names.append(name)
                 lengths.append(len(found) + 1)
