@@ -24,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import text_blocks
+from martloom.llm.common import sql_name, text_blocks
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
 EXHAUSTIVE = 7
 CODES_TRIED = 200
-SHARPNESS = 12.0
-AMBIGUOUS = 0.2
+SHARPNESS = 2.0
+AMBIGUOUS = 1.0
 UNKNOWN = "und"
 
 # ASCII letters in lower case; every other ASCII byte counts as a gap between words.
@@ -185,10 +185,6 @@ def identified(docs: DataFrame, model: Model, *carried: Column) -> DataFrame:
         F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__letters"),
         *carried,
     )
-    fields = [f"{quoted_name(f.name)} {f.dataType.simpleString()}" for f in rows.schema[2:]]
+    fields = [f"{sql_name(f.name)} {f.dataType.simpleString()}" for f in rows.schema[2:]]
     added = ["lang_pred string", "score double", "ambiguous boolean"]
     return rows.mapInArrow(run, ", ".join([*fields, *added]))
-
-
-def quoted_name(name: str) -> str:
-    return f"`{name.replace('`', '``')}`"

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
 from martloom.functions.names import quoted
-from martloom.llm.common import text_blocks, texts_of
+from martloom.llm.common import sql_name, text_blocks, texts_of
 
 SPACE = "▁".encode()
 REPLACEMENT = "�".encode()
@@ -245,5 +245,5 @@ def encoded(docs: DataFrame, model_path: str) -> DataFrame:
             )
 
     added = "ids array<int>, begins array<long>, ends array<long>, decoded string"
-    fields = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema)
+    fields = ", ".join(f"{sql_name(f.name)} {f.dataType.simpleString()}" for f in kept.schema)
     return kept.mapInArrow(run, f"{fields}, {added}")

@@ -8,8 +8,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martloom.llm import archives, exact_search, mixing, oracles, token_shards
-from martloom.llm.common import table
+from martloom.llm import (
+    archives,
+    code_search,
+    exact_search,
+    languages,
+    mixing,
+    oracles,
+    pieces,
+    quality,
+    token_shards,
+)
+from martloom.llm.common import crc_remainder, table
+
+
+def op1_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_remainder("doc_id", 5) == 0
+    model = languages.learned(docs.where(~held_out))
+    return languages.identified(docs, model, F.col("doc_id"), held_out.alias("held_out"))
 
 
 def op2_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,14 +35,32 @@ def op2_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.document_digests(files)
 
 
+def op5_preference_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_remainder("doc_id", 4) == 2
+    model = quality.learned(docs, labels.where(~held_out))
+    found = quality.scored(docs, model, F.col("doc_id"), held_out.alias("held_out"))
+    passed = (F.col("score") >= quality.AT_THRESHOLD).cast("int")
+    return found.withColumn("predicted", passed)
+
+
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_search.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
 
 
+def op7_piece_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pieces.digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_apportioned_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
 
+def op9_multi_index_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return code_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
 def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = archives.read_archives(archives.written(table(spark, sf_dir, "pages")))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -33,9 +68,13 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language_codes": op1_language_codes,
         "op2_wavelet_shards": op2_wavelet_shards,
+        "op5_preference_ranking": op5_preference_ranking,
         "op6_exact_top_k": op6_exact_top_k,
+        "op7_piece_spans": op7_piece_spans,
         "op8_apportioned_mix": op8_apportioned_mix,
+        "op9_multi_index_codes": op9_multi_index_codes,
         "op10_warc_zstd": op10_warc_zstd,
     }
 

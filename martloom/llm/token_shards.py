@@ -38,7 +38,7 @@ SHARD_TOKENS = 1 << 20
 END_ID = 2
 MAGIC = b"MWM1"
 RANK_BITS = 512
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 1_000_000
 
 # A space that is followed by no white space always begins a new unit of a byte-level vocabulary
 # with the usual pattern, so a text may be cut before it and the parts encoded on their own.
@@ -106,12 +106,11 @@ class ChunkEncoder:
                 at += 1
             joined = [f" {chunk}" for chunk in chunks[first:at]]
             ids = np.frombuffer(self.whole(["".join(joined)])[0], "<u4")
-            ends = np.cumsum([len(chunk.encode()) for chunk in joined])
+            ends = np.cumsum([len(chunk) for chunk in map(str.encode, joined)])
             places = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
-            raw, begin = ids.tobytes(), 0
-            for chunk, end in zip(chunks[first:at], (places * 4).tolist(), strict=True):
-                self.known[chunk] = raw[begin:end]
-                begin = end
+            raw, stops = ids.tobytes(), (places * 4).tolist()
+            parts = [raw[a:b] for a, b in zip([0, *stops], stops)]
+            self.known.update(zip(chunks[first:at], parts, strict=True))
 
 
 def zeros_first(ones: np.ndarray) -> np.ndarray:

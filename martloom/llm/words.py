@@ -92,3 +92,31 @@ def distinct(values: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
         row = np.sort(values[a:b])
         found.append(row[np.concatenate([[True], row[1:] != row[:-1]])] if len(row) else row)
     return found
+
+
+def shingle_hashes(
+    words: np.ndarray, bounds: np.ndarray, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every ``width`` neighbouring words, and the number of them before each text.
+
+    A text of fewer words has its whole sequence as the only one; one without words has none.
+    """
+    counts = np.diff(bounds)
+    rows = np.where(counts >= width, counts - width + 1, np.minimum(counts, 1))
+    out = np.concatenate([[0], np.cumsum(rows)])
+    if not out[-1]:
+        return np.zeros(0, np.uint64), out
+    sums = np.zeros(len(words), np.uint64)
+    short = counts < width
+    for ahead in range(width):
+        moved = np.zeros(len(words), np.uint64)
+        moved[: len(words) - ahead] = words[ahead:]
+        sums = mixed(sums * BASE + moved + STEP)
+    firsts = np.repeat(bounds[:-1], rows) + np.arange(out[-1]) - np.repeat(out[:-1], rows)
+    hashes = sums[firsts]
+    for at in np.flatnonzero(short & (counts > 0)):
+        whole = np.uint64(counts[at])
+        for word in words[bounds[at] : bounds[at + 1]]:
+            whole = mixed(np.array([whole * BASE + word + MIX]))[0]
+        hashes[out[at]] = whole
+    return hashes, out
