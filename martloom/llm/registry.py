@@ -14,6 +14,7 @@ from martloom.llm import (
     exact_search,
     languages,
     mixing,
+    near_dups,
     oracles,
     pieces,
     quality,
@@ -35,6 +36,10 @@ def op2_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.document_digests(files)
 
 
+def op4_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op5_preference_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     held_out = crc_remainder("doc_id", 4) == 2
@@ -70,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_codes": op1_language_codes,
         "op2_wavelet_shards": op2_wavelet_shards,
+        "op4_minhash_components": op4_minhash_components,
         "op5_preference_ranking": op5_preference_ranking,
         "op6_exact_top_k": op6_exact_top_k,
         "op7_piece_spans": op7_piece_spans,

@@ -115,8 +115,8 @@ def shingle_hashes(
     firsts = np.repeat(bounds[:-1], rows) + np.arange(out[-1]) - np.repeat(out[:-1], rows)
     hashes = sums[firsts]
     for at in np.flatnonzero(short & (counts > 0)):
-        whole = np.uint64(counts[at])
+        whole = counts[at : at + 1].astype(np.uint64)
         for word in words[bounds[at] : bounds[at + 1]]:
-            whole = mixed(np.array([whole * BASE + word + MIX]))[0]
-        hashes[out[at]] = whole
+            whole = mixed(whole * BASE + word + MIX)
+        hashes[out[at]] = whole[0]
     return hashes, out
