@@ -18,6 +18,7 @@ from martloom.llm import (
     oracles,
     pieces,
     quality,
+    sanitise,
     token_shards,
 )
 from martloom.llm.common import crc_remainder, table
@@ -36,6 +37,10 @@ def op2_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.document_digests(files)
 
 
+def op3_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sanitise.found(table(spark, sf_dir, "documents"))
+
+
 def op4_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
@@ -75,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_codes": op1_language_codes,
         "op2_wavelet_shards": op2_wavelet_shards,
+        "op3_disclosure": op3_disclosure,
         "op4_minhash_components": op4_minhash_components,
         "op5_preference_ranking": op5_preference_ranking,
         "op6_exact_top_k": op6_exact_top_k,
