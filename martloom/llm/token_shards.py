@@ -22,9 +22,11 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -38,13 +40,15 @@ SHARD_TOKENS = 1 << 20
 END_ID = 2
 MAGIC = b"MWM1"
 RANK_BITS = 512
-CACHED_CHUNKS = 1_000_000
+CACHED_CHUNKS = 600_000
+# Larger blocks repeat more of their chunks.
+BLOCK_BYTES = 8 << 20
 
 # A space that is followed by no white space always begins a new unit of a byte-level vocabulary
-# with the usual pattern, so a text may be cut before it and the parts encoded on their own.
-CUT = re.compile(r" (?=\S)")
+# with the usual pattern, so a text may be cut before it and the parts encoded on their own. Texts
+# with any other space are not cut.
 OTHER_SPACE = re.compile(r" (?!\S)")
-JOINED_CHARS = 1 << 16
+JOINED_CHARS = 1 << 13
 
 
 class ChunkEncoder:
@@ -78,27 +82,57 @@ class ChunkEncoder:
         return [np.array(one.ids, "<u4").tobytes() for one in found]
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self._cut(text) for text in texts]
-        new = {chunk for chunks in cut if chunks for chunk in chunks[1:]} - self.known.keys()
+        """The ids of each text. Chunks are told apart by Arrow, and Python sees each one once."""
+        plain = [self.in_chunks and not self._irregular(text) for text in texts]
+        cut = pc.split_pattern(pa.array([t for t, p in zip(texts, plain) if p], pa.large_string()), " ")
+        first = self.whole(
+            [text[: text.find(" ")] if p and " " in text else text for text, p in zip(texts, plain)]
+        )
+        coded = cut.flatten().dictionary_encode()
+        chunks = coded.dictionary.to_pylist()
+        parts = self._known(chunks)
+        ids = np.frombuffer(b"".join(parts), "<u4")
+        lengths = np.fromiter(map(len, parts), np.int32, len(parts)) // 4
+        starts = np.cumsum(lengths, dtype=np.int32) - lengths
+        at = coded.indices.to_numpy()
+        counts = lengths[at]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        # Each chunk's ids lie on end: one step to the next id, a jump from chunk to chunk.
+        steps = np.ones(ends[-1], np.int32)
+        full = np.flatnonzero(counts)
+        begins = starts[at[full]]
+        steps[ends[full]] = np.diff(begins, prepend=0) - np.concatenate([[0], counts[full][:-1] - 1])
+        joined = ids[np.cumsum(steps, dtype=np.int32)]
+        # The first chunk of a text has no space before it, so it was encoded on its own.
+        bounds = cut.offsets.to_numpy()
+        rest = iter([joined[ends[a + 1] : ends[b]] for a, b in zip(bounds, bounds[1:], strict=False)])
+        return [
+            np.concatenate([np.frombuffer(lead, "<u4"), next(rest)]) if p else np.frombuffer(lead, "<u4")
+            for lead, p in zip(first, plain, strict=True)
+        ]
+
+    def _irregular(self, text: str) -> bool:
+        """Whether a text must go to the library whole: empty, with a special token, or with a
+        space that does not begin a unit."""
+        return (
+            not text
+            or any(token in text for token in self.special)
+            or OTHER_SPACE.search(text) is not None
+        )
+
+    def _known(self, chunks: list[str]) -> list[bytes]:
+        found = list(map(self.known.get, chunks))
+        new = [chunk for chunk, part in zip(chunks, found, strict=True) if part is None]
         if len(self.known) + len(new) > CACHED_CHUNKS:
             self.known.clear()
-            new = {chunk for chunks in cut if chunks for chunk in chunks[1:]}
-        self._learn(list(new))
-        first = self.whole([chunks[0] if chunks else text for text, chunks in zip(texts, cut)])
-        found = []
-        for lead, chunks in zip(first, cut, strict=True):
-            rest = b"".join(map(self.known.__getitem__, chunks[1:])) if chunks else b""
-            found.append(np.frombuffer(lead + rest, "<u4"))
+        if new:
+            learned = self._learn(new)
+            self.known.update(learned)
+            found = [part or learned[chunk] for chunk, part in zip(chunks, found, strict=True)]
         return found
 
-    def _cut(self, text: str) -> list[str] | None:
-        """The text's chunks, all but the first without the space they begin with."""
-        if not self.in_chunks or any(token in text for token in self.special):
-            return None
-        return CUT.split(text) if OTHER_SPACE.search(text) else text.split(" ")
-
-    def _learn(self, chunks: list[str]) -> None:
-        at = 0
+    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        at, learned = 0, {}
         while at < len(chunks):
             size, first = 0, at
             while at < len(chunks) and size < JOINED_CHARS:
@@ -110,7 +144,8 @@ class ChunkEncoder:
             places = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
             raw, stops = ids.tobytes(), (places * 4).tolist()
             parts = [raw[a:b] for a, b in zip([0, *stops], stops)]
-            self.known.update(zip(chunks[first:at], parts, strict=True))
+            learned.update(zip(chunks[first:at], parts, strict=True))
+        return learned
 
 
 def zeros_first(ones: np.ndarray) -> np.ndarray:
@@ -118,6 +153,12 @@ def zeros_first(ones: np.ndarray) -> np.ndarray:
     return np.concatenate([np.flatnonzero(~ones), np.flatnonzero(ones)])
 
 
+@lru_cache(1)
+def chunk_encoder(path: str) -> ChunkEncoder:
+    """One encoder per worker process, so that tasks share what it has learned."""
+    return ChunkEncoder(path)
+
+
 class WaveletShard:
     """One shard's file: the ids of its documents, on end, with rank and select."""
 
@@ -252,7 +293,7 @@ def shards(docs: DataFrame, vocabulary: str, shard_tokens: int = SHARD_TOKENS) -
     """``part, number, n_tokens, blob``: the shards' files, ordered by part and number."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = ChunkEncoder(vocabulary), TaskContext.get().partitionId()
+        encode, part = chunk_encoder(vocabulary), TaskContext.get().partitionId()
         ids, names, lengths, number, held = [], [], [], itertools.count(), 0
         end = np.array([END_ID], "<u4")
 
@@ -261,7 +302,7 @@ def shards(docs: DataFrame, vocabulary: str, shard_tokens: int = SHARD_TOKENS) -
             row = {"part": part, "number": next(number), "n_tokens": held, "blob": blob}
             return pa.RecordBatch.from_pylist([row], schema)
 
-        for block, _, _ in text_blocks(batches, "text"):
+        for block, _, _ in text_blocks(batches, "text", BLOCK_BYTES):
             encoded = encode(texts_of(block))
             for name, found in zip(block.column("doc_id").to_pylist(), encoded, strict=True):
                 ids += [found, end]
