@@ -138,15 +138,19 @@ def records(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 def trained(pages: DataFrame) -> bytes:
-    """A dictionary from a bounded sample; empty if there is too little to train on."""
+    """A dictionary from a bounded sample; empty if there is too little to train on.
+
+    The sample is chosen by numbers alone, so tasks send no page that is not used.
+    """
     size = F.octet_length("html")
-    sample = (
-        pages.where((size > 0) & (size <= SAMPLE_BYTES))
-        .orderBy(F.xxhash64("page_id"), "page_id")
-        .select("html")
-        .limit(SAMPLE_PAGES)
+    rows = pages.where((size > 0) & (size <= SAMPLE_BYTES)).select(
+        "html", F.xxhash64("page_id", "html").alias("drawn")
     )
-    texts = [row.html.encode() for row in sample.collect()]
+    last = rows.select("drawn").orderBy("drawn").limit(SAMPLE_PAGES).agg(F.max("drawn")).first()[0]
+    if last is None:
+        return b""
+    chosen = rows.where(F.col("drawn") <= last).groupBy("drawn").agg(F.min("html").alias("html"))
+    texts = [row.html.encode() for row in sorted(chosen.collect())]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes()
     except zstandard.ZstdError:

@@ -25,11 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return folder_reader(spark, sf_dir)(name)
 
 
-def sql_name(name: str) -> str:
-    """A column name as a schema in text form needs it."""
-    return f"`{name.replace('`', '``')}`"
-
-
 def crc_remainder(column: str, divisor: int) -> Column:
     """``crc32`` of the value as text, modulo ``divisor``; NULL counts as the empty text."""
     return F.crc32(F.coalesce(quoted(column).cast("string"), F.lit("")).cast("binary")) % divisor

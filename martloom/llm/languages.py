@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.llm.common import sql_name, text_blocks
+from martloom.functions.names import quoted_name
+from martloom.llm.common import text_blocks
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
@@ -185,6 +186,6 @@ def identified(docs: DataFrame, model: Model, *carried: Column) -> DataFrame:
         F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("__letters"),
         *carried,
     )
-    fields = [f"{sql_name(f.name)} {f.dataType.simpleString()}" for f in rows.schema[2:]]
+    fields = [f"{quoted_name(f.name)} {f.dataType.simpleString()}" for f in rows.schema[2:]]
     added = ["lang_pred string", "score double", "ambiguous boolean"]
     return rows.mapInArrow(run, ", ".join([*fields, *added]))

@@ -43,7 +43,7 @@ class Mix:
     seed: str = "mix"
 
 
-def measured(docs: DataFrame, mix: Mix, *carried: str) -> DataFrame:
+def measured(docs: DataFrame, mix: Mix, *carried: Column) -> DataFrame:
     """``doc_id, source, size, draw`` and ``carried``; ``draw`` orders documents by the seed."""
     text = F.coalesce(F.col("text"), F.lit(""))
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
@@ -52,7 +52,7 @@ def measured(docs: DataFrame, mix: Mix, *carried: str) -> DataFrame:
         "source",
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.concat_ws(":", F.lit(mix.seed), name, F.md5(text))).alias("draw"),
-        *map(quoted, carried),
+        *carried,
     )
 
 
@@ -118,7 +118,7 @@ def apportioned(groups: DataFrame, within: list[str], weight: Column, seats: Col
     )
 
 
-def placed(docs: DataFrame, mix: Mix, *carried: str) -> DataFrame:
+def placed(docs: DataFrame, mix: Mix, *carried: Column) -> DataFrame:
     """One row per document with its place in its shard and the shard's quota of blocks.
 
     Columns: those of ``measured``, ``source_size``, ``target``, ``passes`` (whole passes over the
@@ -196,7 +196,7 @@ def placed(docs: DataFrame, mix: Mix, *carried: str) -> DataFrame:
         "blocks",
         "quota",
         "start",
-        *map(quoted, carried),
+        *[name for name in laid.columns if name == "doc"],
     )
 
 
@@ -234,18 +234,17 @@ def mixed_texts(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     partial pass takes of it: the words of the taken blocks, each with the white space before it.
     ``n_chars``, if there is one, is counted anew.
     """
-    names = docs.columns
-    carried = [name for name in names if name not in ("doc_id", "source")]
-    rows = placed(docs, mix, *carried)
+    rows = placed(docs, mix, F.struct(*map(quoted, docs.columns)).alias("doc"))
     taken = words_before(F.col("end"), mix) - words_before(F.col("begin"), mix)
-    pieces = F.regexp_extract_all(F.col("text"), F.lit(f"[{BLANK}]*{WORD}"), F.lit(0))
+    pieces = F.regexp_extract_all(F.col("doc.text"), F.lit(f"[{BLANK}]*{WORD}"), F.lit(0))
     kept = F.filter(
         pieces,
         lambda _, at: blocks_before(F.floor((F.col("begin") + at) / mix.block_words) + 1)
         > blocks_before(F.floor((F.col("begin") + at) / mix.block_words)),
     )
     cut = F.ltrim(F.array_join(kept, ""))
-    text = F.when(F.col("copy") | (F.col("taken") == F.col("size")), F.col("text")).otherwise(cut)
+    whole = F.col("whole") | (F.col("taken") == F.col("size"))
+    text = F.when(whole, F.col("doc.text")).otherwise(cut)
     copies = F.concat(
         F.array_repeat(F.lit(True), F.col("passes").cast("int")),
         F.array_repeat(F.lit(False), F.when(F.col("taken") > 0, 1).otherwise(0)),
@@ -253,9 +252,12 @@ def mixed_texts(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     out = (
         rows.where(F.col("size") > 0)
         .withColumn("taken", taken)
-        .withColumn("copy", F.explode(copies))
-        .withColumn("text", text)
+        .withColumn("whole", F.explode(copies))
+        .withColumn("words", text)
+    )
+    anew = {"text": F.col("words")}
+    if "n_chars" in docs.columns:
+        anew["n_chars"] = F.char_length("words").cast(docs.schema["n_chars"].dataType)
+    return out.select(
+        *[anew.get(name, F.col("doc").getField(name)).alias(name) for name in docs.columns]
     )
-    if "n_chars" in names:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*map(quoted, names))

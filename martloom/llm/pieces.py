@@ -17,6 +17,7 @@ import hashlib
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +25,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 
-from martloom.functions.names import quoted
-from martloom.llm.common import sql_name, text_blocks, texts_of
+from martloom.functions.names import quoted, quoted_name
+from martloom.llm.common import text_blocks, texts_of
 
 SPACE = "▁".encode()
 REPLACEMENT = "�".encode()
@@ -190,44 +191,61 @@ class PieceEncoder:
         return aligned.source[ends - lengths], aligned.source[ends]
 
 
-def digests(docs: DataFrame, model_path: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256, covered`` per document.
+@lru_cache(1)
+def piece_encoder(path: str) -> PieceEncoder:
+    """One encoder per worker process."""
+    return PieceEncoder(path)
+
+
+def digests(docs: DataFrame, model_path: str, with_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256, covered`` per document, and its ``ids``.
 
     ``covered`` is how many bytes of the text the pieces' spans cover.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(model_path)
+        encoder = piece_encoder(model_path)
         for block, data, offsets in text_blocks(batches, "text"):
-            texts = texts_of(block)
-            ids = encoder.encode(texts)
+            ids = encoder.encode(texts_of(block))
             joined = [",".join(map(encoder.names.__getitem__, one)) for one in ids]
             covered = []
             for one, a, b in zip(ids, offsets, offsets[1:], strict=False):
                 begins, ends = encoder.spans(data[a:b].tobytes(), one)
                 covered.append(int(ends[-1] - begins[0]) if len(ends) else 0)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    block.column("doc_id"),
-                    pa.array([len(one) for one in ids], pa.int64()),
-                    pa.array([hashlib.sha256(x.encode()).hexdigest() for x in joined]),
-                    pa.array([hashlib.sha256(x.encode()).hexdigest() for x in encoder.decode(ids)]),
-                    pa.array(covered, pa.int64()),
-                ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "covered"],
-            )
+            columns = {
+                "doc_id": block.column("doc_id"),
+                "n_tokens": pa.array([len(one) for one in ids], pa.int64()),
+                "ids_sha256": pa.array(map(_sha256, joined), pa.string()),
+                "decoded_sha256": pa.array(map(_sha256, encoder.decode(ids)), pa.string()),
+                "covered": pa.array(covered, pa.int64()),
+            }
+            if with_ids:
+                columns["ids"] = _lists(ids, np.int32)
+            yield pa.RecordBatch.from_pydict(columns)
 
     out = "n_tokens long, ids_sha256 string, decoded_sha256 string, covered long"
+    out += ", ids array<int>" if with_ids else ""
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {out}")
 
 
+def _sha256(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def _lists(rows: list, kind: type) -> pa.ListArray:
+    """Lists of numbers, on end in one buffer."""
+    ends = np.cumsum([0, *map(len, rows)])
+    values = np.concatenate([*map(np.asarray, rows), np.zeros(0)]).astype(kind)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+
+
 def encoded(docs: DataFrame, model_path: str) -> DataFrame:
     """``docs`` with ``ids``, ``begins`` and ``ends`` (source bytes of each id) and ``decoded``."""
     kept = docs.select(*[quoted(name) for name in docs.columns if name not in RESULTS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(model_path)
+        encoder = piece_encoder(model_path)
         for block, data, offsets in text_blocks(batches, "text"):
             ids = encoder.encode(texts_of(block))
             spans = [
@@ -235,9 +253,9 @@ def encoded(docs: DataFrame, model_path: str) -> DataFrame:
                 for one, a, b in zip(ids, offsets, offsets[1:], strict=False)
             ]
             columns = [
-                pa.array(ids, pa.list_(pa.int32())),
-                pa.array([begins for begins, _ in spans], pa.list_(pa.int64())),
-                pa.array([ends for _, ends in spans], pa.list_(pa.int64())),
+                _lists(ids, np.int32),
+                _lists([begins for begins, _ in spans], np.int64),
+                _lists([ends for _, ends in spans], np.int64),
                 pa.array(encoder.decode(ids), pa.string()),
             ]
             yield pa.RecordBatch.from_arrays(
@@ -245,5 +263,5 @@ def encoded(docs: DataFrame, model_path: str) -> DataFrame:
             )
 
     added = "ids array<int>, begins array<long>, ends array<long>, decoded string"
-    fields = ", ".join(f"{sql_name(f.name)} {f.dataType.simpleString()}" for f in kept.schema)
+    fields = ", ".join(f"{quoted_name(f.name)} {f.dataType.simpleString()}" for f in kept.schema)
     return kept.mapInArrow(run, f"{fields}, {added}")

@@ -274,11 +274,9 @@ def sanitised(docs: DataFrame) -> DataFrame:
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
     spans = all_spans(docs).withColumn("past", F.coalesce(before, F.lit(0).cast("long")))
     listed = F.array_sort(F.collect_list(F.struct("start", "end", "kind", "past", "word")))
-    by_row = spans.groupBy("row").agg(listed.alias("__spans"), F.max("end").alias("__last"))
+    by_row = spans.groupBy(F.col("row").alias("__of")).agg(listed.alias("__spans"), F.max("end").alias("__last"))
     by_row = staged(by_row, "pii-rows")
     small = F.broadcast(by_row) if fits_broadcast(by_row) else by_row
-    names = [name for name in docs.columns if name not in ("text", "n_chars")]
-
     def piece(span: Column) -> Column:
         gap = F.substring("text", (span["past"] + 1).cast("int"), (span["start"] - span["past"]).cast("int"))
         return F.when(span["start"] >= span["past"], F.concat(gap, _mask(span))).otherwise("")
@@ -286,9 +284,8 @@ def sanitised(docs: DataFrame) -> DataFrame:
     tail = F.substring("text", (F.col("__last") + 1).cast("int"), F.char_length("text"))
     cleaned = F.concat(F.array_join(F.transform("__spans", piece), ""), tail)
     text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cleaned)
-    joined = numbered(docs).join(small, F.col("__row") == F.col("row"), "left")
-    out = joined.select(*map(quoted, names), text.alias("text"))
+    joined = numbered(docs).join(small, F.col("__row") == F.col("__of"), "left")
+    anew = {"text": text}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.char_length("text").cast(kind))
-    return out.select(*map(quoted, docs.columns))
+        anew["n_chars"] = F.char_length(text).cast(docs.schema["n_chars"].dataType)
+    return joined.select(*[anew.get(name, quoted(name)).alias(name) for name in docs.columns])
