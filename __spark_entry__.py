@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from martloom.plans import retail
 
 try:
+    import corpus_pipeline
     from martloom.llm import registry as llm
 except ImportError:  # the library without its subpackage of training-data operators
     llm = None
@@ -62,7 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "contract_backtest": retail.contract_backtest,
         "delivery_report": retail.delivery_report,
     }
-    return found | llm.queries() if llm else found
+    return found | llm.queries() | {"pipeline": corpus_pipeline.run} if llm else found
 
 
 def oracle_sql() -> dict[str, str]:
