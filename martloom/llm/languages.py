@@ -92,6 +92,8 @@ class Model:
             up, down = rates[code[:, bit] > 0].mean(0), rates[code[:, bit] < 0].mean(0)
             weights[:BUCKETS, bit] = np.log(up / down)
         apart = (rates @ weights[:BUCKETS]) * code
+        if not languages:
+            return Model(languages, code, weights, np.zeros(code.shape[1], np.float32))
         trust = np.maximum(apart.min(0), 1e-3)
         return Model(languages, code, weights, (trust / trust.sum()).astype(np.float32))
 
@@ -138,7 +140,11 @@ def counted(docs: DataFrame) -> DataFrame:
         for lang, row in sums.items():
             full = np.flatnonzero(row)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(full)), pa.array(full, pa.int32()), pa.array(row[full])],
+                [
+                    pa.array([lang] * len(full), pa.string()),
+                    pa.array(full, pa.int32()),
+                    pa.array(row[full], pa.int64()),
+                ],
                 ["lang", "bucket", "n"],
             )
 
@@ -175,7 +181,7 @@ def identified(docs: DataFrame, model: Model, *carried: Column) -> DataFrame:
                 best, score, gap = model.decoded(model.margins(data, offsets))
                 best = np.where(letters, best, len(model.languages))
                 score, gap = np.where(letters, score, 0.0), np.where(letters, gap, 0.0)
-            added = [pa.array(names[best]), pa.array(score), pa.array(gap < AMBIGUOUS)]
+            added = [pa.array(names[best], pa.string()), pa.array(score), pa.array(gap < AMBIGUOUS)]
             yield pa.RecordBatch.from_arrays(
                 [*block.columns[2:], *added],
                 [*block.schema.names[2:], "lang_pred", "score", "ambiguous"],
