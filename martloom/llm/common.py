@@ -18,7 +18,7 @@ BLANK = r"\x20\x09-\x0D"
 WORD = f"[^{BLANK}]+"
 
 SALTS = 16
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

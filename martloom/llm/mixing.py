@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martloom.functions.names import quoted
+from martloom.functions.sizes import fits_broadcast
 from martloom.llm.common import BLANK, WORD
 from martloom.sinks.scratch import staged
 
@@ -43,16 +44,16 @@ class Mix:
     seed: str = "mix"
 
 
-def measured(docs: DataFrame, mix: Mix, *carried: Column) -> DataFrame:
-    """``doc_id, source, size, draw`` and ``carried``; ``draw`` orders documents by the seed."""
+def measured(docs: DataFrame, mix: Mix) -> DataFrame:
+    """``row, doc_id, source, size, draw``; ``draw`` orders documents by the seed."""
     text = F.coalesce(F.col("text"), F.lit(""))
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     return docs.select(
+        F.monotonically_increasing_id().alias("row"),
         "doc_id",
         "source",
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         F.md5(F.concat_ws(":", F.lit(mix.seed), name, F.md5(text))).alias("draw"),
-        *carried,
     )
 
 
@@ -118,13 +119,13 @@ def apportioned(groups: DataFrame, within: list[str], weight: Column, seats: Col
     )
 
 
-def placed(docs: DataFrame, mix: Mix, *carried: Column) -> DataFrame:
+def placed(docs: DataFrame, mix: Mix) -> DataFrame:
     """One row per document with its place in its shard and the shard's quota of blocks.
 
     Columns: those of ``measured``, ``source_size``, ``target``, ``passes`` (whole passes over the
     source), ``begin`` and ``end`` (words, in the shard), ``blocks``, ``quota``, ``start``.
     """
-    sizes = staged(measured(docs, mix, *carried), "mix-sizes")
+    sizes = staged(measured(docs, mix), "mix-sizes")
     block = mix.block_words
     targets = source_targets(sizes, mix).withColumn(
         "tie", F.struct(F.col("source").isNull(), F.col("source"))
@@ -133,7 +134,8 @@ def placed(docs: DataFrame, mix: Mix, *carried: Column) -> DataFrame:
         Window.unboundedPreceding, Window.unboundedFollowing
     )
     seats = F.round(F.sum("target").over(everything) / block).cast("long")
-    passes = F.coalesce(F.floor(F.col("target") / F.col("source_size")), F.lit(0)).cast("long")
+    passes = F.floor(F.try_divide("target", "source_size"))
+    passes = F.coalesce(passes, F.lit(0)).cast("long")
     rest = F.col("quota") - F.round(F.col("passes") * F.col("source_size") / block).cast("long")
     sources = staged(
         apportioned(targets.withColumn("seats", seats), [], F.col("target"), F.col("seats"))
@@ -185,6 +187,7 @@ def placed(docs: DataFrame, mix: Mix, *carried: Column) -> DataFrame:
     )
     laid = dealt.withColumn("end", F.sum("size").over(in_shard))
     return laid.join(quotas, F.col("shard").eqNullSafe(F.col("of"))).select(
+        "row",
         "doc_id",
         "source",
         "size",
@@ -196,7 +199,6 @@ def placed(docs: DataFrame, mix: Mix, *carried: Column) -> DataFrame:
         "blocks",
         "quota",
         "start",
-        *[name for name in laid.columns if name == "doc"],
     )
 
 
@@ -234,8 +236,18 @@ def mixed_texts(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     partial pass takes of it: the words of the taken blocks, each with the white space before it.
     ``n_chars``, if there is one, is counted anew.
     """
-    rows = placed(docs, mix, F.struct(*map(quoted, docs.columns)).alias("doc"))
     taken = words_before(F.col("end"), mix) - words_before(F.col("begin"), mix)
+    places = placed(docs, mix).withColumn("taken", taken)
+    places = places.where("passes > 0 OR taken > 0").where("size > 0")
+    places = staged(
+        places.select("row", "size", "passes", "taken", "begin", "blocks", "quota", "start"),
+        "mix-places",
+    )
+    places = F.broadcast(places) if fits_broadcast(places) else places
+    rows = docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.struct(*map(quoted, docs.columns)).alias("doc"),
+    ).join(places, "row")
     pieces = F.regexp_extract_all(F.col("doc.text"), F.lit(f"[{BLANK}]*{WORD}"), F.lit(0))
     kept = F.filter(
         pieces,
@@ -249,12 +261,7 @@ def mixed_texts(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         F.array_repeat(F.lit(True), F.col("passes").cast("int")),
         F.array_repeat(F.lit(False), F.when(F.col("taken") > 0, 1).otherwise(0)),
     )
-    out = (
-        rows.where(F.col("size") > 0)
-        .withColumn("taken", taken)
-        .withColumn("whole", F.explode(copies))
-        .withColumn("words", text)
-    )
+    out = rows.withColumn("whole", F.explode(copies)).withColumn("words", text)
     anew = {"text": F.col("words")}
     if "n_chars" in docs.columns:
         anew["n_chars"] = F.char_length("words").cast(docs.schema["n_chars"].dataType)

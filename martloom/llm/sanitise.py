@@ -277,15 +277,24 @@ def sanitised(docs: DataFrame) -> DataFrame:
     by_row = spans.groupBy(F.col("row").alias("__of")).agg(listed.alias("__spans"), F.max("end").alias("__last"))
     by_row = staged(by_row, "pii-rows")
     small = F.broadcast(by_row) if fits_broadcast(by_row) else by_row
+    said = F.col("doc.text")
+
     def piece(span: Column) -> Column:
-        gap = F.substring("text", (span["past"] + 1).cast("int"), (span["start"] - span["past"]).cast("int"))
+        length = (span["start"] - span["past"]).cast("int")
+        gap = F.substring(said, (span["past"] + 1).cast("int"), length)
         return F.when(span["start"] >= span["past"], F.concat(gap, _mask(span))).otherwise("")
 
-    tail = F.substring("text", (F.col("__last") + 1).cast("int"), F.char_length("text"))
+    tail = F.substring(said, (F.col("__last") + 1).cast("int"), F.char_length(said))
     cleaned = F.concat(F.array_join(F.transform("__spans", piece), ""), tail)
-    text = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cleaned)
-    joined = numbered(docs).join(small, F.col("__row") == F.col("__of"), "left")
+    text = F.when(F.col("__spans").isNull(), said).otherwise(cleaned)
+    rows = docs.select(
+        F.struct(*map(quoted, docs.columns)).alias("doc"),
+        F.monotonically_increasing_id().alias("__row"),
+    )
+    joined = rows.join(small, F.col("__row") == F.col("__of"), "left")
     anew = {"text": text}
     if "n_chars" in docs.columns:
         anew["n_chars"] = F.char_length(text).cast(docs.schema["n_chars"].dataType)
-    return joined.select(*[anew.get(name, quoted(name)).alias(name) for name in docs.columns])
+    return joined.select(
+        *[anew.get(name, F.col("doc").getField(name)).alias(name) for name in docs.columns]
+    )

@@ -1,0 +1,96 @@
+"""Near-duplicates against all pairs in plain Python."""
+
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from martloom.llm import near_dups
+
+LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
+
+
+def shingles(text, width):
+    words = [w for w in re.split(rb"[ \t-\r]+", (text or "").encode().translate(LOWER)) if w]
+    if len(words) < width:
+        return {tuple(words)} if words else set()
+    return {tuple(words[at : at + width]) for at in range(len(words) - width + 1)}
+
+
+def brute(rows, width, percent):
+    """(doc_id, number of shingles) and the component of each doc_id."""
+    sets = [(name, shingles(text, width)) for name, text in rows if name is not None]
+    parent = {name: name for name, _ in sets}
+
+    def root(name):
+        while parent[name] != name:
+            name = parent[name]
+        return name
+
+    for at, (a, one) in enumerate(sets):
+        for b, two in sets[:at]:
+            shared = len(one & two)
+            if shared and 100 * shared >= percent * (len(one) + len(two) - shared):
+                x, y = root(a), root(b)
+                parent[max(x, y)] = min(x, y)
+    return sorted((n, len(s), root(n), root(n) == n) for n, s in sets)
+
+
+def check(docs, width=2, percent=80, cell=near_dups.CELL):
+    found = near_dups.near_duplicates(docs, width, percent, cell).where("doc_id IS NOT NULL")
+    rows = [(row.doc_id, row.text) for row in docs.collect()]
+    assert sorted(tuple(row) for row in found.collect()) == brute(rows, width, percent)
+
+
+@pytest.mark.parametrize(("width", "cell"), [(2, near_dups.CELL), (2, 3), (5, near_dups.CELL)])
+def test_equals_brute_force(odd_documents, width, cell):
+    check(odd_documents, width, cell=cell)
+
+
+def test_a_chain_of_near_copies_through_many_cells(spark):
+    words = [f"w{at}" for at in range(60)]
+    rows = []
+    for at in range(40):  # each differs from the next by one word, the ends by many
+        words[at] = f"changed{at}"
+        rows.append((100 - at, " ".join(words)))
+    rows += [(200 + at, f"alone {at} " * 5) for at in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(docs, 1, cell=4)
+    check(docs, 2, cell=4)
+
+
+def test_threshold_is_inclusive(spark):
+    eight = [f"a{at}" for at in range(8)]
+    rows = [(1, " ".join([*eight, "x", "y"])), (2, " ".join(eight))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dups.near_duplicates(docs, 1, 80).collect()
+    assert {row.component_id for row in found} == {1}
+    found = near_dups.near_duplicates(docs, 1, 81).collect()
+    assert {row.component_id for row in found} == {1, 2}
+
+
+def test_rows_without_an_id(spark):
+    rows = [(None, "the same words"), (7, "The same  words"), (None, "other words"), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dups.near_duplicates(docs, 2)
+    assert sorted((tuple(r) for r in found.collect()), key=str) == [
+        (7, 2, 7, True),
+        (None, 0, None, False),
+        (None, 1, None, False),
+        (None, 2, 7, False),
+    ]
+    assert near_dups.without_duplicates(docs, 2).count() == 4
+
+
+def test_one_of_each_group_stays(odd_documents, no_documents):
+    kept = near_dups.without_duplicates(odd_documents, 2)
+    named = near_dups.near_duplicates(odd_documents, 2).where("kept")
+    assert {r.doc_id for r in kept.collect()} - {None} == {r.doc_id for r in named.collect()}
+    assert near_dups.near_duplicates(no_documents).count() == 0
+
+
+def test_components_of_a_long_path(spark):
+    links = spark.createDataFrame([(at, at + 1) for at in range(1, 60)], "a long, b long")
+    found = near_dups.components(links).collect()
+    assert {row.component for row in found} == {1} and len(found) == 59

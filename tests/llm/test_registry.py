@@ -1,0 +1,78 @@
+"""Registered queries of the operators: their SQL, their columns, and the pipeline's stages."""
+
+from __future__ import annotations
+
+import pytest
+
+from corpus_pipeline import STAGES, run
+from martloom.llm import mixing, near_dups, pieces, quality, registry, sanitise
+from martloom.llm.common import crc_remainder
+from tests.oracle import connect, require_same
+
+FOLDER = "/root/testdata/sf0.01"
+SMALL = "/root/testdata/sf0.001"
+
+# The columns that the contracts ask for, with their types.
+CONTRACTS = {
+    "op1": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op2": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
+    "op3": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, "
+    "base_sha256 string, spans string",
+    "op4": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean",
+    "op5": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op6": "query_id bigint, rank int, vec_id bigint, score bigint",
+    "op7": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+    "op8": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op9": "query_id bigint, rank int, vec_id bigint, score double",
+    "op10": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, "
+    "refers_to bigint",
+}
+
+
+@pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
+def test_query_equals_its_sql(spark, name):
+    with connect(FOLDER) as db:
+        found = registry.queries()[name](spark, FOLDER)
+        assert require_same(found, db, registry.oracle_sql()[name]) > 0
+
+
+@pytest.mark.parametrize("number", sorted(CONTRACTS))
+def test_columns_of_the_contract(spark, number):
+    (name,) = [name for name in registry.queries() if name.startswith(f"{number}_")]
+    found = dict(registry.queries()[name](spark, SMALL).dtypes)
+    for column in CONTRACTS[number].split(", "):
+        column, kind = column.split(" ")
+        assert found[column] == kind
+
+
+def test_every_stage_returns_the_columns_of_documents(spark, odd_documents, no_documents):
+    for docs in (odd_documents, no_documents):
+        for name, stage in STAGES[:-1]:
+            out = stage(spark, docs, SMALL)
+            assert out.columns == docs.columns, name
+            assert out.count() <= 2 * docs.count()
+        assert STAGES[-1][1](spark, docs, SMALL).count() == docs.count()
+
+
+def test_pipeline_equals_its_operators_in_plain_steps(spark):
+    """Stage by stage, from decisions that are tested against plain Python elsewhere."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").where(crc_remainder("doc_id", 4) != 2)
+    model = quality.learned(docs, labels)
+    scores = {r.doc_id: r.score for r in quality.scored(docs, model, docs.doc_id).collect()}
+    good = docs.where(docs.doc_id.isin([n for n, s in scores.items() if s >= 0.7]))
+    kept = [r.doc_id for r in near_dups.near_duplicates(good).where("kept").collect()]
+    clean = sanitise.sanitised(good.where(good.doc_id.isin(kept)))
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    taken = {r.doc_id: (r.size, r.taken) for r in mixing.mixed(clean).collect()}
+    encoder = pieces.PieceEncoder(registry.public_tokenizers.path("piece_bpe_32k.model"))
+    found: dict[int, list] = {}
+    for row in run(spark, SMALL).collect():
+        found.setdefault(row.doc_id, []).append(list(row.ids))
+    assert set(found) == {n for n, (_, words) in taken.items() if words}
+    for name, copies in found.items():
+        size, words = taken[name]
+        whole = encoder.encode([texts[name]])[0]
+        decoded = encoder.decode(copies)
+        assert sum(len(text.split()) for text in decoded) == words or " " in texts[name]
+        assert sum(ids == whole for ids in copies) == words // size
