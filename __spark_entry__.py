@@ -31,6 +31,26 @@ MERGED = f"""
            CASE WHEN s.order_id IS NOT NULL THEN s.changed_at ELSE t.changed_at END AS changed_at
     FROM {MERGE}"""
 
+# The texts of the contract queries, and whether a text's id is a whole number.
+EVENT_TEXTS = """(
+    SELECT event_id, CASE event_id % 11
+        WHEN 0 THEN '{"id":' || event_id || ',"msg":"' || event_type || '"}'
+        WHEN 1 THEN '{"id":"' || event_id || '","msg":"' || event_type || '"}'
+        WHEN 2 THEN '[' || event_id || ']'
+        WHEN 3 THEN '{"id":' || event_id || ',"msg":"' || event_type
+        WHEN 4 THEN '{"msg":"' || event_type || '"}'
+        WHEN 5 THEN 'null'
+        WHEN 6 THEN '{"id":' || event_id || 'e19,"msg":"' || event_type || '"}'
+        WHEN 7 THEN '{"id":' || event_id || ',"msg":' || event_id || '}'
+        WHEN 8 THEN '{"id":null,"msg":"' || event_type || '"}'
+        WHEN 9 THEN '{"id":' || event_id || '.5,"msg":"' || event_type || '"}'
+        ELSE '{"id":' || event_id || ',"msg":"' || event_type || '","more":[1]}' END AS value
+    FROM events)"""
+WHOLE = """(json_type(value, '$.id') IN ('BIGINT', 'UBIGINT', 'HUGEINT')
+    OR json_type(value, '$.id') = 'DOUBLE'
+       AND CAST(json_extract_string(value, '$.id') AS DOUBLE)
+           = round(CAST(json_extract_string(value, '$.id') AS DOUBLE)))"""
+
 
 def entry(spark: SparkSession) -> DataFrame:
     """The star mart: order lines with order, supplier and the supplier's nation."""
@@ -62,6 +82,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "contract_check": retail.contract_check,
         "contract_backtest": retail.contract_backtest,
         "delivery_report": retail.delivery_report,
+        "preview_wide": retail.preview_wide,
+        "sql_view_join": retail.sql_view_join,
+        "contract_verdicts": retail.contract_verdicts,
+        "contract_closed": retail.contract_closed,
+        "publish_report": retail.publish_report,
     }
     return found | llm.queries() | {"pipeline": corpus_pipeline.run} if llm else found
 
@@ -167,5 +192,37 @@ def oracle_sql() -> dict[str, str]:
         "delivery_report": """
             SELECT count(*) AS n_sent, count(*) FILTER (WHERE event_id IS NULL) AS n_null_keys
             FROM events""",
+        "preview_wide": f"""
+            SELECT o_orderkey AS order_id, o_custkey AS cust_id, event_id, event_type, turn, role
+            FROM {WIDE}
+            ORDER BY order_id NULLS FIRST, cust_id NULLS FIRST, event_id NULLS FIRST,
+                     event_type NULLS FIRST, turn NULLS FIRST, role NULLS FIRST LIMIT 10""",
+        "sql_view_join": """
+            SELECT c_mktsegment, event_type, count(*) AS n_events
+            FROM events JOIN customer ON user_id = c_custkey GROUP BY c_mktsegment, event_type""",
+        "contract_verdicts": f"""
+            SELECT event_id, value,
+                   CASE WHEN NOT json_valid(value) THEN 'not_json'
+                        WHEN json_type(value) <> 'OBJECT' THEN 'not_object'
+                        WHEN json_type(value, '$.id') IS NULL THEN 'missing:id'
+                        WHEN json_type(value, '$.msg') IS NULL THEN 'missing:msg'
+                        WHEN NOT {WHOLE} THEN 'type:id'
+                        WHEN json_type(value, '$.msg') <> 'VARCHAR' THEN 'type:msg'
+                        ELSE 'ok' END AS verdict
+            FROM {EVENT_TEXTS}""",
+        "contract_closed": f"""
+            SELECT event_id,
+                   CASE WHEN NOT json_valid(value) THEN 'not_json'
+                        WHEN json_type(value) <> 'OBJECT' THEN 'not_object'
+                        WHEN json_type(value, '$.id') IS NULL THEN 'missing:id'
+                        WHEN NOT ({WHOLE} OR json_type(value, '$.id') = 'NULL') THEN 'type:id'
+                        WHEN len([k FOR k IN json_keys(value) IF k NOT IN ('id', 'msg')]) > 0 THEN 'extra'
+                        ELSE 'ok' END AS verdict
+            FROM {EVENT_TEXTS}""",
+        "publish_report": """
+            SELECT count(*) AS n_due, count(quality) AS n_sent,
+                   count(*) - count(quality) AS n_rejected,
+                   count(*) FILTER (WHERE d.doc_id IS NULL) AS n_null_keys
+            FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     }
     return found | llm.oracle_sql() if llm else found

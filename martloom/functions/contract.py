@@ -1,4 +1,4 @@
-"""Message contracts: which properties a JSON value must have, and of which JSON type.
+"""Message contracts: which properties a JSON value must or may have, and of which JSON types.
 
 A contract is checked as column expressions over a whole table. Values are parsed once into
 ``VARIANT``, which keeps apart what ``from_json`` merges: a missing property and a JSON null, the
@@ -10,6 +10,8 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,37 +35,85 @@ REMARKS = ("$schema", "$id", "$comment", "title", "description", "examples", "de
 
 @dataclass(frozen=True)
 class Contract:
-    """Property types and required properties; properties not named here are allowed."""
+    """Types of properties, required properties, and whether others are refused.
 
-    properties: Mapping[str, str]
+    A property's types are a JSON type, several, or None for any.
+    """
+
+    properties: Mapping[str, str | tuple[str, ...] | None]
     required: tuple[str, ...] = field(default=())
+    closed: bool = False
 
     def __post_init__(self) -> None:
-        for name, kind in self.properties.items():
-            if kind not in SPARK_TYPES:
-                raise ValueError(f"property {name}: unknown JSON type {kind!r}")
+        for name in (*self.properties, *self.required):
+            for kind in self.types(name) or ():
+                if kind not in SPARK_TYPES:
+                    raise ValueError(f"property {name}: unknown JSON type {kind!r}")
             if "'" in name or "\\" in name:
                 raise ValueError(f"property {name}: quotes and backslashes are not supported")
 
+    def types(self, name: str) -> tuple[str, ...] | None:
+        """The types a property may have; None if any."""
+        kinds = self.properties.get(name)
+        return (kinds,) if isinstance(kinds, str) else kinds
 
     @classmethod
     def from_json_schema(cls, text: str) -> Contract:
-        """Read a JSON Schema of an object whose properties have plain types.
+        """Read a JSON Schema of an object that says which types its properties have.
 
         A keyword that would restrict values in another way is refused, not passed over.
         """
         schema = json.loads(text)
-        if schema.get("type") != "object" or schema.get("additionalProperties", True) is not True:
-            raise ValueError("the schema must describe an object that is open to other properties")
+        if not isinstance(schema, dict) or schema.get("type") != "object":
+            raise ValueError("the schema must describe an object")
+        others = schema.get("additionalProperties", True)
+        if not isinstance(others, bool):
+            raise ValueError("unsupported in a contract: a schema for additionalProperties")
         known = {"type", "properties", "required", "additionalProperties", *REMARKS}
-        properties = schema.get("properties", {})
         unknown = set(schema) - known
-        for details in properties.values():
+        properties: dict[str, str | tuple[str, ...] | None] = {}
+        for name, details in schema.get("properties", {}).items():
+            if details is True:
+                details = {}
+            if not isinstance(details, dict):
+                raise ValueError(f"property {name}: {details!r} is not supported")
             unknown |= set(details) - {"type", *REMARKS}
+            kinds = details.get("type")
+            if not (kinds is None or isinstance(kinds, str) or _texts(kinds)):
+                raise ValueError(f"property {name}: unknown JSON type {kinds!r}")
+            properties[name] = tuple(kinds) if isinstance(kinds, list) else kinds
         if unknown:
             raise ValueError(f"unsupported in a contract: {', '.join(sorted(unknown))}")
-        types = {name: details["type"] for name, details in properties.items()}
-        return cls(types, tuple(schema.get("required", ())))
+        required = schema.get("required", [])
+        if required and not _texts(required):
+            raise ValueError("required must list property names")
+        return cls(properties, tuple(required), closed=not others)
+
+
+def _texts(values: object) -> bool:
+    return isinstance(values, list) and bool(values) and all(isinstance(v, str) for v in values)
+
+
+def newly_refused(current: Contract, candidate: Contract) -> list[str]:
+    """Faults that the candidate may find in messages the current contract accepts.
+
+    Told from the contracts alone, so it also answers for topics without messages. The faults are
+    those of ``verdict``.
+    """
+    faults = [f"missing:{name}" for name in candidate.required if name not in current.required]
+    every = tuple(SPARK_TYPES)
+    for name in candidate.properties:
+        allowed = candidate.types(name)
+        if allowed is None or (current.closed and name not in current.properties):
+            continue
+        accepted = set(allowed) | ({"integer"} if "number" in allowed else set())
+        if not set(current.types(name) or every) <= accepted:
+            faults.append(f"type:{name}")
+    if candidate.closed and not (
+        current.closed and set(current.properties) <= set(candidate.properties)
+    ):
+        faults.append("extra")
+    return faults
 
 
 def value_subject(topic: str) -> str:
@@ -73,19 +123,28 @@ def value_subject(topic: str) -> str:
 
 def verdict(parsed: Column, contract: Contract) -> Column:
     """First fault of a parsed value: ``not_json``, ``not_object``, ``missing:<p>``,
-    ``type:<p>``, or ``ok``. ``parsed`` is NULL for text that is no JSON."""
+    ``type:<p>``, ``extra`` (a property that a closed contract does not name), or ``ok``.
+    ``parsed`` is NULL for text that is no JSON."""
     result = F.when(parsed.isNull(), "not_json")
     result = result.when(~_has_type(parsed, "object"), "not_object")
     for name in contract.required:
         result = result.when(_property(parsed, name).isNull(), f"missing:{name}")
-    for name, kind in contract.properties.items():
+    for name in contract.properties:
+        kinds = contract.types(name)
+        if kinds is None:
+            continue
         found = _property(parsed, name)
-        fits = _has_type(found, kind)
-        if kind == "integer":
-            # A number in exponent form parses as DOUBLE; it is an integer if it is whole.
+        fits = reduce(or_, [_has_type(found, kind) for kind in kinds])
+        if "integer" in kinds:
+            # A number in exponent form, or of over 38 digits, parses as DOUBLE; it is an integer
+            # if it is whole. Compared as doubles, as it may be past the range of a long.
             number = F.try_variant_get(parsed, _path(name), "double")
-            fits = fits | ((F.schema_of_variant(found) == "DOUBLE") & (number == F.floor(number)))
+            fits = fits | ((F.schema_of_variant(found) == "DOUBLE") & (number == F.rint(number)))
         result = result.when(found.isNotNull() & ~fits, f"type:{name}")
+    if contract.closed:
+        names = F.array(*map(F.lit, contract.properties)).cast("array<string>")
+        others = F.array_except(F.json_object_keys(F.to_json(parsed)), names)
+        result = result.when(F.size(others) > 0, "extra")
     return result.otherwise("ok")
 
 

@@ -22,7 +22,7 @@ from functools import reduce
 from math import ceil
 from operator import mul
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -229,6 +229,33 @@ class FanoutJoin:
             joined = joined.join(F.broadcast(self.sides[at]), self.key, self.how)
         return joined.select(*map(quoted, self.columns))
 
+    def first_rows(self, order: str, rows: int) -> DataFrame:
+        """The first ``rows`` of the joined frame by ``order``, a column of the core; ties by the
+        other core columns, then by those of each side. NULLs come first.
+
+        Only as many core rows are joined, each with as many rows of its key from each side, so
+        the joined frame is never built.
+        """
+        if self._owner(order) != 0:
+            raise ValueError(f"fan-out on {self.key}: {order} is not a column of the core")
+        first = [order, *[c for c in self.core.columns if c != order]]
+        core = self.core
+        if self.how == "inner":
+            for side in self.sides:
+                core = core.join(side.select(quoted(self.key)), self.key, "left_semi")
+        core = core.orderBy(*map(quoted, first)).limit(rows)
+        # At most ``rows`` keys.
+        keys = F.broadcast(core.select(quoted(self.key)).distinct())
+        sides = []
+        for side in self.sides:
+            others = [quoted(c) for c in side.columns if c != self.key]
+            place = F.row_number().over(Window.partitionBy(quoted(self.key)).orderBy(*others))
+            near = side.join(keys, self.key, "left_semi").withColumn("__place", place)
+            sides.append(near.where(F.col("__place") <= rows).drop("__place"))
+        joined = FanoutJoin(core, self.key, tuple(sides), self.how)._join_whole()
+        ordered = [*first, *[c for c in self.columns if c not in first]]
+        return joined.orderBy(*map(quoted, ordered)).limit(rows).select(*map(quoted, self.columns))
+
     def _join_whole(self) -> DataFrame:
         return reduce(lambda left, side: left.join(side, self.key, self.how), self.sides, self.core)
 

@@ -27,9 +27,9 @@ from martloom.operators.quality import (
 from martloom.operators.star import Dimension, star_join
 from martloom.operators.upsert import action_counts, conflicts, merge_frame
 from martloom.plans.loading import load_mart
-from martloom.sinks.messages import deliver, message_frame, to_folder
+from martloom.sinks.messages import deliver, message_frame, publish, to_folder
 from martloom.sinks.scratch import scratch_folder
-from martloom.sinks.tables import DatePartition, MartTable, write_partitioned
+from martloom.sinks.tables import DatePartition, MartTable, sql_view, write_partitioned
 from martloom.sources.tables import TableSource, folder_reader, load_sources
 
 CUSTOMERS = TableSource(
@@ -67,6 +67,8 @@ LABELLED = Contract({"id": "integer"}, required=("id",))
 LABELLED_WITH_QUALITY = Contract(
     {"id": "integer", "quality": "integer"}, required=("id", "quality")
 )
+EVENT = Contract({"id": "integer", "msg": "string"}, required=("id", "msg"))
+CLOSED_EVENT = Contract({"id": ("integer", "null"), "msg": None}, required=("id",), closed=True)
 
 
 # -- sources, projections, joins ----------------------------------------------------------
@@ -142,6 +144,23 @@ def preview_limit(spark: SparkSession, folder: str) -> DataFrame:
     return select_columns(orders, columns).orderBy("o_orderkey").limit(10)
 
 
+def preview_wide(spark: SparkSession, folder: str) -> DataFrame:
+    columns = ["order_id", "cust_id", "event_id", "event_type", "turn", "role"]
+    first = _wide(spark, folder).pruned(columns).first_rows("order_id", 10)
+    return select_columns(first, columns)
+
+
+def sql_view_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per kind of customer, by SQL over views that only this call knows."""
+    read = folder_reader(spark, folder)
+    with sql_view(read("customer")) as customers, sql_view(read("events")) as events:
+        return spark.sql(
+            f"""SELECT c_mktsegment, event_type, count(*) AS n_events
+            FROM {events} JOIN {customers} ON user_id = c_custkey
+            GROUP BY c_mktsegment, event_type"""
+        )
+
+
 # -- data quality -------------------------------------------------------------------------
 
 
@@ -248,5 +267,41 @@ def contract_backtest(spark: SparkSession, folder: str) -> DataFrame:
     return backtest(_label_messages(spark, folder), LABELLED, LABELLED_WITH_QUALITY)
 
 
+def _event_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event as a message, one kind of fault or none by turns."""
+    number, name = F.col("event_id").cast("string"), F.col("event_type")
+    texts = [
+        F.concat(F.lit('{"id":'), number, F.lit(',"msg":"'), name, F.lit('"}')),
+        F.concat(F.lit('{"id":"'), number, F.lit('","msg":"'), name, F.lit('"}')),
+        F.concat(F.lit("["), number, F.lit("]")),
+        F.concat(F.lit('{"id":'), number, F.lit(',"msg":"'), name),
+        F.concat(F.lit('{"msg":"'), name, F.lit('"}')),
+        F.lit("null"),
+        F.concat(F.lit('{"id":'), number, F.lit('e19,"msg":"'), name, F.lit('"}')),
+        F.concat(F.lit('{"id":'), number, F.lit(',"msg":'), number, F.lit("}")),
+        F.concat(F.lit('{"id":null,"msg":"'), name, F.lit('"}')),
+        F.concat(F.lit('{"id":'), number, F.lit('.5,"msg":"'), name, F.lit('"}')),
+        F.concat(F.lit('{"id":'), number, F.lit(',"msg":"'), name, F.lit('","more":[1]}')),
+    ]
+    turn = (F.col("event_id") % len(texts) + 1).cast("int")
+    events = folder_reader(spark, folder)("events")
+    return events.select("event_id", F.element_at(F.array(*texts), turn).alias("value"))
+
+
+def contract_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    return check_messages(_event_texts(spark, folder), EVENT)
+
+
+def contract_closed(spark: SparkSession, folder: str) -> DataFrame:
+    return check_messages(_event_texts(spark, folder), CLOSED_EVENT).drop("value")
+
+
+def publish_report(spark: SparkSession, folder: str) -> DataFrame:
+    messages = _label_messages(spark, folder)
+    keyed = messages.select(F.col("doc_id").cast("string").alias("key"), "value")
+    sent, stored = scratch_folder(spark, "published"), scratch_folder(spark, "checked")
+    return publish(keyed, LABELLED_WITH_QUALITY, to_folder(sent), stored)
+
+
 def delivery_report(spark: SparkSession, folder: str) -> DataFrame:
     return deliver(message_table(spark, folder), to_folder(scratch_folder(spark, "messages")))

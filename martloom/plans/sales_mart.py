@@ -151,6 +151,6 @@ def load_sales_mart(
     load_mart(data, mart, mart_schema(grain), MERGE_KEY, rules, max_rows)
 
 
-def preview(wide: DataFrame, rows: int = 10) -> DataFrame:
-    """The first rows by transaction; a top-k, so no full sort."""
-    return wide.orderBy(MERGE_KEY).limit(rows)
+def preview(wide: FanoutJoin, rows: int = 10) -> DataFrame:
+    """The first rows of the wide mart by transaction, without building it."""
+    return wide.first_rows(MERGE_KEY, rows)

@@ -52,6 +52,27 @@ def to_folder(folder: str) -> Callable[[DataFrame], None]:
     return lambda messages: messages.write.parquet(folder)
 
 
+def publish(
+    messages: DataFrame, contract: Contract, send: Callable[[DataFrame], None], folder: str
+) -> DataFrame:
+    """Send what satisfies the contract and report ``(n_due, n_sent, n_rejected, n_null_keys)``.
+
+    The messages are made and checked once, and stored below ``folder`` by outcome: sending reads
+    the accepted ones, and ``<folder>/accepted=false`` keeps the others with their verdict.
+    """
+    checked = check_messages(messages, contract)
+    checked = checked.withColumn("accepted", F.col("verdict") == "ok")
+    checked.write.partitionBy("accepted").parquet(folder)
+    stored = messages.sparkSession.read.schema(checked.schema).parquet(folder)
+    sent = deliver(stored.where("accepted").select("key", "value"), send).first()
+    return stored.agg(
+        F.count(F.lit(1)).alias("n_due"),
+        F.lit(sent.n_sent).cast("long").alias("n_sent"),
+        F.count_if(~F.col("accepted")).alias("n_rejected"),
+        F.count_if(F.col("key").isNull()).alias("n_null_keys"),
+    )
+
+
 def deliver(messages: DataFrame, send: Callable[[DataFrame], None]) -> DataFrame:
     """Send the messages and report ``(n_sent, n_null_keys)`` as one row.
 
