@@ -6,6 +6,8 @@ far larger than its inputs. Two things follow.
 * **Counting needs no combinations.** Row counts, NULL counts and group counts of the wide frame
   are sums of products of per-key counts. Each input is counted per key first (map-side combined,
   so a hot key leaves every task as one row) and only those counts are joined.
+* **Rows that match nothing need no shuffle.** Keys with many rows in one table that another lacks
+  are found by the same counts, and their rows are dropped where they are read.
 * **Building it needs an even spread.** All sides join on the same key, so one shuffle per input
   serves the whole chain. That chain is one stage, which adaptive skew splitting leaves alone, so
   heavy keys are cut here: each table's rows of such a key are dealt into parts, and every
@@ -20,7 +22,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 from math import ceil
-from operator import mul
+from operator import and_, mul, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,9 +35,11 @@ from martloom.operators.spread import (
     heaviest,
     heavy_keys,
     join_keyed,
-    part_of,
-    parts_of,
+    offered,
+    with_part,
+    with_parts,
 )
+from martloom.sinks.scratch import staged
 
 # Sides that together give up to this many rows per core row may be broadcast. Beyond it, the rows
 # produced outweigh a shuffle of the core, and cells spread them better than the core's files do.
@@ -44,8 +48,9 @@ BROADCAST_FANOUT = 100
 
 # A core is spread over more tasks if each of its rows gives at least this many on average, so that
 # moving it costs little beside what it yields. A task that reads a core has about SPLIT_ROWS rows.
+# It is spread over at most SPREAD_WAVES times as many tasks as the session runs at once.
 SPREAD_FANOUT = 10
-SPREAD_TASKS = 10_000
+SPREAD_WAVES = 64
 SPLIT_ROWS = 1_000_000
 
 
@@ -55,12 +60,18 @@ class FanoutTooLarge(RuntimeError):
 
 @dataclass(frozen=True)
 class FanoutJoin:
-    """``core`` joined with every frame in ``sides`` on ``key`` (``how``: left or inner)."""
+    """``core`` joined with every frame in ``sides`` on ``key`` (``how``: left or inner).
+
+    ``counts`` holds the rows of every table per key, and the NULLs of ``counted_nulls``, if they
+    have been written down; see ``counted``.
+    """
 
     core: DataFrame
     key: str
     sides: tuple[DataFrame, ...]
     how: str = "left"
+    counts: DataFrame | None = None
+    counted_nulls: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.how not in ("left", "inner"):
@@ -87,16 +98,22 @@ class FanoutJoin:
             table.select(*[quoted(c) for c in table.columns if c in wanted])
             for table in (self.core, *self.sides)
         ]
-        return FanoutJoin(core, self.key, tuple(sides), self.how)
+        return FanoutJoin(core, self.key, tuple(sides), self.how, self.counts, self.counted_nulls)
 
     # -- counts ---------------------------------------------------------------------------
 
-    def per_key(self, null_columns: Sequence[str] = ()) -> DataFrame:
-        """One row per core key: ``rows_0`` (core), ``rows_1``.. (sides), NULL if unmatched.
-
-        For the column at position ``j`` of ``null_columns``, ``nulls_j`` counts its NULLs among
-        the rows of its own table.
-        """
+    def counted(self, null_columns: Sequence[str] = ()) -> FanoutJoin:
+        """The same join with its counts per key written down, so that the reports, checks and
+        joins that follow do not count the tables again."""
+        if self.counts is not None and set(null_columns) <= set(self.counted_nulls):
+            return self
+        columns = tuple(dict.fromkeys(null_columns))
+        counts = staged(self._counts(columns), "fanout-counts")
+        return FanoutJoin(self.core, self.key, self.sides, self.how, counts, columns)
+
+    def _counts(self, null_columns: Sequence[str]) -> DataFrame:
+        """One row per key of any table: ``rows_0`` (core), ``rows_1``.. (sides), NULL where the
+        table lacks it; ``nulls_j`` counts NULLs of the column at ``j`` among its table's rows."""
         owners = [self._owner(column) for column in null_columns]
         counted = []
         for at, table in enumerate((self.core, *self.sides)):
@@ -112,7 +129,46 @@ class FanoutJoin:
                     F.count(F.lit(1)).alias(f"rows_{at}"), *nulls
                 )
             )
-        return reduce(lambda left, right: left.join(right, "key", self.how), counted)
+        return reduce(lambda left, right: left.join(right, "key", "full"), counted)
+
+    def _joining(self) -> Column:
+        """Whether a key of the counts has joined rows."""
+        if self.how == "left":
+            return F.col("rows_0").isNotNull()
+        tables = range(len(self.sides) + 1)
+        return reduce(and_, [F.col(f"rows_{at}").isNotNull() for at in tables])
+
+    def per_key(self, null_columns: Sequence[str] = ()) -> DataFrame:
+        """The counts of every key that has joined rows; see ``_counts``."""
+        if self.counts is None or not set(null_columns) <= set(self.counted_nulls):
+            return self._counts(null_columns).where(self._joining())
+        rows = [F.col(f"rows_{at}") for at in range(len(self.sides) + 1)]
+        nulls = [
+            F.col(f"nulls_{self.counted_nulls.index(column)}").alias(f"nulls_{j}")
+            for j, column in enumerate(null_columns)
+        ]
+        return self.counts.where(self._joining()).select("key", *rows, *nulls)
+
+    def without_idle_keys(self, cell_rows: int = CELL_ROWS) -> FanoutJoin:
+        """The same join without the rows of keys that have over ``cell_rows`` of them in some
+        table and none in the joined frame."""
+        join = self.counted()
+        tables = range(len(self.sides) + 1)
+        many = reduce(or_, [F.col(f"rows_{at}") > cell_rows for at in tables])
+        idle = join.counts.where(~self._joining() & many).select(F.col("key").alias("__idle"))
+        if idle.isEmpty():
+            return join
+        listed = offered(staged(idle, "idle-keys"))
+        kept = [
+            table.join(listed, quoted(self.key) == F.col("__idle"), "left_anti")
+            if at > 0 or self.how == "inner"
+            else table
+            for at, table in enumerate((self.core, *self.sides))
+        ]
+        counts = join.counts.where(self._joining() | ~F.coalesce(many, F.lit(False)))
+        return FanoutJoin(
+            kept[0], self.key, tuple(kept[1:]), self.how, counts, join.counted_nulls
+        )
 
     def _multiplier(self, at: int) -> Column:
         """How often table ``at`` repeats the rows of the others for a key."""
@@ -208,27 +264,46 @@ class FanoutJoin:
         are dealt by all columns of their rows, so take the ``pruned`` join of those you need.
         """
         # As doubles: a total past the range of a long must still reach the refusal below.
+        join = self.without_idle_keys(cell_rows)
         largest = [F.max(f"rows_{at + 1}") for at in range(len(self.sides))]
-        counts = self.per_key().withColumn("joined", self._product_as_double())
+        counts = join.per_key().withColumn("joined", self._product_as_double())
         row = counts.agg(F.sum("rows_0"), F.sum("joined"), F.max("joined"), *largest).first()
         core_rows, total, top, *groups = [value or 0 for value in row]
         if max_rows is not None and total > max_rows:
             raise FanoutTooLarge(f"fan-out on {self.key}: {total:.0f} rows, allowed are {max_rows}")
-        small = self._small_sides(groups) if top > cell_rows else []
-        large = tuple(side for at, side in enumerate(self.sides) if at not in small)
-        heavy = None
-        if top > cell_rows and large:
-            rest = FanoutJoin(self.core, self.key, large, self.how)
-            heavy = rest.heavy_keys(cell_rows)
+        small = join._small_sides(groups) if top > cell_rows else []
+        large = [at for at in range(len(self.sides)) if at not in small]
+        rest = join._only(large)
+        heavy = rest.heavy_keys(cell_rows) if top > cell_rows and large else None
         if heavy is not None:
             joined = rest._join_in_cells(heavy)
         else:
-            core = _spread(self.core, core_rows, total, cell_rows)
-            joined = FanoutJoin(core, self.key, large, self.how)._join_whole()
+            core = join.core
+            if join._stays(core_rows, total, large):
+                core = _spread(core, core_rows, total, cell_rows)
+            joined = FanoutJoin(core, self.key, rest.sides, self.how)._join_whole()
         for at in small:
-            joined = joined.join(F.broadcast(self.sides[at]), self.key, self.how)
+            joined = joined.join(F.broadcast(join.sides[at]), self.key, self.how)
         return joined.select(*map(quoted, self.columns))
 
+    def _only(self, sides: Sequence[int]) -> FanoutJoin:
+        """The join with some of the sides, and their counts."""
+        tables = [0, *[at + 1 for at in sides]]
+        counts = self.counts.select(
+            "key", *[F.col(f"rows_{table}").alias(f"rows_{at}") for at, table in enumerate(tables)]
+        )
+        kept = tuple(self.sides[at] for at in sides)
+        return FanoutJoin(self.core, self.key, kept, self.how, counts)
+
+    def _stays(self, core_rows: int, joined_rows: float, sides: Sequence[int]) -> bool:
+        """Whether the core is joined where it is read, and its rows give enough to be spread
+        first. Sides that Spark would not broadcast move it anyway."""
+        if joined_rows < SPREAD_FANOUT * core_rows:
+            return False
+        conf = self.core.sparkSession._jsparkSession.sessionState().conf()
+        limit = conf.autoBroadcastJoinThreshold()
+        return all(fits_broadcast(self.sides[at], limit) for at in sides)
+
     def first_rows(self, order: str, rows: int) -> DataFrame:
         """The first ``rows`` of the joined frame by ``order``, a column of the core; ties by the
         other core columns, then by those of each side. NULLs come first.
@@ -277,21 +352,16 @@ class FanoutJoin:
 
     def heavy_keys(self, cell_rows: int = CELL_ROWS) -> DataFrame | None:
         """``heavy_key`` and ``parts_0``, ``parts_1``..: in how many parts to deal each table."""
-        tables = range(len(self.sides) + 1)
+        tables = len(self.sides) + 1
         counts = self.per_key().select(
             F.col("key").alias("heavy_key"),
-            *[self._multiplier(at).alias(f"rows_{at}") for at in tables],
+            *[self._multiplier(at).alias(f"rows_{at}") for at in range(tables)],
         )
-        listed = heaviest(counts, self._product_as_double(), cell_rows)
-        if not listed:
+        found = heaviest(counts, self._product_as_double(), cell_rows)
+        if found is None:
             return None
-        dealt = [
-            (row.heavy_key, *parts_of([row[f"rows_{at}"] for at in tables], cell_rows))
-            for row in listed
-        ]
-        parts = [T.StructField(f"parts_{at}", T.LongType()) for at in tables]
-        schema = T.StructType([counts.schema["heavy_key"], *parts])
-        return self.core.sparkSession.createDataFrame(dealt, schema)
+        parts = [F.col(f"parts_{at}") for at in range(tables)]
+        return with_parts(found, tables, cell_rows).select("heavy_key", *parts)
 
     def _join_in_cells(self, heavy: DataFrame) -> DataFrame:
         names = self.columns
@@ -321,18 +391,16 @@ class FanoutJoin:
         columns = table.columns
         if at > 0 or self.how == "inner":
             table = table.where(quoted(self.key).isNotNull())
-        marked = table.join(
-            F.broadcast(heavy), quoted(self.key).eqNullSafe(F.col("heavy_key")), "left"
-        )
+        marked = table.join(offered(heavy), quoted(self.key).eqNullSafe(F.col("heavy_key")), "left")
         parts = [F.coalesce(F.col(f"parts_{n}"), F.lit(1).cast("long")) for n in tables]
         one = F.lit(1).cast("long")
         below = reduce(mul, parts[:at], one)
         others = reduce(mul, parts[at + 1 :], below)
         split = [(parts[n] > 1).alias(f"__split_{n}") for n in tables]
-        copies = marked.select(
+        copies = with_part(marked, columns, parts[at]).select(
             *map(quoted, columns),
             *split,
-            part_of(table, parts[at]).alias("__part"),
+            "__part",
             parts[at].alias("__parts"),
             below.alias("__below"),
             F.explode(F.sequence(F.lit(0).cast("long"), others - 1)).alias("__other"),
@@ -351,6 +419,6 @@ def _spread(core: DataFrame, core_rows: int, joined_rows: float, cell_rows: int)
     Broadcast sides leave a core where it is read, and a small one is read in few tasks, however
     many rows each of its rows gives.
     """
-    tasks = min(ceil(joined_rows / cell_rows), SPREAD_TASKS)
-    worthwhile = joined_rows >= SPREAD_FANOUT * core_rows
-    return core.repartition(tasks) if worthwhile and tasks > 1 + core_rows / SPLIT_ROWS else core
+    context = core.sparkSession.sparkContext
+    tasks = min(ceil(joined_rows / cell_rows), SPREAD_WAVES * context.defaultParallelism)
+    return core.repartition(tasks) if tasks > 1 + core_rows / SPLIT_ROWS else core

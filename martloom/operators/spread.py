@@ -7,69 +7,91 @@ join on it), or where several joins share a shuffle, heavy keys are dealt here i
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from math import ceil, prod
+from functools import reduce
+from operator import mul
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions.names import quoted
+from martloom.functions.sizes import fits_broadcast
+from martloom.sinks.scratch import staged
 
 # Rows of one key that a single task may be left with.
 CELL_ROWS = 1_000_000
 
-# At most this many keys are dealt, the heaviest first, so the list of them stays small enough to
-# broadcast whatever the data. A key left out holds under 1/HEAVY_KEYS of the rows.
-HEAVY_KEYS = 10_000
-
-
 # At most this many cells per key: more than the tasks of a stage would not spread it further, and
 # a row is copied to no more of them than this.
 MAX_CELLS = 65_536
 
+# A list of this many keys is broadcast even if the session broadcasts nothing else.
+SHORT_LIST = 10_000
+
+# ``monotonically_increasing_id`` counts the rows of a partition in its lower bits.
+POSITION_BITS = 33
+
 
-def heaviest(counted: DataFrame, weight: Column, cell_rows: int) -> list[Row]:
-    """The rows of ``counted``, one per ``heavy_key``, whose weight is over ``cell_rows``.
+def heaviest(counted: DataFrame, weight: Column, cell_rows: int) -> DataFrame | None:
+    """The rows of ``counted``, one per ``heavy_key``, whose weight is over ``cell_rows``; None if
+    there are none.
 
-    Brought to the driver, within the bound above, so that every use sees the same list.
+    All of them, however many: there are at most rows / ``cell_rows``. Written to the shared folder,
+    so that every use sees the same list.
     """
-    return (
-        counted.withColumn("weight", weight)
-        .where(F.col("weight") > cell_rows)
-        .orderBy(F.desc("weight"), "heavy_key")
-        .limit(HEAVY_KEYS)
-        .collect()
-    )
+    found = staged(counted.where(weight > cell_rows), "heavy-keys")
+    return None if found.isEmpty() else found
+
 
+def offered(heavy: DataFrame) -> DataFrame:
+    """A list of heavy keys as a side of a join: broadcast if it is measured small."""
+    short = heavy.limit(SHORT_LIST + 1).count() <= SHORT_LIST
+    return F.broadcast(heavy) if short or fits_broadcast(heavy) else heavy.hint("merge")
 
-def parts_of(counts: Sequence[int], cell_rows: int) -> list[int]:
-    """In how many parts to deal each table's rows of a key, of which it holds ``counts``.
+
+def with_parts(counted: DataFrame, tables: int, cell_rows: int) -> DataFrame:
+    """Add ``parts_0``, ``parts_1``..: in how many parts to deal the rows of each table's key, of
+    which it holds ``rows_0``, ``rows_1``...
 
     A cell takes one part of each table and joins it to about ``cell_rows`` rows. Tables share
     that evenly, as factors; one that has less to give goes whole and leaves the rest to larger
     ones. So the copies that are shuffled stay few beside the rows that are produced.
     """
-    room = max(float(cell_rows), prod(map(float, counts)) / MAX_CELLS)
-    taken = {}
-    ascending = sorted(range(len(counts)), key=lambda at: counts[at])
-    for done, at in enumerate(ascending):
-        share = max(room ** (1 / (len(counts) - done)), 1.0)
-        taken[at] = min(share, counts[at])
-        room /= taken[at]
-    return [ceil(counts[at] / taken[at]) for at in range(len(counts))]
-
-
-def part_of(df: DataFrame, parts: Column) -> Column:
-    """The part, of ``parts`` many, that each row of ``df`` belongs to.
-
-    From a hash of the row and of the partition it is read in, not from a counter or a random
-    number: a recomputed task deals alike even if its rows arrive in another order, and copies of
-    a row in different partitions go to different parts.
+    held = [F.col(f"rows_{at}").cast("double") for at in range(tables)]
+    room = F.greatest(F.lit(float(cell_rows)), reduce(mul, held) / MAX_CELLS)
+    ranked = [F.struct(rows.alias("rows"), F.lit(at).alias("at")) for at, rows in enumerate(held)]
+    out = counted.withColumn("__room", room)
+    out = out.withColumn("__ranked", F.array_sort(F.array(*ranked)))
+    for done in range(tables):
+        rows = F.col("__ranked")[done]["rows"]
+        share = F.greatest(F.pow("__room", F.lit(1 / (tables - done))), F.lit(1.0))
+        # Roots are not exact; without rounding a whole number of parts could become one more.
+        out = out.withColumn("__taken", F.round(F.least(share, rows), 6))
+        out = out.withColumn(f"__parts_{done}", F.ceil(rows / F.col("__taken")).cast("long"))
+        out = out.withColumn("__room", F.col("__room") / F.col("__taken"))
+    for at in range(tables):
+        own = [
+            F.when(F.col("__ranked")[done]["at"] == at, F.col(f"__parts_{done}"))
+            for done in range(tables)
+        ]
+        out = out.withColumn(f"parts_{at}", F.coalesce(*own))
+    return out.drop("__room", "__ranked", "__taken", *[f"__parts_{d}" for d in range(tables)])
+
+
+def with_part(df: DataFrame, names: list[str], parts: Column, into: str = "__part") -> DataFrame:
+    """Add the part, of ``parts`` many, that each row belongs to.
+
+    The rows of a partition that are to be dealt are ordered by a hash of their columns ``names``
+    and take parts by turns, so equal rows are dealt apart as well. A recomputed task deals alike
+    even if its rows arrive in another order: only equal rows can change places.
     """
-    hashed = [quoted(field.name) for field in df.schema if _hashable(field.dataType)]
-    part = F.pmod(F.xxhash64(F.spark_partition_id(), *hashed), parts)
-    return F.when(parts > 1, part).otherwise(F.lit(0).cast("long"))
+    hashed = [_hashable(df.schema[name]) for name in names]
+    split = df.withColumn("__order", F.when(parts > 1, F.xxhash64(*hashed)))
+    ordered = split.sortWithinPartitions("__order")
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    offset = F.pmod(F.xxhash64(F.spark_partition_id()), F.lit(MAX_CELLS))
+    part = F.when(parts > 1, F.pmod(position + offset, parts)).otherwise(F.lit(0).cast("long"))
+    return ordered.withColumn(into, part).drop("__order")
 
 
 def heavy_keys(rows: DataFrame, key: str, cell_rows: int = CELL_ROWS) -> DataFrame | None:
@@ -77,13 +99,11 @@ def heavy_keys(rows: DataFrame, key: str, cell_rows: int = CELL_ROWS) -> DataFra
 
     Runs one job over the key column. None if no key is heavy.
     """
-    counts = rows.groupBy(quoted(key).alias("heavy_key")).agg(F.count(F.lit(1)).alias("rows"))
-    listed = heaviest(counts, F.col("rows"), cell_rows)
-    if not listed:
+    counts = rows.groupBy(quoted(key).alias("heavy_key")).agg(F.count(F.lit(1)).alias("rows_0"))
+    found = heaviest(counts, F.col("rows_0"), cell_rows)
+    if found is None:
         return None
-    parts = [(row.heavy_key, parts_of([row.rows], cell_rows)[0]) for row in listed]
-    schema = T.StructType([counts.schema["heavy_key"], T.StructField("parts", T.LongType())])
-    return rows.sparkSession.createDataFrame(parts, schema)
+    return with_parts(found, 1, cell_rows).select("heavy_key", F.col("parts_0").alias("parts"))
 
 
 def join_keyed(
@@ -103,12 +123,11 @@ def join_keyed(
     same = quoted(key) == quoted(keyed_by)
     if heavy is None:
         return rows.join(keyed, same, how)
-    heavy = F.broadcast(heavy.toDF("__heavy", "__parts"))
+    listed = offered(heavy.toDF("__heavy", "__parts"))
     whole = F.coalesce(F.col("__parts"), F.lit(1).cast("long"))
-    dealt = rows.join(heavy, quoted(key).eqNullSafe(F.col("__heavy")), "left").select(
-        *map(quoted, rows.columns), part_of(rows, whole).alias("__part")
-    )
-    copied = keyed.join(heavy, quoted(keyed_by) == F.col("__heavy"), "left").select(
+    marked = rows.join(listed, quoted(key).eqNullSafe(F.col("__heavy")), "left")
+    dealt = with_part(marked, rows.columns, whole).drop("__heavy", "__parts")
+    copied = keyed.join(listed, quoted(keyed_by) == F.col("__heavy"), "left").select(
         *map(quoted, keyed.columns),
         F.explode(F.sequence(F.lit(0).cast("long"), whole - 1)).alias("__copy"),
     )
@@ -117,11 +136,14 @@ def join_keyed(
     return joined.drop("__part", "__copy")
 
 
-def _hashable(kind: T.DataType) -> bool:
-    if isinstance(kind, (T.MapType, T.VariantType)):
-        return False
-    if isinstance(kind, T.ArrayType):
-        return _hashable(kind.elementType)
-    if isinstance(kind, T.StructType):
-        return all(_hashable(f.dataType) for f in kind.fields)
-    return True
+def _hashable(field: T.StructField) -> Column:
+    """The column, or its JSON text if its type has no hash."""
+    kinds = [field.dataType]
+    for kind in kinds:
+        if isinstance(kind, (T.MapType, T.VariantType)):
+            return F.to_json(F.struct(quoted(field.name)))
+        if isinstance(kind, T.ArrayType):
+            kinds.append(kind.elementType)
+        if isinstance(kind, T.StructType):
+            kinds += [inner.dataType for inner in kind.fields]
+    return quoted(field.name)

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from martloom.functions.names import quoted, require_columns
 from martloom.operators.fanout import FanoutJoin
 from martloom.operators.quality import duplicate_groups
-from martloom.operators.spread import CELL_ROWS, heavy_keys, join_keyed
+from martloom.operators.spread import CELL_ROWS, heavy_keys, join_keyed, offered
 
 CONFLICTS_SHOWN = 20
 
@@ -39,26 +39,24 @@ def conform(source: DataFrame, target: T.StructType) -> DataFrame:
 def merge_frame(
     target: DataFrame, source: DataFrame, key: str, cell_rows: int = CELL_ROWS
 ) -> DataFrame:
-    """The target as it is after the upsert; see ``conflicts`` for the check to run before.
+    """The target as it is after the upsert.
 
-    Runs one job that counts the source per key. Keys with more than ``cell_rows`` source rows
-    must be new ones; this is checked, and their rows then keep out of the join with the target.
+    Raises ``MergeConflict`` if several source rows match one target key, however many they are.
+    Runs one job that counts the source per key, and one over the target's keys if any source key
+    is repeated. Repeated keys are therefore new ones; those with more than ``cell_rows`` rows keep
+    out of the join with the target, and are dealt into parts where they are added.
     """
     names = target.columns
     require_columns(target, [key], "merge target")
     incoming = conform(source, target.schema)
+    require_no_conflicts(target, incoming, key)
     packed = incoming.select(
         quoted(key).alias("__key"), F.struct(*map(quoted, names)).alias("__new")
     )
     heavy = heavy_keys(incoming, key, cell_rows)
     if heavy is not None:
-        repeated = heavy.select(quoted("heavy_key").alias(key))
-        clash = matched_keys(target, repeated, key).limit(CONFLICTS_SHOWN).collect()
-        if clash:
-            keys = ", ".join(str(row[0]) for row in clash)
-            raise MergeConflict(f"many source rows for one target key, among them: {keys}")
         is_heavy = F.col("__key") == F.col("heavy_key")
-        packed = packed.join(F.broadcast(heavy), is_heavy, "left_anti")
+        packed = packed.join(offered(heavy), is_heavy, "left_anti")
     hit = F.col("__new").isNotNull()
     kept = target.join(packed, quoted(key) == F.col("__key"), "left").select(
         *[

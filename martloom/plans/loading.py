@@ -33,6 +33,7 @@ def load_mart(
         absent = [name for name in schema.names if name not in data.columns]
         if absent:
             raise ValueError(f"{label}: no column {', '.join(absent)}")
+        data = data.counted([name for name in rules.not_null if name in data.columns])
         enforce(data, rules)
         if mart.exists():
             require_no_conflicts(mart.read(), data, key)

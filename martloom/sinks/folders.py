@@ -1,0 +1,54 @@
+"""Small files and listings in whatever file system a path belongs to, from the driver."""
+
+from __future__ import annotations
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
+
+
+def _at(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    files, place = _at(spark, path)
+    if not files.exists(place):
+        return []
+    return sorted(status.getPath().getName() for status in files.listStatus(place))
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a new file; False, and no change, if there is one already.
+
+    Of several callers one creates it, on file systems that create exclusively as HDFS does.
+    """
+    files, place = _at(spark, path)
+    files.mkdirs(place.getParent())
+    try:
+        stream = files.create(place, False)
+    except Py4JJavaError as error:
+        if "AlreadyExists" in error.java_exception.getClass().getName() or files.exists(place):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    return True
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    files, place = _at(spark, path)
+    stream = files.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, place = _at(spark, path)
+    files.delete(place, True)

@@ -1,37 +1,53 @@
-"""Mart tables: parquet snapshots behind a catalog view, or a catalog with row-level MERGE.
+"""Mart tables: parquet partitions listed by commits, or a catalog with row-level MERGE.
 
-Parquet tables cannot be changed in place, and Spark refuses to overwrite what it reads. So each
-upsert writes a new snapshot folder and then moves the view with one catalog call: readers see
-either the old or the new state, and a failed run leaves the old one. Only partitions that the
-batch touches are joined and shuffled. Those are the partitions it writes to and those its keys
-are found in: a row whose date changed must also leave its old one. The others are copied.
+Parquet files cannot be changed in place, and Spark refuses to overwrite what it reads. So an
+upsert writes the partitions that it touches into a new folder, and a commit lists for every
+partition the folder that holds it now: untouched partitions stay where they are. Touched are the
+partitions the batch writes to and those its keys are found in: a row whose date changed must also
+leave its old one.
 
-A catalog with row-level operations need not even copy. Prefer one, through ``RowLevelMart``, when
-batches are small beside the mart.
+Commits are numbered files, each created exclusively, so of two upserts that began from the same
+commit one has to begin again from the other's. Every commit is a catalog table whose partitions
+are registered with their folders, so Spark prunes partitions before it lists any file; the mart's
+name is a view of the last one.
+
+A catalog with row-level operations need not even rewrite partitions. Prefer one, through
+``RowLevelMart``, when batches are small beside the partitions they touch.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import date
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions.names import quoted, quoted_name
 from martloom.functions.sizes import fits_broadcast
-from martloom.operators.upsert import (
-    conform,
-    matched_distinct,
-    merge_frame,
-    require_no_conflicts,
-)
+from martloom.operators.upsert import conform, matched_distinct, merge_frame
+from martloom.sinks.folders import create_file, delete, names_in, read_file
 from martloom.sinks.scratch import staged
 
+# Folder of the commits, below a mart's root.
+COMMITS = "_commits"
+
+# Fixed value: how Spark names the folder of a NULL partition.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+# How often a merge begins again when other writers commit first.
+MERGE_ATTEMPTS = 5
+
+# Partitions registered in one statement, and those that one batch may touch: the driver lists
+# them, and every one of them is a folder.
+PARTITIONS_AT_ONCE = 500
+PARTITIONS_IN_A_BATCH = 100_000
+
 
 @dataclass(frozen=True)
 class DatePartition:
@@ -64,9 +80,34 @@ def write_partitioned(df: DataFrame, folder: str, partition: DatePartition | Non
     balanced.write.partitionBy(partition.name).parquet(folder)
 
 
+class ConcurrentMerge(RuntimeError):
+    """Other writers kept committing while this one merged."""
+
+
+@dataclass(frozen=True)
+class Commit:
+    """The state of a mart: its schema, and the folder of each partition (by value, "" for NULL;
+    the one folder of a mart without partitions is under ""). ``token`` is in no other commit."""
+
+    number: int
+    schema: T.StructType
+    folders: dict[str, str]
+    token: str = field(default_factory=lambda: uuid4().hex)
+
+    def to_text(self) -> str:
+        held = {"schema": self.schema.json(), "folders": self.folders, "token": self.token}
+        return json.dumps(held)
+
+    @classmethod
+    def from_text(cls, number: int, text: str) -> Commit:
+        held = json.loads(text)
+        schema = T.StructType.fromJson(json.loads(held["schema"]))
+        return cls(number, schema, held["folders"], held["token"])
+
+
 @dataclass(frozen=True)
 class MartTable:
-    """``name``: one to three dot-separated parts. ``root``: folder of its snapshots."""
+    """``name``: one to three dot-separated parts. ``root``: folder of its files and commits."""
 
     spark: SparkSession
     name: str
@@ -74,7 +115,8 @@ class MartTable:
     partition: DatePartition | None = None
 
     def exists(self) -> bool:
-        return bool(self.spark.catalog.tableExists(self.name))
+        """Whether the catalog has the mart; a temporary view of its name does not count."""
+        return bool(self.spark.catalog.tableExists(self._qualified()))
 
     def ensure(self, schema: T.StructType) -> bool:
         """Create the table empty if it is missing; True if this call created it."""
@@ -84,89 +126,199 @@ class MartTable:
         return True
 
     def create(self, rows: DataFrame, check: Callable[[DataFrame], None] | None = None) -> None:
-        """Write the first snapshot, run ``check`` on it, and show it as the table."""
-        folder = self._readable(self._write(rows), rows)
+        """Write the first files, run ``check`` on them, and show them as the table."""
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
+        folders = self._write(rows)
         if check is not None:
-            check(self.spark.read.parquet(folder).select(*map(quoted, rows.columns)))
-        self._show(folder, rows.columns)
+            trial = self._version(Commit(0, schema, folders))
+            try:
+                check(self._rows(trial))
+            finally:
+                self.spark.sql(f"DROP TABLE {_listed(trial)}")
+        last = self.last_commit()
+        number = 0 if last is None else last.number + 1
+        if not self._commit(Commit(number, schema, folders)):
+            raise ConcurrentMerge(f"mart {self.name} was created by another writer meanwhile")
         if not self.exists():
             raise ValueError(f"table {self.name} is missing after its creation")
 
     def read(self) -> DataFrame:
-        """The mart's columns, without the derived partition column."""
-        table = self.spark.table(self.name)
-        return table.drop(self.partition.name) if self.partition else table
+        """The mart's columns, without the derived partition column, as of the last commit."""
+        return self._rows(self._version(self._current()))
 
     def merge(self, source: DataFrame, key: str) -> None:
         """Upsert by ``key`` and switch to the result; a conflict raises and changes nothing.
 
         ``source`` is read by several jobs: pass one that is cheap to read, see ``staged``. If it
-        proves small it is broadcast, so that the mart's rows meet it where they are read.
+        proves small it is broadcast, so that the mart's rows meet it where they are read. If
+        another writer commits first, the merge runs again on what that one left.
         """
-        target = self.read()
-        source = conform(source, target.schema)
-        require_no_conflicts(target, source, key)
-        if fits_broadcast(source):
-            source = F.broadcast(source)
+        small = fits_broadcast(source)
+        for _ in range(MERGE_ATTEMPTS):
+            commit = self._current()
+            target = self._rows(self._version(commit))
+            batch = conform(source, target.schema)
+            batch = F.broadcast(batch) if small else batch
+            if self.partition is None:
+                folders = self._write(merge_frame(target, batch, key))
+            else:
+                folders = self._merged_partitions(commit, batch, key, self.partition)
+            if self._commit(Commit(commit.number + 1, commit.schema, folders)):
+                return
+        raise ConcurrentMerge(f"mart {self.name} changed during {MERGE_ATTEMPTS} merges")
+
+    def vacuum(self, keep: int = 1) -> None:
+        """Delete commits but the last ``keep``, and folders that none of these lists.
+
+        Readers of older commits fail afterwards, and so would a merge that runs meanwhile.
+        """
+        numbers = self._numbers()
+        kept = [self._at(number) for number in numbers[-keep:]]
+        used = {folder for commit in kept for folder in commit.folders.values()}
+        for number in numbers[:-keep]:
+            old = self._at(number)
+            for folder in set(old.folders.values()) - used:
+                delete(self.spark, folder)
+            self.spark.sql(f"DROP TABLE IF EXISTS {_listed(self._version(old))}")
+            delete(self.spark, self._commit_file(number))
+
+    # -- commits --------------------------------------------------------------------------
+
+    def last_commit(self) -> Commit | None:
+        numbers = self._numbers()
+        return self._at(numbers[-1]) if numbers else None
+
+    def _current(self) -> Commit:
+        commit = self.last_commit()
+        if commit is None:
+            raise ValueError(f"mart {self.name} has no commit below {self.root}")
+        return commit
+
+    def _numbers(self) -> list[int]:
+        names = names_in(self.spark, f"{self._folder()}/{COMMITS}")
+        return sorted(int(name) for name in names if name.isdigit())
+
+    def _commit_file(self, number: int) -> str:
+        return f"{self._folder()}/{COMMITS}/{number:012d}"
+
+    def _at(self, number: int) -> Commit:
+        return Commit.from_text(number, read_file(self.spark, self._commit_file(number)))
+
+    def _commit(self, commit: Commit) -> bool:
+        """Make ``commit`` the mart's state; False if another writer took its number.
+
+        Its table is complete before the commit can be seen.
+        """
+        table = self._version(commit)
+        if not create_file(self.spark, self._commit_file(commit.number), commit.to_text()):
+            self.spark.sql(f"DROP TABLE {_listed(table)}")
+            return False
+        shown = None
+        while shown != (last := self._current().number):  # a later one may have come meanwhile
+            self._show(self._at(last))
+            shown = last
+        return True
+
+    # -- the catalog ----------------------------------------------------------------------
+
+    def _qualified(self) -> str:
+        return self.name if "." in self.name else f"{self.spark.catalog.currentDatabase()}.{self.name}"
+
+    def _version(self, commit: Commit) -> str:
+        """The catalog table of a commit, registered if this catalog does not have it yet."""
+        table = f"{self._qualified()}_at_{commit.number}_{commit.token[:8]}"
+        if not self.spark.catalog.tableExists(table):
+            self._register(commit, table)
+        return table
+
+    def _register(self, commit: Commit, table: str) -> None:
+        columns = [f"{quoted_name(f.name)} {f.dataType.simpleString()}" for f in commit.schema]
         if self.partition is None:
-            folder = self._write(merge_frame(target, source, key))
-        else:
-            folder = self._merge_partitions(source, key, self.partition)
-        self._show(self._readable(folder, target), target.columns)
-
-    def _merge_partitions(self, source: DataFrame, key: str, partition: DatePartition) -> str:
-        dated = self.spark.table(self.name)
-        touched = self._touched(dated, source, key, partition)
-        reached = dated.where(touched).drop(partition.name)
-        folder = self._write(merge_frame(reached, source, key))
-        # The tasks of this scan read whole partitions, so each writes to few of them.
-        calm = dated.where(~touched)
-        calm.write.mode("append").partitionBy(partition.name).parquet(folder)
-        return folder
+            self._table(table, columns, commit.folders.get("", f"{self._folder()}/empty"))
+            return
+        name = quoted_name(self.partition.name)
+        empty = f"{self._folder()}/empty"
+        self._table(table, [*columns, f"{name} DATE"], empty, f"PARTITIONED BY ({name})")
+        parts = [
+            f"PARTITION ({name} = {_date(value)}) LOCATION {_text(folder)}"
+            for value, folder in sorted(commit.folders.items())
+        ]
+        for at in range(0, len(parts), PARTITIONS_AT_ONCE):
+            listed = " ".join(parts[at : at + PARTITIONS_AT_ONCE])
+            self.spark.sql(f"ALTER TABLE {_listed(table)} ADD IF NOT EXISTS {listed}")
+
+    def _table(self, table: str, columns: list[str], folder: str, more: str = "") -> None:
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {_listed(table)} ({', '.join(columns)}) USING parquet "
+            f"{more} LOCATION {_text(folder)}"
+        )
+
+    def _rows(self, table: str) -> DataFrame:
+        rows = self.spark.table(table)
+        return rows.drop(self.partition.name) if self.partition else rows
+
+    def _show(self, commit: Commit) -> None:
+        view, table = _listed(self._qualified()), _listed(self._version(commit))
+        self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
+
+    # -- files ----------------------------------------------------------------------------
+
+    def _folder(self) -> str:
+        return self.root.rstrip("/")
+
+    def _write(self, rows: DataFrame) -> dict[str, str]:
+        """Write rows to a new folder; the folders of its partitions."""
+        folder = f"{self._folder()}/part-{uuid4().hex}"
+        write_partitioned(rows, folder, self.partition)
+        if self.partition is None:
+            return {"": folder}
+        names = [name for name in names_in(self.spark, folder) if "=" in name]
+        values = [name.partition("=")[2] for name in names]
+        return {
+            "" if value == NO_VALUE else value: f"{folder}/{name}"
+            for value, name in zip(values, names, strict=True)
+        }
+
+    def _merged_partitions(
+        self, commit: Commit, source: DataFrame, key: str, partition: DatePartition
+    ) -> dict[str, str]:
+        dated = self.spark.table(self._version(commit))
+        dates = self._touched(dated, source, key, partition)
+        at = quoted(partition.name)
+        listed = F.coalesce(at.isin([date for date in dates if date is not None]), F.lit(False))
+        reached = dated.where(listed | at.isNull() if None in dates else listed)
+        written = self._write(merge_frame(reached.drop(partition.name), source, key))
+        touched = {"" if date is None else date.isoformat() for date in dates}
+        calm = {value: f for value, f in commit.folders.items() if value not in touched}
+        return calm | written
 
     def _touched(
         self, dated: DataFrame, source: DataFrame, key: str, partition: DatePartition
-    ) -> Column:
-        """Condition on the partition column: the batch writes there or has a key there.
-
-        The driver sees distinct partition values, of which there are as many as folders.
-        """
+    ) -> list[date | None]:
+        """Partitions that the batch writes to or has a key in. Each is a folder of the mart."""
         held = dated.select(quoted(key).alias("__known"), quoted(partition.name).alias("at"))
         found = matched_distinct(held, source, key).select("at")
         given = source.select(partition.column().alias("at"))
-        dates = [row[0] for row in found.unionAll(given).distinct().collect()]
-        at = quoted(partition.name)
-        listed = F.coalesce(at.isin([date for date in dates if date is not None]), F.lit(False))
-        return listed | at.isNull() if None in dates else listed
+        dates = found.unionAll(given).distinct().limit(PARTITIONS_IN_A_BATCH + 1).collect()
+        if len(dates) > PARTITIONS_IN_A_BATCH:
+            raise ValueError(
+                f"mart {self.name}: the batch touches over {PARTITIONS_IN_A_BATCH} partitions; "
+                f"merge it in parts, or partition by more than a {partition.unit}"
+            )
+        return [row[0] for row in dates]
+
+
+def _listed(name: str) -> str:
+    return ".".join(map(quoted_name, name.split(".")))
+
+
+def _text(value: str) -> str:
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
-    def _write(self, rows: DataFrame) -> str:
-        folder = f"{self.root.rstrip('/')}/snapshot-{uuid4().hex}"
-        write_partitioned(rows, folder, self.partition)
-        return folder
-
-    def _show(self, folder: str, columns: list[str]) -> None:
-        listed = ", ".join(map(quoted_name, columns))
-        if self.partition:
-            # Spark guesses the type from the folder names; where all dates are NULL it cannot.
-            name = quoted_name(self.partition.name)
-            listed += f", CAST({name} AS DATE) AS {name}"
-        view = ".".join(map(quoted_name, self.name.split(".")))
-        self.spark.sql(
-            f"CREATE OR REPLACE VIEW {view} AS SELECT {listed} FROM parquet.{quoted_name(folder)}"
-        )
 
-    def _readable(self, folder: str, rows: DataFrame) -> str:
-        """``folder``, or an empty unpartitioned one if it holds no rows: without any partition
-        folder there is no file that could tell the schema."""
-        try:
-            self.spark.read.parquet(folder)
-        except AnalysisException as error:
-            if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-                raise
-            dated = rows.withColumn(self.partition.name, self.partition.column())
-            self.spark.createDataFrame([], dated.schema).write.parquet(f"{folder}-empty")
-            return f"{folder}-empty"
-        return folder
+def _date(value: str) -> str:
+    return f"DATE'{value}'" if value else "NULL"
 
 
 @dataclass(frozen=True)

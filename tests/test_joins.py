@@ -344,3 +344,34 @@ def test_dimension_joins_split_a_hot_key(spark):
         assert len(star.collect()) == 60_000
         final = plan_text(star).split("Initial Plan")[0]
         assert final.count("skew=true") >= 2
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_hot_key_that_only_one_table_has(spark, tmp_path, how):
+    """Nine tenths of a side lie on a key the core lacks, and, for the inner join, the reverse."""
+    spark.range(0, 2000, 1, 4).selectExpr(
+        "if(id % 2 = 0, -2, id) AS k", "id AS core_id"
+    ).write.parquet(f"{tmp_path}/core")
+    spark.range(0, 40_000, 1, 8).selectExpr(
+        "if(id % 10 > 0, -1, id) AS k", "id AS side_id"
+    ).write.parquet(f"{tmp_path}/side")
+    core, side = spark.read.parquet(f"{tmp_path}/core"), spark.read.parquet(f"{tmp_path}/side")
+    join = FanoutJoin(core, "k", (side,), how)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        found = join.frame(cell_rows=500)
+        same_rows(found, core.join(side, "k", how))
+    kept = join.without_idle_keys(500)
+    assert kept.sides[0].where("k = -1").count() == 0 and kept.sides[0].count() == 4000
+    assert kept.core.where("k = -2").count() == (1000 if how == "left" else 0)
+    assert join.without_idle_keys(50_000).sides[0].count() == 40_000
+
+
+def test_tables_are_counted_once(spark, tmp_path):
+    spark.range(100).selectExpr("id AS k", "id AS a").write.parquet(f"{tmp_path}/core")
+    spark.range(300).selectExpr("id % 100 AS k", "id AS b").write.parquet(f"{tmp_path}/side")
+    core, side = spark.read.parquet(f"{tmp_path}/core"), spark.read.parquet(f"{tmp_path}/side")
+    join = FanoutJoin(core, "k", (side,)).counted(["b"])
+    for report in (join.summary(), join.null_counts(["b"]), join.pruned(["a"]).per_key()):
+        assert f"{tmp_path}" not in plan_text(report)
+    assert join.null_counts(["b"]).first() == (300, 0)
+    assert f"{tmp_path}/side" in plan_text(join.null_counts(["a"])) or join.counted(["b"]) is join

@@ -10,8 +10,8 @@ from martloom.operators.spread import (
     heaviest,
     heavy_keys,
     join_keyed,
-    part_of,
-    parts_of,
+    with_part,
+    with_parts,
 )
 from tests.frames import plan_text, same_rows, settings
 
@@ -55,17 +55,20 @@ def test_light_keys_are_joined_plainly(spark, hot_rows):
     assert "explode" not in plan and "xxhash64" not in plan
 
 
-def test_list_of_heavy_keys_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr("martloom.operators.spread.HEAVY_KEYS", 3)
-    counted = spark.range(100).selectExpr("id AS heavy_key", "id * 10 AS n")
-    listed = heaviest(counted, F.col("n"), 500)
-    assert [row.heavy_key for row in listed] == [99, 98, 97]
-    keyed = spark.range(0, 100, 2).selectExpr("id AS kk")
-    rows = spark.range(1000).selectExpr("id % 100 AS k", "id AS v")
+def test_every_heavy_key_is_listed(spark):
+    counted = spark.range(30_000).selectExpr("id AS heavy_key", "id AS n")
+    assert heaviest(counted, F.col("n"), 5_000).count() == 24_999
+    assert heaviest(counted, F.col("n"), 30_000) is None
+    keyed = spark.range(0, 12_000, 2).selectExpr("id AS kk")
+    rows = spark.range(36_000).selectExpr("id % 12000 AS k", "id AS v")
     expected = rows.join(keyed, F.col("k") == F.col("kk"), "left")
-    heavy = heavy_keys(rows, "k", cell_rows=1)
-    assert heavy.count() == 3
+    heavy = heavy_keys(rows, "k", cell_rows=2)
+    assert heavy.count() == 12_000
     same_rows(join_keyed(rows, "k", keyed, "kk", "left", heavy), expected)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):  # a list that is too long
+        joined = join_keyed(rows, "k", keyed, "kk", "left", heavy)
+        assert "BroadcastHashJoin" not in plan_text(joined)
+        same_rows(joined, expected)
 
 
 @pytest.mark.parametrize(
@@ -79,8 +82,10 @@ def test_list_of_heavy_keys_is_bounded(spark, monkeypatch):
         ([1, 10**9, 10**9], [1, 256, 256]),
     ],
 )
-def test_parts_of(counts, parts):
-    found = parts_of(counts, 1_000_000)
+def test_parts(spark, counts, parts):
+    rows = [f"{n}L AS rows_{at}" for at, n in enumerate(counts)]
+    found = with_parts(spark.range(1).selectExpr(*rows), len(counts), 1_000_000).first()
+    found = [found[f"parts_{at}"] for at in range(len(counts))]
     assert found == parts
     assert prod(found) <= 2 * MAX_CELLS
     cell = prod(n / p for n, p in zip(counts, found))
@@ -92,6 +97,16 @@ def test_parts_do_not_depend_on_row_order(spark):
         [(1, {"a": 1}, [{"b": 2}], "x"), (2, {}, [], "y")],
         "k int, m map<string,int>, ms array<map<string,int>>, s string",
     ).coalesce(1)
-    parts = df.select("k", part_of(df, F.lit(1000)).alias("p"))
+    parts = with_part(df, df.columns, F.lit(1000)).select("k", "__part")
     again = df.orderBy(F.desc("k")).coalesce(1)
-    assert set(parts.collect()) == set(again.select("k", part_of(again, F.lit(1000))).collect())
+    again = with_part(again, again.columns, F.lit(1000)).select("k", "__part")
+    assert set(parts.collect()) == set(again.collect())
+
+
+def test_equal_rows_of_a_partition_are_dealt_apart(spark):
+    rows = spark.range(0, 400_000, 1, 4).selectExpr("7 AS k", "'same' AS v")
+    found = with_part(rows, rows.columns, F.lit(40)).groupBy("__part").count().collect()
+    assert len(found) == 40
+    assert max(row["count"] for row in found) <= 2 * 400_000 / 40
+    light = with_part(rows, rows.columns, F.lit(1)).select("__part").distinct().collect()
+    assert [row[0] for row in light] == [0]

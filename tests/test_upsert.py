@@ -16,6 +16,7 @@ from martloom.operators.upsert import (
     require_no_conflicts,
 )
 from martloom.sinks.tables import (
+    ConcurrentMerge,
     DatePartition,
     MartTable,
     RowLevelMart,
@@ -219,7 +220,7 @@ def test_ensure_creates_once(spark, mart):
 
 def test_ensure_reports_a_table_that_did_not_appear(spark, tmp_path, monkeypatch):
     mart = MartTable(spark, "mart_that_fails", f"{tmp_path}/mart")
-    monkeypatch.setattr(MartTable, "_show", lambda self, folder, columns: None)
+    monkeypatch.setattr(MartTable, "_show", lambda self, commit: None)
     with pytest.raises(ValueError, match="mart_that_fails is missing"):
         mart.ensure(SCHEMA)
 
@@ -251,10 +252,9 @@ def test_only_touched_partitions_are_joined(spark, mart):
         spark,
         (5, "new", "2024-01-09 01:00:00"), (777, "new", "2025-05-05 00:00:00"), (33, "new", None),
     )
-    dated = spark.table(mart.name)
-    touched = dated.where(mart._touched(dated, batch, "k", mart.partition))
-    found = {str(row.day) for row in touched.select("day").distinct().collect()}
-    assert found == {"2024-01-01", "2024-01-09", "2024-01-04", "None"}
+    touched = mart._touched(spark.table(mart.name), batch, "k", mart.partition)
+    expected = ["2024-01-01", "2024-01-04", "2024-01-09", "2025-05-05", "None"]
+    assert sorted(map(str, touched)) == expected
     expected = merge_frame(day(spark, *days, (500, "no date", None)), batch, "k")
     mart.merge(batch, "k")
     same_rows(mart.read(), expected)
@@ -262,6 +262,84 @@ def test_only_touched_partitions_are_joined(spark, mart):
     same_rows(mart.read(), expected)
 
 
+def test_a_merge_writes_only_the_partitions_it_touches(spark, mart, tmp_path):
+    days = [(n, "old", f"2024-01-{1 + n:02d} 12:00:00") for n in range(20)]
+    mart.create(day(spark, *days))
+    before = set((tmp_path / "mart").rglob("*.parquet"))
+    mart.merge(day(spark, (4, "new", "2024-01-05 13:00:00")), "k")
+    written = set((tmp_path / "mart").rglob("*.parquet")) - before
+    assert {path.parent.name for path in written} == {"day=2024-01-05"}
+    assert before <= set((tmp_path / "mart").rglob("*.parquet"))
+    one = spark.table(mart.name).where("day = DATE'2024-01-05'")
+    assert [row.v for row in one.collect()] == ["new"]
+    assert "InMemoryFileIndex(1 paths)" in plan_text(one)
+    old = spark.table(mart._version(mart._at(0)))
+    assert {row.v for row in old.collect()} == {"old"}
+    mart.vacuum()
+    assert mart.read().count() == 20
+    left = set((tmp_path / "mart").rglob("*.parquet"))
+    assert {path.parent.name for path in before - left} == {"day=2024-01-05"} and written <= left
+    assert len(list((tmp_path / "mart" / "_commits").glob("0*"))) == 1
+
+
+def interleaved(monkeypatch, first):
+    """Run ``first`` when another merge has read the mart but not yet committed."""
+    write, waiting = MartTable._write, [first]
+
+    def writing(self, rows):
+        if waiting:
+            waiting.pop()()
+        return write(self, rows)
+
+    monkeypatch.setattr(MartTable, "_write", writing)
+
+
+def test_merges_at_the_same_time_both_survive(spark, mart, monkeypatch):
+    mart.create(day(spark, *[(n, "old", "2024-01-01 10:00:00") for n in range(9)]))
+    other = MartTable(spark, mart.name, mart.root, mart.partition)
+    meanwhile = day(spark, (5, "other", "2024-01-01 10:00:00"))
+    interleaved(monkeypatch, lambda: other.merge(meanwhile, "k"))
+    mart.merge(day(spark, (4, "mine", "2024-01-01 10:00:00")), "k")
+    found = {row.k: row.v for row in mart.read().collect()}
+    assert found == {n: "old" for n in range(9)} | {4: "mine", 5: "other"}
+    assert {row.k: row.v for row in spark.table(mart.name).collect()} == found
+
+
+def test_merges_that_are_always_late_give_up(spark, mart, monkeypatch):
+    mart.create(day(spark, (1, "old", "2024-01-01 10:00:00")))
+    monkeypatch.setattr(MartTable, "_commit", lambda self, commit: False)
+    with pytest.raises(ConcurrentMerge, match="changed during 5 merges"):
+        mart.merge(day(spark, (1, "new", "2024-01-01 10:00:00")), "k")
+
+
+def test_a_temporary_view_is_not_the_mart(spark, mart):
+    day(spark, (1, "view", None)).createOrReplaceTempView(mart.name)
+    try:
+        assert not mart.exists()
+        assert mart.ensure(SCHEMA) and mart.exists()
+        mart.merge(day(spark, (1, "row", "2024-01-01 10:00:00")), "k")
+        assert [row.v for row in mart.read().collect()] == ["row"]
+    finally:
+        spark.catalog.dropTempView(mart.name)
+
+
+def test_a_batch_of_too_many_partitions_is_refused(spark, mart, monkeypatch):
+    monkeypatch.setattr("martloom.sinks.tables.PARTITIONS_IN_A_BATCH", 2)
+    mart.ensure(SCHEMA)
+    with pytest.raises(ValueError, match="touches over 2 partitions"):
+        mart.merge(day(spark, *[(n, "x", f"2024-01-0{n} 00:00:00") for n in range(1, 5)]), "k")
+
+
+@pytest.mark.parametrize("cell_rows", [2, 100])
+def test_conflict_does_not_depend_on_a_size(spark, cell_rows):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], KV)
+    source = spark.createDataFrame([(2, f"s{n}") for n in range(5)] + [(3, "c")] * 5, KV)
+    with pytest.raises(MergeConflict, match="among them: 2 .5 rows"):
+        merge_frame(target, source, "k", cell_rows)
+    added = merge_frame(target, source.where("k <> 2"), "k", cell_rows)
+    assert added.count() == 7
+
+
 def test_last_row_of_a_partition_moves_away(spark, mart):
     mart.create(day(spark, (1, "a", "2024-01-01 10:00:00")))
     for date in ("2024-02-02", "2024-01-01", None, "2024-03-03"):
