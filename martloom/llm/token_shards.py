@@ -18,7 +18,6 @@ that share one are ordered by text. An empty table gives no shard.
 from __future__ import annotations
 
 import itertools
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -36,18 +35,24 @@ from tokenizers import Tokenizer
 from martloom.llm.common import text_blocks, texts_of
 from martloom.sinks.scratch import staged
 
-SHARD_TOKENS = 1 << 20
+SHARD_TOKENS = 1 << 18
 END_ID = 2
 MAGIC = b"MWM1"
 RANK_BITS = 512
-CACHED_CHUNKS = 600_000
+CACHED_CHUNKS = 400_000
 # Larger blocks repeat more of their chunks.
 BLOCK_BYTES = 8 << 20
 
-# A space that is followed by no white space always begins a new unit of a byte-level vocabulary
-# with the usual pattern, so a text may be cut before it and the parts encoded on their own. Texts
-# with any other space are not cut.
-OTHER_SPACE = re.compile(r" (?!\S)")
+# With the usual pattern of byte-level vocabularies, a unit always begins at a space or line end
+# that no white space follows, and at a full stop or comma after a Latin letter or digit. So a
+# text may be cut there and the parts encoded on their own. Texts are cut at marked spaces: a chunk
+# that begins with a line end, stop or comma had no space before it. Texts with a space that
+# could be confused with a mark go to the library whole; in those with other line ends, stops or
+# commas only spaces are cuts.
+BLANK = r"\s\x0b\x1c-\x1f\x85\pZ"
+UNCUT = rf" ([{BLANK}.,]|$)"
+ONLY_SPACES = rf"(^|[^A-Za-z0-9À-ÖØ-öø-ÿ])[.,]|\n([{BLANK}]|$)"
+MARKED = ("\n", ".", ",")
 JOINED_CHARS = 1 << 13
 
 
@@ -57,7 +62,8 @@ class ChunkEncoder:
     New chunks of a block are encoded on end; as every id stands for a known number of bytes, the
     ids of each chunk are told by its length. Only for byte-level vocabularies without a
     normaliser; others, and texts that hold a special token (next to which the pattern cuts
-    otherwise), go to the library whole.
+    otherwise), go to the library whole. Chunks are kept in two generations, so that those that
+    come again are still known when the older generation is dropped.
     """
 
     def __init__(self, path: str):
@@ -76,6 +82,7 @@ class ChunkEncoder:
         for token, at in vocabulary.items():
             self.lengths[at] = len(token)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -83,14 +90,40 @@ class ChunkEncoder:
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text. Chunks are told apart by Arrow, and Python sees each one once."""
-        plain = [self.in_chunks and not self._irregular(text) for text in texts]
-        cut = pc.split_pattern(pa.array([t for t, p in zip(texts, plain) if p], pa.large_string()), " ")
-        first = self.whole(
-            [text[: text.find(" ")] if p and " " in text else text for text, p in zip(texts, plain)]
-        )
-        coded = cut.flatten().dictionary_encode()
-        chunks = coded.dictionary.to_pylist()
-        parts = self._known(chunks)
+        rows = pa.array(texts, pa.large_string())
+        plain = self._cuttable(rows)
+        kept = rows.filter(plain)
+        marked = kept
+        for sign in MARKED:
+            marked = pc.replace_substring(marked, sign, f" {sign}")
+        marked = pc.if_else(pc.match_substring_regex(kept, ONLY_SPACES), kept, marked)
+        cut = pc.split_pattern(marked, " ")
+        chunks, bounds = cut.flatten(), cut.offsets.to_numpy()
+        leads = chunks.take(pa.array(bounds[:-1])).to_pylist()
+        others = iter(self.whole(rows.filter(pc.invert(plain)).to_pylist()))
+        first = iter(self.whole(leads))
+        coded = chunks.dictionary_encode()
+        joined, ends = self._joined(coded)
+        # The first chunk of a text has no space before it, so it was encoded on its own.
+        rest = iter([joined[ends[a + 1] : ends[b]] for a, b in zip(bounds, bounds[1:], strict=False)])
+        return [
+            np.concatenate([np.frombuffer(next(first), "<u4"), next(rest)])
+            if whole
+            else np.frombuffer(next(others), "<u4")
+            for whole in plain.to_pylist()
+        ]
+
+    def _cuttable(self, rows: pa.Array) -> pa.Array:
+        if not self.in_chunks:
+            return pa.array(np.zeros(len(rows), bool))
+        uncut = pc.or_(pc.match_substring_regex(rows, UNCUT), pc.equal(rows, ""))
+        for token in self.special:
+            uncut = pc.or_(uncut, pc.match_substring(rows, token))
+        return pc.invert(uncut)
+
+    def _joined(self, coded: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks on end, and where each chunk's begin (one more than chunks)."""
+        parts = self._known(coded.dictionary.to_pylist())
         ids = np.frombuffer(b"".join(parts), "<u4")
         lengths = np.fromiter(map(len, parts), np.int32, len(parts)) // 4
         starts = np.cumsum(lengths, dtype=np.int32) - lengths
@@ -100,45 +133,38 @@ class ChunkEncoder:
         # Each chunk's ids lie on end: one step to the next id, a jump from chunk to chunk.
         steps = np.ones(ends[-1], np.int32)
         full = np.flatnonzero(counts)
-        begins = starts[at[full]]
-        steps[ends[full]] = np.diff(begins, prepend=0) - np.concatenate([[0], counts[full][:-1] - 1])
-        joined = ids[np.cumsum(steps, dtype=np.int32)]
-        # The first chunk of a text has no space before it, so it was encoded on its own.
-        bounds = cut.offsets.to_numpy()
-        rest = iter([joined[ends[a + 1] : ends[b]] for a, b in zip(bounds, bounds[1:], strict=False)])
-        return [
-            np.concatenate([np.frombuffer(lead, "<u4"), next(rest)]) if p else np.frombuffer(lead, "<u4")
-            for lead, p in zip(first, plain, strict=True)
-        ]
-
-    def _irregular(self, text: str) -> bool:
-        """Whether a text must go to the library whole: empty, with a special token, or with a
-        space that does not begin a unit."""
-        return (
-            not text
-            or any(token in text for token in self.special)
-            or OTHER_SPACE.search(text) is not None
-        )
+        steps[ends[full]] = np.diff(starts[at[full]], prepend=0)
+        steps[ends[full][1:]] -= counts[full][:-1] - 1
+        return ids[np.cumsum(steps, dtype=np.int32)], ends
 
     def _known(self, chunks: list[str]) -> list[bytes]:
         found = list(map(self.known.get, chunks))
-        new = [chunk for chunk, part in zip(chunks, found, strict=True) if part is None]
-        if len(self.known) + len(new) > CACHED_CHUNKS:
-            self.known.clear()
-        if new:
-            learned = self._learn(new)
-            self.known.update(learned)
-            found = [part or learned[chunk] for chunk, part in zip(chunks, found, strict=True)]
-        return found
-
-    def _learn(self, chunks: list[str]) -> dict[str, bytes]:
+        late = [chunk for chunk, part in zip(chunks, found, strict=True) if part is None]
+        if not late:
+            return found
+        known = {chunk: self.older[chunk] for chunk in late if chunk in self.older}
+        known |= self._learned([chunk for chunk in late if chunk not in known])
+        self.known |= known
+        if len(self.known) > CACHED_CHUNKS:
+            self.older, self.known = self.known, {}
+        return [known[c] if part is None else part for c, part in zip(chunks, found, strict=True)]
+
+    def _learned(self, chunks: list[str]) -> dict[str, bytes]:
+        signs = [chunk for chunk in chunks if chunk.startswith(MARKED[1:])]
+        lines = [chunk for chunk in chunks if chunk.startswith(MARKED[0])]
+        spaced = [chunk for chunk in chunks if not chunk.startswith(MARKED)]
+        learned = dict(zip(signs, self.whole(signs), strict=True))
+        # Lines are joined with lines: after white space they would not be units of their own.
+        return learned | self._encoded_on_end(lines, "") | self._encoded_on_end(spaced, " ")
+
+    def _encoded_on_end(self, chunks: list[str], before: str) -> dict[str, bytes]:
         at, learned = 0, {}
         while at < len(chunks):
             size, first = 0, at
             while at < len(chunks) and size < JOINED_CHARS:
                 size += len(chunks[at]) + 1
                 at += 1
-            joined = [f" {chunk}" for chunk in chunks[first:at]]
+            joined = [before + chunk for chunk in chunks[first:at]]
             ids = np.frombuffer(self.whole(["".join(joined)])[0], "<u4")
             ends = np.cumsum([len(chunk) for chunk in map(str.encode, joined)])
             places = np.searchsorted(np.cumsum(self.lengths[ids]), ends) + 1
@@ -148,17 +174,17 @@ class ChunkEncoder:
         return learned
 
 
-def zeros_first(ones: np.ndarray) -> np.ndarray:
-    """Places of the zeros, then of the ones, each in order."""
-    return np.concatenate([np.flatnonzero(~ones), np.flatnonzero(ones)])
-
-
 @lru_cache(1)
 def chunk_encoder(path: str) -> ChunkEncoder:
     """One encoder per worker process, so that tasks share what it has learned."""
     return ChunkEncoder(path)
 
 
+def zeros_first(ones: np.ndarray) -> np.ndarray:
+    """Places of the zeros, then of the ones, each in order."""
+    return np.concatenate([np.flatnonzero(~ones), np.flatnonzero(ones)])
+
+
 class WaveletShard:
     """One shard's file: the ids of its documents, on end, with rank and select."""
 

@@ -22,6 +22,8 @@ FOLDER = "/root/testdata/sf0.1"
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 ODD = ["", " ", "a", "a  b ", "\n\n x\u3000y", "x<|endoftext|> y  z", "\x1c a", "é😀" * 50, "don't we're I'll"]
+ODD += ["a.b,c. d .e f,, g... h\n.i\nj\n\nk 3.5,6\n", ".a b\nc", "\na b.", "x.\ny it's.z", "ä.Ω. ß,"]
+ODD += ["a_.b c", "a b ", "Ω.x y", "²,x y", "1,2\n3 4.", "\u00a0.x y\u00a0\nz", "x\u2028.y z"]
 
 
 # Words and hashes
@@ -137,7 +139,10 @@ def test_features_do_not_depend_on_the_block():
 def test_chunks_encode_as_the_library_does(documents):
     encoder = token_shards.ChunkEncoder(BYTES)
     assert encoder.in_chunks
-    texts = ODD + [row.text or "" for row in documents.collect()]
+    drawn = random.Random(1)
+    signs = [*" .,\na1Ω_!\t\r\u00a0\u0301😀", "  ", "é", "'s", "b c", "x.y", "<|endoftext|>"]
+    mixed = ["".join(drawn.choices(signs, k=drawn.randrange(1, 25))) for _ in range(20_000)]
+    texts = ODD + mixed + [row.text or "" for row in documents.collect()]
     whole = Tokenizer.from_file(BYTES)
     expected = [whole.encode(text, add_special_tokens=False).ids for text in texts]
     for _ in range(2):
