@@ -12,7 +12,7 @@ each), planes (8 bits to a byte, most significant bit of the ids first), and for
 count of ones before every 512th bit (long each).
 
 Edge cases: a NULL text is empty and has the end id only; rows without a doc_id come first; rows
-that share one are ordered by text. An empty table gives no shard.
+that share one keep the order in which they are read. An empty table gives no shard.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from martloom.llm.common import text_blocks, texts_of
+from martloom.llm.common import text_blocks
 from martloom.sinks.scratch import staged
 
 SHARD_TOKENS = 1 << 18
@@ -88,9 +88,8 @@ class ChunkEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(one.ids, "<u4").tobytes() for one in found]
 
-    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+    def __call__(self, rows: pa.Array) -> list[np.ndarray]:
         """The ids of each text. Chunks are told apart by Arrow, and Python sees each one once."""
-        rows = pa.array(texts, pa.large_string())
         plain = self._cuttable(rows)
         kept = rows.filter(plain)
         marked = kept
@@ -329,7 +328,8 @@ def shards(docs: DataFrame, vocabulary: str, shard_tokens: int = SHARD_TOKENS) -
             return pa.RecordBatch.from_pylist([row], schema)
 
         for block, _, _ in text_blocks(batches, "text", BLOCK_BYTES):
-            encoded = encode(texts_of(block))
+            texts = pc.fill_null(block.column("text"), "").cast(pa.large_string())
+            encoded = encode(texts)
             for name, found in zip(block.column("doc_id").to_pylist(), encoded, strict=True):
                 ids += [found, end]
                 names.append(name)
@@ -349,16 +349,13 @@ def shards(docs: DataFrame, vocabulary: str, shard_tokens: int = SHARD_TOKENS) -
             ("blob", pa.binary()),
         ]
     )
-    # The hash and the read position part rows that share a doc_id, which may be many.
+    # The read position parts rows that share a doc_id, which may be many.
     keyed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",
-        F.xxhash64("text").alias("tie"),
         F.monotonically_increasing_id().alias("row"),
     )
-    ordered = keyed.repartitionByRange("doc_id", "tie", "row").sortWithinPartitions(
-        "doc_id", "tie", "row"
-    )
+    ordered = keyed.repartitionByRange("doc_id", "row").sortWithinPartitions("doc_id", "row")
     return ordered.select("doc_id", "text").mapInArrow(
         fill, "part int, number long, n_tokens long, blob binary"
     )
