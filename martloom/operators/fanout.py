@@ -115,21 +115,27 @@ class FanoutJoin:
         """One row per key of any table: ``rows_0`` (core), ``rows_1``.. (sides), NULL where the
         table lacks it; ``nulls_j`` counts NULLs of the column at ``j`` among its table's rows."""
         owners = [self._owner(column) for column in null_columns]
-        counted = []
-        for at, table in enumerate((self.core, *self.sides)):
-            nulls = [
-                F.count_if(quoted(column).isNull()).alias(f"nulls_{j}")
-                for j, column in enumerate(null_columns)
-                if owners[j] == at
-            ]
+        tables = (self.core, *self.sides)
+        names = [f"rows_{at}" for at in range(len(tables))]
+        names += [f"nulls_{j}" for j in range(len(null_columns))]
+        ones = []
+        for at, table in enumerate(tables):
             if at > 0 or self.how == "inner":
                 table = table.where(quoted(self.key).isNotNull())
-            counted.append(
-                table.groupBy(quoted(self.key).alias("key")).agg(
-                    F.count(F.lit(1)).alias(f"rows_{at}"), *nulls
+            own = {f"rows_{at}": F.lit(1)} | {
+                f"nulls_{j}": quoted(column).isNull().cast("int")
+                for j, column in enumerate(null_columns)
+                if owners[j] == at
+            }
+            none = F.lit(None).cast("int")
+            ones.append(
+                table.select(
+                    quoted(self.key).alias("key"), *[own.get(n, none).alias(n) for n in names]
                 )
             )
-        return reduce(lambda left, right: left.join(right, "key", "full"), counted)
+        # One shuffle for all tables, of a row per key and task.
+        sums = [F.sum(name).alias(name) for name in names]
+        return reduce(DataFrame.unionAll, ones).groupBy("key").agg(*sums)
 
     def _joining(self) -> Column:
         """Whether a key of the counts has joined rows."""
@@ -149,26 +155,28 @@ class FanoutJoin:
         ]
         return self.counts.where(self._joining()).select("key", *rows, *nulls)
 
+    def _idle(self, cell_rows: int) -> Column:
+        """Whether a key of the counts has over ``cell_rows`` rows in some table and no joined
+        row."""
+        tables = range(len(self.sides) + 1)
+        many = [F.coalesce(F.col(f"rows_{at}") > cell_rows, F.lit(False)) for at in tables]
+        return ~self._joining() & reduce(or_, many)
+
     def without_idle_keys(self, cell_rows: int = CELL_ROWS) -> FanoutJoin:
         """The same join without the rows of keys that have over ``cell_rows`` of them in some
         table and none in the joined frame."""
         join = self.counted()
-        tables = range(len(self.sides) + 1)
-        many = reduce(or_, [F.col(f"rows_{at}") > cell_rows for at in tables])
-        idle = join.counts.where(~self._joining() & many).select(F.col("key").alias("__idle"))
-        if idle.isEmpty():
-            return join
-        listed = offered(staged(idle, "idle-keys"))
-        kept = [
+        idle = join._idle(cell_rows)
+        listed = staged(join.counts.where(idle).select(F.col("key").alias("__idle")), "idle-keys")
+        listed = offered(listed)
+        core, *sides = [
             table.join(listed, quoted(self.key) == F.col("__idle"), "left_anti")
             if at > 0 or self.how == "inner"
             else table
             for at, table in enumerate((self.core, *self.sides))
         ]
-        counts = join.counts.where(self._joining() | ~F.coalesce(many, F.lit(False)))
-        return FanoutJoin(
-            kept[0], self.key, tuple(kept[1:]), self.how, counts, join.counted_nulls
-        )
+        counts = join.counts.where(~idle)
+        return FanoutJoin(core, self.key, tuple(sides), self.how, counts, join.counted_nulls)
 
     def _multiplier(self, at: int) -> Column:
         """How often table ``at`` repeats the rows of the others for a key."""
@@ -264,11 +272,20 @@ class FanoutJoin:
         are dealt by all columns of their rows, so take the ``pruned`` join of those you need.
         """
         # As doubles: a total past the range of a long must still reach the refusal below.
-        join = self.without_idle_keys(cell_rows)
-        largest = [F.max(f"rows_{at + 1}") for at in range(len(self.sides))]
-        counts = join.per_key().withColumn("joined", self._product_as_double())
-        row = counts.agg(F.sum("rows_0"), F.sum("joined"), F.max("joined"), *largest).first()
-        core_rows, total, top, *groups = [value or 0 for value in row]
+        join = self.counted()
+        held = lambda column: F.when(self._joining(), column)
+        joined = held(self._product_as_double())
+        largest = [F.max(held(F.col(f"rows_{at + 1}"))) for at in range(len(self.sides))]
+        row = join.counts.agg(
+            F.count_if(self._idle(cell_rows)),
+            F.sum(held(F.col("rows_0"))),
+            F.sum(joined),
+            F.max(joined),
+            *largest,
+        ).first()
+        idle, core_rows, total, top, *groups = [value or 0 for value in row]
+        if idle:
+            join = join.without_idle_keys(cell_rows)
         if max_rows is not None and total > max_rows:
             raise FanoutTooLarge(f"fan-out on {self.key}: {total:.0f} rows, allowed are {max_rows}")
         small = join._small_sides(groups) if top > cell_rows else []
@@ -279,8 +296,9 @@ class FanoutJoin:
             joined = rest._join_in_cells(heavy)
         else:
             core = join.core
-            if join._stays(core_rows, total, large):
-                core = _spread(core, core_rows, total, cell_rows)
+            tasks = _tasks(core, core_rows, total, cell_rows)
+            if tasks and join._stays(large):
+                core = core.repartition(tasks)
             joined = FanoutJoin(core, self.key, rest.sides, self.how)._join_whole()
         for at in small:
             joined = joined.join(F.broadcast(join.sides[at]), self.key, self.how)
@@ -295,11 +313,9 @@ class FanoutJoin:
         kept = tuple(self.sides[at] for at in sides)
         return FanoutJoin(self.core, self.key, kept, self.how, counts)
 
-    def _stays(self, core_rows: int, joined_rows: float, sides: Sequence[int]) -> bool:
-        """Whether the core is joined where it is read, and its rows give enough to be spread
-        first. Sides that Spark would not broadcast move it anyway."""
-        if joined_rows < SPREAD_FANOUT * core_rows:
-            return False
+    def _stays(self, sides: Sequence[int]) -> bool:
+        """Whether the core is joined where it is read; sides that Spark would not broadcast move
+        it anyway."""
         conf = self.core.sparkSession._jsparkSession.sessionState().conf()
         limit = conf.autoBroadcastJoinThreshold()
         return all(fits_broadcast(self.sides[at], limit) for at in sides)
@@ -413,12 +429,13 @@ class FanoutJoin:
         )
 
 
-def _spread(core: DataFrame, core_rows: int, joined_rows: float, cell_rows: int) -> DataFrame:
-    """``core`` over as many tasks as its joined rows call for, if it is read in far fewer.
+def _tasks(core: DataFrame, core_rows: int, joined_rows: float, cell_rows: int) -> int:
+    """Over how many tasks to spread ``core`` for its joined rows; 0 to leave it as it is read.
 
     Broadcast sides leave a core where it is read, and a small one is read in few tasks, however
     many rows each of its rows gives.
     """
     context = core.sparkSession.sparkContext
     tasks = min(ceil(joined_rows / cell_rows), SPREAD_WAVES * context.defaultParallelism)
-    return core.repartition(tasks) if tasks > 1 + core_rows / SPLIT_ROWS else core
+    worthwhile = joined_rows >= SPREAD_FANOUT * core_rows and tasks > 1 + core_rows / SPLIT_ROWS
+    return tasks if worthwhile else 0
