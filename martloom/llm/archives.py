@@ -176,7 +176,8 @@ def marked(pages: DataFrame) -> DataFrame:
         keyed.groupBy("same", "length")
         .agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > 1)
-        .select("same", "length", F.col("least.page_id").alias("first"), F.col("least.row").alias("at"))
+        .select("same", "length", F.col("least.page_id").alias("first"), "least.row")
+        .withColumnRenamed("row", "at")
     )
     found = salted_join(keyed, firsts, ["same", "length"], "inner")
     later = found.where(F.col("row") != F.col("at")).select(F.col("row").alias("revisit"), "first")

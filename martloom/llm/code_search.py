@@ -66,8 +66,8 @@ class Codes:
         # Rotations side by side, as many as give at least ROTATIONS * width bits in whole bytes.
         count = max(ROTATIONS, -(-SUBSTRING * ROTATIONS // width))
         bits = -(-count * width // SUBSTRING) * SUBSTRING
-        starts = [np.linalg.qr(random.normal(size=(width, width)))[0] for _ in range(-(-bits // width))]
-        rotation = np.hstack(starts)[:, :bits]
+        drawn = [random.normal(size=(width, width)) for _ in range(-(-bits // width))]
+        rotation = np.hstack([np.linalg.qr(one)[0] for one in drawn])[:, :bits]
         for _ in range(ROUNDS):
             signs = np.where(rows @ rotation > 0, 1.0, -1.0)
             left, _, right = np.linalg.svd(rows.T @ signs, full_matrices=False)
@@ -145,7 +145,8 @@ def learned(points: DataFrame, k: int, sample: int = SAMPLE) -> dict[int, Codes]
     by_length: dict[int, list] = {}
     for row in rows:
         by_length.setdefault(len(row.vec), []).append(row.vec)
-    return {n: Codes.learned(np.array(found), k) for n, found in by_length.items() if len(found) > 1}
+    several = {n: np.array(found) for n, found in by_length.items() if len(found) > 1}
+    return {n: Codes.learned(found, k) for n, found in several.items()}
 
 
 def found_in(index: MultiIndex, codes: np.ndarray, ids: np.ndarray, tile: np.ndarray,
@@ -187,12 +188,13 @@ def search(vectors: DataFrame, is_query: Column, k: int, tile_rows: int = TILE_R
             index = MultiIndex(codes.of(shard), codes.radius)
             results = found_in(index, codes.of(tile), ids, tile, others, shard, k)
         counts = [len(found) for _, found, _ in results]
-        empty = np.zeros(0)
+        owners = np.repeat([own for own, _, _ in results], counts)
+        found = np.concatenate([np.zeros(0, np.int64), *[x for _, x, _ in results]])
         return pa.table(
             {
-                "query_id": pa.array(np.repeat([own for own, _, _ in results], counts).astype(int)),
-                "vec_id": pa.array(np.concatenate([x for _, x, _ in results] or [empty]).astype(int)),
-                "score": pa.array(np.concatenate([x for _, _, x in results] or [empty])),
+                "query_id": pa.array(owners.astype(np.int64)),
+                "vec_id": pa.array(found),
+                "score": pa.array(np.concatenate([np.zeros(0), *[x for _, _, x in results]])),
                 "shard": pa.array(np.full(sum(counts), key[2].as_py()), pa.int32()),
             }
         )

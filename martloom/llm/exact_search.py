@@ -54,13 +54,19 @@ def by_id(vectors: DataFrame, name: str, vector: Column) -> DataFrame:
 
 
 def cells(
-    points: DataFrame, is_query: Column, tile_rows: int, shard_rows: int, compute: Callable, out: str
+    points: DataFrame,
+    is_query: Column,
+    tile_rows: int,
+    shard_rows: int,
+    compute: Callable,
+    out: str,
 ) -> DataFrame:
     """Apply ``compute(key, queries, candidates)`` (Arrow) to each tile and shard of one length."""
     sized = points.withColumn("dim", F.size("vec"))
     queries = sized.where(is_query)
     counted = sized.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
-    shards, tiles = (max(1, -(-n // m)) for n, m in zip(counted, (shard_rows, tile_rows), strict=True))
+    sizes = zip(counted, (shard_rows, tile_rows), strict=True)
+    shards, tiles = (max(1, -(-n // size)) for n, size in sizes)
     number = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = queries.withColumn("tile", number(tiles)).withColumn("shard", every(shards))

@@ -166,11 +166,8 @@ def placed(docs: DataFrame, mix: Mix) -> DataFrame:
         "length",
         F.ceil(F.col("length") / block).cast("long").alias("blocks"),
     )
-    seeded = F.md5(
-        F.concat_ws(
-            ":", F.lit(mix.seed), F.coalesce("of.name", F.lit("")), F.col("of.number").cast("string")
-        )
-    )
+    name, number = F.coalesce("of.name", F.lit("")), F.col("of.number").cast("string")
+    seeded = F.md5(F.concat_ws(":", F.lit(mix.seed), name, number))
     quotas = quotas.select(
         "of",
         F.least("quota", "blocks").alias("quota"),

@@ -9,11 +9,11 @@ least ``percent`` / 100. Steps:
    Two sets at the threshold share a band but for 1 case in 20 million (0.8, 32 bands of 4).
 2. Classes with an equal band key form a bucket; buckets with the same members count once. A bucket
    is dealt into cells of about ``CELL`` members, each with the bucket's smallest member. A cell's
-   task lets all pairs not yet connected pass by size, by signature, and then by their full sets.
+   task compares all pairs not yet connected by size, by signature, and then by their full sets.
 3. Links are joined to components by alternating large-star and small-star.
 4. Only for buckets of several cells whose members ended in several components, the pairs between
-   cells are tested the same way and the components joined again. So no link is lost to a cell, and a
-   large group of copies is tested once against its smallest member, not pair by pair.
+   cells are tested the same way and the components joined again. So no link is lost to a cell, and
+   a large group of copies is tested once against its smallest member, not pair by pair.
 
 A task holds one cell's sets. Keys that many documents share are dealt over several tasks.
 
@@ -85,16 +85,16 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             high, low, bands, short = [], [], [], []
             for one in sets:
                 least = minima(one) if len(one) else np.zeros(0, np.uint64)
-                high.append(int(np.bitwise_xor.reduce(words.mixed(one), initial=np.uint64(0)).astype(np.int64)))
-                low.append(int(np.add.reduce(words.mixed(one ^ words.STEP), initial=np.uint64(0)).astype(np.int64)))
+                high.append(np.bitwise_xor.reduce(words.mixed(one)))
+                low.append(np.add.reduce(words.mixed(one ^ words.STEP)))
                 bands.append(band_keys(least) if len(one) else [])
                 short.append(least.astype(np.uint8).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     block.column("doc_id"),
                     pa.array([len(one) for one in sets], pa.int64()),
-                    pa.array(high, pa.int64()),
-                    pa.array(low, pa.int64()),
+                    pa.array(np.array(high, np.uint64).view(np.int64)),
+                    pa.array(np.array(low, np.uint64).view(np.int64)),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(short, pa.binary()),
                 ],
@@ -274,7 +274,9 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return own.unionAll(others.where("high <> low")).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, cell: int = CELL) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, width: int = 5, percent: int = 80, cell: int = CELL
+) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every document; see the module."""
     signed = staged(signatures(docs, width), "dup-signatures")
     same = ["high", "low", "n_shingles"]

@@ -110,7 +110,10 @@ def base_spans(docs: DataFrame) -> DataFrame:
         return F.when(has.get(kind, F.lit(True)) & ((kind == "email") | digit), zipped)
 
     kinds = F.array(
-        *[F.struct(F.lit(at).alias("kind"), matches(kind).alias("parts")) for at, kind in enumerate(KINDS)]
+        *[
+            F.struct(F.lit(at).alias("kind"), matches(kind).alias("parts"))
+            for at, kind in enumerate(KINDS)
+        ]
     )
     rows = numbered(docs).where(text.contains("@") | digit)
     parts = rows.select("__row", F.explode(kinds).alias("of")).where("size(of.parts) > 1")
@@ -136,21 +139,32 @@ def base_spans(docs: DataFrame) -> DataFrame:
         (F.col("end") - F.char_length("found")).cast("long").alias("start"),
         F.col("end").cast("long").alias("end"),
         F.concat_ws(":", F.col("kind").cast("string"), named).alias("entity"),
-        F.when(F.col("gap") > REACH, F.regexp_replace("tail", rf"^{TERM}", "")).otherwise(F.col("tail")).alias("before"),
-        F.when(
-            F.char_length("after") == REACH, F.regexp_replace("after", rf"{TERM}$", "")
-        ).otherwise(F.col("after")).alias("after"),
+        # A word that the reach cuts is no term.
+        F.when(F.col("gap") > REACH, F.regexp_replace("tail", rf"^{TERM}", ""))
+        .otherwise(F.col("tail"))
+        .alias("before"),
+        F.when(F.char_length("after") == REACH, F.regexp_replace("after", rf"{TERM}$", ""))
+        .otherwise(F.col("after"))
+        .alias("after"),
     )
 
 
 def context_terms(spans: DataFrame) -> DataFrame:
     """``row, entity, context, term, start, end`` of every word in the contexts of the spans."""
     context = F.xxhash64("before", "after")
+    first = F.col("start") - F.char_length("before")
     sides = F.array(
-        F.struct((F.col("start") - F.char_length("before")).alias("at"), F.col("before").alias("said")),
+        F.struct(first.alias("at"), F.col("before").alias("said")),
         F.struct(F.col("end").alias("at"), F.col("after").alias("said")),
     )
-    sided = spans.select("row", "kind", "start", "entity", context.alias("context"), F.posexplode(sides).alias("side", "of"))
+    sided = spans.select(
+        "row",
+        "kind",
+        "start",
+        "entity",
+        context.alias("context"),
+        F.posexplode(sides).alias("side", "of"),
+    )
     parts = sided.select(
         "*",
         F.posexplode(
@@ -189,7 +203,8 @@ def judged(docs: DataFrame, spans: DataFrame, terms: DataFrame) -> DataFrame:
     asked = pairs.select("term").distinct()
     asked = F.broadcast(asked) if fits_broadcast(asked) else asked
     said = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(TERM), F.lit(0))
-    held = docs.select(F.explode(F.array_distinct(said)).alias("term")).join(asked, "term", "left_semi")
+    held = docs.select(F.explode(F.array_distinct(said)).alias("term"))
+    held = held.join(asked, "term", "left_semi")
     frequencies = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     n = F.lit(float(docs.count()))
     carried = F.log2(n * F.col("n_tc") / (F.col("n_t") * F.col("n_c")))
@@ -211,8 +226,8 @@ def all_spans(docs: DataFrame) -> DataFrame:
     disclosing = judged(docs, spans, terms).where(F.col("share") >= GENERALISE)
     disclosing = staged(disclosing, "pii-disclosing")
     kind = F.when(F.col("share") >= REMOVE, len(KINDS)).otherwise(len(KINDS) + 1)
-    added = salted_join(terms, disclosing, ["entity", "term"], "inner").groupBy("row", "start", "end")
-    added = added.agg(F.min(kind).alias("kind"), F.first("term").alias("word"))
+    added = salted_join(terms, disclosing, ["entity", "term"], "inner")
+    added = added.groupBy("row", "start", "end").agg(F.min(kind).alias("kind"), F.first("term").alias("word"))
     places = spans.select("row", "start", "end").groupBy("row").agg(
         F.collect_list(F.struct("start", "end")).alias("taken")
     )

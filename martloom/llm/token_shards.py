@@ -41,7 +41,7 @@ MAGIC = b"MWM1"
 RANK_BITS = 512
 CACHED_CHUNKS = 400_000
 # Larger blocks repeat more of their chunks.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 
 # With the usual pattern of byte-level vocabularies, a unit always begins at a space or line end
 # that no white space follows, and at a full stop or comma after a Latin letter or digit. So a
@@ -138,20 +138,23 @@ class ChunkEncoder:
 
     def _known(self, chunks: list[str]) -> list[bytes]:
         found = list(map(self.known.get, chunks))
-        late = [chunk for chunk, part in zip(chunks, found, strict=True) if part is None]
-        if not late:
-            return found
-        known = {chunk: self.older[chunk] for chunk in late if chunk in self.older}
-        known |= self._learned([chunk for chunk in late if chunk not in known])
-        self.known |= known
+        late = [at for at, part in enumerate(found) if part is None]
+        names = [chunks[at] for at in late]
+        parts = list(map(self.older.get, names))
+        learned = self._learned([n for n, part in zip(names, parts, strict=True) if part is None])
+        parts = [learned[n] if part is None else part for n, part in zip(names, parts, strict=True)]
+        for at, part in zip(late, parts, strict=True):
+            found[at] = part
+        self.known.update(zip(names, parts, strict=True))
         if len(self.known) > CACHED_CHUNKS:
             self.older, self.known = self.known, {}
-        return [known[c] if part is None else part for c, part in zip(chunks, found, strict=True)]
+        return found
 
     def _learned(self, chunks: list[str]) -> dict[str, bytes]:
-        signs = [chunk for chunk in chunks if chunk.startswith(MARKED[1:])]
-        lines = [chunk for chunk in chunks if chunk.startswith(MARKED[0])]
-        spaced = [chunk for chunk in chunks if not chunk.startswith(MARKED)]
+        signs, lines, spaced = [], [], []
+        by_first = {MARKED[0]: lines} | dict.fromkeys(MARKED[1:], signs)
+        for chunk in chunks:
+            by_first.get(chunk[:1], spaced).append(chunk)
         learned = dict(zip(signs, self.whole(signs), strict=True))
         # Lines are joined with lines: after white space they would not be units of their own.
         return learned | self._encoded_on_end(lines, "") | self._encoded_on_end(spaced, " ")
@@ -218,14 +221,13 @@ class WaveletShard:
         for plane in range(planes - 1, -1, -1):
             ones = (row & row.dtype.type(1 << plane)) != 0
             bits = np.packbits(ones)
-            order = zeros_first(ones)
             zeros.append(n - int(np.count_nonzero(ones)))
             packed.append(bits.tobytes())
             held = np.zeros(n // RANK_BITS * (RANK_BITS // 8), np.uint8)
             held[:] = bits[: len(held)]
             per_block = np.bitwise_count(held).reshape(-1, RANK_BITS // 8).sum(1, dtype=np.int64)
             ranks.append(np.concatenate([[0], np.cumsum(per_block)]).astype("<i8").tobytes())
-            row = row.take(order)
+            row = row.take(zeros_first(ones)) if plane else row
         raw = [
             struct.pack("<3q", n, len(doc_ids), planes),
             np.array(zeros, "<i8").tobytes(),

@@ -48,7 +48,7 @@ def _table(base: int, count: int) -> np.ndarray:
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Begin and end of every word, and the number of words before each text (one more at the end)."""
+    """Begin and end of every word, and the number of words before each text, and in all."""
     inside = ~BLANK[data]
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
@@ -69,22 +69,6 @@ def word_hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.nd
     return mixed((sums[ends] - sums[begins]) * _table(inverse, len(data) + 1)[begins])
 
 
-def pair_hashes(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of every two neighbouring words, and the number of them before each text.
-
-    A text of one word has that word as its only one; a text without words has none.
-    """
-    counts = np.diff(bounds)
-    rows = np.where(counts > 1, counts - 1, counts)
-    out = np.concatenate([[0], np.cumsum(rows)])
-    joined = np.empty(max(len(words), 1), np.uint64)
-    joined[:-1] = mixed(words[:-1] * BASE + words[1:]) if len(words) else 0
-    joined[bounds[:-1][counts == 1]] = mixed(words[bounds[:-1][counts == 1]] + STEP)
-    keep = np.ones(len(words), bool)
-    keep[bounds[1:][counts > 1] - 1] = False
-    return joined[: len(words)][keep], out
-
-
 def distinct(values: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
     """The distinct values of each text, ascending."""
     found = []
