@@ -222,7 +222,9 @@ class MartTable:
     # -- the catalog ----------------------------------------------------------------------
 
     def _qualified(self) -> str:
-        return self.name if "." in self.name else f"{self.spark.catalog.currentDatabase()}.{self.name}"
+        if "." in self.name:
+            return self.name
+        return f"{self.spark.catalog.currentDatabase()}.{self.name}"
 
     def _version(self, commit: Commit) -> str:
         """The catalog table of a commit, registered if this catalog does not have it yet."""
