@@ -45,6 +45,12 @@ def salted_join(
     return dealt.join(copied, [*keys, "__salt"], how).drop("__salt")
 
 
+def filled_texts(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
+    """The texts of a batch, a NULL as the empty text; copied only if there is one."""
+    texts = batch.column(column).cast(pa.large_string())
+    return pc.fill_null(texts, "") if texts.null_count else texts
+
+
 def text_blocks(
     batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
@@ -54,8 +60,7 @@ def text_blocks(
     there are rows). A NULL text is empty.
     """
     for batch in batches:
-        at = batch.schema.get_field_index(text)
-        filled = pc.fill_null(batch.column(at).cast(pa.large_string()), "")
+        filled = filled_texts(batch, text)
         _, offsets, data = filled.buffers()
         ends = np.frombuffer(offsets, np.int64)[filled.offset : filled.offset + len(filled) + 1]
         raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
@@ -69,5 +74,4 @@ def text_blocks(
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
-    """The texts of a batch, a NULL as the empty text."""
-    return pc.fill_null(batch.column(column), "").to_pylist()
+    return filled_texts(batch, column).to_pylist()

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from martloom.llm.common import text_blocks
+from martloom.llm.common import filled_texts, text_blocks
 from martloom.sinks.scratch import staged
 
 SHARD_TOKENS = 1 << 18
@@ -91,15 +91,19 @@ class ChunkEncoder:
     def __call__(self, rows: pa.Array) -> list[np.ndarray]:
         """The ids of each text. Chunks are told apart by Arrow, and Python sees each one once."""
         plain = self._cuttable(rows)
-        kept = rows.filter(plain)
+        kept, others = rows, rows[:0]
+        if not pc.all(plain).as_py():
+            kept, others = rows.filter(plain), rows.filter(pc.invert(plain))
         marked = kept
         for sign in MARKED:
             marked = pc.replace_substring(marked, sign, f" {sign}")
-        marked = pc.if_else(pc.match_substring_regex(kept, ONLY_SPACES), kept, marked)
+        only_spaces = pc.match_substring_regex(kept, ONLY_SPACES)
+        if pc.any(only_spaces).as_py():
+            marked = pc.if_else(only_spaces, kept, marked)
         cut = pc.split_pattern(marked, " ")
         chunks, bounds = cut.flatten(), cut.offsets.to_numpy()
         leads = chunks.take(pa.array(bounds[:-1])).to_pylist()
-        others = iter(self.whole(rows.filter(pc.invert(plain)).to_pylist()))
+        others = iter(self.whole(others.to_pylist()))
         first = iter(self.whole(leads))
         coded = chunks.dictionary_encode()
         joined, ends = self._joined(coded)
@@ -330,8 +334,7 @@ def shards(docs: DataFrame, vocabulary: str, shard_tokens: int = SHARD_TOKENS) -
             return pa.RecordBatch.from_pylist([row], schema)
 
         for block, _, _ in text_blocks(batches, "text", BLOCK_BYTES):
-            texts = pc.fill_null(block.column("text"), "").cast(pa.large_string())
-            encoded = encode(texts)
+            encoded = encode(filled_texts(block))
             for name, found in zip(block.column("doc_id").to_pylist(), encoded, strict=True):
                 ids += [found, end]
                 names.append(name)
