@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions.names import quoted, require_columns, require_disjoint
-from martloom.functions.sizes import fits_broadcast
+from martloom.functions.sizes import FIELD_BYTES, fits_broadcast, measured_bytes
 from martloom.operators.spread import (
     CELL_ROWS,
     heaviest,
@@ -272,22 +272,25 @@ class FanoutJoin:
         are dealt by all columns of their rows, so take the ``pruned`` join of those you need.
         """
         # As doubles: a total past the range of a long must still reach the refusal below.
-        join = self.counted()
+        counts = self._counts(()) if self.counts is None else self.counts
         held = lambda column: F.when(self._joining(), column)
         joined = held(self._product_as_double())
-        largest = [F.max(held(F.col(f"rows_{at + 1}"))) for at in range(len(self.sides))]
-        row = join.counts.agg(
+        sides = [F.col(f"rows_{at + 1}") for at in range(len(self.sides))]
+        row = counts.agg(
             F.count_if(self._idle(cell_rows)),
             F.sum(held(F.col("rows_0"))),
             F.sum(joined),
             F.max(joined),
-            *largest,
+            *[F.max(held(rows)) for rows in sides],
+            *[F.sum(rows) for rows in sides],
         ).first()
-        idle, core_rows, total, top, *groups = [value or 0 for value in row]
-        if idle:
-            join = join.without_idle_keys(cell_rows)
+        idle, core_rows, total, top, *per_side = [value or 0 for value in row]
+        groups, side_rows = per_side[: len(sides)], per_side[len(sides) :]
         if max_rows is not None and total > max_rows:
             raise FanoutTooLarge(f"fan-out on {self.key}: {total:.0f} rows, allowed are {max_rows}")
+        join = self.counted() if idle or top > cell_rows else self
+        if idle:
+            join = join.without_idle_keys(cell_rows)
         small = join._small_sides(groups) if top > cell_rows else []
         large = [at for at in range(len(self.sides)) if at not in small]
         rest = join._only(large)
@@ -297,7 +300,7 @@ class FanoutJoin:
         else:
             core = join.core
             tasks = _tasks(core, core_rows, total, cell_rows)
-            if tasks and join._stays(large):
+            if tasks and join._stays(large, side_rows):
                 core = core.repartition(tasks)
             joined = FanoutJoin(core, self.key, rest.sides, self.how)._join_whole()
         for at in small:
@@ -305,20 +308,23 @@ class FanoutJoin:
         return joined.select(*map(quoted, self.columns))
 
     def _only(self, sides: Sequence[int]) -> FanoutJoin:
-        """The join with some of the sides, and their counts."""
+        """The join with some of the sides, and their counts if they are written down."""
         tables = [0, *[at + 1 for at in sides]]
-        counts = self.counts.select(
-            "key", *[F.col(f"rows_{table}").alias(f"rows_{at}") for at, table in enumerate(tables)]
-        )
+        rows = [F.col(f"rows_{table}").alias(f"rows_{at}") for at, table in enumerate(tables)]
+        counts = None if self.counts is None else self.counts.select("key", *rows)
         kept = tuple(self.sides[at] for at in sides)
         return FanoutJoin(self.core, self.key, kept, self.how, counts)
 
-    def _stays(self, sides: Sequence[int]) -> bool:
+    def _stays(self, sides: Sequence[int], rows: Sequence[int]) -> bool:
         """Whether the core is joined where it is read; sides that Spark would not broadcast move
-        it anyway."""
+        it anyway. ``rows`` holds how many each side has."""
         conf = self.core.sparkSession._jsparkSession.sessionState().conf()
         limit = conf.autoBroadcastJoinThreshold()
-        return all(fits_broadcast(self.sides[at], limit) for at in sides)
+        return all(
+            rows[at] * FIELD_BYTES * len(self.sides[at].columns) <= limit
+            and measured_bytes(self.sides[at]) <= limit
+            for at in sides
+        )
 
     def first_rows(self, order: str, rows: int) -> DataFrame:
         """The first ``rows`` of the joined frame by ``order``, a column of the core; ties by the
