@@ -5,19 +5,19 @@ DataFrame functions only. Steps:
 1. E-mail addresses, IP addresses, card and phone numbers are found in whole texts. The patterns are
    written so that Java's engine neither recurses nor rescans long runs; they match what the plain
    patterns in ``tests/llm`` match.
-2. A value that is found is an entity to protect. Its contexts are the ``REACH`` characters before
-   and after it, up to the next value of its kind; the words in them are the terms that may
-   disclose it.
-3. With n documents, of which n_t hold a term, n_c an entity and n_tc the term in a context of
-   the entity, the term carries log2(n * n_tc / (n_t * n_c)) of the entity's log2(n / n_c) bits.
-   From ``GENERALISE`` of them on a term is generalised to its kind of word, from ``REMOVE`` on it is
-   removed, in the entity's contexts. Only terms seen in ``SUPPORT`` different contexts of an
-   entity are judged, so a copied passage does not make all its words into evidence.
-
-All counts are over all documents. Document frequencies are counted for judged terms only.
-
-Edge cases: a NULL text is empty and has no span. A term's span that overlaps a base span is
-dropped. Repeated rows count as documents of their own. If n_c = n the entity has no bits, and no
+2. A value that is found is an entity to protect. The words of its documents, at any distance and
+   outside its own values, are the terms that may disclose it.
+3. With n documents, of which n_t hold a term, n_c an entity and n_tc both, the term outside the
+   entity's own values, the term carries log2(n * n_tc / (n_t * n_c)) of the entity's log2(n / n_c)
+   bits. From ``GENERALISE`` of them on a term is generalised to its kind of word, from ``REMOVE``
+   on it is removed, wherever it stands in the entity's documents. Only terms seen in ``SUPPORT``
+   documents of an entity are judged; copies are documents like others.
+
+All counts are over all documents. As n_tc is at most n_c, no term with n_t over
+n ** (1 - GENERALISE) * n_c ** GENERALISE reaches the threshold; such pairs are left out early.
+
+Edge cases: a NULL text is empty and has no span. A word that overlaps a base span is not replaced
+there but by that span, and a word that a base span cuts is no term. Repeated rows count as documents of their own. If n_c = n the entity has no bits, and no
 term discloses it. Other columns are left alone; ``sanitised`` also counts ``n_chars`` anew.
 """
 
@@ -43,7 +43,7 @@ PATTERNS = {
 ADDED = ("removed", "general")
 
 TERM = r"[\p{L}\p{N}]+"
-REACH = 80
+_LAST_TERM = r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++$"
 SUPPORT = 2
 GENERALISE = 0.8
 REMOVE = 0.95
@@ -87,17 +87,16 @@ def _valid(kind: Column, found: Column) -> Column:
 
 
 def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``__row``, a number for each row, the same whenever the table is read."""
-    return docs.withColumn("__row", F.monotonically_increasing_id())
-
+    """``row``, a number for each row, and ``doc``, the row itself."""
+    return docs.select(
+        F.monotonically_increasing_id().alias("row"),
+        F.struct(*map(quoted, docs.columns)).alias("doc"),
+    )
 
-def base_spans(docs: DataFrame) -> DataFrame:
-    """``row, kind, start, end, entity, before, after`` of every valid span.
 
-    Places are counted in code points from 0, the end is exclusive. ``kind`` is a place in
-    ``KINDS``. Texts without a digit and without an ``@`` are never searched.
-    """
-    text = F.coalesce(F.col("text"), F.lit(""))
+def _values(rows: DataFrame) -> DataFrame:
+    """``row, kind, start, end, entity`` of every valid span."""
+    text = F.coalesce(F.col("doc.text"), F.lit(""))
     has = {"email": text.contains("@"), "phone": text.contains("+")}
     digit = text.rlike("[0-9]")
 
@@ -115,127 +114,185 @@ def base_spans(docs: DataFrame) -> DataFrame:
             for at, kind in enumerate(KINDS)
         ]
     )
-    rows = numbered(docs).where(text.contains("@") | digit)
-    parts = rows.select("__row", F.explode(kinds).alias("of")).where("size(of.parts) > 1")
-    parts = parts.select("__row", F.col("of.kind").alias("kind"), F.posexplode("of.parts"))
-    ends = parts.select(
-        "__row",
-        "kind",
-        "pos",
-        F.col("col.found").alias("found"),
-        F.char_length("col.gap").alias("gap"),
-        F.substring("col.gap", 1, REACH).alias("head"),
-        F.right("col.gap", F.lit(REACH)).alias("tail"),
+    parts = rows.where(text.contains("@") | digit).select("row", F.explode(kinds).alias("of"))
+    parts = parts.where("size(of.parts) > 1")
+    parts = parts.select("row", F.col("of.kind").alias("kind"), F.posexplode("of.parts"))
+    ends = parts.where("col.found IS NOT NULL").select(
+        "row", "kind", "pos", F.col("col.found").alias("found"), F.char_length("col.gap").alias("gap")
     )
-    order = Window.partitionBy("__row", "kind").orderBy("pos")
-    length = F.coalesce(F.char_length("found"), F.lit(0))
+    order = Window.partitionBy("row", "kind").orderBy("pos")
+    length = F.char_length("found")
     end = F.sum(F.col("gap") + length).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    placed = ends.withColumn("end", end).withColumn("after", F.lead("head").over(order))
-    valid = placed.where(F.col("found").isNotNull()).where(_valid(F.col("kind"), F.col("found")))
+    valid = ends.withColumn("end", end).where(_valid(F.col("kind"), F.col("found")))
     named = F.when(F.col("kind").isin(2, 3), _digits(F.col("found"))).otherwise(F.lower("found"))
     return valid.select(
-        F.col("__row").alias("row"),
+        "row",
         "kind",
-        (F.col("end") - F.char_length("found")).cast("long").alias("start"),
+        (F.col("end") - length).cast("long").alias("start"),
         F.col("end").cast("long").alias("end"),
         F.concat_ws(":", F.col("kind").cast("string"), named).alias("entity"),
-        # A word that the reach cuts is no term.
-        F.when(F.col("gap") > REACH, F.regexp_replace("tail", rf"^{TERM}", ""))
-        .otherwise(F.col("tail"))
-        .alias("before"),
-        F.when(F.char_length("after") == REACH, F.regexp_replace("after", rf"{TERM}$", ""))
-        .otherwise(F.col("after"))
-        .alias("after"),
     )
 
 
-def context_terms(spans: DataFrame) -> DataFrame:
-    """``row, entity, context, term, start, end`` of every word in the contexts of the spans."""
-    context = F.xxhash64("before", "after")
-    first = F.col("start") - F.char_length("before")
-    sides = F.array(
-        F.struct(first.alias("at"), F.col("before").alias("said")),
-        F.struct(F.col("end").alias("at"), F.col("after").alias("said")),
+def base_spans(docs: DataFrame) -> DataFrame:
+    """``row, kind, start, end, entity, pieces`` of every valid span.
+
+    Places are counted in code points from 0, the end is exclusive. ``kind`` is a place in
+    ``KINDS``. Texts without a digit and without an ``@`` are never searched. The ``pieces`` of all
+    spans of a row make up its text: ``at, said, own`` of what stands before a span, of the span
+    itself (``own``) and, with the last one, of what stands after it.
+    """
+    return _spans(numbered(docs))
+
+
+def _spans(rows: DataFrame) -> DataFrame:
+    order = Window.partitionBy("row").orderBy("start", "end", "kind")
+    before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    values = _values(rows).withColumn("past", F.coalesce(before, F.lit(0).cast("long")))
+    listed = F.array_sort(F.collect_list(F.struct("start", "end", "kind", "past", "entity")))
+    by_row = values.groupBy(F.col("row").alias("__of")).agg(listed.alias("spans"))
+    by_row = staged(by_row, "pii-values")
+    small = F.broadcast(by_row) if fits_broadcast(by_row) else by_row
+    joined = rows.select("row", F.col("doc.text").alias("text")).join(
+        small, F.col("row") == F.col("__of")
     )
-    sided = spans.select(
+    spans = joined.select("row", "text", F.size("spans").alias("n"), F.posexplode("spans"))
+    start, end, past = F.col("col.start"), F.col("col.end"), F.col("col.past")
+
+    def cut(first: Column, last: Column) -> Column:
+        length = F.greatest(F.lit(0), last - first).cast("int")
+        return F.substring(F.col("text"), (first + 1).cast("int"), length)
+
+    def piece(first: Column, last: Column) -> Column:
+        """What stands between two places, without parts of words that a base span cuts."""
+        said = cut(first, last)
+        cut_first = (first > 0) & cut(first - 1, first).rlike(TERM)
+        bare = F.when(cut_first, F.regexp_replace(said, f"^{TERM}", "")).otherwise(said)
+        at = first + F.char_length(said) - F.char_length(bare)
+        cut_last = cut(last, last + 1).rlike(TERM)
+        whole = F.when(cut_last, F.regexp_replace(bare, _LAST_TERM, "")).otherwise(bare)
+        return F.struct(at.alias("at"), whole.alias("said"), F.lit(False).alias("own"))
+
+    own = F.struct(start.alias("at"), cut(start, end).alias("said"), F.lit(True).alias("own"))
+    rest = piece(F.greatest(past, end), F.char_length("text").cast("long"))
+    return spans.select(
         "row",
-        "kind",
-        "start",
-        "entity",
-        context.alias("context"),
-        F.posexplode(sides).alias("side", "of"),
-    )
-    parts = sided.select(
-        "*",
-        F.posexplode(
-            F.arrays_zip(
-                F.split("of.said", TERM, -1).alias("gap"),
-                F.regexp_extract_all("of.said", F.lit(TERM), F.lit(0)).alias("found"),
-            )
-        ),
-    )
-    order = Window.partitionBy("row", "kind", "start", "side").orderBy("pos")
-    length = F.coalesce(F.char_length("col.found"), F.lit(0))
-    end = F.sum(F.char_length("col.gap") + length).over(
-        order.rowsBetween(Window.unboundedPreceding, 0)
+        *[F.col(f"col.{name}").alias(name) for name in ("kind", "start", "end", "entity")],
+        F.when(F.col("pos") == F.col("n") - 1, F.array(piece(past, start), own, rest))
+        .otherwise(F.array(piece(past, start), own))
+        .alias("pieces"),
     )
-    placed = parts.withColumn("stop", F.col("of.at") + end).where("col.found IS NOT NULL")
-    return placed.select(
+
+
+def context_terms(spans: DataFrame) -> DataFrame:
+    """``row, term, holder``: the words of the spans' rows; in a value, with its entity."""
+    pieces = spans.select("row", "entity", F.explode("pieces").alias("of"))
+    return pieces.select(
         "row",
-        "entity",
-        "context",
-        F.lower("col.found").alias("term"),
-        (F.col("stop") - length).cast("long").alias("start"),
-        F.col("stop").cast("long").alias("end"),
+        F.explode(_words(F.col("of.said"))).alias("term"),
+        F.when(F.col("of.own"), F.col("entity")).alias("holder"),
     )
 
 
-def judged(docs: DataFrame, spans: DataFrame, terms: DataFrame) -> DataFrame:
-    """``entity, term, share``: how much of an entity's information a term carries."""
-    pair = ["entity", "term"]
-    contexts = terms.select(*pair, "context").distinct().groupBy(*pair)
-    contexts = contexts.agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= SUPPORT)
-    together = terms.select(*pair, "row").distinct().groupBy(*pair)
-    pairs = together.agg(F.count(F.lit(1)).alias("n_tc")).join(contexts, pair)
-    pairs = staged(pairs, "pii-pairs")
-    entities = spans.select("entity", "row").distinct().groupBy("entity")
-    entities = entities.agg(F.count(F.lit(1)).alias("n_c"))
-    asked = pairs.select("term").distinct()
-    asked = F.broadcast(asked) if fits_broadcast(asked) else asked
-    said = F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(TERM), F.lit(0))
-    held = docs.select(F.explode(F.array_distinct(said)).alias("term"))
-    held = held.join(asked, "term", "left_semi")
-    frequencies = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    n = F.lit(float(docs.count()))
-    carried = F.log2(n * F.col("n_tc") / (F.col("n_t") * F.col("n_c")))
-    bits = F.log2(n / F.col("n_c"))
-    return (
-        pairs.join(entities, "entity")
-        .join(frequencies, "term")
-        .select(*pair, F.when(bits > 0, carried / bits).alias("share"))
-    )
+def _words(text: Column) -> Column:
+    """The distinct words of a text in lower case."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TERM), F.lit(0))
+    return F.array_distinct(F.transform(F.array_distinct(found), F.lower))
+
 
+def judged(
+    docs: DataFrame, spans: DataFrame, terms: DataFrame, least: float | None = None
+) -> DataFrame:
+    """``entity, term, share``: how much of an entity's information a term carries.
 
-def all_spans(docs: DataFrame) -> DataFrame:
+    With ``least``, only pairs with that share or more.
+    """
+    together = spans.select("entity", "row").distinct()
+    entities = together.groupBy("entity").agg(F.count(F.lit(1)).alias("n_c"))
+    entities = entities.where(F.col("n_c") >= SUPPORT)
+    near = F.collect_list(F.struct("entity", "n_c")).alias("near")
+    by_row = salted_join(together, entities, ["entity"], "inner").groupBy("row")
+    by_row = staged(by_row.agg(near, F.max("n_c").alias("most")), "pii-near")
+    n = float(docs.count())
+    held = docs.select(F.explode(_words(F.col("text"))).alias("term"))
+    frequencies = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    frequencies = frequencies.where(F.col("n_t") >= SUPPORT)
+
+    def rare(n_c: Column) -> Column:
+        """Whether a term could carry ``least``, if it stood in all of n_c documents."""
+        if least is None:
+            return F.lit(True)
+        return F.col("n_t") <= n ** (1 - least) * F.pow(n_c, F.lit(least)) * (1 + 1e-9)
+
+    most = by_row.agg(F.max("most")).first()[0] or 0
+    frequencies = staged(frequencies.where(rare(F.lit(float(most)))), "pii-frequencies")
+    if fits_broadcast(frequencies):
+        counted = terms.join(F.broadcast(frequencies), "term")
+    else:
+        counted = salted_join(terms, frequencies, ["term"], "inner")
+    # A term that stands in the values of one entity only is no evidence about that entity.
+    inside = (F.count("holder") == F.count(F.lit(1))) & (F.min("holder") == F.max("holder"))
+    by_term = counted.groupBy("row", "term", "n_t").agg(F.when(inside, F.min("holder")).alias("only"))
+    paired = salted_join(by_term, by_row, ["row"], "inner").where(rare(F.col("most")))
+    paired = paired.select("row", "term", "n_t", "only", F.explode("near").alias("of"))
+    paired = paired.where(F.col("only").isNull() | (F.col("only") != F.col("of.entity")))
+    paired = paired.where(rare(F.col("of.n_c"))).groupBy(F.col("of.entity").alias("entity"), "term")
+    pairs = paired.agg(
+        F.count(F.lit(1)).alias("n_tc"),
+        F.first("n_t").alias("n_t"),
+        F.first("of.n_c").alias("n_c"),
+    ).where(F.col("n_tc") >= SUPPORT)
+    carried = F.log2(F.lit(n) * F.col("n_tc") / (F.col("n_t") * F.col("n_c")))
+    bits = F.log2(F.lit(n) / F.col("n_c"))
+    shares = pairs.select("entity", "term", F.when(bits > 0, carried / bits).alias("share"))
+    return shares if least is None else shares.where(F.col("share") >= least)
+
+
+def all_spans(rows: DataFrame) -> DataFrame:
     """``row, kind, start, end, word``: base spans, and those of disclosing terms.
 
-    Kinds of added spans follow those of ``KINDS`` in the order of ``ADDED``.
+    ``rows`` are ``numbered``. Kinds of added spans follow those of ``KINDS`` in the order of
+    ``ADDED``.
     """
-    spans = staged(base_spans(docs), "pii-spans")
-    terms = staged(context_terms(spans), "pii-terms")
-    disclosing = judged(docs, spans, terms).where(F.col("share") >= GENERALISE)
-    disclosing = staged(disclosing, "pii-disclosing")
+    spans = staged(_spans(rows), "pii-spans")
+    texts = rows.select("doc.text")
+    disclosing = staged(judged(texts, spans, context_terms(spans), GENERALISE), "pii-disclosing")
     kind = F.when(F.col("share") >= REMOVE, len(KINDS)).otherwise(len(KINDS) + 1)
-    added = salted_join(terms, disclosing, ["entity", "term"], "inner")
-    added = added.groupBy("row", "start", "end").agg(F.min(kind).alias("kind"), F.first("term").alias("word"))
-    places = spans.select("row", "start", "end").groupBy("row").agg(
-        F.collect_list(F.struct("start", "end")).alias("taken")
-    )
-    free = added.join(places, "row").where(
-        ~F.exists("taken", lambda x: (x["start"] < F.col("end")) & (F.col("start") < x["end"]))
-    )
+    listed = disclosing.groupBy("entity").agg(F.collect_list(F.struct("term", "share")).alias("of"))
+    of_rows = salted_join(spans.select("row", "entity").distinct(), listed, ["entity"], "inner")
+    of_rows = of_rows.select("row", F.explode("of").alias("of")).select("row", "of.*")
+    of_rows = of_rows.groupBy("row", "term").agg(F.min(kind).alias("kind"))
+    asked = F.map_from_entries(F.collect_list(F.struct("term", "kind"))).alias("asked")
+    asked = staged(of_rows.groupBy("row").agg(asked), "pii-asked")
+    asked = F.broadcast(asked) if fits_broadcast(asked) else asked
+    pieces = spans.join(asked, "row").select("row", "asked", F.explode("pieces").alias("of"))
+    pieces = pieces.where("NOT of.own")
+    free = pieces.select("row", F.explode(_placed(F.col("of"), F.col("asked"))).alias("span"))
     base = spans.select("row", "kind", "start", "end", F.lit(None).cast("string").alias("word"))
-    return base.unionByName(free.select("row", "kind", "start", "end", "word"))
+    return base.unionByName(free.select("row", "span.*"))
+
+
+def _placed(piece: Column, asked: Column) -> Column:
+    """``kind, start, end, word`` of the words of a piece that ``asked`` names."""
+    parts = F.arrays_zip(
+        F.split(piece["said"], TERM, -1).alias("gap"),
+        F.regexp_extract_all(piece["said"], F.lit(TERM), F.lit(0)).alias("found"),
+    )
+    none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint,word:string>>")
+
+    def step(state: Column, part: Column) -> Column:
+        word = F.lower(part["found"])
+        start = state["at"] + F.char_length(part["gap"])
+        end = start + F.coalesce(F.char_length(part["found"]), F.lit(0))
+        kind = F.try_element_at(asked, F.coalesce(word, F.lit("")))
+        span = F.struct(
+            kind.alias("kind"), start.alias("start"), end.alias("end"), word.alias("word")
+        )
+        seen = F.when(kind.isNull(), state["seen"]).otherwise(F.concat(state["seen"], F.array(span)))
+        return F.struct(end.alias("at"), seen.alias("seen"))
+
+    begin = F.struct(piece["at"].alias("at"), none.alias("seen"))
+    return F.aggregate(parts, begin, step, lambda state: state["seen"])
 
 
 def _listed(spans: Column) -> Column:
@@ -252,8 +309,9 @@ def _listed(spans: Column) -> Column:
 def found(docs: DataFrame) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_removed, n_general``."""
     every = F.collect_list(F.struct("kind", "start", "end"))
-    by_row = all_spans(docs).groupBy("row").agg(every.alias("all"))
-    rows = numbered(docs).select("doc_id", F.col("__row").alias("row")).join(by_row, "row", "left")
+    rows = numbered(docs)
+    by_row = all_spans(rows).groupBy("row").agg(every.alias("all"))
+    rows = rows.select(F.col("doc.doc_id").alias("doc_id"), "row").join(by_row, "row", "left")
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
     rows = rows.withColumn("all", F.coalesce("all", none))
     base = F.filter("all", lambda x: x["kind"] < len(KINDS))
@@ -287,7 +345,8 @@ def sanitised(docs: DataFrame) -> DataFrame:
     """``docs`` with every span in their texts replaced; overlapping spans are replaced as one."""
     order = Window.partitionBy("row").orderBy("start", "end", "kind")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    spans = all_spans(docs).withColumn("past", F.coalesce(before, F.lit(0).cast("long")))
+    rows = numbered(docs)
+    spans = all_spans(rows).withColumn("past", F.coalesce(before, F.lit(0).cast("long")))
     listed = F.array_sort(F.collect_list(F.struct("start", "end", "kind", "past", "word")))
     by_row = spans.groupBy(F.col("row").alias("__of")).agg(listed.alias("__spans"), F.max("end").alias("__last"))
     by_row = staged(by_row, "pii-rows")
@@ -302,11 +361,7 @@ def sanitised(docs: DataFrame) -> DataFrame:
     tail = F.substring(said, (F.col("__last") + 1).cast("int"), F.char_length(said))
     cleaned = F.concat(F.array_join(F.transform("__spans", piece), ""), tail)
     text = F.when(F.col("__spans").isNull(), said).otherwise(cleaned)
-    rows = docs.select(
-        F.struct(*map(quoted, docs.columns)).alias("doc"),
-        F.monotonically_increasing_id().alias("__row"),
-    )
-    joined = rows.join(small, F.col("__row") == F.col("__of"), "left")
+    joined = rows.join(small, F.col("row") == F.col("__of"), "left")
     anew = {"text": text}
     if "n_chars" in docs.columns:
         anew["n_chars"] = F.char_length(text).cast(docs.schema["n_chars"].dataType)

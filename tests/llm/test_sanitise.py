@@ -128,3 +128,21 @@ def test_sanitised_keeps_rows_and_columns(odd_documents, no_documents):
             assert row.n_chars == len(row.text)
     assert sanitise.sanitised(no_documents).count() == 0
     assert sanitise.found(no_documents).count() == 0
+
+
+def cleaned_texts(spark, folder, rows):
+    spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").write.parquet(folder)
+    found = sanitise.sanitised(spark.read.parquet(folder)).collect()
+    return {row.doc_id: row.text for row in found}
+
+
+COMMON = [f"we write about the matter {at}" for at in range(40)]
+
+
+def test_terms_far_from_an_entity_are_judged_and_replaced(spark, tmp_path):
+    far = " and so on" * 50
+    rows = [f"Kappeln, {at}: we{far}, zanna@one.example.org" for at in range(4)]
+    rows += COMMON + [far] * 40
+    cleaned = cleaned_texts(spark, f"{tmp_path}/docs", rows)
+    assert [cleaned[at] for at in range(4)] == [f", {at}: we{far}, [EMAIL]" for at in range(4)]
+    assert [cleaned[at] for at in range(4, len(rows))] == rows[4:]
