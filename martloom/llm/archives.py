@@ -160,17 +160,21 @@ def trained(pages: DataFrame) -> bytes:
 def marked(pages: DataFrame) -> DataFrame:
     """``page_id, row, url, html, first, response``: which records are responses.
 
+    Rows are numbered once and written with their texts, as a second read may number them anew.
     Payloads are compared by SHA-256 and length. Copies are counted where they are read, and only
     payloads that occur more than once are joined back, each dealt over several keys.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
-    keyed = pages.select(
+    rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.monotonically_increasing_id().alias("row"),
+        "url",
+        "html",
         F.sha2(payload, 256).alias("same"),
         F.octet_length(payload).alias("length"),
     )
-    keyed = staged(keyed, "warc-keys")
+    rows = staged(rows, "warc-pages")
+    keyed = rows.select("page_id", "row", "same", "length")
     order = F.struct(F.col("page_id").isNull(), F.col("page_id"), F.col("row"))
     firsts = (
         keyed.groupBy("same", "length")
@@ -181,12 +185,6 @@ def marked(pages: DataFrame) -> DataFrame:
     )
     found = salted_join(keyed, firsts, ["same", "length"], "inner")
     later = found.where(F.col("row") != F.col("at")).select(F.col("row").alias("revisit"), "first")
-    rows = pages.select(
-        F.col("page_id").cast("long").alias("page_id"),
-        F.monotonically_increasing_id().alias("row"),
-        "url",
-        "html",
-    )
     joined = rows.join(later, F.col("row") == F.col("revisit"), "left")
     return joined.select(
         "page_id", "row", "url", "html", "first", F.col("revisit").isNull().alias("response")

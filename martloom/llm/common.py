@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martloom.functions.names import quoted
+from martloom.sinks.scratch import staged
 from martloom.sources.tables import folder_reader
 
 # What the contracts call white space between words: these ASCII characters and no others.
@@ -25,6 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return folder_reader(spark, sf_dir)(name)
 
 
+def numbered(rows: DataFrame, label: str) -> DataFrame:
+    """``row``, a number for each row, and ``doc``, the row itself, written once.
+
+    Two reads of a table may split it differently, as the cores alive at that moment ask, and would
+    number it differently. Every side of a join on ``row`` is to come from this one table.
+    """
+    doc = F.struct(*map(quoted, rows.columns)).alias("doc")
+    return staged(rows.select(F.monotonically_increasing_id().alias("row"), doc), label)
+
+
 def crc_remainder(column: str, divisor: int) -> Column:
     """``crc32`` of the value as text, modulo ``divisor``; NULL counts as the empty text."""
     return F.crc32(F.coalesce(quoted(column).cast("string"), F.lit("")).cast("binary")) % divisor

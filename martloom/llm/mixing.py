@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.names import quoted
 from martloom.functions.sizes import fits_broadcast
-from martloom.llm.common import BLANK, WORD
+from martloom.llm.common import BLANK, WORD, numbered
 from martloom.sinks.scratch import staged
 
 # Weights of the sources in order, repeating.
@@ -44,12 +44,16 @@ class Mix:
     seed: str = "mix"
 
 
-def measured(docs: DataFrame, mix: Mix) -> DataFrame:
-    """``row, doc_id, source, size, draw``; ``draw`` orders documents by the seed."""
+def measured(docs: DataFrame, mix: Mix, row: Column | None = None) -> DataFrame:
+    """``row, doc_id, source, size, draw``; ``draw`` orders documents by the seed.
+
+    Without ``row``, a column of ``docs``, rows are numbered as they are read; a second read may
+    number them differently.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     return docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        (F.monotonically_increasing_id() if row is None else row).alias("row"),
         "doc_id",
         "source",
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
@@ -119,13 +123,13 @@ def apportioned(groups: DataFrame, within: list[str], weight: Column, seats: Col
     )
 
 
-def placed(docs: DataFrame, mix: Mix) -> DataFrame:
+def placed(docs: DataFrame, mix: Mix, row: Column | None = None) -> DataFrame:
     """One row per document with its place in its shard and the shard's quota of blocks.
 
     Columns: those of ``measured``, ``source_size``, ``target``, ``passes`` (whole passes over the
     source), ``begin`` and ``end`` (words, in the shard), ``blocks``, ``quota``, ``start``.
     """
-    sizes = staged(measured(docs, mix), "mix-sizes")
+    sizes = staged(measured(docs, mix, row), "mix-sizes")
     block = mix.block_words
     targets = source_targets(sizes, mix).withColumn(
         "tie", F.struct(F.col("source").isNull(), F.col("source"))
@@ -234,17 +238,16 @@ def mixed_texts(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     ``n_chars``, if there is one, is counted anew.
     """
     taken = words_before(F.col("end"), mix) - words_before(F.col("begin"), mix)
-    places = placed(docs, mix).withColumn("taken", taken)
+    numbers = numbered(docs, "mix-documents")
+    sized = numbers.select("row", "doc.doc_id", "doc.source", "doc.text")
+    places = placed(sized, mix, F.col("row")).withColumn("taken", taken)
     places = places.where("passes > 0 OR taken > 0").where("size > 0")
     places = staged(
         places.select("row", "size", "passes", "taken", "begin", "blocks", "quota", "start"),
         "mix-places",
     )
     places = F.broadcast(places) if fits_broadcast(places) else places
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.struct(*map(quoted, docs.columns)).alias("doc"),
-    ).join(places, "row")
+    rows = numbers.join(places, "row")
     pieces = F.regexp_extract_all(F.col("doc.text"), F.lit(f"[{BLANK}]*{WORD}"), F.lit(0))
     kept = F.filter(
         pieces,

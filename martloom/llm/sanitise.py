@@ -26,9 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martloom.functions.names import quoted
 from martloom.functions.sizes import fits_broadcast
-from martloom.llm.common import salted_join
+from martloom.llm.common import numbered, salted_join
 from martloom.sinks.scratch import staged
 
 # The kinds in their order, and a pattern for each.
@@ -86,14 +85,6 @@ def _valid(kind: Column, found: Column) -> Column:
     )
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``row``, a number for each row, and ``doc``, the row itself."""
-    return docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        F.struct(*map(quoted, docs.columns)).alias("doc"),
-    )
-
-
 def _values(rows: DataFrame) -> DataFrame:
     """``row, kind, start, end, entity`` of every valid span."""
     text = F.coalesce(F.col("doc.text"), F.lit(""))
@@ -142,7 +133,7 @@ def base_spans(docs: DataFrame) -> DataFrame:
     spans of a row make up its text: ``at, said, own`` of what stands before a span, of the span
     itself (``own``) and, with the last one, of what stands after it.
     """
-    return _spans(numbered(docs))
+    return _spans(numbered(docs, "pii-documents"))
 
 
 def _spans(rows: DataFrame) -> DataFrame:
@@ -309,7 +300,7 @@ def _listed(spans: Column) -> Column:
 def found(docs: DataFrame) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_removed, n_general``."""
     every = F.collect_list(F.struct("kind", "start", "end"))
-    rows = numbered(docs)
+    rows = numbered(docs, "pii-documents")
     by_row = all_spans(rows).groupBy("row").agg(every.alias("all"))
     rows = rows.select(F.col("doc.doc_id").alias("doc_id"), "row").join(by_row, "row", "left")
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
@@ -345,7 +336,7 @@ def sanitised(docs: DataFrame) -> DataFrame:
     """``docs`` with every span in their texts replaced; overlapping spans are replaced as one."""
     order = Window.partitionBy("row").orderBy("start", "end", "kind")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = numbered(docs)
+    rows = numbered(docs, "pii-documents")
     spans = all_spans(rows).withColumn("past", F.coalesce(before, F.lit(0).cast("long")))
     listed = F.array_sort(F.collect_list(F.struct("start", "end", "kind", "past", "word")))
     by_row = spans.groupBy(F.col("row").alias("__of")).agg(listed.alias("__spans"), F.max("end").alias("__last"))
