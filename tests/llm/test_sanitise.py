@@ -146,3 +146,25 @@ def test_terms_far_from_an_entity_are_judged_and_replaced(spark, tmp_path):
     cleaned = cleaned_texts(spark, f"{tmp_path}/docs", rows)
     assert [cleaned[at] for at in range(4)] == [f", {at}: we{far}, [EMAIL]" for at in range(4)]
     assert [cleaned[at] for at in range(4, len(rows))] == rows[4:]
+
+
+def test_numbers_beside_a_card_do_not_end_its_context(spark, tmp_path):
+    card = "4111 1111 1111 1111"
+    rows = [f"Kappeln, 2021, {at}: we write about the matter, {card}" for at in range(4)]
+    rows += COMMON + ["2021", "2021 we"] * 20
+    cleaned = cleaned_texts(spark, f"{tmp_path}/docs", rows)
+    for at in range(4):
+        assert cleaned[at] == f", 2021, {at}: we write about the matter, [CARD]"
+    assert [cleaned[at] for at in range(4, len(rows))] == rows[4:]
+
+
+def test_pieces_of_a_row_end_at_valid_spans_only(spark):
+    text = "é 12 a@b.co 34, 999.1.1.1 1.2.3.4, 4111 1111 1111 1111 56 +1 2 end"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = sorted(sanitise.base_spans(docs).collect(), key=lambda row: row.start)
+    assert [(row.kind, row.start, row.end) for row in spans] == [
+        (list(PLAIN).index(kind), a, b) for kind, a, b in sorted(plain_spans(text), key=lambda s: s[1])
+    ]
+    pieces = [piece for row in spans for piece in row.pieces]
+    assert "".join(piece.said for piece in pieces) == text
+    assert all(text[piece["at"] :].startswith(piece.said) for piece in pieces)
