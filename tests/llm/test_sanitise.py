@@ -168,3 +168,11 @@ def test_pieces_of_a_row_end_at_valid_spans_only(spark):
     pieces = [piece for row in spans for piece in row.pieces]
     assert "".join(piece.said for piece in pieces) == text
     assert all(text[piece["at"] :].startswith(piece.said) for piece in pieces)
+
+
+def test_copies_word_for_word_are_documents_like_others(spark, tmp_path):
+    rows = ["Kappeln office: we write about the matter, zanna@one.example.org"] * 4
+    rows += COMMON + ["the office"] * 40
+    cleaned = cleaned_texts(spark, f"{tmp_path}/docs", rows)
+    assert {cleaned[at] for at in range(4)} == {" office: we write about the matter, [EMAIL]"}
+    assert [cleaned[at] for at in range(4, len(rows))] == rows[4:]
