@@ -8,8 +8,8 @@ least ``percent`` / 100. Steps:
    equal sets form a class, named by its smallest doc_id; from here on only classes count.
    Two sets at the threshold share a band but for 1 case in 20 million (0.8, 32 bands of 4).
 2. Classes with an equal band key form a bucket; buckets with the same members count once. A bucket
-   is dealt into cells of about ``CELL`` members, each with the bucket's smallest member. A cell's
-   task compares all pairs not yet connected by size, by signature, and then by their full sets.
+   is dealt into cells of about ``CELL`` members and ``CELL_SHINGLES`` shingles, or of single members
+   that have more, each with the bucket's smallest member. A cell's task compares all pairs not yet connected by size, by signature, and then by their full sets.
 3. Links are joined to components by alternating large-star and small-star.
 4. Only for buckets of several cells whose members ended in several components, the pairs between
    cells are tested the same way and the components joined again. So no link is lost to a cell, and
@@ -40,6 +40,7 @@ from martloom.sinks.scratch import staged
 HASHES = 128
 BANDS = 32
 CELL = 1024
+CELL_SHINGLES = 1 << 23
 # A pair at a similarity of 0.8 shares fewer minima than this in 1 case of 10 million.
 LEAST_SHARED = 0.62
 HASHED_AT_ONCE = 4096
@@ -173,13 +174,10 @@ def links_in(members: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in whole_groups(batches, ("key", "block", "other")):
-            ends = np.frombuffer(rows.column("shingles").buffers()[1], np.int32)
-            first = rows.column("shingles").offset
-            ends = ends[first : first + rows.num_rows + 1].astype(np.int64)
-            data = np.frombuffer(rows.column("shingles").buffers()[2], np.uint64, ends[-1] // 8)
-            marks = np.frombuffer(rows.column("signature").buffers()[2], np.uint8)
-            at = rows.column("signature").offset * HASHES
-            marks = marks[at : at + rows.num_rows * HASHES].reshape(-1, HASHES)
+            ends, data = _bytes(rows.column("shingles"))
+            data = data[: ends[-1]].view(np.uint64)
+            at, marks = _bytes(rows.column("signature"))
+            marks = marks[at[0] : at[-1]].reshape(-1, HASHES)
             nodes, roots = rows.column("node").to_numpy(), rows.column("root").to_numpy()
             pairs = []
             for a, b in group_bounds(rows, ("key", "block", "other")):
@@ -233,8 +231,22 @@ def _continues(before: pa.RecordBatch, after: pa.RecordBatch, keys: tuple[str, .
 
 
 def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-    table = pa.Table.from_batches(parts).combine_chunks()
-    return table.to_batches(max_chunksize=max(table.num_rows, 1))[0]
+    """One batch of all rows; binary columns become large ones, as they may pass 2 GB."""
+    table = pa.Table.from_batches(parts)
+    large = [
+        field.with_type(pa.large_binary()) if pa.types.is_binary(field.type) else field
+        for field in table.schema
+    ]
+    table = table.cast(pa.schema(large)).combine_chunks()
+    (whole,) = table.to_batches(max_chunksize=max(table.num_rows, 1))
+    return whole
+
+
+def _bytes(column: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets of the values, one more than there are, and the bytes that these count in."""
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    return ends, np.frombuffer(data, np.uint8)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -292,24 +304,23 @@ def near_duplicates(
         .where(F.col("node").isNotNull())
     )
     classes = staged(classes, "dup-classes")
-    banded = classes.select("node", F.explode("bands").alias("key"))
+    banded = classes.select("node", "n_shingles", F.explode("bands").alias("key"))
     buckets = (
         banded.groupBy("key")
         .agg(
             F.count(F.lit(1)).alias("n"),
+            F.sum("n_shingles").alias("held"),
             F.min("node").alias("hub"),
             F.bit_xor(F.xxhash64("node")).alias("one"),
             F.bit_xor(F.xxhash64("node", F.lit(1))).alias("two"),
         )
         .where("n > 1")
     )
-    distinct = buckets.groupBy("n", "hub", "one", "two").agg(F.min("key").alias("key"))
-    members = staged(
-        banded.join(distinct.select("key", "n", "hub"), "key").withColumn(
-            "blocks", F.ceil(F.col("n") / cell).cast("long")
-        ),
-        "dup-members",
-    )
+    distinct = buckets.groupBy("n", "held", "hub", "one", "two").agg(F.min("key").alias("key"))
+    blocks = F.greatest(F.ceil(F.col("n") / cell), F.ceil(F.col("held") / CELL_SHINGLES))
+    blocks = F.least(blocks, F.col("n")).cast("long").alias("blocks")
+    members = banded.select("key", "node").join(distinct.select("key", "n", "hub", blocks), "key")
+    members = staged(members, "dup-members")
     marks = classes.select("node", "n_shingles", "signature")
     sets = shingles_of(docs, members.select("node").distinct(), width)
     sets = staged(sets.join(marks, "node"), "dup-sets")

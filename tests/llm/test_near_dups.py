@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from martloom.llm import near_dups
 
@@ -94,3 +96,33 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(at, at + 1) for at in range(1, 60)], "a long, b long")
     found = near_dups.components(links).collect()
     assert {row.component for row in found} == {1} and len(found) == 59
+
+
+def test_cells_are_bounded_by_shingles_too(spark, monkeypatch):
+    words = [f"w{at}" for at in range(200)]
+    rows = [(at, " ".join([*words, f"own{at}"])) for at in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    most, links_in = [], near_dups.links_in
+
+    def and_measured(members, percent):
+        cells = members.groupBy("key", "block", "other").agg(F.sum("n_shingles").alias("n"))
+        most.append(cells.agg(F.max("n")).first()[0])
+        return links_in(members, percent)
+
+    monkeypatch.setattr(near_dups, "links_in", and_measured)
+    monkeypatch.setattr(near_dups, "CELL_SHINGLES", 1000)
+    check(docs, 1)
+    assert most[0] < 40 * 201 / 2
+    check(docs.limit(0), 1)
+
+
+def test_parts_of_over_2_gb_are_joined_whole():
+    value = pa.py_buffer(bytes(1 << 30))
+    offsets = pa.py_buffer(pa.array([0, 1 << 30], pa.int32()).buffers()[1])
+    one = pa.Array.from_buffers(pa.binary(), 1, [None, offsets, value])
+    part = pa.RecordBatch.from_arrays([pa.array([1]), one], ["key", "shingles"])
+    joined = near_dups._joined([part, part, part])
+    assert joined.num_rows == 3
+    ends, data = near_dups._bytes(joined.column("shingles"))
+    assert ends.tolist() == [at << 30 for at in range(4)] and len(data) >= 3 << 30
+    assert near_dups._joined([part.slice(0, 0), part]).num_rows == 1
