@@ -28,6 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martloom.functions.sizes import fits_broadcast
 from martloom.llm.common import salted_join
 from martloom.sinks.scratch import staged
 
@@ -185,6 +186,8 @@ def marked(pages: DataFrame) -> DataFrame:
     )
     found = salted_join(keyed, firsts, ["same", "length"], "inner")
     later = found.where(F.col("row") != F.col("at")).select(F.col("row").alias("revisit"), "first")
+    later = staged(later, "warc-revisits")
+    later = F.broadcast(later) if fits_broadcast(later) else later
     joined = rows.join(later, F.col("row") == F.col("revisit"), "left")
     return joined.select(
         "page_id", "row", "url", "html", "first", F.col("revisit").isNull().alias("response")
