@@ -135,3 +135,59 @@ OP10 = f"""
            CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
            CASE WHEN place > 1 THEN first END AS refers_to
     FROM f"""
+
+
+def _part_codes() -> str:
+    """Codebooks of 4 parts after 4 rounds of k-means, and the codes; unrolled round by round."""
+    steps = [
+        """v AS (
+        SELECT vec_id, label, floor_ AS x
+        FROM (SELECT vec_id, label, [floor(1024 * CAST(x AS DOUBLE)) FOR x IN embedding] AS floor_
+              FROM embeddings
+              WHERE len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = len(embedding))),
+    p AS (
+        SELECT vec_id, label, part,
+               x[part * len(x) // 4 + 1 : (part + 1) * len(x) // 4] AS x
+        FROM v, (SELECT unnest(range(4)) AS part)),
+    s AS (SELECT *, list_inner_product(x, x) AS own FROM p),
+    b0 AS (
+        SELECT part, entry, x, own
+        FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM s)
+        WHERE entry < 256)"""
+    ]
+    for at in range(5):
+        steps.append(
+            f"""a{at} AS MATERIALIZED (
+        SELECT vec_id, part,
+               min({{'d': s.own - 2 * list_inner_product(s.x, b.x) + b.own, 'e': entry}}) AS best
+        FROM s JOIN b{at} b USING (part) GROUP BY vec_id, part)"""
+        )
+        if at < 4:
+            steps.append(
+                f"""m{at} AS (
+        SELECT part, best.e AS entry, i, floor(sum(x[i]) / count(*)) AS mean
+        FROM (SELECT a.part, best, x, unnest(range(1, len(x) + 1)) AS i
+              FROM a{at} a JOIN s ON a.vec_id = s.vec_id AND a.part = s.part)
+        GROUP BY part, best.e, i),
+    n{at} AS (SELECT part, entry, list(mean ORDER BY i) AS x FROM m{at} GROUP BY part, entry),
+    b{at + 1} AS MATERIALIZED (
+        SELECT part, entry, x, list_inner_product(x, x) AS own
+        FROM (SELECT b.part, b.entry, coalesce(n.x, b.x) AS x
+              FROM b{at} b LEFT JOIN n{at} n ON b.part = n.part AND b.entry = n.entry))"""
+            )
+    return f"""
+    WITH {", ".join(steps)},
+    c AS (
+        SELECT vec_id, string_agg(printf('%02x', CAST(best.e AS INTEGER)), '' ORDER BY part) AS code,
+               CAST(sum(best.d) AS BIGINT) AS error
+        FROM a4 GROUP BY vec_id),
+    h AS (
+        SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, i))
+                   AS codebooks_sha256
+        FROM (SELECT part, entry, unnest(x) AS x, unnest(range(len(x))) AS i FROM b4))
+    SELECT vec_id, code, error,
+           CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+    FROM c JOIN v USING (vec_id), h"""
+
+
+OP13 = _part_codes()

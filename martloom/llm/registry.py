@@ -16,6 +16,7 @@ from martloom.llm import (
     mixing,
     near_dups,
     oracles,
+    part_codes,
     pieces,
     quality,
     sanitise,
@@ -76,6 +77,10 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return part_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_codes": op1_language_codes,
@@ -88,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_apportioned_mix": op8_apportioned_mix,
         "op9_multi_index_codes": op9_multi_index_codes,
         "op10_warc_zstd": op10_warc_zstd,
+        "op13_part_codes": op13_part_codes,
     }
 
 
@@ -96,4 +102,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_top_k": oracles.OP6,
         "op8_apportioned_mix": oracles.OP8,
         "op10_warc_zstd": oracles.OP10,
+        "op13_part_codes": oracles.OP13,
     }

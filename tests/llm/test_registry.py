@@ -26,6 +26,8 @@ CONTRACTS = {
     "op9": "query_id bigint, rank int, vec_id bigint, score double",
     "op10": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, "
     "refers_to bigint",
+    "op13": "vec_id bigint, code string, error bigint, label_error bigint, "
+    "codebooks_sha256 string",
 }
 
 
