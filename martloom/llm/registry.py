@@ -20,6 +20,7 @@ from martloom.llm import (
     pieces,
     quality,
     sanitise,
+    spellings,
     token_shards,
 )
 from martloom.llm.common import crc_remainder, table
@@ -77,6 +78,10 @@ def op10_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_trie_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spellings.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op13_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_codes.compressed(table(spark, sf_dir, "embeddings"))
 
@@ -93,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_apportioned_mix": op8_apportioned_mix,
         "op9_multi_index_codes": op9_multi_index_codes,
         "op10_warc_zstd": op10_warc_zstd,
+        "op11_trie_pairs": op11_trie_pairs,
         "op13_part_codes": op13_part_codes,
     }
 
