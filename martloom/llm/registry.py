@@ -20,6 +20,7 @@ from martloom.llm import (
     pieces,
     quality,
     sanitise,
+    shingle_join,
     spellings,
     token_shards,
 )
@@ -82,6 +83,10 @@ def op11_trie_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spellings.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_combination_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.joined(table(spark, sf_dir, "documents"))
+
+
 def op13_part_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part_codes.compressed(table(spark, sf_dir, "embeddings"))
 
@@ -99,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_multi_index_codes": op9_multi_index_codes,
         "op10_warc_zstd": op10_warc_zstd,
         "op11_trie_pairs": op11_trie_pairs,
+        "op12_combination_prefixes": op12_combination_prefixes,
         "op13_part_codes": op13_part_codes,
     }
 

@@ -27,6 +27,7 @@ CONTRACTS = {
     "op10": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, "
     "refers_to bigint",
     "op11": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
+    "op12": "doc_id bigint, n_shingles bigint, component_id bigint",
     "op13": "vec_id bigint, code string, error bigint, label_error bigint, "
     "codebooks_sha256 string",
 }
