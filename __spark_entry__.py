@@ -52,6 +52,21 @@ WHOLE = """(json_type(value, '$.id') IN ('BIGINT', 'UBIGINT', 'HUGEINT')
            = round(CAST(json_extract_string(value, '$.id') AS DOUBLE)))"""
 
 
+# The nested messages, with a fault of each kind by turns.
+NESTED_TEXTS = """(
+    SELECT event_id, '{"id":' || CASE WHEN event_id % 12 = 1 THEN '-' ELSE '' END || event_id
+        || ',"user":{' || CASE event_id % 12 WHEN 2 THEN '"id":"' || event_id || '",'
+            WHEN 3 THEN '' ELSE '"id":' || event_id || ',' END
+        || '"mail":"' || CASE WHEN event_id % 12 = 4 THEN 'ab' ELSE 'a@b' END
+        || '"},"kind":' || CASE WHEN event_id % 12 = 5 THEN '"none"' ELSE 'null' END
+        || ',"props":' || CASE WHEN event_id % 12 = 6 THEN '[' || props || ']' ELSE props END
+        || ',"items":' || CASE WHEN event_id % 12 = 11 THEN '' ELSE '[' END || '{"n":1},'
+        || CASE event_id % 12 WHEN 7 THEN '{"n":10}' WHEN 8 THEN '{"m":2.5}'
+            WHEN 9 THEN '{"n":2.5,"m":1}' WHEN 10 THEN '{"n":2},{"n":3},{"n":4}'
+            ELSE '{"n":2.5}' END || ']}' AS value
+    FROM events)"""
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The star mart: order lines with order, supplier and the supplier's nation."""
     return retail.core_star_left(spark, SMOKE_FOLDER)
@@ -75,9 +90,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "expectation_report": retail.expectation_report,
         "merge_upsert": retail.merge_upsert,
         "merge_action_counts": retail.merge_action_counts,
+        "merge_changes": retail.merge_changes,
         "merge_conflicts": retail.merge_conflicts,
         "mart_write_read": retail.mart_write_read,
         "mart_load": retail.mart_load,
+        "mart_keys_found": retail.mart_keys_found,
         "message_frame": retail.message_table,
         "contract_check": retail.contract_check,
         "contract_backtest": retail.contract_backtest,
@@ -86,7 +103,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sql_view_join": retail.sql_view_join,
         "contract_verdicts": retail.contract_verdicts,
         "contract_closed": retail.contract_closed,
+        "contract_nested": retail.contract_nested,
         "publish_report": retail.publish_report,
+        "delivery_outcomes": retail.delivery_outcomes,
     }
     return found | llm.queries() | {"pipeline": corpus_pipeline.run} if llm else found
 
@@ -170,6 +189,13 @@ def oracle_sql() -> dict[str, str]:
                         WHEN t.order_id IS NULL THEN 'inserted' ELSE 'updated' END AS action,
                    count(*) AS n
             FROM {MERGE} GROUP BY 1""",
+        "merge_changes": f"""
+            SELECT CASE WHEN t.order_id IS NULL THEN 'inserted' ELSE 'updated' END AS action,
+                   t.order_id AS before_order_id, t.status AS before_status,
+                   t.amount AS before_amount, t.changed_at AS before_changed_at,
+                   s.order_id AS after_order_id, s.status AS after_status,
+                   s.amount AS after_amount, s.changed_at AS after_changed_at
+            FROM {MERGE} WHERE s.order_id IS NOT NULL""",
         "merge_conflicts": f"""
             SELECT o_orderkey AS order_id, count(*) AS n_source_rows FROM {WIDE}
             WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem)
@@ -178,6 +204,10 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS order_date
             FROM orders""",
         "mart_load": MERGED,
+        "mart_keys_found": """
+            SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS changed_in,
+                   count(DISTINCT l_orderkey) AS n_keys
+            FROM lineitem WHERE l_orderkey IN (SELECT event_id FROM events) GROUP BY 1""",
         "message_frame": """
             SELECT CAST(event_id AS VARCHAR) AS key,
                    '{"id":' || event_id || ',"msg":"' || event_type || '"}' AS value
@@ -219,6 +249,31 @@ def oracle_sql() -> dict[str, str]:
                         WHEN len([k FOR k IN json_keys(value) IF k NOT IN ('id', 'msg')]) > 0 THEN 'extra'
                         ELSE 'ok' END AS verdict
             FROM {EVENT_TEXTS}""",
+        "contract_nested": f"""
+            SELECT event_id,
+                   CASE WHEN NOT json_valid(value) THEN 'not_json'
+                        WHEN CAST(value->>'$.id' AS BIGINT) < 0 THEN 'minimum:id'
+                        WHEN json_type(value, '$.user.id') IS NULL THEN 'missing:user.id'
+                        WHEN json_type(value, '$.user.id') = 'VARCHAR' THEN 'type:user.id'
+                        WHEN value->>'$.user.mail' NOT LIKE '%@%' THEN 'pattern:user.mail'
+                        WHEN json_type(value, '$.kind') <> 'NULL' THEN 'enum:kind'
+                        WHEN json_type(value, '$.props') <> 'OBJECT' THEN 'type:props'
+                        WHEN json_array_length(value, '$.items') > 3 THEN 'maxItems:items'
+                        WHEN json_type(value, '$.items[1].n') IS NULL THEN 'missing:items[1].n'
+                        WHEN CAST(value->>'$.items[1].n' AS DOUBLE) >= 10
+                            THEN 'exclusiveMaximum:items[1].n'
+                        WHEN len(json_keys(value, '$.items[1]')) > 1 THEN 'extra:items[1]'
+                        ELSE 'ok' END AS verdict
+            FROM {NESTED_TEXTS}""",
+        "delivery_outcomes": """
+            SELECT event_id % 4 AS part, count(*) AS n_due,
+                   count(*) FILTER (WHERE event_id % 4 <> 3
+                       AND strlen('{"id":' || event_id || ',"msg":"' || event_type || '"}') <= 26)
+                       AS n_acknowledged,
+                   count(*) FILTER (WHERE event_id % 4 = 3
+                       OR strlen('{"id":' || event_id || ',"msg":"' || event_type || '"}') > 26)
+                       AS n_failed
+            FROM events GROUP BY 1""",
         "publish_report": """
             SELECT count(*) AS n_due, count(quality) AS n_sent,
                    count(*) - count(quality) AS n_rejected,

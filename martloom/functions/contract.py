@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import or_
+from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -148,24 +149,37 @@ def verdict(parsed: Column, contract: Contract) -> Column:
     return result.otherwise("ok")
 
 
+class AnyContract(Protocol):
+    """What else can be checked: see ``json_schema.NestedContract``."""
+
+    def verdict(self, parsed: Column) -> Column: ...
+
+
+def _verdict(parsed: Column, contract: Contract | AnyContract) -> Column:
+    return verdict(parsed, contract) if isinstance(contract, Contract) else contract.verdict(parsed)
+
+
 def check_messages(
-    messages: DataFrame, contract: Contract, value: str = "value", into: str = "verdict"
+    messages: DataFrame, contract: Contract | AnyContract, value: str = "value", into: str = "verdict"
 ) -> DataFrame:
     """Add the verdict of each message."""
     return check_contracts(messages, {into: contract}, value)
 
 
 def check_contracts(
-    messages: DataFrame, contracts: Mapping[str, Contract], value: str = "value"
+    messages: DataFrame, contracts: Mapping[str, Contract | AnyContract], value: str = "value"
 ) -> DataFrame:
     """Add one verdict column per contract; each message is parsed once for all of them."""
     parsed = messages.withColumn("__parsed", F.try_parse_json(quoted(value)))
-    verdicts = {into: verdict(F.col("__parsed"), c) for into, c in contracts.items()}
+    verdicts = {into: _verdict(F.col("__parsed"), c) for into, c in contracts.items()}
     return parsed.withColumns(verdicts).drop("__parsed")
 
 
 def backtest(
-    messages: DataFrame, current: Contract, candidate: Contract, value: str = "value"
+    messages: DataFrame,
+    current: Contract | AnyContract,
+    candidate: Contract | AnyContract,
+    value: str = "value",
 ) -> DataFrame:
     """One row: stored messages, and those the current contract accepts but the candidate not."""
     checked = check_contracts(messages, {"__now": current, "__next": candidate}, value)

@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions.names import quoted, require_columns
+from martloom.functions.sizes import fits_broadcast
 from martloom.operators.fanout import FanoutJoin
 from martloom.operators.quality import duplicate_groups
 from martloom.operators.spread import CELL_ROWS, heavy_keys, join_keyed, offered
+from martloom.sinks.scratch import staged
 
 CONFLICTS_SHOWN = 20
 
@@ -111,6 +113,39 @@ def require_no_conflicts(target: DataFrame, source: DataFrame | FanoutJoin, key:
         raise MergeConflict(f"several source rows for one target key, among them: {keys}")
 
 
+def change_rows(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """What an upsert changes: ``action``, then ``before_<c>`` and ``after_<c>`` of every column.
+
+    A row for each target row that a source row replaces (``updated``, also if nothing differs) and
+    for each source row that is added (``inserted``, its before image NULL). Raises
+    ``MergeConflict`` as the merge does. The target is read once: the updated rows are written down,
+    so the source rows that were not added are known from them. No target row moves that is not
+    updated if the source proves small, as then it is broadcast.
+    """
+    names = target.columns
+    require_columns(target, [key], "merge target")
+    incoming = conform(source, target.schema)
+    require_no_conflicts(target, incoming, key)
+    before = [quoted(name).alias(f"before_{name}") for name in names]
+    after = [quoted(name).alias(f"after_{name}") for name in names]
+    packed = incoming.where(quoted(key).isNotNull()).select(
+        quoted(key).alias("__key"), F.struct(*after).alias("__after")
+    )
+    packed = F.broadcast(packed) if fits_broadcast(packed) else packed
+    hits = target.join(packed, quoted(key) == F.col("__key")).select(
+        F.lit("updated").alias("action"), *before, F.col("__after.*")
+    )
+    updated = staged(hits, "merge-updated")
+    known = updated.select(quoted(f"after_{key}").alias("__known")).distinct()
+    heavy = heavy_keys(incoming, key)
+    added = join_keyed(incoming, key, known, "__known", "left_anti", heavy)
+    images = [
+        F.lit(None).cast(updated.schema[f"before_{name}"].dataType).alias(f"before_{name}")
+        for name in names
+    ]
+    return updated.unionAll(added.select(F.lit("inserted").alias("action"), *images, *after))
+
+
 def action_counts(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
     """``(action, n)``: result rows ``updated``, ``inserted`` and ``untouched`` by the upsert.
 

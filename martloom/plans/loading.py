@@ -24,9 +24,8 @@ def load_mart(
     """Project ``data`` to ``schema``, check it, and upsert it into ``mart`` by ``key``.
 
     The target is neither created nor changed before all rules hold. A fan-out is checked from
-    its counts, also for merge conflicts, before any of its rows exist. The joins run once: a
-    first load is written in place, checked there and then made visible; a later batch is staged,
-    and the checks and the upsert read the columns they need from there.
+    its counts, also for merge conflicts, before any of its rows exist. The joins run once: their
+    rows are staged, and the checks and the writes read the columns they need from there.
     """
     label = f"mart {mart.name}"
     if isinstance(data, FanoutJoin):
@@ -40,9 +39,9 @@ def load_mart(
         data = data.pruned(schema.names).frame(max_rows=max_rows)
         rules = Expectations()
     rows = conform(select_columns(data, schema.names, label), schema)
-    if not mart.exists():
-        mart.create(rows, check=lambda written: enforce(written, rules))
-        return
     batch = staged(rows, "mart-batch")
     enforce(batch, rules)
-    mart.merge(batch, key)
+    if mart.exists():
+        mart.merge(batch, key)
+    else:
+        mart.create(batch)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martloom.functions.contract import Contract, backtest, check_messages
+from martloom.functions.json_schema import NestedContract
 from martloom.operators.fanout import FanoutJoin
 from martloom.operators.projection import select_columns
 from martloom.operators.quality import (
@@ -25,8 +26,9 @@ from martloom.operators.quality import (
     row_count_report,
 )
 from martloom.operators.star import Dimension, star_join
-from martloom.operators.upsert import action_counts, conflicts, merge_frame
+from martloom.operators.upsert import action_counts, change_rows, conflicts, merge_frame
 from martloom.plans.loading import load_mart
+from martloom.sinks.acknowledged import FolderTopic, deliver_acknowledged
 from martloom.sinks.messages import deliver, message_frame, publish, to_folder
 from martloom.sinks.scratch import scratch_folder
 from martloom.sinks.tables import DatePartition, MartTable, sql_view, write_partitioned
@@ -68,6 +70,8 @@ LABELLED_WITH_QUALITY = Contract(
     {"id": "integer", "quality": "integer"}, required=("id", "quality")
 )
 EVENT = Contract({"id": "integer", "msg": "string"}, required=("id", "msg"))
+# Bytes; some events of the test tables are longer as messages.
+LARGEST_MESSAGE = 26
 CLOSED_EVENT = Contract({"id": ("integer", "null"), "msg": None}, required=("id",), closed=True)
 
 
@@ -209,6 +213,10 @@ def merge_action_counts(spark: SparkSession, folder: str) -> DataFrame:
     return action_counts(_order_status(spark, folder), _status_changes(spark, folder), "order_id")
 
 
+def merge_changes(spark: SparkSession, folder: str) -> DataFrame:
+    return change_rows(_order_status(spark, folder), _status_changes(spark, folder), "order_id")
+
+
 def merge_conflicts(spark: SparkSession, folder: str) -> DataFrame:
     found = conflicts(_order_status(spark, folder), _wide(spark, folder), "order_id")
     return found.toDF("order_id", "n_source_rows")
@@ -223,23 +231,37 @@ def mart_write_read(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(out).drop("order_month")
 
 
-def mart_load(spark: SparkSession, folder: str) -> DataFrame:
-    """Two checked loads into a new mart table: the order lines, then the changes."""
-    mart = MartTable(
+ORDER_STATUS = "order_id BIGINT, status STRING, amount DOUBLE, changed_at TIMESTAMP_NTZ"
+
+
+def _status_mart(spark: SparkSession) -> MartTable:
+    """A mart of this run only, by month, with its keys summarised."""
+    return MartTable(
         spark,
         f"order_status_{uuid4().hex}",
         scratch_folder(spark, "order-status"),
         DatePartition("changed_at", "changed_in", "month"),
+        key="order_id",
     )
-    schema = T.StructType.fromDDL(
-        "order_id BIGINT, status STRING, amount DOUBLE, changed_at TIMESTAMP_NTZ"
-    )
+
+
+def mart_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Two checked loads into a new mart table: the order lines, then the changes."""
+    mart = _status_mart(spark)
+    schema = T.StructType.fromDDL(ORDER_STATUS)
     rules = Expectations(not_null=("order_id",), min_rows=1)
     load_mart(_order_status(spark, folder), mart, schema, "order_id", rules)
     load_mart(_status_changes(spark, folder), mart, schema, "order_id", rules)
-    loaded = mart.read()
-    spark.sql(f"DROP VIEW {mart.name}")  # its name is of this run only; the files stay readable
-    return loaded
+    spark.sql(f"DROP TABLE {mart.name}")  # its name is of this run only; the files stay
+    return mart.read()
+
+
+def mart_keys_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Which partitions of the order lines' mart a batch of changes has keys in, and how many."""
+    mart = _status_mart(spark)
+    mart.create(_order_status(spark, folder))
+    spark.sql(f"DROP TABLE {mart.name}")
+    return mart.found(_status_changes(spark, folder), "order_id")
 
 
 # -- messages -----------------------------------------------------------------------------
@@ -305,3 +327,68 @@ def publish_report(spark: SparkSession, folder: str) -> DataFrame:
 
 def delivery_report(spark: SparkSession, folder: str) -> DataFrame:
     return deliver(message_table(spark, folder), to_folder(scratch_folder(spark, "messages")))
+
+
+def delivery_outcomes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event sent to a topic of four parts, of which one is offline; long messages are refused."""
+    events = folder_reader(spark, folder)("events")
+    fields = [F.col("event_id").alias("id"), F.col("event_type").alias("msg")]
+    messages = message_frame(events, F.col("event_id"), fields)
+    topic = FolderTopic(scratch_folder(spark, "topic"), largest=LARGEST_MESSAGE, offline=(3,))
+    report = scratch_folder(spark, "deliveries")
+    part = F.col("key").cast("long") % 4
+    return deliver_acknowledged(messages, part, topic, report).counts
+
+
+# Faults that the nested messages have by turns; the eleventh kind has none.
+ORDER_SCHEMA = """{
+    "type": "object", "required": ["id", "user"],
+    "properties": {
+        "id": {"type": "integer", "minimum": 0},
+        "user": {"$ref": "#/$defs/user"},
+        "kind": {"enum": ["click", "view", "purchase", "error", "signup", null]},
+        "props": {"type": "object"},
+        "items": {
+            "type": "array", "maxItems": 3,
+            "items": {
+                "type": "object", "required": ["n"], "additionalProperties": false,
+                "properties": {"n": {"type": "number", "exclusiveMaximum": 10}}}}},
+    "$defs": {
+        "user": {
+            "type": "object", "required": ["id"],
+            "properties": {"id": {"type": "integer"}, "mail": {"type": "string", "pattern": "@"}}}}
+}"""
+
+
+def _nested_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event as a nested message with its own properties, one kind of fault or none by turns."""
+    good = '{"id":#,"user":{"id":#,"mail":"a@b"},"kind":null,"props":%,"items":[{"n":1},{"n":2.5}]}'
+    texts = [good]
+    for old, new in NESTED_FAULTS:
+        texts.append(good.replace(old, new, 1))
+    events = folder_reader(spark, folder)("events")
+    number = F.col("event_id").cast("string")
+    turn = (F.col("event_id") % len(texts) + 1).cast("int")
+    text = F.element_at(F.array(*map(F.lit, texts)), turn)
+    value = F.replace(F.replace(text, F.lit("#"), number), F.lit("%"), F.col("props"))
+    return events.select("event_id", value.alias("value"))
+
+
+NESTED_FAULTS = (
+    ('"id":#,"user"', '"id":-#,"user"'),
+    ('"user":{"id":#', '"user":{"id":"#"'),
+    ('"id":#,"mail"', '"mail"'),
+    ('"a@b"', '"ab"'),
+    ('"kind":null', '"kind":"none"'),
+    ('"props":%', '"props":[%]'),
+    ('{"n":2.5}', '{"n":10}'),
+    ('{"n":2.5}', '{"m":2.5}'),
+    ('{"n":2.5}', '{"n":2.5,"m":1}'),
+    ('{"n":2.5}', '{"n":2},{"n":3},{"n":4}'),
+    ('"items":[', '"items":'),
+)
+
+
+def contract_nested(spark: SparkSession, folder: str) -> DataFrame:
+    contract = NestedContract.from_json_schema(ORDER_SCHEMA)
+    return check_messages(_nested_texts(spark, folder), contract).drop("value")

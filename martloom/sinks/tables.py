@@ -1,29 +1,31 @@
-"""Mart tables: parquet partitions listed by commits, or a catalog with row-level MERGE.
-
-Parquet files cannot be changed in place, and Spark refuses to overwrite what it reads. So an
-upsert writes the partitions that it touches into a new folder, and a commit lists for every
-partition the folder that holds it now: untouched partitions stay where they are. Touched are the
-partitions the batch writes to and those its keys are found in: a row whose date changed must also
-leave its old one.
-
-Commits are numbered files, each created exclusively, so of two upserts that began from the same
-commit one has to begin again from the other's. Every commit is a catalog table whose partitions
-are registered with their folders, so Spark prunes partitions before it lists any file; the mart's
-name is a view of the last one.
-
-A catalog with row-level operations need not even rewrite partitions. Prefer one, through
-``RowLevelMart``, when batches are small beside the partitions they touch.
+"""Mart tables: a folder of parquet partitions, or a catalog with row-level MERGE.
+
+Parquet files cannot be changed in place, so an upsert rewrites the partitions that it touches: those
+the batch writes to and those its keys are found in, as a row whose date changed must also leave its
+old partition. The merged partitions are staged, since Spark refuses to overwrite what it reads, and
+then take the place of the old ones by Spark's dynamic partition overwrite. The files of all other
+partitions stay as they are.
+
+What lies under a mart's root is the mart. Its name in the catalog is a table over that folder which
+lists no partitions of its own, so a catalog that lost the name, a new one, or a second name show the
+same rows. One writer at a time: nothing guards two merges of one mart against each other, and a
+reader may see some partitions replaced and others not yet. A merge that fails while it replaces
+partitions says where the merged rows lie; ``MartTable.replace`` with these may be repeated.
+
+A catalog with row-level operations need not rewrite partitions and has transactions. Prefer one,
+through ``RowLevelMart``, where several writers or many small batches are expected.
 """
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import date
+from urllib.parse import urlparse
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,21 +33,19 @@ from pyspark.sql import types as T
 from martloom.functions.names import quoted, quoted_name
 from martloom.functions.sizes import fits_broadcast
 from martloom.operators.upsert import conform, matched_distinct, merge_frame
-from martloom.sinks.folders import create_file, delete, names_in, read_file
-from martloom.sinks.scratch import staged
-
-# Folder of the commits, below a mart's root.
-COMMITS = "_commits"
+from martloom.sinks.key_summary import KeySummary
+from martloom.sinks.scratch import scratch_folder
 
 # Fixed value: how Spark names the folder of a NULL partition.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
-# How often a merge begins again when other writers commit first.
-MERGE_ATTEMPTS = 5
+# Folder of the key summary below a mart's root; Spark reads no folder whose name begins so.
+KEYS = "_keys"
+
+# How Spark says that a folder holds no table yet.
+NOTHING_THERE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
-# Partitions registered in one statement, and those that one batch may touch: the driver lists
-# them, and every one of them is a folder.
-PARTITIONS_AT_ONCE = 500
+# Partitions that one batch may touch: the driver lists them, and every one of them is a folder.
 PARTITIONS_IN_A_BATCH = 100_000
 
 
@@ -66,158 +66,129 @@ class DatePartition:
         return F.to_date(start).alias(self.name)
 
 
-def write_partitioned(df: DataFrame, folder: str, partition: DatePartition | None = None) -> None:
-    """Write parquet, with files of about the advisory partition size.
+def write_partitioned(
+    df: DataFrame, folder: str, partition: DatePartition | None = None, mode: str = "error"
+) -> None:
+    """Write parquet, with files of about the advisory partition size. Mode ``overwrite`` replaces
+    the partitions that ``df`` has rows of, and no others.
 
     The rebalance lets adaptive execution put small partitions together and split a hot one over
     several tasks; plain ``partitionBy`` would write a file per task and partition.
     """
     if partition is None:
-        df.write.parquet(folder)
+        df.write.mode(mode).parquet(folder)
         return
     dated = df.select(*map(quoted, df.columns), partition.column())
     balanced = dated.hint("rebalance", quoted(partition.name))
-    balanced.write.partitionBy(partition.name).parquet(folder)
-
-
-class ConcurrentMerge(RuntimeError):
-    """Other writers kept committing while this one merged."""
-
-
-@dataclass(frozen=True)
-class Commit:
-    """The state of a mart: its schema, and the folder of each partition (by value, "" for NULL;
-    the one folder of a mart without partitions is under ""). ``token`` is in no other commit."""
+    writer = balanced.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(partition.name).parquet(folder)
 
-    number: int
-    schema: T.StructType
-    folders: dict[str, str]
-    token: str = field(default_factory=lambda: uuid4().hex)
 
-    def to_text(self) -> str:
-        held = {"schema": self.schema.json(), "folders": self.folders, "token": self.token}
-        return json.dumps(held)
+class HalfWritten(RuntimeError):
+    """A merge failed while it replaced partitions. ``MartTable.replace`` with the rows in ``folder``
+    completes it."""
 
-    @classmethod
-    def from_text(cls, number: int, text: str) -> Commit:
-        held = json.loads(text)
-        schema = T.StructType.fromJson(json.loads(held["schema"]))
-        return cls(number, schema, held["folders"], held["token"])
+    def __init__(self, mart: str, folder: str, dates: list[date | None]):
+        super().__init__(f"mart {mart}: complete the merge with the rows in {folder}")
+        self.folder, self.dates = folder, dates
 
 
 @dataclass(frozen=True)
 class MartTable:
-    """``name``: one to three dot-separated parts. ``root``: folder of its files and commits."""
+    """``name``: one to three dot-separated parts. ``root``: the folder of its files, which no other
+    mart shares. ``key``: the column whose values are summarised per partition, so that merges by it
+    read the keys of only those partitions that may hold some of the batch."""
 
     spark: SparkSession
     name: str
     root: str
     partition: DatePartition | None = None
+    key: str | None = None
 
     def exists(self) -> bool:
-        """Whether the catalog has the mart; a temporary view of its name does not count."""
-        return bool(self.spark.catalog.tableExists(self._qualified()))
+        """Whether there are files under the root, or the catalog has the table, still empty."""
+        return self._in_catalog() or self._stored() is not None
 
     def ensure(self, schema: T.StructType) -> bool:
-        """Create the table empty if it is missing; True if this call created it."""
+        """Create the table empty if it is missing; True if this call created it. A mart of which
+        the catalog has lost the name gets it back."""
         if self.exists():
+            self._register(self._schema())
             return False
         self.create(self.spark.createDataFrame([], schema))
         return True
 
-    def create(self, rows: DataFrame, check: Callable[[DataFrame], None] | None = None) -> None:
-        """Write the first files, run ``check`` on them, and show them as the table."""
+    def create(self, rows: DataFrame) -> None:
+        """Write the first files and show them as the table. Rows of one key may be several."""
+        if self.exists():
+            raise ValueError(f"mart {self.name}: {self.root} holds a table already")
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
-        folders = self._write(rows)
-        if check is not None:
-            trial = self._version(Commit(0, schema, folders))
-            try:
-                check(self._rows(trial))
-            finally:
-                self.spark.sql(f"DROP TABLE {_listed(trial)}")
-        last = self.last_commit()
-        number = 0 if last is None else last.number + 1
-        if not self._commit(Commit(number, schema, folders)):
-            raise ConcurrentMerge(f"mart {self.name} was created by another writer meanwhile")
+        write_partitioned(rows, self._folder(), self.partition, mode="append")
+        self._register(schema)
         if not self.exists():
             raise ValueError(f"table {self.name} is missing after its creation")
+        if self._summary() is not None and self.partition is not None:
+            self._summary().store(self._dated(schema))
 
     def read(self) -> DataFrame:
-        """The mart's columns, without the derived partition column, as of the last commit."""
-        return self._rows(self._version(self._current()))
+        """The mart's columns, without the derived partition column."""
+        rows = self._dated(self._schema())
+        return rows.drop(self.partition.name) if self.partition else rows
 
     def merge(self, source: DataFrame, key: str) -> None:
-        """Upsert by ``key`` and switch to the result; a conflict raises and changes nothing.
+        """Upsert by ``key``; a conflict raises and changes nothing.
 
         ``source`` is read by several jobs: pass one that is cheap to read, see ``staged``. If it
-        proves small it is broadcast, so that the mart's rows meet it where they are read. If
-        another writer commits first, the merge runs again on what that one left.
+        proves small it is broadcast, so that the mart's rows meet it where they are read.
         """
+        schema = self._schema()
+        self._register(schema)
         small = fits_broadcast(source)
-        for _ in range(MERGE_ATTEMPTS):
-            commit = self._current()
-            target = self._rows(self._version(commit))
-            batch = conform(source, target.schema)
-            batch = F.broadcast(batch) if small else batch
-            if self.partition is None:
-                folders = self._write(merge_frame(target, batch, key))
-            else:
-                folders = self._merged_partitions(commit, batch, key, self.partition)
-            if self._commit(Commit(commit.number + 1, commit.schema, folders)):
-                return
-        raise ConcurrentMerge(f"mart {self.name} changed during {MERGE_ATTEMPTS} merges")
-
-    def vacuum(self, keep: int = 1) -> None:
-        """Delete commits but the last ``keep``, and folders that none of these lists.
-
-        Readers of older commits fail afterwards, and so would a merge that runs meanwhile.
-        """
-        numbers = self._numbers()
-        kept = [self._at(number) for number in numbers[-keep:]]
-        used = {folder for commit in kept for folder in commit.folders.values()}
-        for number in numbers[:-keep]:
-            old = self._at(number)
-            for folder in set(old.folders.values()) - used:
-                delete(self.spark, folder)
-            self.spark.sql(f"DROP TABLE IF EXISTS {_listed(self._version(old))}")
-            delete(self.spark, self._commit_file(number))
-
-    # -- commits --------------------------------------------------------------------------
-
-    def last_commit(self) -> Commit | None:
-        numbers = self._numbers()
-        return self._at(numbers[-1]) if numbers else None
-
-    def _current(self) -> Commit:
-        commit = self.last_commit()
-        if commit is None:
-            raise ValueError(f"mart {self.name} has no commit below {self.root}")
-        return commit
-
-    def _numbers(self) -> list[int]:
-        names = names_in(self.spark, f"{self._folder()}/{COMMITS}")
-        return sorted(int(name) for name in names if name.isdigit())
-
-    def _commit_file(self, number: int) -> str:
-        return f"{self._folder()}/{COMMITS}/{number:012d}"
-
-    def _at(self, number: int) -> Commit:
-        return Commit.from_text(number, read_file(self.spark, self._commit_file(number)))
-
-    def _commit(self, commit: Commit) -> bool:
-        """Make ``commit`` the mart's state; False if another writer took its number.
-
-        Its table is complete before the commit can be seen.
+        batch = conform(source, schema)
+        batch = F.broadcast(batch) if small else batch
+        target = self._dated(schema)
+        dates = None
+        if self.partition is not None:
+            dates = self._touched(target, batch, key, self.partition)
+            target = target.where(_among(quoted(self.partition.name), dates))
+            target = target.drop(self.partition.name)
+        folder = scratch_folder(self.spark, "mart-merged")
+        merge_frame(target, batch, key).write.parquet(folder)
+        try:
+            self.replace(self.spark.read.schema(schema).parquet(folder), dates)
+        except Exception as error:
+            raise HalfWritten(self.name, folder, dates or []) from error
+
+    def replace(self, rows: DataFrame, dates: list[date | None] | None = None) -> None:
+        """Put ``rows`` in the place of the partitions ``dates``, which hold all of them; of the whole
+        mart if it has no partitions. Done twice, it gives the same."""
+        if self.partition is None:
+            rows.write.mode("overwrite").parquet(self._folder())
+            self._refresh()
+            return
+        summary = self._summary()
+        if summary is not None:
+            summary.forget(dates or [], rows.schema[self.key].dataType)
+        write_partitioned(rows, self._folder(), self.partition, mode="overwrite")
+        given = rows.select(self.partition.column().alias("at")).distinct().collect()
+        left = set(dates or []) - {row[0] for row in given}
+        for value in left:  # nothing is written to these, so nothing was overwritten
+            nothing = self.spark.createDataFrame([], rows.schema)
+            nothing.write.mode("overwrite").parquet(self._partition_folder(value))
+        self._refresh()
+        if summary is not None:
+            summary.store(rows.withColumn(self.partition.name, self.partition.column()), left)
+
+    def found(self, batch: DataFrame, key: str) -> DataFrame:
+        """``(<partition>, n_keys)``: how many keys of a batch each partition holds.
+
+        Reads the key column, of only those partitions that the summary cannot rule out.
         """
-        table = self._version(commit)
-        if not create_file(self.spark, self._commit_file(commit.number), commit.to_text()):
-            self.spark.sql(f"DROP TABLE {_listed(table)}")
-            return False
-        shown = None
-        while shown != (last := self._current().number):  # a later one may have come meanwhile
-            self._show(self._at(last))
-            shown = last
-        return True
+        if self.partition is None:
+            raise ValueError(f"mart {self.name} has no partitions")
+        held = self._held(self._dated(self._schema()), batch, key, self.partition)
+        name = quoted(self.partition.name)
+        return held.groupBy(name).agg(F.count(F.lit(1)).alias("n_keys"))
 
     # -- the catalog ----------------------------------------------------------------------
 
@@ -226,80 +197,97 @@ class MartTable:
             return self.name
         return f"{self.spark.catalog.currentDatabase()}.{self.name}"
 
-    def _version(self, commit: Commit) -> str:
-        """The catalog table of a commit, registered if this catalog does not have it yet."""
-        table = f"{self._qualified()}_at_{commit.number}_{commit.token[:8]}"
-        if not self.spark.catalog.tableExists(table):
-            self._register(commit, table)
-        return table
-
-    def _register(self, commit: Commit, table: str) -> None:
-        columns = [f"{quoted_name(f.name)} {f.dataType.simpleString()}" for f in commit.schema]
-        if self.partition is None:
-            self._table(table, columns, commit.folders.get("", f"{self._folder()}/empty"))
-            return
-        name = quoted_name(self.partition.name)
-        empty = f"{self._folder()}/empty"
-        self._table(table, [*columns, f"{name} DATE"], empty, f"PARTITIONED BY ({name})")
-        parts = [
-            f"PARTITION ({name} = {_date(value)}) LOCATION {_text(folder)}"
-            for value, folder in sorted(commit.folders.items())
-        ]
-        for at in range(0, len(parts), PARTITIONS_AT_ONCE):
-            listed = " ".join(parts[at : at + PARTITIONS_AT_ONCE])
-            self.spark.sql(f"ALTER TABLE {_listed(table)} ADD IF NOT EXISTS {listed}")
-
-    def _table(self, table: str, columns: list[str], folder: str, more: str = "") -> None:
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {_listed(table)} ({', '.join(columns)}) USING parquet "
-            f"{more} LOCATION {_text(folder)}"
-        )
+    def _in_catalog(self) -> bool:
+        """Whether the catalog has the name; a temporary view of it does not count, and a table of
+        another folder is an error."""
+        if not self.spark.catalog.tableExists(self._qualified()):
+            return False
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {_listed(self._qualified())}")
+        (*_, place) = [""] + [r.data_type for r in described.where("col_name = 'Location'").collect()]
+        if _path(place) != _path(self._folder()):
+            raise ValueError(f"{self.name} is not a table of {self.root}, but of {place or 'a view'}")
+        return True
 
-    def _rows(self, table: str) -> DataFrame:
-        rows = self.spark.table(table)
-        return rows.drop(self.partition.name) if self.partition else rows
+    def _stored(self) -> T.StructType | None:
+        """The schema of the files under the root, if there are any."""
+        try:
+            return self.spark.read.parquet(self._folder()).schema
+        except AnalysisException as error:
+            if error.getCondition() in NOTHING_THERE:
+                return None
+            raise
+
+    def _schema(self) -> T.StructType:
+        """The mart's columns without the derived one."""
+        known = self.spark.table(self._qualified()).schema if self._in_catalog() else self._stored()
+        if known is None:
+            raise ValueError(f"mart {self.name} does not exist below {self.root}")
+        own = self.partition.name if self.partition else None
+        return T.StructType([T.StructField(f.name, f.dataType) for f in known if f.name != own])
+
+    def _register(self, schema: T.StructType) -> None:
+        """Give the folder its name in the catalog, if it has none there.
+
+        The catalog is not to list the partitions, or a second name would miss those that merges
+        through the first one add.
+        """
+        columns = [f"{quoted_name(f.name)} {f.dataType.simpleString()}" for f in schema]
+        by = ""
+        if self.partition is not None:
+            columns.append(f"{quoted_name(self.partition.name)} DATE")
+            by = f"PARTITIONED BY ({quoted_name(self.partition.name)})"
+        setting = "spark.sql.hive.manageFilesourcePartitions"
+        before = self.spark.conf.get(setting)
+        self.spark.conf.set(setting, "false")
+        try:
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {_listed(self._qualified())} ({', '.join(columns)}) "
+                f"USING parquet {by} LOCATION {_text(self._folder())}"
+            )
+        finally:
+            self.spark.conf.set(setting, before)
 
-    def _show(self, commit: Commit) -> None:
-        view, table = _listed(self._qualified()), _listed(self._version(commit))
-        self.spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM {table}")
+    def _refresh(self) -> None:
+        """Other frames of this session over the mart list its files anew."""
+        self.spark.catalog.refreshByPath(self._folder())
+        if self.spark.catalog.tableExists(self._qualified()):
+            self.spark.catalog.refreshTable(self._qualified())
 
     # -- files ----------------------------------------------------------------------------
 
     def _folder(self) -> str:
         return self.root.rstrip("/")
 
-    def _write(self, rows: DataFrame) -> dict[str, str]:
-        """Write rows to a new folder; the folders of its partitions."""
-        folder = f"{self._folder()}/part-{uuid4().hex}"
-        write_partitioned(rows, folder, self.partition)
-        if self.partition is None:
-            return {"": folder}
-        names = [name for name in names_in(self.spark, folder) if "=" in name]
-        values = [name.partition("=")[2] for name in names]
-        return {
-            "" if value == NO_VALUE else value: f"{folder}/{name}"
-            for value, name in zip(values, names, strict=True)
-        }
-
-    def _merged_partitions(
-        self, commit: Commit, source: DataFrame, key: str, partition: DatePartition
-    ) -> dict[str, str]:
-        dated = self.spark.table(self._version(commit))
-        dates = self._touched(dated, source, key, partition)
-        at = quoted(partition.name)
-        listed = F.coalesce(at.isin([date for date in dates if date is not None]), F.lit(False))
-        reached = dated.where(listed | at.isNull() if None in dates else listed)
-        written = self._write(merge_frame(reached.drop(partition.name), source, key))
-        touched = {"" if date is None else date.isoformat() for date in dates}
-        calm = {value: f for value, f in commit.folders.items() if value not in touched}
-        return calm | written
+    def _partition_folder(self, value: date | None) -> str:
+        return f"{self._folder()}/{self.partition.name}={value.isoformat() if value else NO_VALUE}"
+
+    def _dated(self, schema: T.StructType) -> DataFrame:
+        """The mart's rows as they lie, with the partition column."""
+        if self.partition is not None:
+            schema = T.StructType([*schema, T.StructField(self.partition.name, T.DateType())])
+        return self.spark.read.schema(schema).parquet(self._folder())
+
+    def _summary(self) -> KeySummary | None:
+        if self.key is None or self.partition is None:
+            return None
+        return KeySummary(self.spark, f"{self._folder()}/{KEYS}", self.key, self.partition.name)
+
+    def _held(
+        self, dated: DataFrame, source: DataFrame, key: str, partition: DatePartition
+    ) -> DataFrame:
+        """The distinct keys of the source in the mart, as ``__known``, with their partitions."""
+        summary = self._summary()
+        if summary is not None and key == self.key:
+            calm = summary.without(source.select(quoted(key).alias("key")))
+            dated = dated.where(~_among(quoted(partition.name), calm)) if calm else dated
+        keys = dated.select(quoted(key).alias("__known"), quoted(partition.name))
+        return matched_distinct(keys, source, key)
 
     def _touched(
         self, dated: DataFrame, source: DataFrame, key: str, partition: DatePartition
     ) -> list[date | None]:
         """Partitions that the batch writes to or has a key in. Each is a folder of the mart."""
-        held = dated.select(quoted(key).alias("__known"), quoted(partition.name).alias("at"))
-        found = matched_distinct(held, source, key).select("at")
+        found = self._held(dated, source, key, partition).select(quoted(partition.name).alias("at"))
         given = source.select(partition.column().alias("at"))
         dates = found.unionAll(given).distinct().limit(PARTITIONS_IN_A_BATCH + 1).collect()
         if len(dates) > PARTITIONS_IN_A_BATCH:
@@ -310,6 +298,16 @@ class MartTable:
         return [row[0] for row in dates]
 
 
+def _among(column: Column, values: list[date | None]) -> Column:
+    """Whether a column is one of the values, of which NULL is one like others; never NULL."""
+    listed = F.coalesce(column.isin([v for v in values if v is not None]), F.lit(False))
+    return listed | column.isNull() if None in values else listed
+
+
+def _path(place: str) -> str:
+    return urlparse(place).path.rstrip("/")
+
+
 def _listed(name: str) -> str:
     return ".".join(map(quoted_name, name.split(".")))
 
@@ -319,10 +317,6 @@ def _text(value: str) -> str:
     return f"'{escaped}'"
 
 
-def _date(value: str) -> str:
-    return f"DATE'{value}'" if value else "NULL"
-
-
 @dataclass(frozen=True)
 class RowLevelMart:
     """A table whose provider (say ``delta`` or ``iceberg``) runs MERGE itself.
@@ -345,10 +339,7 @@ class RowLevelMart:
         self.create(self.spark.createDataFrame([], schema))
         return True
 
-    def create(self, rows: DataFrame, check: Callable[[DataFrame], None] | None = None) -> None:
-        if check is not None:
-            rows = staged(rows, "mart-first")
-            check(rows)
+    def create(self, rows: DataFrame) -> None:
         writer = rows.writeTo(self.name).using(self.provider)
         if self.partitioning:
             first, *more = [quoted(p) if isinstance(p, str) else p for p in self.partitioning]

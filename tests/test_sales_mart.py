@@ -84,7 +84,7 @@ def read(spark):
 @pytest.fixture
 def mart(spark, tmp_path):
     yield MartTable(spark, "sales_mart_under_test", f"{tmp_path}/mart", PARTITION)
-    spark.sql("DROP VIEW IF EXISTS sales_mart_under_test")
+    spark.sql("DROP TABLE IF EXISTS sales_mart_under_test")
 
 
 def test_schemas(spark):

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.errors import UnsupportedOperationException
@@ -16,10 +18,12 @@ from martloom.operators.upsert import (
     require_no_conflicts,
 )
 from martloom.sinks.tables import (
-    ConcurrentMerge,
+    KEYS,
     DatePartition,
+    HalfWritten,
     MartTable,
     RowLevelMart,
+    _among,
     sql_view,
     write_partitioned,
 )
@@ -203,7 +207,7 @@ SCHEMA = T.StructType(
 @pytest.fixture
 def mart(spark, tmp_path):
     yield MartTable(spark, "mart_under_test", f"{tmp_path}/mart", DatePartition("at", "day"))
-    spark.sql("DROP VIEW IF EXISTS mart_under_test")
+    spark.sql("DROP TABLE IF EXISTS mart_under_test")
 
 
 def day(spark, *data):
@@ -219,16 +223,72 @@ def test_ensure_creates_once(spark, mart):
 
 
 def test_ensure_reports_a_table_that_did_not_appear(spark, tmp_path, monkeypatch):
-    mart = MartTable(spark, "mart_that_fails", f"{tmp_path}/mart")
-    monkeypatch.setattr(MartTable, "_show", lambda self, commit: None)
+    mart = MartTable(spark, "mart_that_fails", f"{tmp_path}/mart", DatePartition("at", "day"))
+    monkeypatch.setattr(MartTable, "_register", lambda self, schema: None)
     with pytest.raises(ValueError, match="mart_that_fails is missing"):
         mart.ensure(SCHEMA)
 
 
-def test_exists_takes_three_part_names(spark, mart):
+def test_exists_takes_three_part_names(spark, mart, tmp_path):
     mart.ensure(SCHEMA)
-    assert MartTable(spark, "spark_catalog.default.mart_under_test", "").exists()
-    assert not MartTable(spark, "spark_catalog.default.no_such_mart", "").exists()
+    assert MartTable(spark, "spark_catalog.default.mart_under_test", mart.root).exists()
+    assert not MartTable(spark, "spark_catalog.default.no_such_mart", f"{tmp_path}/none").exists()
+
+
+FOUR = [(n, f"v{n}", f"2024-01-0{n} 10:00:00") for n in (1, 2, 3, 4)]
+
+
+def loaded_by(spark, mart, *numbers):
+    """A load as ``load_mart`` does it."""
+    batch = day(spark, *[FOUR[n - 1] for n in numbers])
+    mart.merge(batch, "k") if mart.exists() else mart.create(batch)
+
+
+@pytest.mark.parametrize("partition", [DatePartition("at", "day"), None])
+def test_a_load_without_a_name_in_the_catalog_keeps_all_rows(spark, tmp_path, partition):
+    """The name is dropped, or the catalog is new, as every in-memory one is."""
+    mart = MartTable(spark, "mart_dropped", f"{tmp_path}/mart", partition)
+    loaded_by(spark, mart, 1, 2)
+    loaded_by(spark, mart, 3)
+    spark.sql("DROP TABLE mart_dropped")
+    assert mart.exists() and mart.read().count() == 3
+    loaded_by(spark, mart, 4)
+    expected = {(n, f"v{n}") for n in (1, 2, 3, 4)}
+    assert {(r.k, r.v) for r in mart.read().collect()} == expected
+    assert {(r.k, r.v) for r in spark.table("mart_dropped").collect()} == expected
+    spark.sql("DROP TABLE mart_dropped")
+    assert not mart.ensure(SCHEMA) and spark.table("mart_dropped").count() == 4
+    with pytest.raises(ValueError, match="holds a table already"):
+        mart.create(day(spark, FOUR[0]))
+    spark.sql("DROP TABLE mart_dropped")
+
+
+def test_a_second_name_of_the_same_folder_shows_the_same_rows(spark, mart):
+    loaded_by(spark, mart, 1, 2, 3)
+    other = MartTable(spark, "mart_by_another_name", mart.root, mart.partition)
+    loaded_by(spark, other, 4)
+    loaded_by(spark, mart, 2)
+    for name in (mart.name, other.name):
+        assert sorted(r.k for r in spark.table(name).collect()) == [1, 2, 3, 4]
+    spark.sql("DROP TABLE mart_by_another_name")
+
+
+def test_a_name_of_another_folder_is_refused(spark, mart, tmp_path):
+    loaded_by(spark, mart, 1)
+    with pytest.raises(ValueError, match="is not a table of"):
+        MartTable(spark, mart.name, f"{tmp_path}/elsewhere", mart.partition).exists()
+    spark.sql("CREATE VIEW mart_view AS SELECT 1 AS k")
+    with pytest.raises(ValueError, match="but of a view"):
+        MartTable(spark, "mart_view", f"{tmp_path}/elsewhere").exists()
+    spark.sql("DROP VIEW mart_view")
+
+
+def test_a_mart_of_a_new_session(spark, mart):
+    """Another session of the same application: its own settings and frames, the same catalog."""
+    loaded_by(spark, mart, 1, 2)
+    other = MartTable(spark.newSession(), mart.name, mart.root, mart.partition)
+    loaded_by(other.spark, other, 3)
+    assert mart.read().count() == 3 and spark.table(mart.name).count() == 3
 
 
 def test_row_moves_to_the_partition_of_its_new_date(spark, mart):
@@ -252,7 +312,7 @@ def test_only_touched_partitions_are_joined(spark, mart):
         spark,
         (5, "new", "2024-01-09 01:00:00"), (777, "new", "2025-05-05 00:00:00"), (33, "new", None),
     )
-    touched = mart._touched(spark.table(mart.name), batch, "k", mart.partition)
+    touched = mart._touched(mart._dated(SCHEMA), batch, "k", mart.partition)
     expected = ["2024-01-01", "2024-01-04", "2024-01-09", "2025-05-05", "None"]
     assert sorted(map(str, touched)) == expected
     expected = merge_frame(day(spark, *days, (500, "no date", None)), batch, "k")
@@ -262,54 +322,147 @@ def test_only_touched_partitions_are_joined(spark, mart):
     same_rows(mart.read(), expected)
 
 
-def test_a_merge_writes_only_the_partitions_it_touches(spark, mart, tmp_path):
+def files_of(mart):
+    files = sorted(path for path in Path(mart.root).rglob("*.parquet") if KEYS not in path.parts)
+    return {path: path.stat().st_mtime_ns for path in files}
+
+
+def test_a_merge_writes_only_the_partitions_it_touches(spark, mart):
     days = [(n, "old", f"2024-01-{1 + n:02d} 12:00:00") for n in range(20)]
     mart.create(day(spark, *days))
-    before = set((tmp_path / "mart").rglob("*.parquet"))
+    before = files_of(mart)
+    tables = spark.catalog.listTables()
     mart.merge(day(spark, (4, "new", "2024-01-05 13:00:00")), "k")
-    written = set((tmp_path / "mart").rglob("*.parquet")) - before
-    assert {path.parent.name for path in written} == {"day=2024-01-05"}
-    assert before <= set((tmp_path / "mart").rglob("*.parquet"))
+    after = files_of(mart)
+    calm = {path: at for path, at in before.items() if path.parent.name != "day=2024-01-05"}
+    assert len(calm) == 19 and {path: after[path] for path in calm} == calm
+    assert {path.parent.name for path in set(after) - set(calm)} == {"day=2024-01-05"}
     one = spark.table(mart.name).where("day = DATE'2024-01-05'")
     assert [row.v for row in one.collect()] == ["new"]
-    assert "InMemoryFileIndex(1 paths)" in plan_text(one)
-    old = spark.table(mart._version(mart._at(0)))
-    assert {row.v for row in old.collect()} == {"old"}
-    mart.vacuum()
-    assert mart.read().count() == 20
-    left = set((tmp_path / "mart").rglob("*.parquet"))
-    assert {path.parent.name for path in before - left} == {"day=2024-01-05"} and written <= left
-    assert len(list((tmp_path / "mart" / "_commits").glob("0*"))) == 1
+    assert "PartitionFilters: [isnotnull(day" in plan_text(one)
+    assert spark.catalog.listTables() == tables
 
 
-def interleaved(monkeypatch, first):
-    """Run ``first`` when another merge has read the mart but not yet committed."""
-    write, waiting = MartTable._write, [first]
+def test_a_merge_that_breaks_off_can_be_completed(spark, mart, monkeypatch):
+    mart.create(day(spark, *FOUR))
+    batch = day(spark, (1, "moved", "2024-02-02 10:00:00"), (2, "new", FOUR[1][2]))
+    expected = merge_frame(day(spark, *FOUR), batch, "k")
+    monkeypatch.setattr(MartTable, "_partition_folder", None)  # fails after the overwrite
+    with pytest.raises(HalfWritten, match="complete the merge with the rows in") as caught:
+        mart.merge(batch, "k")
+    monkeypatch.undo()
+    assert mart.read().count() == 5  # key 1 is still in its old partition as well
+    rows_left = spark.read.parquet(caught.value.folder)
+    for _ in range(2):
+        mart.replace(rows_left, caught.value.dates)
+        same_rows(mart.read(), expected)
 
-    def writing(self, rows):
-        if waiting:
-            waiting.pop()()
-        return write(self, rows)
 
-    monkeypatch.setattr(MartTable, "_write", writing)
+def test_an_empty_merge_into_an_unpartitioned_mart(spark, tmp_path):
+    mart = MartTable(spark, "flat_mart", f"{tmp_path}/flat")
+    mart.create(day(spark, *FOUR))
+    mart.merge(day(spark), "k")
+    assert mart.read().count() == 4
+    spark.sql("DROP TABLE flat_mart")
+
+
+# -- key summary ---------------------------------------------------------------------------
+
+
+@pytest.fixture
+def summarised(spark, tmp_path):
+    partition = DatePartition("at", "day")
+    yield MartTable(spark, "mart_with_keys", f"{tmp_path}/mart", partition, key="k")
+    spark.sql("DROP TABLE IF EXISTS mart_with_keys")
 
 
-def test_merges_at_the_same_time_both_survive(spark, mart, monkeypatch):
-    mart.create(day(spark, *[(n, "old", "2024-01-01 10:00:00") for n in range(9)]))
-    other = MartTable(spark, mart.name, mart.root, mart.partition)
-    meanwhile = day(spark, (5, "other", "2024-01-01 10:00:00"))
-    interleaved(monkeypatch, lambda: other.merge(meanwhile, "k"))
-    mart.merge(day(spark, (4, "mine", "2024-01-01 10:00:00")), "k")
-    found = {row.k: row.v for row in mart.read().collect()}
-    assert found == {n: "old" for n in range(9)} | {4: "mine", 5: "other"}
-    assert {row.k: row.v for row in spark.table(mart.name).collect()} == found
+def spread_days(spark, count=2000, days=40):
+    return spark.range(count).selectExpr(
+        "id * 7919 % 100003 AS k", "'old' AS v",
+        f"cast(timestamp_seconds(id % {days} * 86400) AS timestamp_ntz) AS at",
+    )
 
 
-def test_merges_that_are_always_late_give_up(spark, mart, monkeypatch):
-    mart.create(day(spark, (1, "old", "2024-01-01 10:00:00")))
-    monkeypatch.setattr(MartTable, "_commit", lambda self, commit: False)
-    with pytest.raises(ConcurrentMerge, match="changed during 5 merges"):
-        mart.merge(day(spark, (1, "new", "2024-01-01 10:00:00")), "k")
+def read_of_keys(mart, batch):
+    """Files of the mart whose key column a batch makes the merge read."""
+    held = mart._held(mart._dated(SCHEMA), batch, "k", mart.partition)
+    held.collect()
+    scans = [line for line in plan_text(held).split("FileScan") if "PartitionFilters" in line]
+    leaf = mart._dated(SCHEMA).where(
+        ~_among(F.col("day"), mart._summary().without(batch.select(F.col("k").alias("key"))))
+    )
+    assert any("day" in scan.split("PartitionFilters: [")[1].split("]")[0] for scan in scans)
+    return {row.at for row in leaf.select(F.input_file_name().alias("at")).distinct().collect()}
+
+
+def test_a_batch_reads_keys_of_the_partitions_that_may_hold_some(spark, summarised):
+    """Keys do not follow the date, so ranges alone rule nothing out."""
+    summarised.create(spread_days(spark))
+    keys = [(3 * 7919 % 100003, "new", "1970-01-04 00:00:00"), (43 * 7919 % 100003, "x", None)]
+    batch = day(spark, *keys)
+    assert len(read_of_keys(summarised, batch)) <= 3  # both are in the partition of day 3
+    assert len(read_of_keys(summarised, day(spark, (-5, "n", None), (10**9, "n", None)))) == 0
+    found = summarised.found(batch, "k")
+    assert [(str(r.day), r.n_keys) for r in found.collect()] == [("1970-01-04", 2)]
+    expected = merge_frame(spread_days(spark), batch, "k")
+    summarised.merge(batch, "k")
+    same_rows(summarised.read(), expected)
+
+
+def test_summaries_that_are_struck_out_or_missing_rule_nothing_out(spark, summarised):
+    plain = MartTable(spark, summarised.name, summarised.root, summarised.partition)
+    plain.create(spread_days(spark, 400, 10))
+    nowhere = day(spark, (-1, "n", None))
+    assert len(summarised._summary().without(nowhere.selectExpr("k AS key"))) == 0
+    summarised.merge(day(spark, (0, "new", "1970-01-01 00:00:00")), "k")  # summarises one partition
+    assert len(summarised._summary().without(nowhere.selectExpr("k AS key"))) == 1
+    summarised._summary().forget([date(1970, 1, 1)], T.LongType())
+    assert len(summarised._summary().without(nowhere.selectExpr("k AS key"))) == 0
+    again = day(spark, (0, "again", "1970-01-01 00:00:00"))
+    summarised.merge(again, "k")
+    assert summarised.read().count() == 400
+
+
+def test_a_batch_of_very_many_keys_reads_all(spark, summarised, monkeypatch):
+    summarised.create(spread_days(spark, 100, 5))
+    monkeypatch.setattr("martloom.sinks.key_summary.MOST_KEYS", 2)
+    batch = day(spark, *[(-n, "n", None) for n in range(1, 5)])
+    assert summarised._summary().without(batch.selectExpr("k AS key")) == []
+
+
+def test_keys_that_cannot_be_summarised(spark, tmp_path):
+    partition = DatePartition("at", "day")
+    mart = MartTable(spark, "mart_of_doubles", f"{tmp_path}/mart", partition, key="k")
+    with pytest.raises(ValueError, match="type double cannot be summarised"):
+        mart.create(day(spark, FOUR[0]).withColumn("k", F.lit(0.5)))
+    spark.sql("DROP TABLE mart_of_doubles")
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "decimal(20,2)", "date"])
+def test_no_key_is_ever_missed(spark, tmp_path, kind, monkeypatch):
+    """Random marts and batches: what is ruled out holds no key; filters are made to overflow."""
+    monkeypatch.setattr("martloom.sinks.key_summary.MOST_WORDS", 4)
+    rng = random.Random(kind)
+    of = {"date": "date_add(DATE'2000-01-01', int(k))"}.get(kind, f"cast(k AS {kind})")
+    partition = DatePartition("at", "day")
+    mart = MartTable(spark, f"mart_of_{kind[:4]}", f"{tmp_path}/mart", partition, key="k")
+    held = [
+        (rng.choice([None, rng.randrange(900)]), "x", rng.choice([None, f"2024-01-{n:02d} 01:00:00"]))
+        for n in range(1, 29) for _ in range(8)
+    ]
+    frame = day(spark, *held).withColumn("k", F.expr(of))
+    mart.create(frame)
+    for _ in range(3):
+        batch = day(spark, *[(rng.randrange(900), "new", None) for _ in range(6)])
+        batch = batch.withColumn("k", F.expr(of)).dropDuplicates(["k"])
+        calm = mart._summary().without(batch.selectExpr("k AS key"))
+        there = mart._dated(mart.read().schema).where(_among(F.col("day"), calm))
+        assert there.join(batch, "k", "left_semi").isEmpty()
+        before = mart.read().collect()
+        expected = merge_frame(spark.createDataFrame(before, frame.schema), batch, "k")
+        mart.merge(batch, "k")
+        same_rows(mart.read(), expected)
+    spark.sql(f"DROP TABLE {mart.name}")
 
 
 def test_a_temporary_view_is_not_the_mart(spark, mart):
@@ -342,10 +495,11 @@ def test_conflict_does_not_depend_on_a_size(spark, cell_rows):
 
 def test_last_row_of_a_partition_moves_away(spark, mart):
     mart.create(day(spark, (1, "a", "2024-01-01 10:00:00")))
-    for date in ("2024-02-02", "2024-01-01", None, "2024-03-03"):
-        text = date and f"{date} 00:00:00"
+    for moved_to in ("2024-02-02", "2024-01-01", None, "2024-03-03"):
+        text = moved_to and f"{moved_to} 00:00:00"
         mart.merge(day(spark, (1, "a", text)), "k")
-        assert [str(row.day) for row in spark.table(mart.name).collect()] == [str(date)]
+        found = [str(row.day) for row in spark.table(mart.name).collect()]
+        assert found == [str(moved_to)]
 
 
 def test_conflict_leaves_the_table_as_it_was(spark, mart):
@@ -369,7 +523,7 @@ def test_unpartitioned_mart(spark, tmp_path):
     rows_in = day(spark, (1, "a", "2024-01-01 10:00:00"))
     mart.merge(rows_in, "k")
     same_rows(mart.read(), rows_in)
-    spark.sql("DROP VIEW flat_mart")
+    spark.sql("DROP TABLE flat_mart")
 
 
 def test_row_level_mart(spark):
@@ -387,20 +541,6 @@ def test_row_level_mart(spark):
     spark.sql(f"DROP TABLE {mart.name}")
 
 
-def test_row_level_mart_is_checked_before_it_exists(spark):
-    mart = RowLevelMart(spark, "row_mart_checked", "parquet")
-
-    def refuse(rows):
-        raise RuntimeError(f"saw {rows.count()} rows")
-
-    with pytest.raises(RuntimeError, match="saw 3 rows"):
-        mart.create(spark.range(3).toDF("k"), refuse)
-    assert not mart.exists()
-    mart.create(spark.range(3).toDF("k"), lambda rows: None)
-    assert mart.read().count() == 3
-    spark.sql("DROP TABLE row_mart_checked")
-
-
 def test_sql_view_is_unique_and_dropped(spark, source):
     with sql_view(source) as one, sql_view(source) as two:
         assert one != two
