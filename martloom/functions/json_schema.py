@@ -141,7 +141,7 @@ class _Compiler:
         for keyword, offends in BOUNDS.items():
             if keyword in schema:
                 bound = float(_a_number(schema, keyword))
-                broken = _is(at, "number") & offends(at.read("double"), bound)
+                broken = _sure(schema, at, "number") & offends(at.read("double"), bound)
                 yield F.when(broken, at.fault(keyword))
 
     def _text(self, schema, at, within):
@@ -149,18 +149,19 @@ class _Compiler:
             if keyword in schema:
                 length, bound = F.char_length(at.read("string")), _a_number(schema, keyword)
                 broken = length < bound if low else length > bound
-                yield F.when(_is(at, "string") & broken, at.fault(keyword))
+                yield F.when(_sure(schema, at, "string") & broken, at.fault(keyword))
         if "pattern" in schema:
             fits = at.read("string").rlike(str(schema["pattern"]))
-            yield F.when(_is(at, "string") & ~fits, at.fault("pattern"))
+            yield F.when(_sure(schema, at, "string") & ~fits, at.fault("pattern"))
 
     def _required(self, schema, at, within):
         names = schema.get("required", [])
         if not isinstance(names, list) or not all(isinstance(name, str) for name in names):
             raise UnsupportedSchema("required must list property names")
-        for name in names:
-            member = at.member(_plain(name))
-            yield F.when(_is(at, "object") & member.value().isNull(), member.fault("missing"))
+        members = [at.member(_plain(name)) for name in names]
+        if members:
+            absent = [F.when(one.value().isNull(), one.fault("missing")) for one in members]
+            yield F.when(_sure(schema, at, "object"), F.coalesce(*absent))
 
     def _properties(self, schema, at, within):
         for name, inner in schema.get("properties", {}).items():
@@ -174,7 +175,7 @@ class _Compiler:
         if inner is False:
             keys = F.json_object_keys(F.to_json(at.value()))
             extra = F.size(F.array_except(keys, named)) > 0
-            yield F.when(_is(at, "object") & extra, at.fault("extra"))
+            yield F.when(_sure(schema, at, "object") & extra, at.fault("extra"))
             return
         members = F.map_entries(at.read("map<string, variant>"))
         others = F.filter(members, lambda one: ~F.array_contains(named, one["key"]))
@@ -183,7 +184,7 @@ class _Compiler:
             prefix = F.when(at.name == "$", F.lit("")).otherwise(F.concat(at.name, F.lit(".")))
             return self.fault(inner, Place(one["value"], F.concat(prefix, one["key"])), within)
 
-        yield F.when(_is(at, "object"), _first(F.transform(others, check)))
+        yield F.when(_sure(schema, at, "object"), _first(F.transform(others, check)))
 
     def _array(self, schema, at, within):
         elements = at.read("array<variant>")
@@ -191,14 +192,14 @@ class _Compiler:
             if keyword in schema:
                 bound = _a_number(schema, keyword)
                 broken = F.size(elements) < bound if low else F.size(elements) > bound
-                yield F.when(_is(at, "array") & broken, at.fault(keyword))
+                yield F.when(_sure(schema, at, "array") & broken, at.fault(keyword))
         if "items" in schema:
 
             def check(one: Column, number: Column) -> Column:
                 name = F.concat(at.name, F.lit("["), number.cast("string"), F.lit("]"))
                 return self.fault(schema["items"], Place(one, name), within)
 
-            yield F.when(_is(at, "array"), _first(F.transform(elements, check)))
+            yield F.when(_sure(schema, at, "array"), _first(F.transform(elements, check)))
 
     def _combined(self, schema, at, within):
         for inner in schema.get("allOf", []):
@@ -230,6 +231,16 @@ def _first(faults: Column) -> Column:
     return F.get(F.filter(faults, lambda fault: fault.isNotNull()), F.lit(0))
 
 
+def _sure(schema: Mapping, at: Place, kind: str) -> Column:
+    """Whether the value is of a type; not asked again where the schema's own ``type`` says so, as
+    that is checked before."""
+    said = schema.get("type")
+    said = said if isinstance(said, list) else [said]
+    if all(one == kind or (one, kind) == ("integer", "number") for one in said):
+        return F.lit(True)
+    return _is(at, kind)
+
+
 def _is(at: Place, kind: str) -> Column:
     """Whether the value is of a JSON type. A whole number in exponent form, or of over 38 digits,
     parses as DOUBLE and is an integer all the same."""

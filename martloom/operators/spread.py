@@ -97,8 +97,10 @@ def with_part(df: DataFrame, names: list[str], parts: Column, into: str = "__par
 def heavy_keys(rows: DataFrame, key: str, cell_rows: int = CELL_ROWS) -> DataFrame | None:
     """``(heavy_key, parts)`` of the keys, NULL included, with more than ``cell_rows`` rows.
 
-    Runs one job over the key column. None if no key is heavy.
+    Runs one job over the key column, if there are rows enough. None if no key is heavy.
     """
+    if rows.count() <= cell_rows:
+        return None
     counts = rows.groupBy(quoted(key).alias("heavy_key")).agg(F.count(F.lit(1)).alias("rows_0"))
     found = heaviest(counts, F.col("rows_0"), cell_rows)
     if found is None:

@@ -234,14 +234,14 @@ def mart_write_read(spark: SparkSession, folder: str) -> DataFrame:
 ORDER_STATUS = "order_id BIGINT, status STRING, amount DOUBLE, changed_at TIMESTAMP_NTZ"
 
 
-def _status_mart(spark: SparkSession) -> MartTable:
-    """A mart of this run only, by month, with its keys summarised."""
+def _status_mart(spark: SparkSession, key: str | None = None) -> MartTable:
+    """A mart of this run only, by month; ``key``: to be summarised."""
     return MartTable(
         spark,
         f"order_status_{uuid4().hex}",
         scratch_folder(spark, "order-status"),
         DatePartition("changed_at", "changed_in", "month"),
-        key="order_id",
+        key,
     )
 
 
@@ -258,7 +258,7 @@ def mart_load(spark: SparkSession, folder: str) -> DataFrame:
 
 def mart_keys_found(spark: SparkSession, folder: str) -> DataFrame:
     """Which partitions of the order lines' mart a batch of changes has keys in, and how many."""
-    mart = _status_mart(spark)
+    mart = _status_mart(spark, "order_id")
     mart.create(_order_status(spark, folder))
     spark.sql(f"DROP TABLE {mart.name}")
     return mart.found(_status_changes(spark, folder), "order_id")

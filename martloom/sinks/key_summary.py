@@ -94,11 +94,12 @@ class KeySummary:
                 return []
             raise
         heads = stored.where("word IS NULL AND words IS NOT NULL").select("at", "low", "high", "words")
-        known = {row.at for row in heads.select("at").collect()}
-        if keys.limit(MOST_KEYS + 1).count() > MOST_KEYS:
+        held = {row.at: row.words for row in heads.select("at", "words").collect()}
+        known = set(held)
+        if not known or keys.limit(MOST_KEYS + 1).count() > MOST_KEYS:
             return []
         # One look-up for each size that a filter has: these are powers of two.
-        sizes = [row[0] for row in heads.where("words > 0").select("words").distinct().collect()]
+        sizes = sorted(set(held.values()) - {0})
         if not sizes:
             return list(known)
         size = F.explode(F.array(*map(F.lit, sizes))).alias("words")

@@ -120,7 +120,7 @@ class MartTable:
 
     def create(self, rows: DataFrame) -> None:
         """Write the first files and show them as the table. Rows of one key may be several."""
-        if self.exists():
+        if self._stored() is not None or self._in_catalog():
             raise ValueError(f"mart {self.name}: {self.root} holds a table already")
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in rows.schema])
         write_partitioned(rows, self._folder(), self.partition, mode="append")
@@ -142,7 +142,8 @@ class MartTable:
         proves small it is broadcast, so that the mart's rows meet it where they are read.
         """
         schema = self._schema()
-        self._register(schema)
+        if not self._in_catalog():
+            self._register(schema)
         small = fits_broadcast(source)
         batch = conform(source, schema)
         batch = F.broadcast(batch) if small else batch
@@ -203,7 +204,7 @@ class MartTable:
         if not self.spark.catalog.tableExists(self._qualified()):
             return False
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {_listed(self._qualified())}")
-        (*_, place) = [""] + [r.data_type for r in described.where("col_name = 'Location'").collect()]
+        (*_, place) = ["", *(r.data_type for r in described.collect() if r.col_name == "Location")]
         if _path(place) != _path(self._folder()):
             raise ValueError(f"{self.name} is not a table of {self.root}, but of {place or 'a view'}")
         return True
@@ -218,10 +219,12 @@ class MartTable:
             raise
 
     def _schema(self) -> T.StructType:
-        """The mart's columns without the derived one."""
-        known = self.spark.table(self._qualified()).schema if self._in_catalog() else self._stored()
+        """The mart's columns without the derived one; of an empty mart, as the catalog has them."""
+        known = self._stored()
         if known is None:
-            raise ValueError(f"mart {self.name} does not exist below {self.root}")
+            if not self._in_catalog():
+                raise ValueError(f"mart {self.name} does not exist below {self.root}")
+            known = self.spark.table(self._qualified()).schema
         own = self.partition.name if self.partition else None
         return T.StructType([T.StructField(f.name, f.dataType) for f in known if f.name != own])
 
