@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from martloom.functions.sizes import fits_broadcast
 from martloom.llm import words
-from martloom.llm.common import salted_join, text_blocks
+from martloom.llm.common import numbered, salted_join, text_blocks
 from martloom.sinks.scratch import staged
 
 HASHES = 128
@@ -376,8 +376,24 @@ def _between_cells(wide: DataFrame, found: DataFrame, sets: DataFrame, block, pe
 
 
 def without_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each component; rows without a doc_id stay."""
-    gone = near_duplicates(docs, width, percent).where("NOT kept AND doc_id IS NOT NULL")
-    gone = staged(gone.select(F.col("doc_id").alias("__gone")).distinct(), "dup-gone")
+    """``docs`` with one row of each component, that of the smallest doc_id.
+
+    Rows are told apart by a number, not by their doc_id: of repeated rows one stays, also without
+    a doc_id, and rows that share one are judged each by its own text. Rows without words all stay.
+    """
+    rows = numbered(docs, "dup-rows")
+    texts = rows.select(F.col("row").alias("doc_id"), F.col("doc.text").alias("text"))
+    found = near_duplicates(texts, width, percent).select(
+        F.col("doc_id").alias("row"), F.col("component_id").alias("component"), "kept"
+    )
+    found = staged(found, "dup-found")
+    several = found.where("NOT kept AND component <> row").select("component").distinct()
+    members = salted_join(found.drop("kept"), several, ["component"], "left_semi")
+    named = members.join(rows.select("row", F.col("doc.doc_id").alias("name")), "row")
+    named = staged(named, "dup-named")
+    order = F.struct(F.col("name").isNull().alias("none"), "name", "row")
+    stay = named.groupBy("component").agg(F.min(order).getField("row").alias("row"))
+    gone = named.select("row").join(stay.select("row"), "row", "left_anti")
+    gone = staged(gone, "dup-gone")
     listed = F.broadcast(gone) if fits_broadcast(gone) else gone
-    return docs.join(listed, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return rows.join(listed, "row", "left_anti").select("doc.*")

@@ -82,7 +82,35 @@ def test_rows_without_an_id(spark):
         (None, 1, None, False),
         (None, 2, 7, False),
     ]
-    assert near_dups.without_duplicates(docs, 2).count() == 4
+    kept = near_dups.without_duplicates(docs, 2)
+    assert sorted(map(tuple, kept.collect()), key=str) == [
+        (7, "The same  words"), (None, "other words"), (None, None),
+    ]
+
+
+def one_of_each(rows, width, percent):
+    """Rows that stay, by plain Python: of a component the one with the smallest id."""
+    groups = {}
+    named = [(at, text) for at, (_, text) in enumerate(rows)]
+    for at, _, component, _ in brute(named, width, percent):
+        groups.setdefault(component, []).append(at)
+    least = lambda at: (rows[at][0] is None, rows[at][0] or 0)
+    return sorted((rows[min(group, key=least)] for group in groups.values()), key=str)
+
+
+def test_rows_are_told_apart_by_their_own_texts(spark, odd_documents):
+    a, near = " ".join(f"w{at}" for at in range(40)), " ".join(f"w{at}" for at in range(41))
+    rows = [(1, a), (2, near), (2, "quite another text without a copy"), (7, "x y z"), (7, "x y z")]
+    rows += [(None, a), (None, a), (None, "only here"), (3, None), (3, None), (4, ""), (9, "only here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = near_dups.without_duplicates(docs)
+    expected = one_of_each(rows, 5, 80)
+    assert sorted(map(tuple, found.collect()), key=str) == expected
+    assert (2, "quite another text without a copy") in expected and len(expected) == 7
+    rows = [(r.doc_id, r.text) for r in odd_documents.collect()]
+    found = near_dups.without_duplicates(odd_documents, 2).select("doc_id", "text")
+    texts = lambda kept: sorted(str(row[0]) for row in kept)
+    assert texts(found.collect()) == texts(one_of_each(rows, 2, 80))
 
 
 def test_one_of_each_group_stays(odd_documents, no_documents):
