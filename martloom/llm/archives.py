@@ -4,7 +4,9 @@ An archive begins with a skippable frame that holds the dictionary, then has one
 Records with a payload that an earlier one has are revisit records: the first is the one with the
 smallest page_id. Archives are the ``archive`` cells of a table, as Spark has no other sink for
 bytes that executors can write; ``read_archives`` takes such cells, or files that
-``spark.read.format("binaryFile")`` has read.
+``spark.read.format("binaryFile")`` has read, also those of others: HTTP messages with the digest of
+their body, digests of any common kind, headers in any case. It is linear in the archive's size, and
+every fault is a ``BadArchive``. Of a revisit that gives no payload length, that is NULL.
 
 The dictionary is trained on at most ``SAMPLE_PAGES`` whole payloads of at most ``SAMPLE_BYTES``
 each, those with the smallest hash of their page_id; it only affects sizes.
@@ -36,12 +38,15 @@ ARCHIVE_BYTES = 8 << 20
 SAMPLE_PAGES = 512
 SAMPLE_BYTES = 16 << 10
 DICTIONARY_BYTES = 32 << 10
+# Bytes of an archive that a frame is first offered, and at most at once.
+FIRST_STEP, LAST_STEP = 4 << 10, 256 << 10
 
 # Magic numbers of a dictionary's skippable frame and of a Zstandard frame, the
-# profile of revisit records, and the namespace of record ids.
+# profile of revisit records, and the digests that records may have.
 DICTIONARY_FRAME = 0x184D2A5D
 ZSTD_FRAME = 0xFD2FB528
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+DIGESTS = ("md5", "sha1", "sha224", "sha256", "sha384", "sha512")
 WRITTEN = datetime(2024, 1, 1, tzinfo=timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
 
@@ -82,28 +87,65 @@ def record(page: dict) -> bytes:
 
 
 def parsed(raw: bytes) -> tuple[dict[str, str], bytes]:
-    """Headers and block of one record; ``BadArchive`` if any of it is not as it says."""
+    """Headers, by lower-case name, and block of one record; ``BadArchive`` if any of it is not as
+    it says. Names are compared without case, the space after a colon may lack."""
     head, found, rest = raw.partition(b"\r\n\r\n")
-    first, *lines = head.decode().split("\r\n")
+    first, *lines = head.decode(errors="replace").split("\r\n")
     if not found or first not in ("WARC/1.0", "WARC/1.1"):
         raise BadArchive("no WARC record")
-    headers = dict(line.split(": ", 1) for line in lines)
+    headers = {}
+    for line in lines:
+        name, colon, value = line.partition(":")
+        if not colon or not name.strip():
+            raise BadArchive(f"a line that is no header: {line[:80]!r}")
+        headers[name.strip().lower()] = value.strip()
     for name in ("WARC-Type", "WARC-Record-ID", "WARC-Date", "Content-Length"):
-        if name not in headers:
+        if name.lower() not in headers:
             raise BadArchive(f"a record without {name}")
-    length = int(headers["Content-Length"])
+    length = number(headers, "Content-Length")
     block = rest[:length]
     if len(rest) != length + 4 or rest[length:] != b"\r\n\r\n":
         raise BadArchive("a record whose length is not its Content-Length")
-    said = headers.get("WARC-Block-Digest", "sha1:").removeprefix("sha1:")
-    if said and said != payload_digest(block):
+    if not has_digest(block, headers.get("warc-block-digest", "")):
         raise BadArchive("a block that does not have its digest")
-    if headers["WARC-Type"] == "response" and "WARC-Payload-Digest" in headers:
-        if headers["WARC-Payload-Digest"] != f"sha1:{payload_digest(block)}":
+    if headers["warc-type"] == "response":
+        if not has_digest(payload_of(headers, block), headers.get("warc-payload-digest", "")):
             raise BadArchive("a payload that does not have its digest")
     return headers, block
 
 
+def number(headers: dict[str, str], name: str) -> int | None:
+    """A header's whole number; None without the header."""
+    text = headers.get(name.lower())
+    if text is None:
+        return None
+    if not text.removeprefix("-").isascii() or not text.removeprefix("-").isdigit():
+        raise BadArchive(f"{name} is no number: {text[:80]!r}")
+    return int(text)
+
+
+def has_digest(data: bytes, said: str) -> bool:
+    """Whether data has the digest that a header says, as base 32 or hexadecimal; a digest that is
+    not given, or of a kind that is not known here, cannot be wrong."""
+    kind, _, value = said.partition(":")
+    if not value or kind.lower() not in DIGESTS:
+        return True
+    digest = hashlib.new(kind.lower(), data).digest()
+    value = value.lower().rstrip("=")
+    return value in (digest.hex(), base64.b32encode(digest).decode().lower().rstrip("="))
+
+
+def payload_of(headers: dict[str, str], block: bytes) -> bytes:
+    """The block, or of an HTTP message its body."""
+    kind = headers.get("content-type", "").partition(";")[0].strip().lower()
+    if kind != "application/http":
+        return block
+    _, found, body = block.partition(b"\r\n\r\n")
+    if not found:
+        raise BadArchive("an HTTP message without an end of its head")
+    return body
+
+
 def dictionary_frame(dictionary: bytes) -> bytes:
     return struct.pack("<II", DICTIONARY_FRAME, len(dictionary)) + dictionary
 
@@ -117,25 +159,38 @@ def split_archive(archive: bytes) -> tuple[zstandard.ZstdDecompressor, memoryvie
     if len(view) < 8 + length:
         raise BadArchive("a dictionary frame that is cut off")
     held = bytes(view[8 : 8 + length])
-    if held[:4] == struct.pack("<I", ZSTD_FRAME):
-        held = zstandard.ZstdDecompressor().decompress(held)
-    if not held:
-        return zstandard.ZstdDecompressor(), view[8:]
-    return zstandard.ZstdDecompressor(zstandard.ZstdCompressionDict(held)), view[8 + length :]
+    try:
+        if held[:4] == struct.pack("<I", ZSTD_FRAME):
+            held = zstandard.ZstdDecompressor().decompress(held)
+        if not held:
+            return zstandard.ZstdDecompressor(), view[8:]
+        reader = zstandard.ZstdDecompressor(zstandard.ZstdCompressionDict(held))
+    except zstandard.ZstdError as error:
+        raise BadArchive(f"a dictionary that cannot be read: {error}") from error
+    return reader, view[8 + length :]
 
 
 def records(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Each record of an archive, one frame at a time."""
     reader, rest = split_archive(archive)
-    while len(rest):
-        if struct.unpack_from("<I", rest)[0] != ZSTD_FRAME:
+    at = 0
+    while at < len(rest):
+        if len(rest) < at + 4 or struct.unpack_from("<I", rest, at)[0] != ZSTD_FRAME:
             raise BadArchive("something that is no Zstandard frame")
         frame = reader.decompressobj()
-        raw = frame.decompress(rest)
-        if not frame.eof:
-            raise BadArchive("a frame that is cut off")
-        yield parsed(raw)
-        rest = rest[len(rest) - len(frame.unused_data) :]
+        parts, step = [], FIRST_STEP
+        while not frame.eof:  # in growing steps, as what a step reads too much is copied
+            if at >= len(rest):
+                raise BadArchive("a frame that is cut off")
+            taken = rest[at : at + step]
+            try:
+                parts.append(frame.decompress(taken))
+            except zstandard.ZstdError as error:
+                raise BadArchive(f"a frame that cannot be read: {error}") from error
+            at += len(taken)
+            step = min(2 * step, LAST_STEP)
+        at -= len(frame.unused_data)
+        yield parsed(b"".join(parts))
 
 
 def trained(pages: DataFrame) -> bytes:
@@ -255,19 +310,17 @@ def read_archives(files: DataFrame, column: str = "archive") -> DataFrame:
 
 
 def _row(headers: dict[str, str], block: bytes) -> dict:
-    number = lambda name: int(headers[name]) if name in headers else None
-    response = headers["WARC-Type"] != "revisit"
-    said = number("X-Payload-Length")
+    revisit = headers["warc-type"] == "revisit"
+    payload = None if revisit else payload_of(headers, block)
+    said = headers.get("warc-payload-digest", "")
     return {
-        "page_id": number("X-Page-ID"),
-        "url": headers.get("WARC-Target-URI"),
-        "payload_bytes": len(block) if response or said is None else said,
-        "payload_digest": payload_digest(block)
-        if response
-        else headers.get("WARC-Payload-Digest", "").removeprefix("sha1:"),
-        "record_type": headers["WARC-Type"],
-        "refers_to": number("X-Refers-To-Page-ID"),
-        "payload": block if response else None,
+        "page_id": number(headers, "X-Page-ID"),
+        "url": headers.get("warc-target-uri"),
+        "payload_bytes": number(headers, "X-Payload-Length") if revisit else len(payload),
+        "payload_digest": said.removeprefix("sha1:") if revisit else payload_digest(payload),
+        "record_type": headers["warc-type"],
+        "refers_to": number(headers, "X-Refers-To-Page-ID"),
+        "payload": payload,
     }
 
 
