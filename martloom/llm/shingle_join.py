@@ -65,7 +65,7 @@ PAIRED, TRIPLED = 6, 12
 # Tokens of the smallest prefix of a level that fall into one group, about.
 PAIR_GROUP, TRIPLE_GROUP = 4, 3
 
-CELL = 4096
+CELL = 1024
 CELL_BYTES = 1 << 25
 SKETCH = 4  # bits a token, at least
 ROUNDS = 4
@@ -502,11 +502,11 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int,
 
 
 def settled(
-    cells: DataFrame, marks: DataFrame, links: DataFrame, verify, percent: int
+    cells: DataFrame, marks: DataFrame, links: DataFrame, found: DataFrame, verify, percent: int
 ) -> tuple[DataFrame, DataFrame]:
     """All links so far and the components they give, when every pair that a cell allows is connected
-    or refused. ``cells``: key, block, other, node; ``marks``: node, n, spare, sketch."""
-    found = components(links)
+    or refused. ``cells``: key, block, other, node; ``marks``: node, n, spare, sketch; ``links`` and
+    ``found``: those so far, and their components."""
     refused = None
     for turn in range(ROUNDS + 1):
         rooted = cells.join(marks, "node").join(found, "node", "left")
@@ -635,11 +635,13 @@ def joined(docs: DataFrame, width: int = 5, percent: int = 80, cell: int = CELL)
 
     sketches = marks.select("node", "n", "spare", "sketch")
     links = spark.createDataFrame([], "a long, b long")
-    links, found = settled(staged(cells, "join-cells"), sketches, links, verify, percent)
+    found = spark.createDataFrame([], "node long, component long")
+    cells = staged(cells, "join-cells")
+    links, found = settled(cells, sketches, links, found, verify, percent)
     wide = members.where("blocks > 1")
     if not wide.isEmpty():
         crossed = staged(cross_cells(wide, found, cell), "join-cells")
-        links, found = settled(crossed, sketches, links, verify, percent)
+        links, found = settled(crossed, sketches, links, found, verify, percent)
     rooted = classes.join(found, "node", "left").select(
         *same, "doc_id", F.coalesce("component", "node").alias("root")
     )
