@@ -2,29 +2,33 @@
 
 A rotation is learned so that the signs of the rotated, centred vectors lose least (alternating
 between signs and the orthogonal Procrustes solution); the signs are a vector's code. Codes are
-cut into substrings of ``SUBSTRING`` bits, and each substring has an index from its value to the
-vectors that have it. If two codes differ in at most r = m * a + b bits, then in one of the first
-b + 1 of m substrings they differ in at most a, or in one of the others in at most a - 1. So probing
-these values finds every code within r, whose vectors are then ranked by their inner product.
+cut into substrings, and each substring has an index from its value to the vectors that have it. If
+two codes differ in at most r = m * a + b bits, then in one of the first b + 1 of m substrings they
+differ in at most a, or in one of the others in at most a - 1. So looking up these values, a query's
+own with some bits turned over, finds every code within r. Only codes so found are compared; those
+within r are ranked by their inner product. If fewer than k are within r, r grows until they are.
 
 The vectors are dealt into shards, every one with an index of its own, and the queries into tiles;
-a task holds one of each (``exact_search.cells``), and lists are merged as a tree. No bucket is
-ever capped: a value that many vectors share only makes a longer list within a shard.
+a task holds one of each (``exact_search.cells``) and builds the index once for all queries of the
+tile, and lists are merged as a tree. No bucket is ever capped: a value that many vectors share only
+makes a longer list within a shard.
 
-The rotation and r are fitted on at most ``SAMPLE`` vectors (those with the smallest hash of their
-id); r is the least radius that holds ``RECALL`` of the sample's own nearest neighbours. In
-a larger corpus neighbours are nearer, so there the radius holds more of them.
+Rotation, code length, length of substrings and r are fitted on at most ``SAMPLE`` vectors (those with
+the smallest hash of their id). For each of ``SHAPES``, r is the least radius that holds ``RECALL`` of
+the sample's own nearest neighbours, and the shape is taken whose look-ups find the least of the
+sample. In a larger corpus neighbours are nearer, so there the radius holds more of them. How much the
+index spares depends on the vectors: little where neighbours are hardly nearer than others.
 
 Edge cases: vectors that are NULL, all zero or hold NULL or non-finite components, and rows with a
 NULL id, take no part. An id that occurs in several rows counts once, with its smallest vector.
-Vectors are only compared with those of their own length; a length without sample is searched
-whole. Equal scores go to the smaller id. A query gets all others if these are fewer than k; if
-fewer than k codes lie within r, those vectors of the shard that are nearest by code fill up.
+Vectors are only compared with those of their own length; a length without sample has one code for
+all. Equal scores go to the smaller id. A query gets all others if these are fewer than k.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,42 +42,50 @@ from martloom.sinks.scratch import staged
 SAMPLE = 4000
 SAMPLE_QUERIES = 400
 RECALL = 0.93
-SUBSTRING = 8
-ROTATIONS = 2
+# Rotations side by side, at least, and bits of a substring (8 or 16).
+SHAPES = ((1, 8), (1, 16), (2, 8), (2, 16))
 ROUNDS = 25
-TILE_ROWS = 4096
+TILE_ROWS = 65536
 SHARD_ROWS = 16384
 
 
 @dataclass(frozen=True)
 class Codes:
-    """How vectors of one length are coded, and the radius to search."""
+    """How vectors of one length are coded and cut, and the radius to search."""
 
     center: np.ndarray
     rotation: np.ndarray
     radius: int
+    width: int = 8
 
     def of(self, vectors: np.ndarray) -> np.ndarray:
-        """A row of ``SUBSTRING``-bit values per vector, as bytes."""
+        """A code per vector, as bytes."""
         return np.packbits((vectors - self.center) @ self.rotation > 0, axis=1)
 
+    def index(self, codes: np.ndarray) -> MultiIndex:
+        return MultiIndex(codes, self.radius, self.width)
+
     @staticmethod
     def learned(sample: np.ndarray, k: int, recall: float = RECALL) -> Codes:
+        found = [Codes._of_shape(sample, k, recall, *shape) for shape in SHAPES]
+        return min(found, key=lambda codes: codes._share_found(sample))
+
+    @staticmethod
+    def _of_shape(sample: np.ndarray, k: int, recall: float, rotations: int, width: int) -> Codes:
         random = np.random.default_rng(0)
-        width = sample.shape[1]
+        size = sample.shape[1]
         center = sample.mean(0)
         rows = sample - center
-        # Rotations side by side, as many as give at least ROTATIONS * width bits in whole bytes.
-        count = max(ROTATIONS, -(-SUBSTRING * ROTATIONS // width))
-        bits = -(-count * width // SUBSTRING) * SUBSTRING
-        drawn = [random.normal(size=(width, width)) for _ in range(-(-bits // width))]
+        # As many bits as give whole substrings.
+        bits = -(-max(rotations * size, 16) // width) * width
+        drawn = [random.normal(size=(size, size)) for _ in range(-(-bits // size))]
         rotation = np.hstack([np.linalg.qr(one)[0] for one in drawn])[:, :bits]
         for _ in range(ROUNDS):
             signs = np.where(rows @ rotation > 0, 1.0, -1.0)
             left, _, right = np.linalg.svd(rows.T @ signs, full_matrices=False)
             rotation = left @ right
-        codes = Codes(center, rotation, bits)
-        return Codes(center, rotation, codes._fitting(sample, k, recall))
+        codes = Codes(center, rotation, bits, width)
+        return Codes(center, rotation, codes._fitting(sample, k, recall), width)
 
     def _fitting(self, sample: np.ndarray, k: int, recall: float) -> int:
         """The least radius that holds ``recall`` of the k nearest of some of the sample."""
@@ -90,53 +102,75 @@ class Codes:
         ]
         return int(np.quantile(np.concatenate(apart), recall, method="higher"))
 
+    def _share_found(self, sample: np.ndarray) -> float:
+        """Which part of the sample the look-ups of some of it find."""
+        codes = self.of(sample)
+        index = self.index(codes)
+        some = codes[: SAMPLE_QUERIES // 4]
+        return sum(len(index.looked_up(code, self.radius)) for code in some) / len(some)
 
-class MultiIndex:
-    """The codes of a shard, with an index per substring.
 
-    An index has a bitmap per value that says which codes are found by probing around it, that is,
-    which have a value within the substring's reach. A search unites one bitmap per substring.
-    """
+@lru_cache(64)
+def flips(width: int, reach: int) -> np.ndarray:
+    """All values of a substring with at most ``reach`` bits set: what to turn over."""
+    values = np.arange(1 << width, dtype=np.uint32)
+    return values[np.bitwise_count(values) <= reach]
+
 
-    def __init__(self, codes: np.ndarray, radius: int):
-        self.radius, self.length = radius, len(codes)
-        self.columns = np.ascontiguousarray(_padded(codes)).view(np.uint64).T.copy()
-        values = np.arange(256, dtype=np.uint8)
-        apart = np.bitwise_count(values[:, None] ^ values[None, :])
-        whole, rest = divmod(radius, codes.shape[1])
-        self.probed = {}
-        for at in range(codes.shape[1]):
-            reach = whole if at <= rest else whole - 1
-            if reach >= 0:
-                having = np.packbits(codes[None, :, at] == values[:, None], axis=1)
-                self.probed[at] = np.stack(
-                    [np.bitwise_or.reduce(having[apart[value] <= reach]) for value in values]
-                )
-
-    def within(self, code: np.ndarray) -> np.ndarray:
-        """Places of all codes within the radius."""
-        maps = [probed[code[at]] for at, probed in self.probed.items()]
-        seen = np.unpackbits(np.bitwise_or.reduce(maps), count=self.length).astype(bool)
-        return np.flatnonzero(seen & (self.apart(code) <= self.radius))
-
-    def apart(self, code: np.ndarray) -> np.ndarray:
-        own = _padded(code[None, :]).view(np.uint64)[0]
-        counts = np.zeros(self.length, np.uint16)
-        for column, word in zip(self.columns, own, strict=True):
-            counts += np.bitwise_count(column ^ word)
-        return counts
+class MultiIndex:
+    """The codes of a shard, with an index per substring: places by value, end to end."""
+
+    def __init__(self, codes: np.ndarray, radius: int, width: int = 8):
+        self.codes, self.radius, self.width = codes, radius, width
+        self.parts = self._cut(codes)
+        self.substrings = self.parts.shape[1]
+        self.indexes = []
+        for values in self.parts.T:
+            starts = np.zeros((1 << width) + 1, np.int64)
+            np.cumsum(np.bincount(values, minlength=1 << width), out=starts[1:])
+            self.indexes.append((starts, np.argsort(values, kind="stable")))
+        self.compared = 0
+
+    def _cut(self, codes: np.ndarray) -> np.ndarray:
+        if self.width == 8:
+            return codes
+        return codes[:, ::2].astype(np.uint16) << np.uint16(8) | codes[:, 1::2]
+
+    def looked_up(self, code: np.ndarray, radius: int) -> np.ndarray:
+        """Places found by looking up the values around a code's own, for codes within ``radius``."""
+        seen = np.zeros(len(self.codes), bool)
+        whole, rest = divmod(radius, self.substrings)
+        for at, own in enumerate(self._cut(code[None, :])[0]):
+            reach = min(whole if at <= rest else whole - 1, self.width)
+            if reach < 0:
+                continue
+            starts, places = self.indexes[at]
+            values = flips(self.width, reach) ^ np.uint32(own)
+            begin, end = starts[values], starts[values + 1]
+            held = end > begin
+            begin, count = begin[held], (end - begin)[held]
+            if len(count):
+                stops = np.cumsum(count)
+                lists = np.arange(stops[-1]) + np.repeat(begin - (stops - count), count)
+                seen[places[lists]] = True
+        return np.flatnonzero(seen)
+
+    def within(self, code: np.ndarray, radius: int | None = None) -> np.ndarray:
+        """Places of all codes within the radius; only those looked up are compared."""
+        radius = self.radius if radius is None else radius
+        places = self.looked_up(code, radius)
+        self.compared += len(places)
+        apart = np.bitwise_count(self.codes[places] ^ code).sum(1, dtype=np.int64)
+        return places[apart <= radius]
 
     def nearest(self, code: np.ndarray, least: int) -> np.ndarray:
-        """All codes within the radius; if these are fewer than ``least``, the nearest ``least``."""
+        """All codes within the radius; if these are fewer than ``least``, within a larger one."""
+        radius, bits = self.radius, 8 * self.codes.shape[1]
         found = self.within(code)
-        if len(found) >= min(least, self.length):
-            return found
-        return np.argsort(self.apart(code), kind="stable")[:least]
-
-
-def _padded(codes: np.ndarray) -> np.ndarray:
-    """Codes with zero bytes behind, to whole 64-bit words."""
-    return np.pad(codes, ((0, 0), (0, -codes.shape[1] % 8)))
+        while len(found) < min(least, len(self.codes)) and radius < bits:
+            radius = min(bits, radius + max(1, bits // 16))
+            found = self.within(code, radius)
+        return found
 
 
 def learned(points: DataFrame, k: int, sample: int = SAMPLE) -> dict[int, Codes]:
@@ -184,8 +218,8 @@ def search(vectors: DataFrame, is_query: Column, k: int, tile_rows: int = TILE_R
             others, shard = unpacked(candidates, np.float64)
             width = tile.shape[1]
             # Without a sample of this length: one code for all, so that nothing is left out.
-            codes = models.get(width) or Codes(np.zeros(width), np.zeros((width, 64)), 64)
-            index = MultiIndex(codes.of(shard), codes.radius)
+            codes = models.get(width) or Codes(np.zeros(width), np.zeros((width, 16)), 16)
+            index = codes.index(codes.of(shard))
             results = found_in(index, codes.of(tile), ids, tile, others, shard, k)
         counts = [len(found) for _, found, _ in results]
         owners = np.repeat([own for own, _, _ in results], counts)

@@ -118,12 +118,46 @@ def test_code_search_recall(spark, shard_rows):
     assert right / (k * len(found)) >= 0.9
 
 
+@pytest.mark.parametrize("width", [8, 16])
 @pytest.mark.parametrize("radius", [0, 3, 13, 31, 64])
-def test_index_finds_every_code_within_the_radius(radius):
+def test_index_finds_every_code_within_the_radius(radius, width):
     random = np.random.default_rng(3)
     codes = random.integers(0, 256, (500, 8), np.uint8)
     codes[100:200] = codes[0] ^ (random.random((100, 8)) < 0.2).astype(np.uint8)
-    index = code_search.MultiIndex(codes, radius)
+    index = code_search.MultiIndex(codes, radius, width)
     for code in codes[:20]:
         apart = np.bitwise_count(codes ^ code).sum(1)
         assert index.within(code).tolist() == np.flatnonzero(apart <= radius).tolist()
+        least = np.sort(apart)[29]
+        assert np.isin(np.flatnonzero(apart < least), index.nearest(code, 30)).all()
+
+
+def clustered(count=3000, clusters=60, seed=2):
+    random = np.random.default_rng(seed)
+    centers = random.normal(size=(clusters, 64))
+    points = centers[random.integers(0, clusters, count)] + 0.25 * random.normal(size=(count, 64))
+    return points / np.linalg.norm(points, axis=1, keepdims=True)
+
+
+def test_only_codes_that_were_looked_up_are_compared(monkeypatch):
+    points = clustered()
+    codes = code_search.Codes.learned(points, 20)
+    index = codes.index(codes.of(points))
+    hits = [index.nearest(code, 20) for code in index.codes[:200]]
+    assert index.compared < 0.5 * 200 * len(points)
+    everything = code_search.MultiIndex(index.codes, 8 * index.codes.shape[1])
+    assert len(everything.nearest(index.codes[0], 20)) == len(points)
+    # Without look-ups nothing is found: no other path leads to a result.
+    monkeypatch.setattr(code_search.MultiIndex, "looked_up", lambda *_: np.zeros(0, np.int64))
+    assert not len(index.nearest(index.codes[0], 20)) and len(hits[0]) >= 20
+
+
+def test_recall_on_clusters(spark):
+    points = clustered()
+    rows = [(at, point.tolist()) for at, point in enumerate(points)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = code_search.search(vectors, F.col("id") % 20 == 0, 20, shard_rows=1000).collect()
+    scores = points @ points.T
+    np.fill_diagonal(scores, -9)
+    right = sum(row.vec_id in np.argsort(-scores[row.query_id])[:20] for row in found)
+    assert len(found) == 150 * 20 and right >= 0.9 * len(found)
