@@ -56,8 +56,8 @@ from martloom.llm.common import salted_join, text_blocks
 from martloom.llm.near_dups import components, group_bounds, whole_groups
 from martloom.sinks.scratch import staged
 
-BLOCK_SHINGLES = 1 << 21
-PART_SHINGLES = 1 << 22
+BLOCK_SHINGLES = 1 << 20
+PART_SHINGLES = 1 << 21
 TOKEN_BITS = 48
 
 # Tokens in fewer than 2**6 classes are keys, those in fewer than 2**12 in pairs, others in triples.
@@ -312,8 +312,9 @@ def keyed(blocks, width: int, percent: int) -> DataFrame:
         ranked = known.filter(pc.is_valid(known.column("ranks"))).sort_by("part")
         names, sets = block_sets(texts, nodes, width)
         ranks = b"".join(x.as_py() for x in ranked.column("ranks"))
-        _, place = np.unique(short_tokens(sets), return_inverse=True)
-        ranks = np.frombuffer(ranks, np.uint8)[place]
+        short = short_tokens(sets)
+        ranks = np.frombuffer(ranks, np.uint8)[np.searchsorted(np.unique(short), short)]
+        del short
         rows: list[tuple] = []
         end = 0
         for name, tokens in zip(names, sets, strict=True):
