@@ -90,6 +90,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "expectation_report": retail.expectation_report,
         "merge_upsert": retail.merge_upsert,
         "merge_action_counts": retail.merge_action_counts,
+        "merge_bucketed": retail.merge_bucketed,
         "merge_changes": retail.merge_changes,
         "merge_conflicts": retail.merge_conflicts,
         "mart_write_read": retail.mart_write_read,
@@ -189,6 +190,7 @@ def oracle_sql() -> dict[str, str]:
                         WHEN t.order_id IS NULL THEN 'inserted' ELSE 'updated' END AS action,
                    count(*) AS n
             FROM {MERGE} GROUP BY 1""",
+        "merge_bucketed": MERGED,
         "merge_changes": f"""
             SELECT CASE WHEN t.order_id IS NULL THEN 'inserted' ELSE 'updated' END AS action,
                    t.order_id AS before_order_id, t.status AS before_status,

@@ -29,8 +29,9 @@ from martloom.operators.star import Dimension, star_join
 from martloom.operators.upsert import action_counts, change_rows, conflicts, merge_frame
 from martloom.plans.loading import load_mart
 from martloom.sinks.acknowledged import FolderTopic, deliver_acknowledged
+from martloom.sinks.bucketed import BucketedMart
 from martloom.sinks.messages import deliver, message_frame, publish, to_folder
-from martloom.sinks.scratch import scratch_folder
+from martloom.sinks.scratch import scratch_folder, staged
 from martloom.sinks.tables import DatePartition, MartTable, sql_view, write_partitioned
 from martloom.sources.tables import TableSource, folder_reader, load_sources
 
@@ -70,6 +71,7 @@ LABELLED_WITH_QUALITY = Contract(
     {"id": "integer", "quality": "integer"}, required=("id", "quality")
 )
 EVENT = Contract({"id": "integer", "msg": "string"}, required=("id", "msg"))
+ORDER_BUCKETS = 8
 # Bytes; some events of the test tables are longer as messages.
 LARGEST_MESSAGE = 26
 CLOSED_EVENT = Contract({"id": ("integer", "null"), "msg": None}, required=("id",), closed=True)
@@ -209,6 +211,16 @@ def merge_upsert(spark: SparkSession, folder: str) -> DataFrame:
     return merge_frame(_order_status(spark, folder), _status_changes(spark, folder), "order_id")
 
 
+def merge_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same upsert into a mart that is bucketed by order."""
+    mart = BucketedMart(spark, f"order_buckets_{uuid4().hex}", "order_id", ORDER_BUCKETS)
+    mart.create(_order_status(spark, folder))
+    mart.merge(_status_changes(spark, folder))
+    loaded = staged(mart.read(), "order-buckets")
+    spark.sql(f"DROP TABLE {mart.name}")  # its name and files are of this run only
+    return loaded
+
+
 def merge_action_counts(spark: SparkSession, folder: str) -> DataFrame:
     return action_counts(_order_status(spark, folder), _status_changes(spark, folder), "order_id")
 
