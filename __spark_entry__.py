@@ -79,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "core_star_left": retail.core_star_left,
         "left_join_unmatched": retail.left_join_unmatched,
         "wide_mart_left": retail.wide_mart_left,
+        "wide_mart_reduced": retail.wide_mart_reduced,
         "wide_mart_star": retail.wide_mart_star,
         "inner_join_five_way": retail.inner_join_five_way,
         "fanout_report": retail.fanout_report,
@@ -130,6 +131,9 @@ def oracle_sql() -> dict[str, str]:
         "wide_mart_left": f"""
             SELECT o_orderkey AS order_id, o_custkey AS cust_id, event_id, event_type, turn, role
             FROM {WIDE}""",
+        "wide_mart_reduced": f"""
+            SELECT o_orderkey AS order_id, o_custkey AS cust_id, event_id, event_type, turn, role
+            FROM {WIDE}""",
         "wide_mart_star": """
             SELECT o_orderkey AS order_id, o_custkey AS cust_id, c_name AS customer_name,
                    c_nationkey AS nation_id, n_name AS nation_name, event_id, event_type, turn, role

@@ -8,6 +8,8 @@ far larger than its inputs. Two things follow.
   so a hot key leaves every task as one row) and only those counts are joined.
 * **Rows that match nothing need no shuffle.** Keys with many rows in one table that another lacks
   are found by the same counts, and their rows are dropped where they are read.
+  Where most of a large side's rows are of many such keys with few rows each, a Bloom filter of the
+  joined keys, built from the counts, stops them where the side is read.
 * **Building it needs an even spread.** All sides join on the same key, so one shuffle per input
   serves the whole chain. That chain is one stage, which adaptive skew splitting leaves alone, so
   heavy keys are cut here: each table's rows of such a key are dealt into parts, and every
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.functions.key_filter import KeyFilter
 from martloom.functions.names import quoted, require_columns, require_disjoint
 from martloom.functions.sizes import FIELD_BYTES, fits_broadcast, measured_bytes
 from martloom.operators.spread import (
@@ -54,6 +57,12 @@ SPREAD_WAVES = 64
 SPLIT_ROWS = 1_000_000
 
 
+# A table of so many rows is filtered by the joined keys if this share of them is idle: the filter
+# then keeps more out of the shuffle than it costs to build.
+FILTER_ROWS = 10_000_000
+FILTER_SHARE = 0.5
+
+
 class FanoutTooLarge(RuntimeError):
     """The joined frame would hold more rows than the caller allows."""
 
@@ -178,6 +187,32 @@ class FanoutJoin:
         counts = join.counts.where(~idle)
         return FanoutJoin(core, self.key, tuple(sides), self.how, counts, join.counted_nulls)
 
+    def reduced(self, rows: int = FILTER_ROWS, share: float = FILTER_SHARE) -> FanoutJoin:
+        """The same join without most rows of keys that the joined frame lacks, dropped where they
+        are read: from tables of at least ``rows`` rows of which at least ``share`` are idle.
+
+        The filter is made from the counts per key, so no table is read for it. It is broadcast, or
+        left out if it proves too large for that.
+        """
+        join = self.counted()
+        tables = (join.core, *join.sides)
+        joining = join._joining()
+        held = [F.coalesce(F.col(f"rows_{at}"), F.lit(0)) for at in range(len(tables))]
+        totals = [F.sum(n) for n in held] + [F.sum(F.when(~joining, n)) for n in held]
+        found = [n or 0 for n in join.counts.agg(*totals).first()]
+        wide = [at for at, n in enumerate(found[: len(tables)]) if n >= rows]
+        worth = [at for at in wide if found[len(tables) + at] >= share * found[at]]
+        if self.how == "left":  # every core row is in the joined frame
+            worth = [at for at in worth if at > 0]
+        keys = KeyFilter.of(join.counts.where(joining).select("key"), "joined-keys") if worth else None
+        if keys is None:
+            return join
+        core, *sides = [
+            keys.passed(table, self.key) if at in worth else table
+            for at, table in enumerate(tables)
+        ]
+        return FanoutJoin(core, self.key, tuple(sides), self.how, join.counts, join.counted_nulls)
+
     def _multiplier(self, at: int) -> Column:
         """How often table ``at`` repeats the rows of the others for a key."""
         rows = F.col(f"rows_{at}")
@@ -283,14 +318,23 @@ class FanoutJoin:
             F.max(joined),
             *[F.max(held(rows)) for rows in sides],
             *[F.sum(rows) for rows in sides],
+            *[F.sum(F.when(~self._joining(), rows)) for rows in sides],
         ).first()
         idle, core_rows, total, top, *per_side = [value or 0 for value in row]
-        groups, side_rows = per_side[: len(sides)], per_side[len(sides) :]
+        count = len(sides)
+        groups, side_rows, idle_rows = [
+            per_side[at * count : (at + 1) * count] for at in range(3)
+        ]
         if max_rows is not None and total > max_rows:
             raise FanoutTooLarge(f"fan-out on {self.key}: {total:.0f} rows, allowed are {max_rows}")
         join = self.counted() if idle or top > cell_rows else self
         if idle:
             join = join.without_idle_keys(cell_rows)
+        if any(
+            every >= FILTER_ROWS and own >= FILTER_SHARE * every
+            for every, own in zip(side_rows, idle_rows, strict=True)
+        ):
+            join = join.reduced()
         small = join._small_sides(groups) if top > cell_rows else []
         large = [at for at in range(len(self.sides)) if at not in small]
         rest = join._only(large)

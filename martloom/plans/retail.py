@@ -129,6 +129,13 @@ def wide_mart_star(spark: SparkSession, folder: str) -> DataFrame:
     return select_columns(_wide(spark, folder, star=True).pruned(columns).frame(), columns)
 
 
+def wide_mart_reduced(spark: SparkSession, folder: str) -> DataFrame:
+    """The wide mart of events, each side first filtered by the keys that have joined rows."""
+    columns = ["order_id", "cust_id", "event_id", "event_type", "turn", "role"]
+    join = _wide(spark, folder).pruned(columns).reduced(rows=1, share=0.0)
+    return select_columns(join.frame(), columns)
+
+
 def inner_join_five_way(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["order_id", "cust_id", "nation_name", "event_id", "turn"]
     joined = _wide(spark, folder, how="inner", star=True).pruned(columns).frame()

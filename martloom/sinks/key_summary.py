@@ -5,10 +5,9 @@ of all. The summary rules most of them out beforehand. It may name a partition t
 the batch, it never leaves one out: a partition without a valid summary counts as one that may hold
 anything.
 
-A filter is blocked: a key falls into one word of 64 bits by one hash and on ``HASHES`` of its bits
-by another, so that looking up a key is a single equi-join on the word. Words are about
-``BITS`` for each distinct key, a power of two of them, at most ``MOST_WORDS``; beyond that a filter
-lets more through. All of it are aggregates that Spark combines before they are shuffled.
+A filter has words of 64 bits (see ``functions/key_filter.py``), 16 bits for each distinct key, but
+at most ``MOST_WORDS``; beyond that it lets more through. All of it are aggregates that Spark combines
+before they are shuffled.
 
 The summary is a parquet table by partition: a head row (``word`` NULL) with range and number of
 words, and a row for each word that is not empty. A partition's summary is struck out before its rows
@@ -22,20 +21,17 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martloom.functions.key_filter import HASHED, mask, word, words_for
 from martloom.functions.names import quoted
 
-BITS = 16
-HASHES = 4
 MOST_WORDS = 1 << 16
 # Looking a batch up costs keys times partitions; beyond so many keys the mart is read instead.
 MOST_KEYS = 1_000_000
 
-# Equal values of these types have equal hashes.
-SUMMARISED = (T.IntegralType, T.StringType, T.DateType, T.DecimalType)
 
 
 @dataclass(frozen=True)
@@ -50,7 +46,7 @@ class KeySummary:
     def store(self, rows: DataFrame, emptied: Iterable[date | None] = ()) -> None:
         """Summarise all rows of the partitions they are in; those in ``emptied`` hold none."""
         kind = rows.schema[self.key].dataType
-        if not isinstance(kind, SUMMARISED):
+        if not isinstance(kind, HASHED):
             raise ValueError(f"keys of type {kind.simpleString()} cannot be summarised")
         keys = rows.select(quoted(self.partition).alias("at"), quoted(self.key).alias("key"))
         # Repeated keys are told apart roughly: a filter that is larger than needed is no worse.
@@ -59,17 +55,16 @@ class KeySummary:
             F.max("key").alias("high"),
             F.approx_count_distinct("key").alias("n"),
         )
-        wanted = F.greatest(F.col("n") * F.lit(BITS / 64), F.lit(1.0))
-        power = F.pow(F.lit(2.0), F.ceil(F.log2(wanted))).cast("int")
-        counted = F.when(F.col("high").isNull(), 0).otherwise(F.least(power, F.lit(MOST_WORDS)))
+        power = F.least(words_for(F.col("n")), F.lit(float(MOST_WORDS))).cast("int")
+        counted = F.when(F.col("high").isNull(), 0).otherwise(power)
         heads = sizes.select("at", "low", "high", counted.alias("words")).persist()
         try:
             held = keys.where("key IS NOT NULL").join(
                 F.broadcast(heads.select(F.col("at").alias("__at"), "words")),
                 F.col("at").eqNullSafe(F.col("__at")),
             )
-            words = held.groupBy("at", _word(F.col("key"), F.col("words")).alias("word"))
-            words = words.agg(F.bit_or(_mask(F.col("key"))).alias("bits"))
+            words = held.groupBy("at", word(F.col("key"), F.col("words")).alias("word"))
+            words = words.agg(F.bit_or(mask(F.col("key"))).alias("bits"))
             empty = self._heads([(value, 0) for value in emptied], kind)
             everything = heads.unionByName(empty).unionByName(words, allowMissingColumns=True)
             self._write(everything.select(*self._schema(kind).names))
@@ -104,8 +99,8 @@ class KeySummary:
             return list(known)
         size = F.explode(F.array(*map(F.lit, sizes))).alias("words")
         asked = keys.select("key", size).select(
-            "key", "words", _word(F.col("key"), F.col("words")).alias("word"),
-            _mask(F.col("key")).alias("mask"),
+            "key", "words", word(F.col("key"), F.col("words")).alias("word"),
+            mask(F.col("key")).alias("mask"),
         )
         at = F.col("at").eqNullSafe(F.col("__at"))
         named = heads.select(F.col("at").alias("__at"), "low", "high", "words")
@@ -137,21 +132,3 @@ class KeySummary:
         balanced = rows.hint("rebalance", F.col("at"))
         writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("at").parquet(self.folder)
-
-
-def _word(key: Column, words: Column) -> Column:
-    return F.pmod(F.xxhash64(key), words)
-
-
-def _mask(key: Column) -> Column:
-    """``HASHES`` bits of a word, some of which may be the same."""
-    drawn = F.xxhash64(key, F.lit(1))
-    bits = [
-        F.shiftrightunsigned(drawn, 6 * at).bitwiseAND(F.lit(63)).cast("int")
-        for at in range(HASHES)
-    ]
-    one = [F.call_function("shiftleft", F.lit(1).cast("long"), bit) for bit in bits]
-    mask = one[0]
-    for bit in one[1:]:
-        mask = mask.bitwiseOR(bit)
-    return mask

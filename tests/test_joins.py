@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from martloom.functions.key_filter import KeyFilter
 from martloom.functions.sizes import fits_broadcast
 from martloom.operators.fanout import FanoutJoin, FanoutTooLarge
 from martloom.operators.star import Dimension, star_join
@@ -375,3 +376,80 @@ def test_tables_are_counted_once(spark, tmp_path):
         assert f"{tmp_path}" not in plan_text(report)
     assert join.null_counts(["b"]).first() == (300, 0)
     assert f"{tmp_path}/side" in plan_text(join.null_counts(["a"])) or join.counted(["b"]) is join
+
+
+# -- filters of the joined keys --------------------------------------------------------------
+
+
+def mostly_idle(spark, rows=20_000):
+    """A core of few keys and sides whose keys are idle in nine of ten rows, each key a light one."""
+    core = spark.range(rows // 10).selectExpr("int(id) AS k", "id AS c")
+    one = spark.range(rows).selectExpr("id AS k", "sha2(string(id), 256) AS v")
+    two = spark.range(rows).selectExpr("if(id % 50 = 0, NULL, id) AS k", "id AS w")
+    return core, one, two
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_light_idle_keys_are_stopped_where_they_are_read(spark, how):
+    core, one, two = mostly_idle(spark)
+    join = FanoutJoin(core, "k", (one, two), how)
+    reduced = join.reduced(rows=1000)
+    for side, before in zip(reduced.sides, join.sides, strict=True):
+        assert side.count() <= 0.115 * before.count()
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+    ):
+        found = join.reduced(rows=1000)
+        assert all(side.count() == 20_000 for side in found.sides)  # nothing may be broadcast
+    same_rows(reduced.frame(), join.frame())
+    plan = plan_text(FanoutJoin(core, "k", reduced.sides, how)._join_whole())
+    assert plan.count("LeftSemi") == 2
+
+
+def test_shuffled_bytes_fall_by_the_idle_share(spark, tmp_path):
+    core, one, _ = mostly_idle(spark, 200_000)
+    for name, table in (("core", core), ("one", one)):
+        table.write.parquet(f"{tmp_path}/{name}")
+    core, one = [spark.read.parquet(f"{tmp_path}/{name}") for name in ("core", "one")]
+    reduced = FanoutJoin(core, "k", (one,)).reduced(rows=1000)
+    plan = plan_text(reduced.sides[0].repartition("k"))
+    assert plan.index("Exchange") < plan.index("BroadcastHashJoin")  # filtered below the shuffle
+    assert reduced.sides[0].count() <= 0.11 * 200_000
+
+
+def test_the_join_filters_by_itself_where_it_pays(spark, monkeypatch):
+    core, one, two = mostly_idle(spark)
+    join = FanoutJoin(core, "k", (one, two))
+    expected = join.frame()
+    asked = []
+    whole = FanoutJoin.reduced
+    monkeypatch.setattr(FanoutJoin, "reduced", lambda self: asked.append(1) or whole(self, 1000))
+    join.frame()
+    assert not asked
+    monkeypatch.setattr("martloom.operators.fanout.FILTER_ROWS", 1000)
+    same_rows(join.frame(), expected)
+    assert asked
+    busy = FanoutJoin(core, "k", (one.where("k < 2500"),))
+    asked.clear()
+    busy.frame()
+    assert not asked
+
+
+def test_no_filter_for_types_whose_equal_values_may_differ_in_hash(spark):
+    core, one, _ = mostly_idle(spark, 2000)
+    doubles = [table.withColumn("k", F.col("k").cast("double")) for table in (core, one)]
+    join = FanoutJoin(doubles[0], "k", (doubles[1],))
+    assert join.reduced(rows=100).sides[0].count() == 2000
+
+
+def test_filters_never_stop_a_key_that_was_put_in(spark):
+    for kind in ("int", "string", "decimal(12,3)", "date"):
+        value = "date_add(DATE'1990-01-01', int(id))" if kind == "date" else f"cast(id AS {kind})"
+        keys = spark.range(3000).selectExpr(f"{value} AS k")
+        found = KeyFilter.of(keys, "test-keys")
+        assert found.passed(keys, "k").count() == 3000
+        others = spark.range(10**6, 10**6 + 3000).selectExpr(f"{value} AS k")
+        assert found.passed(others, "k").count() <= 90
+        assert KeyFilter.of(keys.limit(0), "test-keys").passed(keys, "k").isEmpty()
