@@ -44,6 +44,8 @@ ADDED = ("removed", "general")
 TERM = r"[\p{L}\p{N}]+"
 _LAST_TERM = r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++$"
 SUPPORT = 2
+# Code points by which a text is cut to find places in it.
+CHUNK = 256
 GENERALISE = 0.8
 REMOVE = 0.95
 
@@ -136,43 +138,84 @@ def base_spans(docs: DataFrame) -> DataFrame:
     return _spans(numbered(docs, "pii-documents"))
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _chunks(text: Column) -> Column:
+    """A text in chunks of ``CHUNK`` code points, so that a place in it is found without counting
+    from its start."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+
+
+def _cut(chunks: Column, first: Column, last: Column) -> Column:
+    """What stands between two places of a text that is given as chunks."""
+    size = F.lit(CHUNK)
+    at, to = F.floor(first / size).cast("int"), F.floor(last / size).cast("int")
+    begin, end = (first % size).cast("int"), (last % size).cast("int")
+    chunk = lambda number: F.coalesce(F.get(chunks, number), F.lit(""))
+    within = F.substring(chunk(at), begin + 1, F.greatest(end - begin, F.lit(0)))
+    between = F.array_join(F.slice(chunks, at + 2, F.greatest(to - at - 1, F.lit(0))), "")
+    across = F.concat(
+        F.substring(chunk(at), begin + 1, size), between, F.substring(chunk(to), F.lit(1), end)
+    )
+    return F.when(first >= last, "").when(at == to, within).otherwise(across)
+
+
 def _spans(rows: DataFrame) -> DataFrame:
     order = Window.partitionBy("row").orderBy("start", "end", "kind")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    numbered_spans = F.row_number().over(order)
     values = _values(rows).withColumn("past", F.coalesce(before, F.lit(0).cast("long")))
-    listed = F.array_sort(F.collect_list(F.struct("start", "end", "kind", "past", "entity")))
+    values = values.withColumn("number", numbered_spans)
+    listed = F.array_sort(
+        F.collect_list(F.struct("start", "end", "kind", "past", "number", "entity"))
+    )
     by_row = values.groupBy(F.col("row").alias("__of")).agg(listed.alias("spans"))
     by_row = staged(by_row, "pii-values")
     small = F.broadcast(by_row) if fits_broadcast(by_row) else by_row
     joined = rows.select("row", F.col("doc.text").alias("text")).join(
         small, F.col("row") == F.col("__of")
     )
-    spans = joined.select("row", "text", F.size("spans").alias("n"), F.posexplode("spans"))
-    start, end, past = F.col("col.start"), F.col("col.end"), F.col("col.past")
-
-    def cut(first: Column, last: Column) -> Column:
-        length = F.greatest(F.lit(0), last - first).cast("int")
-        return F.substring(F.col("text"), (first + 1).cast("int"), length)
 
-    def piece(first: Column, last: Column) -> Column:
+    def piece(chunks: Column, first: Column, last: Column) -> Column:
         """What stands between two places, without parts of words that a base span cuts."""
-        said = cut(first, last)
-        cut_first = (first > 0) & cut(first - 1, first).rlike(TERM)
-        bare = F.when(cut_first, F.regexp_replace(said, f"^{TERM}", "")).otherwise(said)
-        at = first + F.char_length(said) - F.char_length(bare)
-        cut_last = cut(last, last + 1).rlike(TERM)
-        whole = F.when(cut_last, F.regexp_replace(bare, _LAST_TERM, "")).otherwise(bare)
-        return F.struct(at.alias("at"), whole.alias("said"), F.lit(False).alias("own"))
-
-    own = F.struct(start.alias("at"), cut(start, end).alias("said"), F.lit(True).alias("own"))
-    rest = piece(F.greatest(past, end), F.char_length("text").cast("long"))
-    return spans.select(
-        "row",
-        *[F.col(f"col.{name}").alias(name) for name in ("kind", "start", "end", "entity")],
-        F.when(F.col("pos") == F.col("n") - 1, F.array(piece(past, start), own, rest))
-        .otherwise(F.array(piece(past, start), own))
-        .alias("pieces"),
+        cut_first = (first > 0) & _cut(chunks, first - 1, first).rlike(TERM)
+        cut_last = _cut(chunks, last, last + 1).rlike(TERM)
+
+        def bared(said: Column) -> Column:
+            bare = F.when(cut_first, F.regexp_replace(said, f"^{TERM}", "")).otherwise(said)
+            whole = lambda x: F.when(cut_last, F.regexp_replace(x, _LAST_TERM, "")).otherwise(x)
+            return _bound(
+                bare,
+                lambda x: F.struct(
+                    (first + F.char_length(said) - F.char_length(x)).alias("at"),
+                    whole(x).alias("said"),
+                    F.lit(False).alias("own"),
+                ),
+            )
+
+        return _bound(_cut(chunks, first, last), bared)
+
+    def span(chunks: Column, length: Column, count: Column, one: Column) -> Column:
+        own = F.struct(
+            one["start"].alias("at"),
+            _cut(chunks, one["start"], one["end"]).alias("said"),
+            F.lit(True).alias("own"),
+        )
+        parts = F.array(piece(chunks, one["past"], one["start"]), own)
+        rest = F.array(piece(chunks, F.greatest(one["past"], one["end"]), length))
+        pieces = F.when(one["number"] == count, F.concat(parts, rest)).otherwise(parts)
+        names = ("kind", "start", "end", "entity")
+        return F.struct(*[one[name].alias(name) for name in names], pieces.alias("pieces"))
+
+    length, count = F.char_length("text").cast("long"), F.size("spans")
+    found = _bound(
+        _chunks(F.col("text")),
+        lambda chunks: F.transform("spans", lambda one: span(chunks, length, count, one)),
     )
+    return joined.select("row", F.explode(found).alias("of")).select("row", "of.*")
 
 
 def context_terms(spans: DataFrame) -> DataFrame:
@@ -344,13 +387,15 @@ def sanitised(docs: DataFrame) -> DataFrame:
     small = F.broadcast(by_row) if fits_broadcast(by_row) else by_row
     said = F.col("doc.text")
 
-    def piece(span: Column) -> Column:
-        length = (span["start"] - span["past"]).cast("int")
-        gap = F.substring(said, (span["past"] + 1).cast("int"), length)
+    def piece(chunks: Column, span: Column) -> Column:
+        gap = _cut(chunks, span["past"], span["start"])
         return F.when(span["start"] >= span["past"], F.concat(gap, _mask(span))).otherwise("")
 
+    pieces = _bound(
+        _chunks(said), lambda chunks: F.transform("__spans", lambda span: piece(chunks, span))
+    )
     tail = F.substring(said, (F.col("__last") + 1).cast("int"), F.char_length(said))
-    cleaned = F.concat(F.array_join(F.transform("__spans", piece), ""), tail)
+    cleaned = F.concat(F.array_join(pieces, ""), tail)
     text = F.when(F.col("__spans").isNull(), said).otherwise(cleaned)
     joined = rows.join(small, F.col("row") == F.col("__of"), "left")
     anew = {"text": text}

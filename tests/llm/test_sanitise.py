@@ -176,3 +176,28 @@ def test_copies_word_for_word_are_documents_like_others(spark, tmp_path):
     cleaned = cleaned_texts(spark, f"{tmp_path}/docs", rows)
     assert {cleaned[at] for at in range(4)} == {" office: we write about the matter, [EMAIL]"}
     assert [cleaned[at] for at in range(4, len(rows))] == rows[4:]
+
+
+def test_places_in_chunks(spark):
+    text = "".join(chr(97 + at % 26) + ("é😀" if at % 7 == 0 else "") for at in range(900))
+    places = [(a, b) for a in (0, 1, 255, 256, 257, 511, 512, 900) for b in (0, 1, 256, 300, 513, len(text))]
+    rows = spark.createDataFrame([(text, a, b) for a, b in places], "text string, a long, b long")
+    chunks = sanitise._chunks(rows.text)
+    found = rows.select(rows.a, rows.b, sanitise._cut(chunks, rows.a, rows.b).alias("cut")).collect()
+    assert all(row.cut == text[row.a : max(row.a, row.b)] for row in found) and len(found) == 48
+
+
+def test_a_text_of_very_many_addresses_takes_time_in_proportion(spark, tmp_path):
+    import time
+
+    seconds = []
+    for count in (10_000, 40_000):
+        text = " ".join(f"name{at} mail{at}@one.example.org" for at in range(count))
+        folder = f"{tmp_path}/{count}"
+        rows = [(1, text), (2, text[::-1]), (3, "nothing")]
+        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(folder)
+        begin = time.perf_counter()
+        found = sanitise.sanitised(spark.read.parquet(folder)).where("doc_id = 1").first()
+        seconds.append(time.perf_counter() - begin)
+        assert found.text.count("[EMAIL]") == count and "@" not in found.text
+    assert seconds[1] <= 8 * seconds[0] + 5
