@@ -89,6 +89,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "expect_unique_groups": retail.expect_unique_groups,
         "expect_row_count": retail.expect_row_count,
         "expectation_report": retail.expectation_report,
+        "expectation_delta": retail.expectation_delta,
         "merge_upsert": retail.merge_upsert,
         "merge_action_counts": retail.merge_action_counts,
         "merge_bucketed": retail.merge_bucketed,
@@ -188,6 +189,20 @@ def oracle_sql() -> dict[str, str]:
                        UNION ALL SELECT 'row_count_min', '*',
                               CASE WHEN count(*) < 1 THEN 1 ELSE 0 END FROM w)
             SELECT rule, column_name, violations, violations = 0 AS passed FROM v""",
+        "expectation_delta": f"""
+            WITH w AS ({MERGED}),
+                 v AS (SELECT 'not_null' AS rule, 'order_id' AS column_name,
+                              count(*) FILTER (WHERE order_id IS NULL) AS violations FROM w
+                       UNION ALL SELECT 'not_null', 'amount',
+                              count(*) FILTER (WHERE amount IS NULL) FROM w
+                       UNION ALL SELECT 'row_count_min', '*',
+                              CASE WHEN count(*) < 1 THEN 1 ELSE 0 END FROM w
+                       UNION ALL SELECT 'row_count_max', '*',
+                              CASE WHEN count(*) > 50000000 THEN 1 ELSE 0 END FROM w
+                       UNION ALL SELECT 'unique', 'order_id', count(*)
+                              FROM (SELECT order_id FROM w GROUP BY order_id
+                                    HAVING count(*) > 1) g)
+            SELECT rule, column_name, violations, violations = 0 AS passed FROM v""",
         "merge_upsert": MERGED,
         "merge_action_counts": f"""
             SELECT CASE WHEN s.order_id IS NULL THEN 'untouched'

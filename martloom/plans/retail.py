@@ -30,6 +30,7 @@ from martloom.operators.upsert import action_counts, change_rows, conflicts, mer
 from martloom.plans.loading import load_mart
 from martloom.sinks.acknowledged import FolderTopic, deliver_acknowledged
 from martloom.sinks.bucketed import BucketedMart
+from martloom.sinks.expectation_state import ExpectationState
 from martloom.sinks.messages import deliver, message_frame, publish, to_folder
 from martloom.sinks.scratch import scratch_folder, staged
 from martloom.sinks.tables import DatePartition, MartTable, sql_view, write_partitioned
@@ -196,6 +197,21 @@ def expectation_report(spark: SparkSession, folder: str) -> DataFrame:
     return report(wide, rules)
 
 
+def expectation_delta(spark: SparkSession, folder: str) -> DataFrame:
+    """The rules of a mart after a batch, of which only the touched partitions were counted anew."""
+    mart = _status_mart(spark)
+    rules = Expectations(
+        not_null=("order_id", "amount"), unique=("order_id",), min_rows=1, max_rows=50_000_000
+    )
+    state = ExpectationState(spark, scratch_folder(spark, "expectations"), rules, "changed_in")
+    mart.create(_order_status(spark, folder))
+    state.refresh(spark.table(mart.name))
+    touched = mart.merge(_status_changes(spark, folder), "order_id")
+    state.refresh(mart.rows_of(touched), touched)
+    spark.sql(f"DROP TABLE {mart.name}")
+    return state.report()
+
+
 # -- upsert -------------------------------------------------------------------------------
 
 

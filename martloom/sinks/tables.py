@@ -135,8 +135,15 @@ class MartTable:
         rows = self._dated(self._schema())
         return rows.drop(self.partition.name) if self.partition else rows
 
-    def merge(self, source: DataFrame, key: str) -> None:
-        """Upsert by ``key``; a conflict raises and changes nothing.
+    def rows_of(self, dates: list[date | None]) -> DataFrame:
+        """The rows of some partitions, with the partition column; no other files are read."""
+        if self.partition is None:
+            raise ValueError(f"mart {self.name} has no partitions")
+        return self._dated(self._schema()).where(_among(quoted(self.partition.name), dates))
+
+    def merge(self, source: DataFrame, key: str) -> list[date | None] | None:
+        """Upsert by ``key``; a conflict raises and changes nothing. Returns the partitions that it
+        touched, of a mart that has some.
 
         ``source`` is read by several jobs: pass one that is cheap to read, see ``staged``. If it
         proves small it is broadcast, so that the mart's rows meet it where they are read.
@@ -159,6 +166,7 @@ class MartTable:
             self.replace(self.spark.read.schema(schema).parquet(folder), dates)
         except Exception as error:
             raise HalfWritten(self.name, folder, dates or []) from error
+        return dates
 
     def replace(self, rows: DataFrame, dates: list[date | None] | None = None) -> None:
         """Put ``rows`` in the place of the partitions ``dates``, which hold all of them; of the whole
