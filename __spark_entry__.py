@@ -67,6 +67,25 @@ NESTED_TEXTS = """(
     FROM events)"""
 
 
+# Users' contracts by version: the property beside id, its types as bits (1 integer, 2 number,
+# 4 null; 127 any), whether it is required, and whether others are refused.
+USER_CONTRACTS = """
+    SELECT user_id || '-value' AS subject, event_id AS version, event_type AS name,
+           CASE CAST(floor(abs(value)) AS BIGINT) % 4
+               WHEN 0 THEN 1 WHEN 1 THEN 3 WHEN 2 THEN 5 ELSE 127 END AS types,
+           CAST(floor(abs(value)) AS BIGINT) % 3 = 0 AS required, event_type = 'error' AS closed
+    FROM events"""
+
+
+def _accepts(one: str, other: str) -> str:
+    """SQL: whether a contract accepts all that another one does."""
+    return f"""(
+        (NOT {one}.required OR ({other}.required AND {other}.name = {one}.name))
+        AND CASE WHEN {other}.name = {one}.name THEN ({other}.types & ~{one}.types) = 0
+                 ELSE {other}.closed OR {one}.types = 127 END
+        AND (NOT {one}.closed OR ({other}.closed AND {other}.name = {one}.name)))"""
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The star mart: order lines with order, supplier and the supplier's nation."""
     return retail.core_star_left(spark, SMOKE_FOLDER)
@@ -107,6 +126,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "contract_verdicts": retail.contract_verdicts,
         "contract_closed": retail.contract_closed,
         "contract_nested": retail.contract_nested,
+        "contract_history": retail.contract_versions,
         "publish_report": retail.publish_report,
         "delivery_outcomes": retail.delivery_outcomes,
     }
@@ -270,6 +290,18 @@ def oracle_sql() -> dict[str, str]:
                         WHEN len([k FOR k IN json_keys(value) IF k NOT IN ('id', 'msg')]) > 0 THEN 'extra'
                         ELSE 'ok' END AS verdict
             FROM {EVENT_TEXTS}""",
+        "contract_history": f"""
+            WITH v AS ({USER_CONTRACTS}),
+                 p AS (SELECT new.subject, new.version, {_accepts("new", "old")} AS backward,
+                              {_accepts("old", "new")} AS forward
+                       FROM v new JOIN v old
+                       ON new.subject = old.subject AND old.version < new.version),
+                 h AS (SELECT subject, version, bool_and(backward) AS backward,
+                              bool_and(forward) AS forward FROM p GROUP BY 1, 2)
+            SELECT subject, version, coalesce(backward, true) AS backward,
+                   coalesce(forward, true) AS forward,
+                   coalesce(backward AND forward, true) AS "full"
+            FROM v LEFT JOIN h USING (subject, version)""",
         "contract_nested": f"""
             SELECT event_id,
                    CASE WHEN NOT json_valid(value) THEN 'not_json'

@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martloom.functions.contract import Contract, backtest, check_messages
+from martloom.functions.contract import Contract, backtest, check_messages, value_subject
 from martloom.functions.json_schema import NestedContract
+from martloom.operators.contract_history import contract_history
 from martloom.operators.fanout import FanoutJoin
 from martloom.operators.projection import select_columns
 from martloom.operators.quality import (
@@ -353,6 +354,33 @@ def contract_closed(spark: SparkSession, folder: str) -> DataFrame:
     return check_messages(_event_texts(spark, folder), CLOSED_EVENT).drop("value")
 
 
+def _user_contracts(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event as a version of its user's contract: what a message about it would hold."""
+    events = folder_reader(spark, folder)("events")
+    kind, size = F.col("event_type"), F.floor(F.abs("value")).cast("long")
+    types = F.array(*map(F.lit, VERSION_TYPES))
+    of = F.concat(F.lit('"'), kind, F.lit('":{'), F.get(types, (size % 4).cast("int")), F.lit("}"))
+    also = F.when(size % 3 == 0, F.concat(F.lit(',"'), kind, F.lit('"'))).otherwise("")
+    schema = F.concat(
+        F.lit('{"type":"object","properties":{"id":{"type":"integer"},'), of,
+        F.lit('},"required":["id"'), also,
+        F.lit('],"additionalProperties":'), (kind != "error").cast("string"), F.lit("}"),
+    )
+    user = F.col("user_id").cast("string")
+    return events.select(
+        F.concat(user, F.lit(value_subject(""))).alias("subject"),
+        F.col("event_id").alias("version"),
+        schema.alias("schema"),
+    )
+
+
+VERSION_TYPES = ('"type":"integer"', '"type":"number"', '"type":["integer","null"]', "")
+
+
+def contract_versions(spark: SparkSession, folder: str) -> DataFrame:
+    return contract_history(_user_contracts(spark, folder))
+
+
 def publish_report(spark: SparkSession, folder: str) -> DataFrame:
     messages = _label_messages(spark, folder)
     keyed = messages.select(F.col("doc_id").cast("string").alias("key"), "value")
