@@ -7,7 +7,11 @@ Decoding gives each codeword a loss, log(1 + exp(-bit * margin)) over all bits,
 how well its classifier parts the languages it learned from, and takes the least.
 
 The rates come from all training rows, counted where they are read and summed per language and
-trigram bucket. What reaches the driver is languages * ``BUCKETS`` counts, whatever the corpus.
+trigram bucket, in a written table. Weights are sums over languages of that table, and so is the trust
+in a bit; both are added up in tasks, a language's counts read as one row. The driver holds a codeword
+for each language and ``BUCKETS`` weights for each bit, some 10 * log2(languages) bits: 8,000 languages
+have 130 bits. Up to ``TRIED`` languages several random codes are compared; beyond, a code is drawn
+once, and the language's number in binary is part of it, so that no two are equal.
 
 Edge cases: a NULL text, or one without a letter, is ``und`` with score 0. Ties go to the first
 language by code point. Without any training row every text is ``und``. Copies and repeated rows
@@ -26,11 +30,14 @@ from pyspark.sql import functions as F
 
 from martloom.functions.names import quoted_name
 from martloom.llm.common import text_blocks
+from martloom.sinks.scratch import staged
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
 EXHAUSTIVE = 7
 CODES_TRIED = 200
+TRIED = 256
+SUMS_AT_ONCE = 1024
 SHARPNESS = 2.0
 AMBIGUOUS = 1.0
 UNKNOWN = "und"
@@ -65,6 +72,12 @@ def codebook(languages: int) -> np.ndarray:
         return np.where(bits == 1, 1, -1).astype(np.float32)
     random = np.random.default_rng(0)
     width = int(np.ceil(10 * np.log2(languages)))
+    if languages > TRIED:
+        code = random.choice([-1, 1], (languages, width)).astype(np.float32)
+        own = (languages - 1).bit_length()
+        bits = np.arange(languages)[:, None] >> np.arange(own)[None, :] & 1
+        code[:, :own] = np.where(bits == 1, 1, -1)
+        return code
     best, found = -1, None
     for _ in range(CODES_TRIED):
         code = random.choice([-1, 1], (languages, width)).astype(np.float32)
@@ -81,22 +94,6 @@ class Model:
     weights: np.ndarray  # a row per bucket, and a row of zeros for what counts as no trigram
     trust: np.ndarray
 
-    @staticmethod
-    def learned(languages: list[str], counts: np.ndarray) -> Model:
-        """``counts``: a row of trigram counts per language."""
-        rates = counts + SMOOTHING
-        rates = rates / rates.sum(1, keepdims=True)
-        code = codebook(len(languages))
-        weights = np.zeros((BUCKETS + 1, code.shape[1]), np.float32)
-        for bit in range(code.shape[1]):
-            up, down = rates[code[:, bit] > 0].mean(0), rates[code[:, bit] < 0].mean(0)
-            weights[:BUCKETS, bit] = np.log(up / down)
-        apart = (rates @ weights[:BUCKETS]) * code
-        if not languages:
-            return Model(languages, code, weights, np.zeros(code.shape[1], np.float32))
-        trust = np.maximum(apart.min(0), 1e-3)
-        return Model(languages, code, weights, (trust / trust.sum()).astype(np.float32))
-
     def margins(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         code = trigrams(data, offsets)
         used = np.concatenate([[0], np.cumsum(code < BUCKETS)])
@@ -155,17 +152,105 @@ def counted(docs: DataFrame) -> DataFrame:
 def learned(docs: DataFrame) -> Model:
     """A model from all rows with a text and a lang."""
     usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull())
-    rows = (
-        counted(usable)
-        .groupBy("lang")
-        .agg(F.collect_list(F.struct("bucket", "n")).alias("counts"))
-        .collect()
-    )
-    rows.sort(key=lambda row: row.lang)
-    counts = np.zeros((len(rows), BUCKETS))
-    for at, row in enumerate(rows):
-        counts[at, [one.bucket for one in row.counts]] = [one.n for one in row.counts]
-    return Model.learned([row.lang for row in rows], counts)
+    held = F.collect_list(F.struct("bucket", "n")).alias("counts")
+    rows = staged(counted(usable).groupBy("lang").agg(held, F.sum("n").alias("all")), "languages")
+    totals = sorted((row.lang, row["all"]) for row in rows.select("lang", "all").collect())
+    languages = [lang for lang, _ in totals]
+    code = codebook(len(languages))
+    bits = code.shape[1]
+    if not languages:
+        return Model([], code, np.zeros((BUCKETS + 1, bits), np.float32), np.zeros(bits, np.float32))
+    whole = np.array([n for _, n in totals]) + SMOOTHING * BUCKETS
+    # The rates of a side's languages, added up; what smoothing gives is the same in every bucket.
+    sides = [np.where(code > 0, 1.0, 0.0), np.where(code < 0, 1.0, 0.0)]
+    smooth = [(SMOOTHING / whole) @ side for side in sides]
+    sums = [np.zeros((BUCKETS, bits)) for _ in sides]
+    for bucket, up, down in _side_sums(rows, languages, code, whole):
+        sums[0][bucket] += up
+        sums[1][bucket] += down
+    up, down = [
+        (total + base) / side.sum(0)
+        for total, base, side in zip(sums, smooth, sides, strict=True)
+    ]
+    weights = np.zeros((BUCKETS + 1, bits), np.float32)
+    weights[:BUCKETS] = np.log(up / down)
+    least = _least_apart(rows, languages, code, whole, weights)
+    trust = np.maximum(least, 1e-3)
+    return Model(languages, code, weights, (trust / trust.sum()).astype(np.float32))
+
+
+def _counts(batches: Iterator[pa.RecordBatch], places: dict[str, int]):
+    """For every row of a batch: the place of its language, its buckets, and their counts."""
+    for batch in batches:
+        lists = batch.column("counts")
+        for at, lang in enumerate(batch.column("lang").to_pylist()):
+            own = lists[at].values
+            yield places[lang], own.field("bucket").to_numpy(), own.field("n").to_numpy()
+
+
+def _side_sums(rows: DataFrame, languages: list[str], code: np.ndarray, whole: np.ndarray):
+    """Bucket by bucket, the rates of the languages on either side of every bit, without smoothing.
+
+    A task adds up its languages; only its sums are shuffled, and what is collected is a row per
+    bucket, whatever the number of languages.
+    """
+    places = {lang: at for at, lang in enumerate(languages)}
+    bits = code.shape[1]
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((BUCKETS, 2 * bits))
+        both = np.hstack([code > 0, code < 0])
+        for place, bucket, n in _counts(batches, places):
+            sums[bucket] += np.outer(n / whole[place], both[place])
+        full = np.flatnonzero(sums.any(1))
+        for begin in range(0, len(full), SUMS_AT_ONCE):
+            some = full[begin : begin + SUMS_AT_ONCE]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int32()), pa.array(list(sums[some]), pa.list_(pa.float64()))],
+                ["bucket", "sums"],
+            )
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            lists = batch.column("sums")
+            for at, bucket in enumerate(batch.column("bucket").to_pylist()):
+                own = lists[at].values.to_numpy()
+                sums[bucket] = sums[bucket] + own if bucket in sums else own
+        if sums:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(list(sums), pa.int32()),
+                    pa.array(list(sums.values()), pa.list_(pa.float64())),
+                ],
+                ["bucket", "sums"],
+            )
+
+    out = "bucket int, sums array<double>"
+    parts = rows.select("lang", "counts").mapInArrow(add, out)
+    merged = parts.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, out)
+    for row in merged.toLocalIterator():
+        yield row.bucket, np.array(row.sums[:bits]), np.array(row.sums[bits:])
+
+
+def _least_apart(
+    rows: DataFrame, languages: list[str], code: np.ndarray, whole: np.ndarray, weights: np.ndarray
+) -> np.ndarray:
+    """For every bit, the mean weight that the worst of its own languages gets on its own side."""
+    places = {lang: at for at, lang in enumerate(languages)}
+    base = weights[:BUCKETS].sum(0, dtype=np.float64) * SMOOTHING
+
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.full(code.shape[1], np.inf)
+        for place, bucket, n in _counts(batches, places):
+            mean = (n @ weights[bucket].astype(np.float64) + base) / whole[place]
+            np.minimum(found, mean * code[place], out=found)
+        yield pa.RecordBatch.from_arrays([pa.array([found], pa.list_(pa.float64()))], ["least"])
+
+    parts = rows.select("lang", "counts").mapInArrow(least, "least array<double>")
+    of = F.posexplode("least").alias("bit", "least")
+    bits = parts.select(of).groupBy("bit").agg(F.min("least").alias("least"))
+    return np.array([row.least for row in sorted(bits.collect())])
 
 
 def identified(docs: DataFrame, model: Model, *carried: Column) -> DataFrame:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -12,6 +14,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2 as model_pb2
 from tokenizers import Tokenizer
 
@@ -65,6 +68,86 @@ def test_held_out_languages(spark):
     assert all(0 <= row.score <= 1 for row in rows)
 
 
+def plain_languages(training, texts):
+    """Languages and scores in plain Python: the hash, the codewords and the constants are shared."""
+    fold = lambda b: b | 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32
+
+    def buckets(text):
+        raw = [fold(b) for b in text.encode()]
+        joined = [raw[at] << 16 | raw[at + 1] << 8 | raw[at + 2] for at in range(len(raw) - 2)]
+        return [(j * 0x9E3779B1 & 0xFFFFFFFF) >> 17 for j in joined if j != 0x202020]
+
+    names = sorted({lang for lang, text in training if lang is not None and text is not None and buckets(text)})
+    rates = []
+    for name in names:
+        counts = [languages.SMOOTHING] * languages.BUCKETS
+        for lang, text in training:
+            for bucket in buckets(text) if lang == name and text is not None else []:
+                counts[bucket] += 1
+        rates.append([n / sum(counts) for n in counts])
+    code = languages.codebook(len(names)).tolist()
+    weights, trust = [], []
+    for bit in range(len(code[0])):
+        sides = [[r for r, c in zip(rates, code, strict=True) if c[bit] == s] for s in (1, -1)]
+        up, down = [[sum(x) / len(side) for x in zip(*side, strict=True)] for side in sides]
+        weights.append([math.log(a / b) for a, b in zip(up, down, strict=True)])
+        own = [
+            sum(a * b for a, b in zip(r, weights[-1], strict=True)) * c[bit]
+            for r, c in zip(rates, code, strict=True)
+        ]
+        trust.append(max(min(own), 1e-3))
+    found = []
+    for text in texts:
+        if not any(c.isalpha() for c in text or ""):
+            found.append(("und", 0.0))
+            continue
+        held = buckets(text)
+        margins = [sum(w[b] for b in held) / max(len(held), 1) for w in weights]
+        losses = [
+            sum(
+                t / sum(trust) * len(trust) * math.log1p(math.exp(-languages.SHARPNESS * m * bit))
+                for t, m, bit in zip(trust, margins, word, strict=True)
+            )
+            for word in code
+        ]
+        shares = [math.exp(min(losses) - loss) for loss in losses]
+        found.append((names[losses.index(min(losses))], max(shares) / sum(shares)))
+    return found
+
+
+def test_languages_equal_plain_python(spark, documents, monkeypatch):
+    monkeypatch.setattr(languages, "EXHAUSTIVE", 5)  # so that there are codes of both kinds
+    rows = documents.select("doc_id", "lang", F.substring("text", 1, 400).alias("text")).limit(40)
+    odd = [(-1, "xx", "ab"), (-2, "xx", None), (-3, None, "a text"), (-4, "yy", "été ñandú é")]
+    rows = rows.unionAll(spark.createDataFrame(odd, "doc_id long, lang string, text string"))
+    held = sorted((r.doc_id, r.lang, r.text) for r in rows.collect())
+    model = languages.learned(rows)
+    found = languages.identified(rows, model, rows.doc_id).collect()
+    found = {r.doc_id: (r.lang_pred, r.score) for r in found}
+    expected = plain_languages([row[1:] for row in held], [text for *_, text in held])
+    for (name, *_), (lang, score) in zip(held, expected, strict=True):
+        assert found[name][1] == pytest.approx(score, rel=1e-4)
+        assert found[name][0] == lang or score < 0.5
+
+
+def test_very_many_languages(spark):
+    """8,000 languages: what the driver holds and does is bounded by codewords."""
+    rows = spark.range(8_000).selectExpr(
+        "id AS doc_id", "concat('l', id % 8000) AS lang",
+        "concat_ws(' ', transform(sequence(0, 30), n -> substr(sha1(concat(id % 8000, '-', n)), 1, 6)))"
+        " AS text",
+    )
+    begin = time.perf_counter()
+    model = languages.learned(rows)
+    assert time.perf_counter() - begin < 90
+    assert len(model.languages) == 8000 == len(np.unique(model.code, axis=0))
+    assert model.code.shape[1] == 130
+    assert model.weights.shape == (languages.BUCKETS + 1, 130)
+    some = rows.limit(20)
+    found = languages.identified(some, model, some.doc_id).collect()
+    assert {row.lang_pred for row in found} <= set(model.languages) and len(found) == 20
+
+
 def test_languages_of_odd_documents(odd_documents, no_documents):
     model = languages.learned(odd_documents)
     found = languages.identified(odd_documents, model, odd_documents.doc_id, odd_documents.text)
