@@ -137,6 +137,36 @@ OP10 = f"""
     FROM f"""
 
 
+OP12 = r"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                             'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+        FROM documents),
+    s AS (
+        SELECT doc_id, list_distinct([array_to_string(words[i : i + 4], ' ')
+                       FOR i IN range(1, greatest(1, len(words) - 4) + 1)]) AS shingles,
+               len(words) AS n_words
+        FROM w),
+    d AS (
+        SELECT doc_id, CASE WHEN n_words > 0 THEN shingles ELSE [] END AS shingles FROM s),
+    t AS (SELECT doc_id, len(shingles) AS n, shingle
+          FROM (SELECT doc_id, shingles, unnest(shingles) AS shingle FROM d)),
+    p AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n_a, any_value(b.n) AS n_b,
+               count(*) AS n_both
+        FROM t a JOIN t b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+             AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+        GROUP BY 1, 2),
+    l AS (SELECT a, b FROM p WHERE 100 * n_both >= 80 * (n_a + n_b - n_both)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r AS (SELECT doc_id, doc_id AS reached FROM d
+          UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.reached)
+    SELECT r.doc_id, CAST(any_value(len(d.shingles)) AS BIGINT) AS n_shingles,
+           min(reached) AS component_id
+    FROM r JOIN d USING (doc_id) GROUP BY r.doc_id"""
+
+
 def _part_codes() -> str:
     """Codebooks of 4 parts after 4 rounds of k-means, and the codes; unrolled round by round."""
     steps = [

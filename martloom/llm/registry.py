@@ -114,5 +114,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_exact_top_k": oracles.OP6,
         "op8_apportioned_mix": oracles.OP8,
         "op10_warc_zstd": oracles.OP10,
+        "op12_combination_prefixes": oracles.OP12,
         "op13_part_codes": oracles.OP13,
     }
