@@ -129,10 +129,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "contract_history": retail.contract_versions,
         "publish_report": retail.publish_report,
         "delivery_outcomes": retail.delivery_outcomes,
+        "publish_stream": retail.publish_stream,
     }
     return found | llm.queries() | {"pipeline": corpus_pipeline.run} if llm else found
 
 
+# The verdict of the event messages by the contract of an id and a text.
+EVENT_VERDICTS = f"""
+            SELECT event_id, value,
+                   CASE WHEN NOT json_valid(value) THEN 'not_json'
+                        WHEN json_type(value) <> 'OBJECT' THEN 'not_object'
+                        WHEN json_type(value, '$.id') IS NULL THEN 'missing:id'
+                        WHEN json_type(value, '$.msg') IS NULL THEN 'missing:msg'
+                        WHEN NOT {WHOLE} THEN 'type:id'
+                        WHEN json_type(value, '$.msg') <> 'VARCHAR' THEN 'type:msg'
+                        ELSE 'ok' END AS verdict
+            FROM {EVENT_TEXTS}"""
+
+
 def oracle_sql() -> dict[str, str]:
     found = {
         "scan_row_count": "SELECT count(*) AS row_count FROM orders",
@@ -271,16 +285,13 @@ def oracle_sql() -> dict[str, str]:
         "sql_view_join": """
             SELECT c_mktsegment, event_type, count(*) AS n_events
             FROM events JOIN customer ON user_id = c_custkey GROUP BY c_mktsegment, event_type""",
-        "contract_verdicts": f"""
-            SELECT event_id, value,
-                   CASE WHEN NOT json_valid(value) THEN 'not_json'
-                        WHEN json_type(value) <> 'OBJECT' THEN 'not_object'
-                        WHEN json_type(value, '$.id') IS NULL THEN 'missing:id'
-                        WHEN json_type(value, '$.msg') IS NULL THEN 'missing:msg'
-                        WHEN NOT {WHOLE} THEN 'type:id'
-                        WHEN json_type(value, '$.msg') <> 'VARCHAR' THEN 'type:msg'
-                        ELSE 'ok' END AS verdict
-            FROM {EVENT_TEXTS}""",
+        "contract_verdicts": EVENT_VERDICTS,
+        "publish_stream": f"""
+            SELECT count(*) FILTER (WHERE verdict = 'ok') AS n_due,
+                   count(*) FILTER (WHERE verdict = 'ok') AS n_acknowledged,
+                   CAST(0 AS BIGINT) AS n_failed,
+                   count(*) FILTER (WHERE verdict <> 'ok') AS n_refused
+            FROM ({EVENT_VERDICTS})""",
         "contract_closed": f"""
             SELECT event_id,
                    CASE WHEN NOT json_valid(value) THEN 'not_json'

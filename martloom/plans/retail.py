@@ -36,6 +36,7 @@ from martloom.sinks.messages import deliver, message_frame, publish, to_folder
 from martloom.sinks.scratch import scratch_folder, staged
 from martloom.sinks.tables import DatePartition, MartTable, sql_view, write_partitioned
 from martloom.sources.tables import TableSource, folder_reader, load_sources
+from martloom.streaming.publishing import Publishing
 
 CUSTOMERS = TableSource(
     "customer",
@@ -388,6 +389,18 @@ def publish_report(spark: SparkSession, folder: str) -> DataFrame:
     return publish(keyed, LABELLED_WITH_QUALITY, to_folder(sent), stored)
 
 
+def publish_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event as a message that arrives in one of several files, published as a stream."""
+    arrived = scratch_folder(spark, "arrived")
+    keyed = _event_texts(spark, folder).select(F.col("event_id").cast("string").alias("key"), "value")
+    keyed.repartition(4).write.parquet(arrived)
+    topic, state = FolderTopic(scratch_folder(spark, "topic")), scratch_folder(spark, "stream")
+    publishing = Publishing(spark, arrived, state, EVENT, topic, parts=4, at_once=2)
+    publishing.run()
+    names = ("n_due", "n_acknowledged", "n_failed", "n_refused")
+    return publishing.outcomes().agg(*[F.sum(name).alias(name) for name in names])
+
+
 def delivery_report(spark: SparkSession, folder: str) -> DataFrame:
     return deliver(message_table(spark, folder), to_folder(scratch_folder(spark, "messages")))
 

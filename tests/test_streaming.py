@@ -1,0 +1,85 @@
+"""Publishing as a stream: every batch once."""
+
+from __future__ import annotations
+
+import json
+from collections import Counter
+from pathlib import Path
+
+import pytest
+
+from martloom.functions.contract import Contract
+from martloom.sinks.acknowledged import FolderTopic
+from martloom.streaming.publishing import REFUSED, Publishing
+
+CONTRACT = Contract({"id": "integer"}, required=("id",))
+
+
+@pytest.fixture
+def publishing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    topic = FolderTopic(f"{tmp_path}/topic")
+    return Publishing(spark, f"{tmp_path}/in", f"{tmp_path}/state", CONTRACT, topic, 3, at_once=1)
+
+
+def arrive(spark, publishing, numbers):
+    value = "if(id % 5 = 0, '{\"id\":\"x\"}', concat('{\"id\":', id, '}'))"
+    rows = spark.createDataFrame([(n,) for n in numbers], "id long")
+    rows = rows.selectExpr("string(id) AS key", f"{value} AS value").coalesce(1)
+    rows.write.mode("append").parquet(publishing.messages)
+
+
+def sent(tmp_path):
+    return Counter(
+        json.loads(line)["key"]
+        for file in Path(f"{tmp_path}/topic").rglob("*.jsonl")
+        for line in file.read_text().splitlines()
+    )
+
+
+def test_what_arrives_is_published_once(spark, publishing, tmp_path):
+    assert publishing.outcomes().isEmpty()
+    arrive(spark, publishing, range(1, 11))
+    arrive(spark, publishing, range(11, 21))
+    publishing.run()
+    good = {str(n): 1 for n in range(1, 21) if n % 5}
+    assert sent(tmp_path) == good
+    publishing.run()  # nothing new
+    assert sent(tmp_path) == good
+    arrive(spark, publishing, range(21, 24))
+    publishing.run()
+    assert sent(tmp_path) == good | {"21": 1, "22": 1, "23": 1}
+    totals = {row.part: row for row in publishing.outcomes().collect()}
+    assert totals.pop(REFUSED).n_refused == 4
+    assert sum(row.n_due for row in totals.values()) == 19
+    assert all(row.n_due == row.n_acknowledged and not row.n_failed for row in totals.values())
+    assert len(list((tmp_path / "state" / "batches").iterdir())) == 3
+
+
+def test_a_batch_that_is_repeated_sends_nothing_twice(spark, publishing, tmp_path):
+    arrive(spark, publishing, range(1, 5))
+    publishing.run()
+    batch = spark.read.parquet(publishing.messages)
+    publishing.publish(batch, 0)  # as after a failure between the delivery and the checkpoint
+    assert sent(tmp_path) == {str(n): 1 for n in range(1, 5)}
+    commit = tmp_path / "state" / "checkpoint" / "commits" / "0"
+    commit.rename(tmp_path / "lost-commit")
+    for crc in commit.parent.glob(".0.crc"):
+        crc.rename(tmp_path / "lost-crc")
+    publishing.run()  # the stream repeats its last batch by itself
+    assert sent(tmp_path) == {str(n): 1 for n in range(1, 5)}
+
+
+def test_a_batch_that_broke_off_is_sent_from_its_beginning(spark, publishing, tmp_path, monkeypatch):
+    arrive(spark, publishing, range(1, 5))
+
+    def broken(*_):
+        raise RuntimeError("the driver is lost")
+
+    monkeypatch.setattr("martloom.streaming.publishing.deliver_acknowledged", broken)
+    with pytest.raises(Exception, match="the driver is lost"):
+        publishing.run()
+    monkeypatch.undo()
+    publishing.run()
+    assert sent(tmp_path) == {str(n): 1 for n in range(1, 5)}
+    assert sum(row.n_acknowledged for row in publishing.outcomes().collect()) == 4
