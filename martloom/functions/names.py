@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +23,23 @@ def name_folder(df: DataFrame):
     return (lambda name: name) if sensitive == "true" else str.casefold
 
 
+def require_keys(section: object, known: Iterable[str], label: str) -> None:
+    """A section of a configuration must be a mapping without keys that nothing would read."""
+    if not isinstance(section, Mapping):
+        raise ValueError(f"{label}: expected a mapping, not {section!r}")
+    unknown = sorted(str(key) for key in section if key not in set(known))
+    if unknown:
+        raise ValueError(f"{label}: unknown {', '.join(unknown)}")
+
+
+def texts_in(section: Mapping, key: str, label: str) -> tuple[str, ...]:
+    """A list of texts under a key, empty if it is absent."""
+    found = section.get(key) or ()
+    if isinstance(found, str) or not all(isinstance(text, str) for text in found):
+        raise ValueError(f"{label}: {key} must be a list of names")
+    return tuple(found)
+
+
 def require_columns(df: DataFrame, names: Iterable[str], label: str) -> None:
     """Fail on every absent column at once; the comparison is case-sensitive."""
     present = set(df.columns)

@@ -7,14 +7,14 @@ combined before its shuffle and so does not mind a hot value.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martloom.functions.names import quoted
+from martloom.functions.names import quoted, require_keys, texts_in
 from martloom.operators.fanout import FanoutJoin
 
 REPORT_SCHEMA = "rule string, column_name string, violations bigint, passed boolean"
@@ -32,6 +32,23 @@ class Expectations:
     min_rows: int | None = None
     max_rows: int | None = None
 
+    @classmethod
+    def from_mapping(cls, section: Mapping) -> Expectations:
+        """Rules as a configuration file gives them: ``not_null`` and ``unique`` list columns,
+        ``row_count`` has bounds ``min`` and ``max``. What would not be checked is an error."""
+        require_keys(section, ("not_null", "unique", "row_count"), "expectations")
+        bounds = section.get("row_count") or {}
+        require_keys(bounds, ("min", "max"), "expectations: row_count")
+        for name, bound in bounds.items():
+            if bound is not None and (isinstance(bound, bool) or not isinstance(bound, int)):
+                raise ValueError(f"expectations: row_count {name} must be a whole number")
+        return cls(
+            texts_in(section, "not_null", "expectations"),
+            texts_in(section, "unique", "expectations"),
+            bounds.get("min"),
+            bounds.get("max"),
+        )
+
     @property
     def has_row_bounds(self) -> bool:
         return self.min_rows is not None or self.max_rows is not None

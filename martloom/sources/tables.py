@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from martloom.functions.names import require_keys
 from martloom.operators.projection import rename_columns
 
 Reader = Callable[[str], DataFrame]
@@ -20,6 +21,27 @@ class TableSource:
     def load(self, read: Reader) -> DataFrame:
         return rename_columns(read(self.table), self.renames, self.table)
 
+    @classmethod
+    def from_mapping(cls, section: Mapping, label: str = "source") -> TableSource:
+        """A section of a configuration file: ``table``, and ``renames`` from old to new names."""
+        require_keys(section, ("table", "renames"), label)
+        table, renames = section.get("table"), section.get("renames") or {}
+        if not isinstance(table, str) or not table:
+            raise ValueError(f"{label}: table must be a name")
+        require_keys(renames, renames, f"{label}: renames")
+        if not all(isinstance(name, str) and name for pair in renames.items() for name in pair):
+            raise ValueError(f"{label}: renames must be from name to name")
+        return cls(table, dict(renames))
+
+
+def sources_from_mapping(sections: Mapping) -> dict[str, TableSource]:
+    """All sections of a configuration, as YAML or JSON files give them."""
+    require_keys(sections, sections, "sources")
+    return {
+        name: TableSource.from_mapping(section, f"source {name}")
+        for name, section in sections.items()
+    }
+
 
 def catalog_reader(spark: SparkSession, namespace: str = "") -> Reader:
     """Read tables by catalog name; ``namespace`` is a ``catalog.schema`` prefix."""
