@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from martloom.functions.contract import AnyContract, Contract
 from martloom.operators.fanout import FanoutJoin
 from martloom.operators.projection import select_columns
 from martloom.operators.quality import Expectations, enforce
 from martloom.operators.upsert import conform, require_no_conflicts
+from martloom.sinks.messages import publish, table_messages
 from martloom.sinks.scratch import staged
 from martloom.sinks.tables import MartTable, RowLevelMart
 
@@ -20,8 +24,9 @@ def load_mart(
     key: str,
     rules: Expectations,
     max_rows: int | None = None,
-) -> None:
-    """Project ``data`` to ``schema``, check it, and upsert it into ``mart`` by ``key``.
+) -> DataFrame:
+    """Project ``data`` to ``schema``, check it, and upsert it into ``mart`` by ``key``; the rows
+    that were loaded, as they are staged.
 
     The target is neither created nor changed before all rules hold. A fan-out is checked from
     its counts, also for merge conflicts, before any of its rows exist. The joins run once: their
@@ -45,3 +50,24 @@ def load_mart(
         mart.merge(batch, key)
     else:
         mart.create(batch)
+    return batch
+
+
+def load_and_publish(
+    data: DataFrame | FanoutJoin,
+    mart: MartTable | RowLevelMart,
+    schema: T.StructType,
+    key: str,
+    rules: Expectations,
+    contract: Contract | AnyContract,
+    send: Callable[[DataFrame], None],
+    folder: str,
+    max_rows: int | None = None,
+) -> DataFrame:
+    """Load a batch, then publish its rows as messages keyed by ``key``; the report of ``publish``.
+
+    Nothing is published of a batch that was not loaded. Messages that break the contract are kept
+    below ``folder``, and the rows they are of stay in the mart.
+    """
+    loaded = load_mart(data, mart, schema, key, rules, max_rows)
+    return publish(table_messages(loaded, key), contract, send, folder)

@@ -5,10 +5,13 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from martloom.functions.contract import Contract
 from martloom.operators.fanout import FanoutTooLarge
 from martloom.operators.quality import Expectations, ExpectationsFailed
 from martloom.operators.upsert import MergeConflict
+from martloom.plans.loading import load_and_publish
 from martloom.plans.sales_mart import (
+    EXPECTATIONS,
     MERGE_KEY,
     PARTITION,
     SOURCES,
@@ -18,6 +21,7 @@ from martloom.plans.sales_mart import (
     preview,
     wide_mart,
 )
+from martloom.sinks.messages import to_folder
 from martloom.sinks.tables import MartTable
 from martloom.sources.tables import TableSource, catalog_reader
 from tests.frames import plan_text, rows, settings
@@ -158,6 +162,25 @@ def test_wide_load_refuses_too_many_rows(read, mart):
     assert not mart.exists()
 
 
+def test_what_was_loaded_is_published(spark, read, mart, tmp_path):
+    contract = Contract({"transactionID": "integer", "cardNumber": "integer"}, ("transactionID",))
+    core = core_mart(read)
+    rest = (mart_schema(), MERGE_KEY, EXPECTATIONS, contract, to_folder(f"{tmp_path}/topic"))
+    report = load_and_publish(core, mart, *rest, f"{tmp_path}/checked")
+    assert report.first().asDict() == {
+        "n_due": 3, "n_sent": 2, "n_rejected": 1, "n_null_keys": 0,
+    }
+    sent = spark.read.parquet(f"{tmp_path}/topic")
+    assert sorted(row.key for row in sent.collect()) == ["1", "3"]  # 2 has no card number
+    assert mart.read().count() == 3
+    refused = Expectations(max_rows=1)
+    with pytest.raises(ExpectationsFailed):
+        load_and_publish(
+            core, mart, *rest[:2], refused, contract, to_folder(f"{tmp_path}/no"), f"{tmp_path}/no2"
+        )
+    assert not (tmp_path / "no").exists()
+
+
 def test_unknown_grain(read, mart):
     with pytest.raises(ValueError, match="grain must be one of core, wide"):
         load_sales_mart(read, mart, grain="daily")
