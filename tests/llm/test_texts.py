@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import string
 import time
 import zlib
 
@@ -216,6 +217,85 @@ def test_features_do_not_depend_on_the_block():
     assert np.allclose(*parts)
 
 
+def plain_features(text):
+    """The features of a text, counted one by one."""
+    raw = text.encode()
+
+    def kind(byte):
+        if byte == 10:
+            return 1
+        if byte == 32 or 9 <= byte <= 13:
+            return 0
+        for n, known in ((2, string.ascii_lowercase), (3, string.ascii_uppercase), (4, string.digits)):
+            if chr(byte) in known and byte < 128:
+                return n
+        return 5 if chr(byte) in ".,;:?" else 6 if byte < 128 else 7
+
+    kinds = [sum(kind(b) == n for b in raw) / max(len(raw), 1) for n in range(8)]
+    found = [w for w in re.split(rb"[ \t-\r]+", raw) if w]
+    n = max(len(found), 1)
+    of = lambda word, *wanted: sum(kind(b) in wanted for b in word)
+    share = lambda holds: sum(map(holds, found)) / n
+    mean = sum(map(len, found)) / n
+    spread = max(sum(len(w) ** 2 for w in found) / n - mean**2, 0)
+    pairs = list(zip(found, found[1:], strict=False)) if len(found) > 1 else [tuple(found)][: len(found)]
+    lines = [line for line in raw.split(b"\n") if line]
+    variety = lambda x: len(set(x)) / len(x) if x else 1.0
+    commonest = lambda x: max(map(x.count, x)) / len(x) if x else 0.0
+    return [
+        *kinds,
+        *[math.sqrt(k) for k in kinds],
+        kinds[3] / max(kinds[2] + kinds[3], 1e-9),
+        share(lambda w: not of(w, 2, 3, 7)),
+        share(lambda w: of(w, 3) == of(w, 2, 3, 7) > 1),
+        share(lambda w: of(w, 6) > 0),
+        share(lambda w: of(w, 6) > 0 < of(w, 2, 3, 7)),
+        share(lambda w: of(w, 4) > 0 < of(w, 2, 3, 7)),
+        math.log1p(mean),
+        math.log1p(math.sqrt(spread)),
+        math.log1p(len(found)),
+        variety(found), commonest(found), variety(pairs), commonest(pairs), variety(lines),
+        math.log1p(len(found) / max(len(lines), 1)),
+        float(not found),
+    ]
+
+
+def test_features_equal_plain_python(documents):
+    texts = [(row.text or "")[:3000] for row in documents.limit(40).collect()]
+    texts += [*ODD, "a a a b", "A1 b2, C|d", "\n\nx\n\nx\n", "ÄÖ äö"]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    ((_, data, offsets),) = text_blocks(iter([batch]), "text", 1 << 30)
+    found = quality.features(data, offsets)
+    expected = np.array([plain_features(text) for text in texts])
+    assert found.shape == expected.shape and np.allclose(found, expected, atol=1e-6)
+
+
+def test_weights_minimise_the_loss_of_the_pairs(monkeypatch):
+    monkeypatch.setattr(quality, "PAIRS", 400)
+    draw = np.random.default_rng(5)
+    width = len(plain_features(""))
+    better, worse = draw.normal(0.4, 1, (60, width)), draw.normal(0, 1, (50, width))
+    model = quality.fitted(better, worse, 0.5)
+    both = np.concatenate([better, worse])
+    scale = lambda rows: ((rows - both.mean(0)) / both.std(0)).clip(-10, 10)
+    random_pairs = np.random.default_rng(0)
+    one, two = random_pairs.integers(0, 60, 400), random_pairs.integers(0, 50, 400)
+
+    def loss(weights):
+        gaps = [scale(better)[a] - scale(worse)[b] for a, b in zip(one, two, strict=True)]
+        fit = sum(math.log1p(math.exp(-float(gap @ weights))) for gap in gaps) / 400
+        return fit + quality.RIDGE / 2 * float(weights @ weights)
+
+    least = loss(model.weights)
+    for _ in range(30):
+        assert loss(model.weights + draw.normal(0, 0.05, width)) > least
+    up, down = model.latent(better), model.latent(worse)
+    right = lambda t: (up >= t).mean() + (down < t).mean()
+    tried = np.quantile(np.concatenate([up, down]), np.arange(1, 200) / 200)
+    assert right(model.threshold) >= max(map(right, tried)) - 0.03
+    assert np.allclose(model.scores(better) >= 0.7, up >= model.threshold)
+
+
 # Tokens
 
 
