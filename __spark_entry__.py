@@ -102,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "wide_mart_star": retail.wide_mart_star,
         "inner_join_five_way": retail.inner_join_five_way,
         "fanout_report": retail.fanout_report,
+        "fanout_bound": retail.fanout_bound,
         "filter_not_null_count": retail.filter_not_null_count,
         "preview_limit": retail.preview_limit,
         "expect_not_null": retail.expect_not_null,
@@ -190,6 +191,8 @@ def oracle_sql() -> dict[str, str]:
                        FROM orders LEFT JOIN c ON o_custkey = c.k LEFT JOIN r ON o_custkey = r.k)
             SELECT count(*) AS fact_rows, CAST(sum(fanout) AS BIGINT) AS wide_rows,
                    max(fanout) AS max_fanout FROM f""",
+        "fanout_bound": f"""
+            SELECT count(*) AS wide_rows, true AS bound_holds FROM {WIDE}""",
         "filter_not_null_count": f"""
             SELECT count(*) AS row_count FROM {WIDE} WHERE event_type IS NOT NULL""",
         "preview_limit": """

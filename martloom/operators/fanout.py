@@ -63,6 +63,11 @@ FILTER_ROWS = 10_000_000
 FILTER_SHARE = 0.5
 
 
+# Counts per table and hash that bound the rows of a join, and how many hashes are tried.
+BOUND_BUCKETS = 1 << 16
+BOUND_HASHES = 3
+
+
 class FanoutTooLarge(RuntimeError):
     """The joined frame would hold more rows than the caller allows."""
 
@@ -238,6 +243,49 @@ class FanoutJoin:
             F.max("fanout").alias("max_fanout"),
         )
 
+    def row_bound(self, buckets: int = BOUND_BUCKETS, hashes: int = BOUND_HASHES) -> DataFrame:
+        """One row, ``row_bound``: a number of rows that the joined frame does not exceed.
+
+        Every table is counted per bucket of a hash of the key, and the counts of a bucket are
+        multiplied as those of a key would be. Keys that share a bucket only make the product
+        larger, so the sum over buckets is a bound for each hash, and the least of them is taken. A
+        task sends at most ``buckets`` rows for each hash, however many keys there are; an exact
+        count sends one for each key.
+        """
+        tables = (self.core, *self.sides)
+        names = [f"rows_{at}" for at in range(len(tables))]
+        kind = self.core.schema[self.key].dataType
+        ones = []
+        for at, table in enumerate(tables):
+            if at > 0 or self.how == "inner":
+                table = table.where(quoted(self.key).isNotNull())
+            # Hashes depend on the type, so all tables hash the key as the core has it, or as text.
+            same = all(t.schema[self.key].dataType == kind for t in tables)
+            key = quoted(self.key) if same else quoted(self.key).cast("string")
+            drawn = [
+                F.struct(
+                    F.lit(n).alias("hash"),
+                    F.pmod(F.xxhash64(key, F.lit(n)), F.lit(buckets)).alias("bucket"),
+                )
+                for n in range(hashes)
+            ]
+            counts = [F.lit(1 if name == names[at] else 0).alias(name) for name in names]
+            ones.append(table.select(F.inline(F.array(*drawn)), *counts))
+        united = reduce(DataFrame.unionAll, ones).groupBy("hash", "bucket")
+        held = united.agg(*[F.sum(name).cast("double").alias(name) for name in names])
+        least = 1.0 if self.how == "left" else 0.0
+        factors = [F.greatest(F.col(name), F.lit(least)) for name in names[1:]]
+        product = reduce(mul, factors, F.col(names[0]))
+        sums = held.groupBy("hash").agg(F.sum(product).alias("bound"))
+        return sums.agg(F.coalesce(F.min("bound"), F.lit(0.0)).alias("row_bound"))
+
+    def stays_within(self, rows: int) -> bool:
+        """Whether the joined frame has at most so many rows; keys are counted only if a bound from
+        far fewer counts does not tell already."""
+        if self.row_bound().first().row_bound <= rows:
+            return True
+        return self.summary().first().joined_rows <= rows
+
     def null_counts(self, columns: Sequence[str] = ()) -> DataFrame:
         """One row: ``rows`` of the joined frame and ``nulls_j`` of each column in it."""
         totals = [F.coalesce(F.sum(self._product()), F.lit(0)).alias("rows")]

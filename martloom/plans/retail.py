@@ -150,6 +150,15 @@ def fanout_report(spark: SparkSession, folder: str) -> DataFrame:
     return _wide(spark, folder).summary().toDF("fact_rows", "wide_rows", "max_fanout")
 
 
+def fanout_bound(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the wide mart, and whether the bound from hashed counts holds, also a rough one."""
+    wide = _wide(spark, folder)
+    fine = wide.row_bound().first().row_bound
+    rough = wide.row_bound(buckets=64, hashes=2).first().row_bound
+    holds = (F.lit(fine) >= F.col("joined_rows")) & F.lit(rough >= fine)
+    return wide.summary().select(F.col("joined_rows").alias("wide_rows"), holds.alias("bound_holds"))
+
+
 def filter_not_null_count(spark: SparkSession, folder: str) -> DataFrame:
     return _wide(spark, folder).count_present("event_type")
 

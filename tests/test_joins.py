@@ -453,3 +453,36 @@ def test_filters_never_stop_a_key_that_was_put_in(spark):
         others = spark.range(10**6, 10**6 + 3000).selectExpr(f"{value} AS k")
         assert found.passed(others, "k").count() <= 90
         assert KeyFilter.of(keys.limit(0), "test-keys").passed(keys, "k").isEmpty()
+
+
+# -- bounds ----------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_a_bound_is_never_below_the_rows(spark, how):
+    rng = random.Random(how)
+    for _ in range(4):
+        frames = [
+            spark.createDataFrame(
+                [(rng.choice([None, 7, rng.randrange(40)]), at) for at in range(60)],
+                f"k {kind}, c{n} int",
+            )
+            for n, kind in enumerate(("int", "bigint", "int"))
+        ]
+        join = FanoutJoin(frames[0], "k", tuple(frames[1:]), how)
+        rows_held = join.summary().first().joined_rows
+        bounds = [join.row_bound(*size).first().row_bound for size in ((1 << 16, 3), (8, 2), (1, 1))]
+        assert rows_held <= bounds[0] <= bounds[1] <= bounds[2]
+        assert bounds[0] <= 1.01 * rows_held  # hardly a bucket is shared
+        assert join.stays_within(rows_held) and not join.stays_within(rows_held - 1)
+    nothing = FanoutJoin(frames[0].limit(0), "k", tuple(frames[1:]), how)
+    assert nothing.row_bound().first().row_bound == 0
+
+
+def test_keys_are_counted_only_if_the_bound_does_not_tell(spark, monkeypatch):
+    core, one, _ = mostly_idle(spark, 2000)
+    join = FanoutJoin(core, "k", (one,))
+    monkeypatch.setattr(FanoutJoin, "summary", None)
+    assert join.stays_within(10_000)
+    plan = plan_text(join.row_bound())
+    assert "hashpartitioning(hash" in plan and "hashpartitioning(key" not in plan
