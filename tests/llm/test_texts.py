@@ -296,6 +296,63 @@ def test_weights_minimise_the_loss_of_the_pairs(monkeypatch):
     assert np.allclose(model.scores(better) >= 0.7, up >= model.threshold)
 
 
+def labelled(spark, n, seed=7):
+    """``n`` documents of words and marks, and labels that both kinds of documents have."""
+    draw = np.random.default_rng(seed)
+    docs, labels = [], []
+    for at in range(n):
+        good = int(draw.random() < 0.4)
+        word = lambda p: "ab1 " if draw.random() < p else "Some words, "
+        p = draw.beta(2, 4) if good else draw.beta(4, 2)
+        docs.append((at, "".join(word(p) for _ in range(draw.integers(3, 30)))))
+        labels.append((at, good))
+    return (
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(labels, "doc_id long, quality int"),
+    )
+
+
+def test_fit_sees_all_labelled_documents_and_all_their_pairs(spark):
+    """The least loss over all pairs, and the best threshold of all scores, from whatever start."""
+    docs, labels = labelled(spark, 300)
+    model = quality.learned(docs, labels, 10)
+    other = quality.learned(docs, labels, 60)
+    assert np.allclose(model.weights, other.weights, atol=2e-3)
+    text = {row.doc_id: row.text for row in docs.collect()}
+    mark = {row.doc_id: row.quality for row in labels.collect()}
+    rows = np.array([plain_features(text[n]) for n in sorted(text)])
+    good = np.array([mark[n] for n in sorted(text)]) == 1
+    assert np.allclose(model.center, rows.mean(0)) and np.allclose(
+        model.scale, np.maximum(rows.std(0), 1e-6), atol=1e-6
+    )
+    own = model.standard(rows)
+
+    def slope(weights):
+        scores = own @ weights
+        lost = 1 / (1 + np.exp(scores[good][:, None] - scores[~good]))
+        fall = lost.sum(1) @ own[good] - lost.sum(0) @ own[~good]
+        return quality.RIDGE * weights - fall / lost.size
+
+    assert np.abs(slope(model.weights)).max() < 1e-4
+    up, down = model.latent(rows[good]), model.latent(rows[~good])
+    right = lambda t: (up >= t).mean() + (down < t).mean()
+    scores = np.sort(np.concatenate([up, down]))
+    assert right(model.threshold) >= max(map(right, scores)) - 1e-9
+
+
+def test_repeated_labelled_documents_count_once(spark):
+    """A doc_id with several texts counts with the smallest, with several labels with the lowest."""
+    docs, labels = labelled(spark, 80)
+    more = docs.where("doc_id < 9").unionAll(
+        docs.where("doc_id < 5").selectExpr("doc_id", "concat(text, 'zz ZZ !!') AS text")
+    )
+    twice = labels.where("doc_id < 20").unionAll(labels.where("quality = 0").selectExpr("doc_id", "1"))
+    one, two = quality.learned(docs, labels), quality.learned(
+        docs.unionAll(more), labels.unionAll(twice)
+    )
+    assert np.array_equal(one.weights, two.weights) and one.threshold == two.threshold
+
+
 # Tokens
 
 
