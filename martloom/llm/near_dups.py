@@ -274,6 +274,8 @@ def _parents(edges: DataFrame) -> DataFrame:
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours go to the smallest of its neighbourhood."""
     parents = _parents(edges).withColumnRenamed("high", "low")
+    # Only of a node that others point at the parent is asked for, and copied.
+    parents = parents.join(edges.select("low").distinct(), "low", "left_semi")
     found = salted_join(edges, parents, ["low"], "left", STAR_SALTS)
     return found.select("high", F.coalesce("parent", "low").alias("low")).distinct()
 

@@ -22,9 +22,10 @@ distinct shingles. Two documents are linked if their sets have a Jaccard similar
 4. **Cells.** Classes with an equal key form a bucket, buckets with the same members count once. Members
    carry no set, but a parity sketch of its tokens: the bits in which two sketches differ are never
    more than the tokens in which the sets differ. In a cell, pairs that size, number of shareable
-   tokens and sketches allow are proposed, the likeliest first, until those allowed are connected.
-5. **Verification** with the full sets. If a proposed pair is refused, its cell proposes again, and after
-   ``ROUNDS`` times everything it has left. Then every allowed pair of a cell is connected or refused.
+   tokens and sketches allow are proposed, the surest first, until those allowed are connected.
+5. **Verification** with the full sets. If a proposed pair is refused, its cell proposes again if it has
+   more, each time ``EXTRA`` times as many for a component, and after ``ROUNDS`` times everything it
+   has left. Then every allowed pair of a cell is connected or refused.
 6. A bucket of several cells, each with the bucket's smallest member, is gone through again if its
    members ended in several components: those outside its largest component meet all others.
 
@@ -40,6 +41,7 @@ with its set, else NULL. Similarities are compared as integers. Other columns ar
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -69,6 +71,10 @@ CELL = 4096
 CELL_BYTES = 1 << 25
 SKETCH = 4  # bits a token, at least
 ROUNDS = 4
+# Pairs above a forest that a component may have in the second round; in each later one as many times
+# more. A pair is sure if it is linked though tokens undo each other by so many deviations more.
+EXTRA = 8
+DOUBT = 2
 PAIRS_A_GROUP = 64
 
 
@@ -348,10 +354,70 @@ class Members:
     spares: np.ndarray
     sketches: list[bytes]
 
-    def proposals(self, percent: int, refused: set[tuple[int, int]], everything: bool):
-        """Pairs of nodes that may be linked and are not connected yet. Unless ``everything`` is
-        asked for, only enough of them to connect what they allow."""
+    def proposals(
+        self, percent: int, refused: set[tuple[int, int]], extra: int, everything: bool
+    ) -> tuple[list[tuple[int, int]], bool]:
+        """Pairs of nodes that may be linked and are not connected yet, and whether there are more.
+
+        Unless ``everything`` is asked for, only enough of them to connect what they allow: those
+        first whose sketches leave no doubt, then the likeliest. A component may have ``extra``
+        pairs above these, in case that they are refused.
+        """
         roots = self.roots.copy()
+        found: list[tuple[int, int]] = []
+        doubtful, more = [], False
+        for first, others, apart, bits, left in self._near(roots, percent, everything):
+            more |= left
+            slack, sure = self._slack(first, others, apart, bits, percent)
+            if everything:
+                sure[:] = True
+            order = np.argsort(apart, kind="stable")
+            for other in others[order][sure[order]].tolist():
+                pair = self._pair(first, other)
+                if roots[other] == roots[first] or pair in refused:
+                    continue
+                found.append(pair)
+                if not everything:
+                    roots[roots == roots[other]] = roots[first]
+            rest = np.flatnonzero(~sure & (roots[others] != roots[first]))
+            if len(rest):
+                doubtful.append((np.full(len(rest), first, np.int32), others[rest], slack[rest]))
+        if doubtful:
+            one, two, slack = (np.concatenate(part) for part in zip(*doubtful, strict=True))
+            order = np.argsort(-slack, kind="stable")
+            used: Counter[int] = Counter()
+            for a, b in zip(one[order].tolist(), two[order].tolist(), strict=True):
+                pair = self._pair(a, b)
+                if pair in refused:
+                    continue
+                own = int(self.roots[a]), int(self.roots[b])
+                joined = roots[a] == roots[b]
+                if joined and min(used[own[0]], used[own[1]]) >= extra:
+                    more = True
+                    continue
+                found.append(pair)
+                if joined:
+                    used.update(own)
+                else:
+                    roots[roots == roots[b]] = roots[a]
+        return found, more
+
+    def _pair(self, first: int, other: int) -> tuple[int, int]:
+        a, b = int(self.nodes[first]), int(self.nodes[other])
+        return (a, b) if a < b else (b, a)
+
+    def _slack(self, first, others, apart, bits, percent):
+        """By how many tokens less than allowed two sets differ, about; and whether that is sure."""
+        total = self.sizes[first] + self.sizes[others]
+        allowed = total - 2 * least_shared(percent, total)
+        # Two tokens on the same bit undo each other. Of d tokens on m bits about d * d / m do.
+        share = np.minimum(2 * apart / bits, 1 - 1e-9)
+        differ = -bits / 2 * np.log1p(-share)
+        return allowed - differ, differ * (1 + DOUBT * np.sqrt(2 / bits)) <= allowed
+
+    def _near(self, roots: np.ndarray, percent: int, everything: bool):
+        """For each member the later ones that sketches allow: itself, the others, in how many of how
+        many bits they differ, and whether connected ones were passed over."""
         lengths = np.array([len(one) for one in self.sketches])
         matrix, folded = {}, {}
         for length in np.unique(lengths).tolist():
@@ -362,48 +428,37 @@ class Members:
             if length >= 16:
                 half = whole.shape[1] // 2
                 folded[length // 2] = (rows, whole[:, :half] ^ whole[:, half:])
-        found = []
         for length, (rows, whole) in matrix.items():
-            for at, first in enumerate(rows):
+            for at, first in enumerate(rows.tolist()):
                 for others, bits in (
                     (rows[at + 1 :], whole[at + 1 :]),
                     folded.get(length, (rows[:0], whole[:0])),
                 ):
-                    if len(others):
-                        found += self._near(
-                            first, whole[at], others, bits, roots, percent, refused, everything
-                        )
-        return found
-
-    def _near(self, first, own, others, bits, roots, percent, refused, everything):
-        total = self.sizes[first] + self.sizes[others]
-        least = least_shared(percent, total)
-        fits = np.flatnonzero(
-            (roots[others] != roots[first])
-            & (np.minimum(self.sizes[first], self.sizes[others]) >= least)
-            & (np.minimum(self.spares[first], self.spares[others]) >= least)
-        )
-        if not len(fits):
-            return []
-        apart = np.bitwise_count(bits[fits] ^ own).sum(1, dtype=np.int64)
-        near = apart <= total[fits] - 2 * least[fits]
-        order = np.argsort(apart[near], kind="stable")
-        found = []
-        for other in others[fits[near][order]].tolist():
-            a, b = sorted((int(self.nodes[first]), int(self.nodes[other])))
-            if roots[other] == roots[first] or (a, b) in refused:
-                continue
-            found.append((a, b))
-            if not everything:
-                roots[roots == roots[other]] = roots[first]
-        return found
+                    total = self.sizes[first] + self.sizes[others]
+                    least = least_shared(percent, total)
+                    fits = np.flatnonzero(
+                        (self.roots[others] != self.roots[first])
+                        & (np.minimum(self.sizes[first], self.sizes[others]) >= least)
+                        & (np.minimum(self.spares[first], self.spares[others]) >= least)
+                    )
+                    apart_yet = roots[others[fits]] != roots[first]
+                    left = not everything and not apart_yet.all()
+                    if not everything:
+                        fits = fits[apart_yet]
+                    if not len(fits):
+                        if left:
+                            yield first, others[:0], np.zeros(0, np.int64), 8 * length, left
+                        continue
+                    apart = np.bitwise_count(bits[fits] ^ whole[at]).sum(1, dtype=np.int64)
+                    near = apart <= total[fits] - 2 * least[fits]
+                    yield first, others[fits[near]], apart[near], 8 * length, left
 
 
 CELL_KEYS = ("key", "block", "other")
 
 
-def proposed(cells: DataFrame, percent: int, everything: bool) -> DataFrame:
-    """``key, block, other, a, b``: pairs that the cells propose.
+def proposed(cells: DataFrame, percent: int, extra: int, everything: bool) -> DataFrame:
+    """``key, block, other, a, b, more``: pairs that the cells propose, and whether they have more.
 
     ``cells``: the cell, then node, root, n, spare, sketch of a member; or node and ``mate``, a pair
     that was refused.
@@ -429,14 +484,16 @@ def proposed(cells: DataFrame, percent: int, everything: bool) -> DataFrame:
                 values = [column[own].astype(np.int64) for column in columns]
                 cell = Members(*values, [sketches[at].as_py() for at in own.tolist()])
                 cell_name = tuple(int(name[a]) for name in names)
-                pairs = cell.proposals(percent, refused, everything)
-                found += [(*cell_name, *pair) for pair in pairs]
+                pairs, more = cell.proposals(percent, refused, extra, everything)
+                found += [(*cell_name, *pair, more) for pair in pairs]
             if found:
-                arrays = [pa.array(x, pa.int64()) for x in zip(*found, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, [*CELL_KEYS, "a", "b"])
+                *numbers, more = zip(*found, strict=True)
+                arrays = [*(pa.array(x, pa.int64()) for x in numbers), pa.array(more)]
+                yield pa.RecordBatch.from_arrays(arrays, [*CELL_KEYS, "a", "b", "more"])
 
     dealt = cells.repartition(*CELL_KEYS).sortWithinPartitions(*CELL_KEYS, "node")
-    return dealt.mapInArrow(run, "key long, block long, other long, a long, b long")
+    out = "key long, block long, other long, a long, b long, more boolean"
+    return dealt.mapInArrow(run, out)
 
 
 def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int):
@@ -502,11 +559,11 @@ def verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int,
 
 
 def settled(
-    cells: DataFrame, marks: DataFrame, links: DataFrame, found: DataFrame, verify, percent: int
-) -> tuple[DataFrame, DataFrame]:
-    """All links so far and the components they give, when every pair that a cell allows is connected
-    or refused. ``cells``: key, block, other, node; ``marks``: node, n, spare, sketch; ``links`` and
-    ``found``: those so far, and their components."""
+    cells: DataFrame, marks: DataFrame, found: DataFrame, verify, percent: int
+) -> DataFrame:
+    """The components of all links so far, when every pair that a cell allows is connected or refused.
+    ``cells``: key, block, other, node; ``marks``: node, n, spare, sketch; ``found``: the components
+    so far."""
     refused = None
     for turn in range(ROUNDS + 1):
         rooted = cells.join(marks, "node").join(found, "node", "left")
@@ -517,21 +574,27 @@ def settled(
         if refused is not None:
             gone = refused.select(*CELL_KEYS, F.col("a").alias("node"), F.col("b").alias("mate"))
             rooted = rooted.unionByName(gone, allowMissingColumns=True)
-        offers = staged(proposed(rooted, percent, turn == ROUNDS), "join-offers")
+        extra = EXTRA**turn if turn else 0
+        offers = staged(proposed(rooted, percent, extra, turn == ROUNDS), "join-offers")
         if offers.isEmpty():
             break
         checked = staged(verify(offers.select("a", "b").distinct()), "join-checked")
-        links = staged(links.unionAll(checked.where("linked").select("a", "b")), "join-links")
-        found = components(links)
-        bad = offers.join(checked.where("NOT linked").select("a", "b"), ["a", "b"])
-        bad = bad.select(*CELL_KEYS, "a", "b")
-        refused = staged(bad if refused is None else refused.unionAll(bad), "join-refused")
-        fresh = staged(bad.select(*CELL_KEYS).distinct(), "join-again")
-        if turn == ROUNDS or fresh.isEmpty():
+        linked = checked.where("linked").select("a", "b")
+        if not linked.isEmpty():
+            known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            found = components(known.unionAll(linked))
+        if turn == ROUNDS:
             break
+        # A cell that has proposed all it may is done, whatever was refused.
+        bad = offers.where("more").join(checked.where("NOT linked").select("a", "b"), ["a", "b"])
+        bad = staged(bad.select(*CELL_KEYS, "a", "b"), "join-refused")
+        if bad.isEmpty():
+            break
+        refused = bad if refused is None else refused.unionAll(bad)
+        fresh = staged(bad.select(*CELL_KEYS).distinct(), "join-again")
         cells = staged(cells.join(fresh, list(CELL_KEYS), "left_semi"), "join-cells")
         refused = staged(refused.join(fresh, list(CELL_KEYS), "left_semi"), "join-refused")
-    return links, found
+    return found
 
 
 def first_cells(marks: DataFrame, cell: int) -> tuple[DataFrame, DataFrame]:
@@ -634,14 +697,13 @@ def joined(docs: DataFrame, width: int = 5, percent: int = 80, cell: int = CELL)
         return verified(pairs, classes, texts, width, percent)
 
     sketches = marks.select("node", "n", "spare", "sketch")
-    links = spark.createDataFrame([], "a long, b long")
     found = spark.createDataFrame([], "node long, component long")
     cells = staged(cells, "join-cells")
-    links, found = settled(cells, sketches, links, found, verify, percent)
+    found = settled(cells, sketches, found, verify, percent)
     wide = members.where("blocks > 1")
     if not wide.isEmpty():
         crossed = staged(cross_cells(wide, found, cell), "join-cells")
-        links, found = settled(crossed, sketches, links, found, verify, percent)
+        found = settled(crossed, sketches, found, verify, percent)
     rooted = classes.join(found, "node", "left").select(
         *same, "doc_id", F.coalesce("component", "node").alias("root")
     )

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from martloom.llm import near_dups
 from martloom.llm import shingle_join as join
 from tests.llm.test_near_dups import brute, shingles
 
@@ -122,6 +123,61 @@ def test_number_of_keys_grows_with_the_set_only(spark):
         assert not len(join.keys_of(np.sort(tokens), np.zeros(n, np.uint8), 80))
 
 
+def near_copies(seed, size):
+    """Sketches of copies of one set, each with a few tokens of its own, and their true distances."""
+    draw = np.random.default_rng(seed)
+    base = draw.integers(0, 2**63, 90).astype(np.uint64)
+    sets = []
+    for at in range(size):
+        own = draw.random(90) >= (0.5 if at % 10 == 0 else 0.05)
+        other = draw.integers(0, 2**63, 90 - own.sum()).astype(np.uint64)
+        sets.append(np.sort(np.concatenate([base[own], other])))
+    sizes = np.full(size, 90)
+    sketches = [join.sketch(one) for one in sets]
+    linked = lambda a, b: len(np.intersect1d(sets[a], sets[b])) >= join.least_shared(80, 180)
+    return join.Members(np.arange(size), np.arange(size), sizes, sizes, sketches), linked
+
+
+def test_sure_pairs_first_and_few_refused():
+    """A forest is proposed; pairs near the bound wait until all sure ones are."""
+    cell, linked = near_copies(1, 150)
+    found, more = cell.proposals(80, set(), 0, False)
+    assert more and len(found) < 150
+    refused = {pair for pair in found if not linked(*pair)}
+    # Tied to the first that its sketch allows, 14 of these would be refused.
+    assert len(refused) <= 5
+    again, _ = cell.proposals(80, refused, 8, False)
+    assert not refused & set(again) and len(again) == len(set(again))
+
+
+def test_a_cell_knows_when_nothing_is_left():
+    cell, linked = near_copies(2, 2)
+    cell.roots[:] = [0, 1]
+    found, more = cell.proposals(80, set(), 0, False)
+    assert len(found) <= 1 and not more
+    cell, linked = near_copies(3, 40)
+    whole, more = cell.proposals(80, set(), 0, True)
+    assert not more and len(whole) == len(set(whole))
+    assert {(a, b) for a in range(40) for b in range(a + 1, 40) if linked(a, b)} <= set(whole)
+    seen = set()
+    for turn in range(join.ROUNDS + 1):
+        extra = join.EXTRA**turn if turn else 0
+        found, more = cell.proposals(80, seen, extra, turn == join.ROUNDS)
+        assert not seen & set(found)
+        seen |= set(found)  # all of them refused
+        if not more:
+            break
+    assert seen == set(whole)
+
+
+def test_parents_are_copied_only_where_asked_for(spark):
+    """A star's members are at no one's lower end, so that no copies of them are made."""
+    edges = spark.range(1, 2000).selectExpr("id AS high", "0L AS low")
+    asked = near_dups._large_star(edges)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" in asked
+    assert near_dups._large_star(edges).count() == 1999
+
+
 def test_numbers_survive_packing():
     for values in ([], [0, 5, 2**32 - 1], [1, 2**40]):
         values = np.array(values, np.uint64)
