@@ -25,7 +25,8 @@ distinct shingles. Two documents are linked if their sets have a Jaccard similar
    tokens and sketches allow are proposed, the surest first, until those allowed are connected.
 5. **Verification** with the full sets. If a proposed pair is refused, its cell proposes again if it has
    more, each time ``EXTRA`` times as many for a component, and after ``ROUNDS`` times everything it
-   has left. Then every allowed pair of a cell is connected or refused.
+   has left. From the second time on it names the members of the pairs left, and only these are read
+   again. Then every allowed pair of a cell is connected or refused.
 6. A bucket of several cells, each with the bucket's smallest member, is gone through again if its
    members ended in several components: those outside its largest component meet all others.
 
@@ -356,32 +357,46 @@ class Members:
 
     def proposals(
         self, percent: int, refused: set[tuple[int, int]], extra: int, everything: bool
-    ) -> tuple[list[tuple[int, int]], bool]:
-        """Pairs of nodes that may be linked and are not connected yet, and whether there are more.
+    ) -> tuple[list[tuple[int, int]], list[int]]:
+        """Pairs of nodes that may be linked and are not connected yet, and the members that have more.
 
         Unless ``everything`` is asked for, only enough of them to connect what they allow: those
         first whose sketches leave no doubt, then the likeliest. A component may have ``extra``
-        pairs above these, in case that they are refused.
+        pairs above these, in case that they are refused. Without any, pairs that are passed over
+        are told by sizes alone, so that more members may seem to have them.
         """
         roots = self.roots.copy()
         found: list[tuple[int, int]] = []
-        doubtful, more = [], False
-        for first, others, apart, bits, left in self._near(roots, percent, everything):
-            more |= left
+        doubtful, left = [], np.zeros(len(self.nodes), bool)
+        mates: dict[int, list[int]] = {}
+        for a, b in refused:
+            mates.setdefault(a, []).append(b)
+            mates.setdefault(b, []).append(a)
+        for first, others, apart, bits, passed in self._near(roots, percent, extra, everything):
             slack, sure = self._slack(first, others, apart, bits, percent)
             if everything:
                 sure[:] = True
             order = np.argsort(apart, kind="stable")
+            met = []
             for other in others[order][sure[order]].tolist():
                 pair = self._pair(first, other)
-                if roots[other] == roots[first] or pair in refused:
+                if pair in refused:
+                    continue
+                if roots[other] == roots[first]:
+                    met.append(other)
                     continue
                 found.append(pair)
                 if not everything:
                     roots[roots == roots[other]] = roots[first]
-            rest = np.flatnonzero(~sure & (roots[others] != roots[first]))
+            apart_yet = roots[others] != roots[first]
+            rest = np.flatnonzero(~sure & apart_yet)
             if len(rest):
                 doubtful.append((np.full(len(rest), first, np.int32), others[rest], slack[rest]))
+            passed = np.concatenate([passed, np.array(met, np.int64), others[~sure & ~apart_yet]])
+            if gone := mates.get(int(self.nodes[first])):
+                passed = passed[~np.isin(self.nodes[passed], gone)]
+            if len(passed):
+                left[passed] = left[first] = True
         if doubtful:
             one, two, slack = (np.concatenate(part) for part in zip(*doubtful, strict=True))
             order = np.argsort(-slack, kind="stable")
@@ -393,14 +408,14 @@ class Members:
                 own = int(self.roots[a]), int(self.roots[b])
                 joined = roots[a] == roots[b]
                 if joined and min(used[own[0]], used[own[1]]) >= extra:
-                    more = True
+                    left[a] = left[b] = True
                     continue
                 found.append(pair)
                 if joined:
                     used.update(own)
                 else:
                     roots[roots == roots[b]] = roots[a]
-        return found, more
+        return found, self.nodes[left].tolist()
 
     def _pair(self, first: int, other: int) -> tuple[int, int]:
         a, b = int(self.nodes[first]), int(self.nodes[other])
@@ -415,9 +430,10 @@ class Members:
         differ = -bits / 2 * np.log1p(-share)
         return allowed - differ, differ * (1 + DOUBT * np.sqrt(2 / bits)) <= allowed
 
-    def _near(self, roots: np.ndarray, percent: int, everything: bool):
+    def _near(self, roots: np.ndarray, percent: int, extra: int, everything: bool):
         """For each member the later ones that sketches allow: itself, the others, in how many of how
-        many bits they differ, and whether connected ones were passed over."""
+        many bits they differ, and those passed over as they are connected by now; these are not
+        compared by sketches if there is no ``extra``."""
         lengths = np.array([len(one) for one in self.sketches])
         matrix, folded = {}, {}
         for length in np.unique(lengths).tolist():
@@ -441,17 +457,18 @@ class Members:
                         & (np.minimum(self.sizes[first], self.sizes[others]) >= least)
                         & (np.minimum(self.spares[first], self.spares[others]) >= least)
                     )
-                    apart_yet = roots[others[fits]] != roots[first]
-                    left = not everything and not apart_yet.all()
-                    if not everything:
-                        fits = fits[apart_yet]
-                    if not len(fits):
-                        if left:
-                            yield first, others[:0], np.zeros(0, np.int64), 8 * length, left
-                        continue
+                    passed = fits[:0]
+                    if not everything and not extra:
+                        apart_yet = roots[others[fits]] != roots[first]
+                        passed, fits = fits[~apart_yet], fits[apart_yet]
                     apart = np.bitwise_count(bits[fits] ^ whole[at]).sum(1, dtype=np.int64)
                     near = apart <= total[fits] - 2 * least[fits]
-                    yield first, others[fits[near]], apart[near], 8 * length, left
+                    fits, apart = fits[near], apart[near]
+                    if extra and not everything:
+                        apart_yet = roots[others[fits]] != roots[first]
+                        passed, fits, apart = fits[~apart_yet], fits[apart_yet], apart[apart_yet]
+                    if len(fits) or len(passed):
+                        yield first, others[fits], apart, 8 * length, others[passed]
 
 
 CELL_KEYS = ("key", "block", "other")
@@ -459,6 +476,7 @@ CELL_KEYS = ("key", "block", "other")
 
 def proposed(cells: DataFrame, percent: int, extra: int, everything: bool) -> DataFrame:
     """``key, block, other, a, b, more``: pairs that the cells propose, and whether they have more.
+    With ``extra``, a row of a cell without ``b`` names a member that has more pairs.
 
     ``cells``: the cell, then node, root, n, spare, sketch of a member; or node and ``mate``, a pair
     that was refused.
@@ -484,8 +502,10 @@ def proposed(cells: DataFrame, percent: int, extra: int, everything: bool) -> Da
                 values = [column[own].astype(np.int64) for column in columns]
                 cell = Members(*values, [sketches[at].as_py() for at in own.tolist()])
                 cell_name = tuple(int(name[a]) for name in names)
-                pairs, more = cell.proposals(percent, refused, extra, everything)
-                found += [(*cell_name, *pair, more) for pair in pairs]
+                pairs, left = cell.proposals(percent, refused, extra, everything)
+                found += [(*cell_name, *pair, bool(left)) for pair in pairs]
+                if extra:
+                    found += [(*cell_name, node, None, True) for node in left]
             if found:
                 *numbers, more = zip(*found, strict=True)
                 arrays = [*(pa.array(x, pa.int64()) for x in numbers), pa.array(more)]
@@ -575,7 +595,8 @@ def settled(
             gone = refused.select(*CELL_KEYS, F.col("a").alias("node"), F.col("b").alias("mate"))
             rooted = rooted.unionByName(gone, allowMissingColumns=True)
         extra = EXTRA**turn if turn else 0
-        offers = staged(proposed(rooted, percent, extra, turn == ROUNDS), "join-offers")
+        told = staged(proposed(rooted, percent, extra, turn == ROUNDS), "join-offers")
+        offers = told.where("b IS NOT NULL")
         if offers.isEmpty():
             break
         checked = staged(verify(offers.select("a", "b").distinct()), "join-checked")
@@ -592,6 +613,8 @@ def settled(
             break
         refused = bad if refused is None else refused.unionAll(bad)
         fresh = staged(bad.select(*CELL_KEYS).distinct(), "join-again")
+        if turn:
+            cells = told.where("b IS NULL").select(*CELL_KEYS, F.col("a").alias("node"))
         cells = staged(cells.join(fresh, list(CELL_KEYS), "left_semi"), "join-cells")
         refused = staged(refused.join(fresh, list(CELL_KEYS), "left_semi"), "join-refused")
     return found

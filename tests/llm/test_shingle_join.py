@@ -170,6 +170,23 @@ def test_a_cell_knows_when_nothing_is_left():
     assert seen == set(whole)
 
 
+def test_a_cell_names_the_members_of_the_pairs_left():
+    """Exactly these are read again; without extra pairs at least these."""
+    members = lambda pairs: {node for pair in pairs for node in pair}
+    for seed, extra in ((4, 1), (5, 8), (6, 64)):
+        cell, _ = near_copies(seed, 80)
+        whole, _ = cell.proposals(80, set(), 0, True)
+        found, left = cell.proposals(80, set(), 0, False)
+        assert members(set(whole) - set(found)) <= set(left)
+        cell.roots[np.arange(80) % 10 != 0] = 1
+        whole, _ = cell.proposals(80, set(), 0, True)
+        refused = set(whole[::3])
+        found, left = cell.proposals(80, refused, extra, False)
+        assert not refused & set(found)
+        assert set(left) == members(set(whole) - refused - set(found))
+    assert len(left) < 80
+
+
 def test_parents_are_copied_only_where_asked_for(spark):
     """A star's members are at no one's lower end, so that no copies of them are made."""
     edges = spark.range(1, 2000).selectExpr("id AS high", "0L AS low")
