@@ -267,13 +267,9 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("high").alias("node"), F.col("low").alias("component"))
 
 
-def _parents(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("high").agg(F.min("low").alias("parent"))
-
-
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours go to the smallest of its neighbourhood."""
-    parents = _parents(edges).withColumnRenamed("high", "low")
+    parents = edges.groupBy(F.col("high").alias("low")).agg(F.min("low").alias("parent"))
     # Only of a node that others point at the parent is asked for, and copied.
     parents = parents.join(edges.select("low").distinct(), "low", "left_semi")
     found = salted_join(edges, parents, ["low"], "left", STAR_SALTS)
@@ -282,10 +278,32 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours go to the smallest of these."""
-    found = salted_join(edges, _parents(edges), ["high"], "inner", STAR_SALTS)
-    own = found.select("high", F.col("parent").alias("low"))
+    salt = F.pmod(F.xxhash64("high", "low"), F.lit(STAR_SALTS)).cast("int").alias("salt")
+    dealt = edges.select("high", "low", salt)
+    parents = _parents(dealt)
+    found = dealt.join(_copied(parents), ["high", "salt"]).where("low > parent")
     others = found.select(F.col("low").alias("high"), F.col("parent").alias("low"))
-    return own.unionAll(others.where("high <> low")).distinct()
+    own = parents.select("high", F.col("parent").alias("low"))
+    return own.unionAll(others).distinct()
+
+
+def _parents(dealt: DataFrame) -> DataFrame:
+    """Of each node the smallest and the last neighbour, and a bit for each salt of its edges."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("salt"))
+    return dealt.groupBy("high").agg(
+        F.min("low").alias("parent"), F.max("low").alias("last"), F.bit_or(bit).alias("held")
+    )
+
+
+def _copied(parents: DataFrame) -> DataFrame:
+    """``high, parent, salt``: no more copies of a parent than its node has edges.
+
+    A node with a single smaller neighbour has no other to move, and its parent is not copied.
+    """
+    salts = F.sequence(F.lit(0), F.lit(STAR_SALTS - 1))
+    held = F.filter(salts, lambda at: F.bit_get("held", at) == 1)
+    several = parents.where("parent < last")
+    return several.select("high", "parent", F.explode(held).alias("salt"))
 
 
 def near_duplicates(
@@ -340,8 +358,10 @@ def near_duplicates(
     found = components(links)
     wide = members.where("blocks > 1")
     if not wide.isEmpty():
-        links = links.unionAll(_between_cells(wide, found, sets, block, percent))
-        found = components(links)
+        links = staged(_between_cells(wide, found, sets, block, percent), "dup-links")
+        if not links.isEmpty():
+            known = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            found = components(known.unionAll(links))
     named = classes.join(found, "node", "left")
     grouped = named.where("n_docs > 1 OR component IS NOT NULL").select(
         *same, F.coalesce("component", "node").alias("component")

@@ -126,6 +126,31 @@ def test_components_of_a_long_path(spark):
     assert {row.component for row in found} == {1} and len(found) == 59
 
 
+def test_parents_are_copied_no_more_often_than_there_are_edges(spark):
+    """A path, whose nodes have a single smaller neighbour each, a star around its largest node,
+    and nodes with two smaller neighbours."""
+    rows = [(at + 1, at) for at in range(1, 300)] + [(5000, at) for at in range(1000, 1400)]
+    rows += [(at, low) for at in range(2000, 2100) for low in (7, 1500 + at)]
+    edges = spark.createDataFrame(rows, "high long, low long")
+    copied = []
+    real = near_dups._copied
+
+    def and_counted(parents):
+        copied.append(real(parents).count())
+        return real(parents)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(near_dups, "_copied", and_counted)
+        found = near_dups._small_star(edges)
+    assert copied[0] <= near_dups.STAR_SALTS + 200
+    least = {}
+    for high, low in rows:
+        least[high] = min(low, least.get(high, low))
+    expected = set(least.items())
+    expected |= {(low, least[high]) for high, low in rows if low != least[high]}
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
 def test_cells_are_bounded_by_shingles_too(spark, monkeypatch):
     words = [f"w{at}" for at in range(200)]
     rows = [(at, " ".join([*words, f"own{at}"])) for at in range(40)]
